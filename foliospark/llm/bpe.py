@@ -9,23 +9,24 @@ ascending pass gives the same ids as merging every word by itself.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import json
+import re
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .words import pieces
+from .words import mix, pieces
 
-#: Fixed value: the pre-token pattern of byte-level BPE.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Bytes of text whose distinct pre-tokens are encoded together.
-PART = 24 << 20
+#: Bytes of text whose distinct pre-tokens are encoded together, and characters cut into pre-tokens at once.
+PART = 40 << 20
+SPLIT = 1 << 20
 _FAR = 1 << 30
 
 
@@ -36,6 +37,73 @@ def _byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+_LETTER, _NUMBER, _OTHER, _SPACE = range(4)
+#: Code points of white space.
+_WHITE = [*range(9, 14), 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288]
+
+
+@lru_cache(maxsize=1)
+def _kinds() -> np.ndarray:
+    kind = np.array([{"L": _LETTER, "N": _NUMBER}.get(unicodedata.category(chr(i))[0], _OTHER) for i in range(0x110000)], np.uint8)
+    kind[_WHITE] = _SPACE
+    return kind
+
+
+_U = np.uint64
+_BASE = _U(0x9E3779B97F4A7C15)
+_POWER = np.multiply.accumulate(np.append(_U(1), np.full(2 * SPLIT, _BASE)))
+_INVERSE = np.multiply.accumulate(np.append(_U(1), np.full(2 * SPLIT, _U(pow(int(_BASE), -1, 1 << 64)))))
+
+
+def pre_tokens(text: str, lengths: np.ndarray, special: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends, hashes and runs of the pre-tokens of runs of text that are joined in `text`.
+
+    The byte-level rules: a run of letters, of numbers or of other characters, each with one space
+    before it; the endings 's 't 're 've 'm 'll 'd; white space, of which the last character stays
+    apart if something follows. A run marked as special is one pre-token.
+    """
+    code = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    n = len(code)
+    kind = _kinds()[code]
+    run_at = np.cumsum(lengths) - lengths
+    head = np.zeros(n + 1, bool)
+    head[run_at] = head[n] = True
+    cut = head.copy()
+    cut[1:n] |= kind[1:] != kind[:-1]
+    begin = np.flatnonzero(cut)
+    last = begin[1:] - 1
+    after = last[(kind[last] == _SPACE) & ~head[last + 1]]
+    cut[after] = True
+    cut[after[code[after] == 32] + 1] = False
+    quote = np.flatnonzero((code == 39) & cut[:n])
+    if len(quote):
+        padded = np.append(code, [0, 0, 0])
+        one, two = padded[quote + 1], padded[quote + 2]
+        near = np.append(head, [True, True])
+        short = ~near[quote + 1] & np.isin(one, [ord(c) for c in "stmd"])
+        long = ~near[quote + 1] & ~near[quote + 2] & np.isin(one * 65536 + two, [ord(a) * 65536 + ord(b) for a, b in ("re", "ve", "ll")])
+        for chosen, size in ((short, 2), (long, 3)):
+            at = quote[chosen]
+            cut[at + 1] = False
+            end = at + size
+            end = end[~near[end]]
+            cut[end[kind[end] == _LETTER]] = True
+    if (special >= 0).any():
+        for a, size in zip(run_at[special >= 0].tolist(), lengths[special >= 0].tolist(), strict=True):
+            cut[a + 1 : a + size] = False
+    begin = np.flatnonzero(cut)
+    start, end = begin[:-1], begin[1:]
+    run = np.searchsorted(run_at, start, "right") - 1
+    value = mix(code.astype(np.uint64) + _U(1))
+    if n <= 2 * SPLIT:
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(value * _POWER[:n])])
+        h = (total[end] - total[start]) * _INVERSE[start]
+    else:  # one text longer than the table of powers
+        h = np.array([int.from_bytes(hashlib.blake2b(text[a:b].encode(), digest_size=8).digest(), "little") for a, b in zip(start.tolist(), end.tolist(), strict=True)], np.uint64)
+        return start, end, h ^ mix((special[run] + 2).astype(np.uint64)), run
+    return start, end, mix(h) ^ mix((special[run] + 2).astype(np.uint64)), run
+
+
 class BytePairEncoder:
     """The model of one tokenizer file: byte-level BPE without normaliser, prefix space or word ends."""
 
@@ -54,8 +122,7 @@ class BytePairEncoder:
         for piece, i in added.items():
             self.bytes_of[i] = piece.encode()
         self.added = added
-        self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
-        self.find = regex.compile(PATTERN).findall
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
         self.byte_id = np.full(256, -1, np.int32)
         for c, b in byte_of.items():
             self.byte_id[b] = vocab[c]
@@ -137,27 +204,45 @@ class BytePairEncoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and the texts' offsets in them."""
-        number: dict[str | int, int] = {}
-        of: list[int] = []
-        counts = []
-        for text in texts:
-            was = len(of)
-            parts = self.cut.split(text) if self.cut and self.cut.search(text) else [text]
-            for k, part in enumerate(parts):
-                found = [self.added[part]] if k % 2 else self.find(part)
-                of += [number.setdefault(w, len(number)) for w in found]
-            counts.append(len(of) - was)
-        ids, at = self.encode_pieces([w if isinstance(w, int) else w.encode() for w in number])
-        del number
-        use = np.array(of, np.int64)
+        runs: list[str] = []  # texts, cut at added tokens
+        owner: list[int] = []
+        special: list[int] = []  # the added token's id, or -1
+        for i, text in enumerate(texts):
+            for k, part in enumerate(self.cut.split(text) if self.cut and self.cut.search(text) else (text,)):
+                if part:
+                    runs.append(part)
+                    owner.append(i)
+                    special.append(self.added[part] if k % 2 else -1)
+        hashes, blocks, block_of, starts, ends, run_of = [], [], [], [], [], []
+        i = 0
+        while i < len(runs):
+            j, size = i, 0
+            while j < len(runs) and (j == i or size + len(runs[j]) <= SPLIT):
+                size += len(runs[j])
+                j += 1
+            joined = "".join(runs[i:j])
+            s, e, h, r = pre_tokens(joined, np.array([len(x) for x in runs[i:j]]), np.array(special[i:j]))
+            for held, value in ((hashes, h), (starts, s), (ends, e), (run_of, r + i), (block_of, np.full(len(s), len(blocks), np.int32))):
+                held.append(value)
+            blocks.append(joined)
+            i = j
+        if not hashes:
+            return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
+        _, first, use = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+        where = [np.concatenate(x)[first].tolist() for x in (block_of, starts, ends, run_of)]
+        words = [special[r] if special[r] >= 0 else blocks[k][s:e].encode() for k, s, e, r in zip(*where, strict=True)]
+        ids, at = self.encode_pieces(words)
         size = np.diff(at)[use]
         upto = np.concatenate([[0], np.cumsum(size)])
         out = ids[np.repeat(at[:-1][use] - upto[:-1], size) + np.arange(upto[-1])]
-        return out, upto[np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])]
+        of_text = np.array(owner)[np.concatenate(run_of)]
+        return out, upto[np.searchsorted(of_text, np.arange(len(texts) + 1), "left")]
 
     def decode(self, ids: list[int]) -> str:
         of = self.bytes_of
-        return b"".join([of[i] if 0 <= i < len(of) else b"" for i in ids]).decode("utf-8", "replace")
+        if ids and not 0 <= min(ids) <= max(ids) < len(of):
+            ids = [i for i in ids if 0 <= i < len(of)]
+        return b"".join(map(of.__getitem__, ids)).decode("utf-8", "replace")
 
 
 @lru_cache(maxsize=2)
@@ -205,8 +290,11 @@ def bpe_decode(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "
         for batch in batches:
             for i in range(0, batch.num_rows, 1000):
                 part = batch.slice(i, 1000)
-                lists = part.column(part.schema.get_field_index(ids_col)).to_pylist()
-                texts = [None if x is None else model.decode([-1 if i is None else i for i in x]) for x in lists]
+                lists = part.column(part.schema.get_field_index(ids_col))
+                at = lists.offsets.to_numpy().tolist()
+                flat = lists.values.slice(at[0], at[-1] - at[0]).fill_null(-1).to_numpy().tolist()
+                there = lists.is_valid().to_pylist()
+                texts = [model.decode(flat[at[k] - at[0] : at[k + 1] - at[0]]) if there[k] else None for k in range(len(at) - 1)]
                 yield pa.RecordBatch.from_arrays([*(part.column(part.schema.get_field_index(c)) for c in kept), pa.array(texts, pa.string())], [*kept, text_col])
 
     return df.mapInArrow(run, schema)
@@ -214,8 +302,6 @@ def bpe_decode(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "
 
 def ids_sha256(df: DataFrame, ids_col: str = "ids", name: str = "ids_sha256") -> DataFrame:
     """Every row with the SHA-256 of its ids as little-endian unsigned 32-bit integers (null: as empty)."""
-    import hashlib
-
     kept, schema = with_column(df, name, T.StringType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
