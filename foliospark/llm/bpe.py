@@ -25,8 +25,8 @@ from pyspark.sql import types as T
 from .words import mix, pieces
 
 #: Bytes of text whose distinct pre-tokens are encoded together, and characters cut into pre-tokens at once.
-PART = 40 << 20
-SPLIT = 1 << 20
+PART = 6 << 20
+SPLIT = 1 << 18
 _FAR = 1 << 30
 
 
