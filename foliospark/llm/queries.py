@@ -6,13 +6,33 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, sharding
+from . import bpe, decontaminate, embeddings, licenses, minhash, secrets, sharding
 from .runtime import read_table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 WINDOW = 10
 
 
+def op1_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_embeddings(read_table(spark, sf_dir, "embeddings"), 0.95)
+
+
+OP1_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0
+), l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+), r(id, c) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.id
+), k AS (SELECT id, min(c) AS component_id FROM r GROUP BY id), n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+SELECT e.vec_id, coalesce(n.n_links, 0) AS n_links, k.component_id, e.vec_id = k.component_id AS kept
+FROM embeddings e LEFT JOIN k ON k.id = e.vec_id LEFT JOIN n ON n.a = e.vec_id
+"""
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.bpe_encode(docs, str(TOKENIZER)).select("doc_id", "ids")
@@ -25,6 +45,61 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_secrets(read_table(spark, sf_dir, "documents"))
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
+    return found.select(
+        "doc_id",
+        count(0).alias("n_assign"),
+        count(1).alias("n_access"),
+        count(2).alias("n_hex"),
+        F.sha2(secrets.span_names(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        secrets.span_names(F.col("spans")).alias("spans"),
+        "n_live",
+        "n_example",
+    )
+
+
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min("places").alias("first_word"),
+        F.array_max("places").alias("last_word"),
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"), n_words=3, percent=85)
+
+
+OP9_SQL = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, [x FOR x IN regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+') IF x <> ''] AS w
+  FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]) END AS s
+  FROM w
+), n AS (SELECT doc_id, len(s) AS n_shingles FROM s),
+g AS (SELECT doc_id, unnest(s) AS g FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM g a JOIN g b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (
+  SELECT p.a, p.b FROM p JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b
+  WHERE 100 * p.k >= 85 * (x.n_shingles + y.n_shingles - p.k)
+), both_ways AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(id, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT l.b, r.c FROM r JOIN both_ways l ON l.a = r.id),
+k AS (SELECT id, min(c) AS component_id FROM r GROUP BY id)
+SELECT n.doc_id, CAST(n.n_shingles AS BIGINT) AS n_shingles, k.component_id, n.doc_id = k.component_id AS kept
+FROM n JOIN k ON k.id = n.doc_id
+"""
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), WINDOW)
     n_hit = decontaminate.hit_words()
@@ -34,8 +109,8 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"op2_bpe": op2_bpe, "op3_sharding": op3_sharding, "op10_decontaminate": op10_decontaminate}
+    return {f.__name__: f for f in (op1_embeddings, op2_bpe, op3_sharding, op6_secrets, op8_licenses, op9_minhash, op10_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_embeddings": OP1_SQL, "op9_minhash": OP9_SQL}
