@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, embeddings, licenses, minhash, secrets, sharding
+from . import bpe, decontaminate, embeddings, licenses, minhash, secrets, sharding, suffixes
 from .runtime import read_table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -60,6 +60,10 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.find_repeats(read_table(spark, sf_dir, "documents"), 200).drop("spans")
+
+
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
     return found.select(
@@ -109,7 +113,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_embeddings, op2_bpe, op3_sharding, op6_secrets, op8_licenses, op9_minhash, op10_decontaminate)}
+    return {f.__name__: f for f in (op1_embeddings, op2_bpe, op3_sharding, op6_secrets, op7_suffixes, op8_licenses, op9_minhash, op10_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
