@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, embeddings, licenses, minhash, secrets, sharding, suffixes
+from . import bpe, decontaminate, embeddings, licenses, minhash, secrets, sharding, suffixes, toxicity
 from .runtime import read_table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -45,6 +45,17 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
+def held_out(doc_id):
+    return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 5 == 0
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").where(~held_out("doc_id"))
+    scored = toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs, labels))
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_secrets(read_table(spark, sf_dir, "documents"))
     count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
@@ -113,7 +124,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_embeddings, op2_bpe, op3_sharding, op6_secrets, op7_suffixes, op8_licenses, op9_minhash, op10_decontaminate)}
+    return {f.__name__: f for f in (op1_embeddings, op2_bpe, op3_sharding, op5_toxicity, op6_secrets, op7_suffixes, op8_licenses, op9_minhash, op10_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
