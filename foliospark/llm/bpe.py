@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from .runtime import small_batches
 from .words import mix, pieces
 
 #: Bytes of text whose distinct pre-tokens are encoded together, and characters cut into pre-tokens at once.
@@ -263,6 +264,7 @@ def bpe_encode(df: DataFrame, path: str, text_col: str = "text", ids_col: str =
     string in a text gives that token. A null or empty text gives an empty array. Rows are kept as
     they are, repeated ones too; a column already named ids_col gives way. No shuffle.
     """
+    small_batches(df.sparkSession)
     kept, schema = with_column(df, ids_col, T.ArrayType(T.IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,6 +285,7 @@ def bpe_decode(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "
 
     Null ids give null, unknown ids and null members nothing. A column already named text_col gives way.
     """
+    small_batches(df.sparkSession)
     kept, schema = with_column(df, text_col, T.StringType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,16 +303,24 @@ def bpe_decode(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "
     return df.mapInArrow(run, schema)
 
 
-def ids_sha256(df: DataFrame, ids_col: str = "ids", name: str = "ids_sha256") -> DataFrame:
-    """Every row with the SHA-256 of its ids as little-endian unsigned 32-bit integers (null: as empty)."""
-    kept, schema = with_column(df, name, T.StringType())
+def bpe_digests(df: DataFrame, path: str, ids_col: str = "ids", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Rows (keep..., n_tokens, ids_sha256, decoded_sha256): digests of each row's ids and of the text they decode to.
+
+    For checking a round trip without carrying the texts on. ids are hashed as little-endian unsigned
+    32-bit integers, the text as UTF-8; null ids count as none.
+    """
+    small_batches(df.sparkSession)
+    schema = T.StructType([*(df.schema[c] for c in keep), T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
+    sha = lambda x: hashlib.sha256(x).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = load(path)
         for batch in batches:
-            lists = batch.column(batch.schema.get_field_index(ids_col))
-            flat = lists.values.to_numpy(zero_copy_only=False).astype("<u4")
+            lists = batch.column(len(keep)).fill_null([]) if batch.column(len(keep)).null_count else batch.column(len(keep))
             at = lists.offsets.to_numpy()
-            out = [hashlib.sha256(flat[at[i] : at[i + 1]].tobytes()).hexdigest() for i in range(len(lists))]
-            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in kept), pa.array(out, pa.string())], [*kept, name])
+            flat = lists.values.to_numpy(zero_copy_only=False).astype("<u4")
+            coded = [flat[at[i] : at[i + 1]] for i in range(len(lists))]
+            columns = [pa.array(np.diff(at), pa.int64()), pa.array([sha(c.tobytes()) for c in coded], pa.string()), pa.array([sha(model.decode(c.tolist()).encode()) for c in coded], pa.string())]
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(len(keep))), *columns], schema.names)
 
-    return df.mapInArrow(run, schema)
+    return df.select(*keep, ids_col).mapInArrow(run, schema)

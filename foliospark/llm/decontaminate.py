@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .runtime import small_batches
 from .words import ALPHANUMERIC, mix, pieces, text_bytes, word_hashes, word_spans
 
 _U = np.uint64
@@ -119,6 +120,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10,
     The documents are not shuffled. The benchmark is gathered and broadcast in blocks of at most
     BLOCK_BYTES of text (a longer item is a block alone), one pass in the same stage for each block.
     """
+    small_batches(docs.sparkSession)
     cells = benchmark.where(F.col(item_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(item_col).cast("string").alias("n"), F.col(text_col).alias("t"))
     fields = [docs.schema[c] for c in keep]
     span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))

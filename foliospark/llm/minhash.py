@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .runtime import connected_components, durable
+from .runtime import connected_components, durable, small_batches
 from .words import BLANK_SEPARATED, distinct_sorted, mix, pieces, shingles, text_bytes, word_hashes, word_spans
 
 _U = np.uint64
@@ -233,6 +233,7 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 80, text_c
     Equal sets are represented by their smallest id before anything is compared. Full sets are made
     again from the texts of the clustered documents alone. No set, link or component goes to the driver.
     """
+    small_batches(docs.sparkSession)
     depth = prefix_depth(percent)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     signed = durable(rows.mapInArrow(_sign(n_words, depth), _SIGNED))

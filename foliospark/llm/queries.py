@@ -35,9 +35,7 @@ FROM embeddings e LEFT JOIN k ON k.id = e.vec_id LEFT JOIN n ON n.a = e.vec_id
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.bpe_encode(docs, str(TOKENIZER)).select("doc_id", "ids")
-    back = bpe.ids_sha256(bpe.bpe_decode(coded, str(TOKENIZER)))
-    return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids_sha256", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+    return bpe.bpe_digests(bpe.bpe_encode(docs, str(TOKENIZER)).select("doc_id", "ids"), str(TOKENIZER))
 
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import durable
+from .runtime import durable, small_batches
 from .words import mix, pieces, text_bytes
 
 _U = np.uint64
@@ -394,6 +394,7 @@ def find_repeats(docs: DataFrame, length: int = 200, text_col: str = "text", id_
     those surroundings. An anchor with more than CROWD different surroundings, for which they might not
     fit a task, has its windows compared by hash instead, where each window is a key of its own.
     """
+    small_batches(docs.sparkSession)
     none = F.lit(-(1 << 63)).cast("long")
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), none).alias("id"), F.xxhash64(text).alias("dig"), text.alias("text"))

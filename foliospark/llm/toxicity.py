@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .runtime import durable
+from .runtime import durable, small_batches
 from .words import ALPHANUMERIC, mix, pieces, text_bytes, word_hashes, word_spans
 
 _U = np.uint64
@@ -207,6 +207,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_
     At most TRAIN_ROWS labelled rows are used, equal texts once; the prior's frequencies are counted
     over all documents. With no toxic or no other text to fit on, every text scores the prior.
     """
+    small_batches(docs.sparkSession)
     told = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(F.max(F.col(label_col).cast("int")).alias("__toxic"))
     told = told.orderBy(F.xxhash64("__id"), "__id").limit(TRAIN_ROWS)
     sample = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(told), "__id")
@@ -261,6 +262,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text"
     text has no passage and the score of a text without model words. Rows are kept as they are,
     repeated ones too. No shuffle.
     """
+    small_batches(docs.sparkSession)
     passage = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("worth", T.DoubleType())])
     schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("score", T.DoubleType()), T.StructField("passages", T.ArrayType(passage))])
     shared = docs.sparkSession.sparkContext.broadcast(model)  # MODEL_WORDS words at most
