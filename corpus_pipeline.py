@@ -1,15 +1,67 @@
-"""The corpus pipeline: toxicity, near-duplicates, benchmark decontamination, secrets, tokens."""
+"""The corpus pipeline: documents to the tokens of clean, distinct, uncontaminated texts without secrets.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; its result is written and read again
+before the next. All but the last keep the columns of documents. A document leaves only by a stage's
+decision: toxic, a near copy of one with a smaller id, or holding a benchmark passage.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from foliospark.llm import bpe, decontaminate, minhash, secrets, toxicity
+from foliospark.llm.queries import TOKENIZER, WINDOW, held_out
+from foliospark.llm.runtime import durable, read_table
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below 0.5, by a model fitted on the labelled documents that aren't held out."""
+    model = toxicity.fit_toxicity(docs, read_table(spark, sf_dir, "labels").where(~held_out("doc_id")))
+    scored = toxicity.score_toxicity(docs, model, keep=tuple(docs.columns))
+    return scored.where("score < 0.5").select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of similar documents (five-word shingles, 0.8 or more) the one of smallest id; those without id stay."""
+    copies = minhash.near_duplicates(docs, n_words=5, percent=80).where("not kept").select("doc_id").distinct()
+    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any window of the benchmark."""
+    found = decontaminate.find_contamination(docs, read_table(spark, sf_dir, "benchmark"), WINDOW, keep=tuple(docs.columns))
+    return found.where(F.size("hit_spans") == 0).select(*docs.columns)
+
+
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, each secret in their texts replaced by a mark; n_chars follows."""
+    clean = secrets.redact_secrets(docs)
+    return clean.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars")))
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows (doc_id, n_tokens, ids, lossless): token ids, and whether they decode to the text."""
+    coded = bpe.bpe_decode(bpe.bpe_encode(docs.select("doc_id", "text"), str(TOKENIZER)), str(TOKENIZER))
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"))
+
 
-STAGES: list = []
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_copies),
+    ("decontamination", drop_contaminated),
+    ("secrets", redact),
+    ("tokens", tokenize),
+]
+#: Models, hashing and tokenizing are beyond SQL; tests compare with a plain version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    """The stages in order, each on what the one before kept, its rows fixed in the checkpoint folder."""
+    docs = read_table(spark, sf_dir, "documents")
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = durable(docs)
     return docs

@@ -125,7 +125,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10,
     fields = [docs.schema[c] for c in keep]
     span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
     found = T.StructType([*fields, T.StructField("n_words", T.LongType()), T.StructField("hit_spans", span), T.StructField("items", T.ArrayType(T.StringType()))])
-    body_field = T.StructField("__text", T.StringType())
+    name = text_col if text_col in keep else "__text"
+    body_field = [] if text_col in keep else [T.StructField(name, T.StringType())]
     spark = docs.sparkSession
     blocks: list[list[tuple[str, str]]] = [[]]
     room = BLOCK_BYTES
@@ -142,10 +143,10 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10,
         tools, names = tables.value
         span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("__text"))
+            texts = batch.column(batch.schema.get_field_index(name))
             for i, j in pieces(texts, 4 << 20):
                 part = batch.slice(i, j - i)
-                body, at = text_bytes(part.column(part.schema.get_field_index("__text")))
+                body, at = text_bytes(part.column(part.schema.get_field_index(name)))
                 starts, ends, word_at = word_spans(body, at, ALPHANUMERIC)
                 h = word_hashes(body, starts, ends)
                 n_rows, n = j - i, len(h)
@@ -179,14 +180,14 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10,
                 flat = pa.StructArray.from_arrays([pa.array(a - base), pa.array(b - base)], ["start", "end"])
                 spans = pa.ListArray.from_arrays(pa.array(np.searchsorted(a, word_at), pa.int32()), flat)
                 cols = {f.name: part.column(part.schema.get_field_index(f.name)) for f in fields}
-                cols |= {} if last else {"__text": part.column(part.schema.get_field_index("__text"))}
+                cols |= {} if last or name in cols else {name: part.column(part.schema.get_field_index(name))}
                 cols |= {"n_words": pa.array(np.diff(word_at), pa.int64()), "hit_spans": spans.cast(span_type), "items": pa.array(items, pa.list_(pa.string()))}
                 yield pa.RecordBatch.from_arrays(list(cols.values()), list(cols))
 
-    out = docs.select(*keep, F.col(text_col).alias("__text"))
+    out = docs.select(*keep, *([] if text_col in keep else [F.col(text_col).alias(name)]))
     for k, tables in enumerate(shared):
         last = k == len(shared) - 1
-        schema = found if last else T.StructType([*fields, body_field, *found.fields[len(fields) :]])
+        schema = found if last else T.StructType([*fields, *body_field, *found.fields[len(fields) :]])
         out = out.mapInArrow(lambda batches, last=last, first=not k, tables=tables: run(batches, last, first, tables), schema)
     return out
 

@@ -265,16 +265,18 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text"
     small_batches(docs.sparkSession)
     passage = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("worth", T.DoubleType())])
     schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("score", T.DoubleType()), T.StructField("passages", T.ArrayType(passage))])
+    own_text = [] if text_col in keep else [F.col(text_col).alias("__text")]
+    text_at = keep.index(text_col) if text_col in keep else len(keep)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # MODEL_WORDS words at most
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("worth", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
-            for i, j, kinds, word_at in _words(batch, len(keep)):
+            for i, j, kinds, word_at in _words(batch, text_at):
                 f, found = _features(own, kinds, word_at)
                 score = 1 / (1 + np.exp(-np.clip(_design(f) @ own.coefficients, -30, 30)))
                 cells = [[{"start": a, "end": b, "worth": w} for a, b, w in x] for x in found]
                 yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(i, j - i) for k in range(len(keep))), pa.array(score), pa.array(cells, kind)], schema.names)
 
-    return docs.select(*keep, F.col(text_col).alias("__text")).mapInArrow(run, schema)
+    return docs.select(*keep, *own_text).mapInArrow(run, schema)
