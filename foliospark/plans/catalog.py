@@ -1,7 +1,791 @@
-"""The registered queries of the layout engine, and their SQL."""
+"""The registered queries of the layout engine, and SQL that gives the same rows.
+
+Each query applies operators to a whole table. Tables hold plain texts, so word boxes come from the
+fixed layout of sources.layout; numbering queries take order lines as enumerations.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..functions import classify, text
+from ..operators import clusters, lines, pages, parts, toc, tokens, vote
+from ..sources import layout, readers, sinks
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 FLAGSHIP = "page_statistics"
+
+
+def query(sql: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def doc_tokens(spark: SparkSession, d: str) -> DataFrame:
+    return layout.tokens_from_text(table(spark, d, "documents").select("doc_id", "text"))
+
+
+WORDS = """w AS (SELECT doc_id, [x FOR x IN string_split_regex(text, '\\s+') IF x <> ''] AS w FROM documents),
+t0 AS (SELECT doc_id, unnest(w) AS text, CAST(generate_subscripts(w, 1) - 1 AS INT) AS sn FROM w)"""
+TOKENS = (
+    "WITH RECURSIVE "
+    + WORDS
+    + """, tok AS (
+  SELECT doc_id, sn, CAST(sn // 400 + 1 AS INT) AS page, CAST(sn // 5 AS INT) AS block, CAST(sn // 10 AS INT) AS line, text,
+    CAST(1040 + 800 * (sn % 10) AS INT) AS x1, CAST(1040 + 800 * (sn % 10) + least(80 * length(text), 780) AS INT) AS x2,
+    CAST(500 + 200 * ((sn // 10) % 40) + 90 * (((sn // 10) % 40) // 7) AS INT) AS y1,
+    CAST(650 + 200 * ((sn // 10) % 40) + 90 * (((sn // 10) % 40) // 7) AS INT) AS y2, CAST(60 + (sn * 7) % 40 AS INT) AS conf
+  FROM t0)"""
+)
+BLOCKS = (
+    TOKENS
+    + """, blk AS (
+  SELECT doc_id, page, line, block, CAST(min(sn) AS INT) AS first_sn, CAST(max(sn) AS INT) AS last_sn, string_agg(text, ' ' ORDER BY sn) AS text,
+    min(x1) AS x1, max(x2) AS x2, min(y1) AS y1, max(y2) AS y2
+  FROM tok GROUP BY doc_id, page, line, block)"""
+)
+ENGINES = (
+    TOKENS
+    + """, tokb AS (
+  SELECT doc_id, page, sn, block, line, CASE WHEN sn % 7 = 0 THEN translate(text, 'lO', '10') ELSE text END AS text,
+    x1 + 5 * (sn % 3) AS x1, x2 + 5 * (sn % 3) AS x2, y1, y2, CAST(60 + (sn * 5) % 40 AS INT) AS conf
+  FROM tok WHERE sn % 11 <> 0)
+, prs AS (
+  SELECT a.doc_id, a.page, a.sn AS sn_a, b.sn AS sn_b, a.text AS text_a, b.text AS text_b, a.conf AS conf_a, b.conf AS conf_b,
+    (least(a.x2, b.x2) - greatest(a.x1, b.x1)) * (least(a.y2, b.y2) - greatest(a.y1, b.y1)) AS overlap
+  FROM tok a JOIN tokb b ON a.doc_id = b.doc_id AND a.page = b.page AND a.line = b.line
+    AND least(a.x2, b.x2) > greatest(a.x1, b.x1) AND least(a.y2, b.y2) > greatest(a.y1, b.y1))
+, best AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, page, sn_a ORDER BY overlap DESC, sn_b) AS ra,
+    row_number() OVER (PARTITION BY doc_id, page, sn_b ORDER BY overlap DESC, sn_a) AS rb FROM prs) WHERE ra = 1 AND rb = 1)"""
+)
+
+
+# layout and reading order
+
+
+@query(TOKENS + " SELECT * FROM tok")
+def tokens_layout(spark, d):
+    return doc_tokens(spark, d)
+
+
+@query(TOKENS + " SELECT doc_id, sn, round(x1 * 0.0612, 4) AS px1, round(x2 * 0.0612, 4) AS px2, round(y1 * 0.0792, 4) AS py1, round(y2 * 0.0792, 4) AS py2 FROM tok")
+def coords_pixels(spark, d):
+    size = spark.createDataFrame([(612, 792)], "xx int, yy int")
+    t = doc_tokens(spark, d).crossJoin(F.broadcast(size))
+    px = lambda c, s: F.round(F.col(c) * (F.col(s) / 10000), 4)
+    return t.select("doc_id", "sn", px("x1", "xx").alias("px1"), px("x2", "xx").alias("px2"), px("y1", "yy").alias("py1"), px("y2", "yy").alias("py2"))
+
+
+@query("SELECT vec_id, CAST(trunc(CAST(embedding[1] AS DOUBLE) * 10000) AS INT) AS scaled FROM embeddings")
+def coords_scaled(spark, d):
+    return table(spark, d, "embeddings").select("vec_id", readers.scaled(F.element_at("embedding", 1).cast("double")).alias("scaled"))
+
+
+@query(BLOCKS + " SELECT * FROM blk")
+def blocks_of_words(spark, d):
+    return layout.blocks(doc_tokens(spark, d))
+
+
+@query(
+    BLOCKS
+    + """, s AS (SELECT *, lag(page) OVER w AS pp, lag(y1 + y2) OVER w AS py, lag(x2) OVER w AS px FROM blk WINDOW w AS (PARTITION BY doc_id ORDER BY block)),
+n AS (SELECT *, CAST(sum(CASE WHEN pp IS NULL OR pp <> page OR abs(y1 + y2 - py) > 100 OR x1 < px THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY block) - 1 AS INT) AS line_in_doc FROM s)
+SELECT doc_id, block, page, line_in_doc, line_in_doc - min(line_in_doc) OVER (PARTITION BY doc_id, page) AS line_in_page FROM n"""
+)
+def line_numbering(spark, d):
+    return lines.number_lines(layout.blocks(doc_tokens(spark, d))).select("doc_id", "block", "page", "line_in_doc", "line_in_page")
+
+
+@query(
+    TOKENS
+    + """ SELECT doc_id, sn, CAST(row_number() OVER (PARTITION BY doc_id, page ORDER BY sn) - 1 AS INT) AS sn_in_page,
+  CAST(row_number() OVER (PARTITION BY doc_id, line ORDER BY sn) - 1 AS INT) AS sn_in_line, CAST(row_number() OVER (PARTITION BY doc_id, block ORDER BY sn) - 1 AS INT) AS sn_in_block FROM tok"""
+)
+def sn_in_line(spark, d):
+    return lines.serial_numbers(doc_tokens(spark, d)).select("doc_id", "sn", "sn_in_page", "sn_in_line", "sn_in_block")
+
+
+GAPS = (
+    BLOCKS
+    + """, gap AS (
+  SELECT doc_id, page, line, CAST(row_number() OVER w - 1 AS INT) AS nth, lag(x2, 1, 0) OVER w AS "left", x1 AS "right" FROM blk WINDOW w AS (PARTITION BY doc_id, page, line ORDER BY x1, block)
+  UNION ALL SELECT doc_id, page, line, CAST(count(*) AS INT), max(x2), 10000 FROM blk GROUP BY doc_id, page, line)"""
+)
+
+
+@query(GAPS + " SELECT * FROM gap")
+def token_gaps(spark, d):
+    return lines.block_gaps(layout.blocks(doc_tokens(spark, d)))
+
+
+LINE_STATS = (
+    TOKENS
+    + """, ln AS (
+  SELECT doc_id, page, line, count(*) AS n_words, sum(CASE WHEN regexp_matches(text, '^[^A-Za-z]*[A-Z]') THEN 1 ELSE 0 END)::BIGINT AS n_first_cap,
+    sum(CASE WHEN NOT regexp_matches(text, '[a-z]') AND regexp_matches(text, '[A-Z]') THEN 1 ELSE 0 END)::BIGINT AS n_all_cap,
+    min(CASE WHEN length(text) > 1 THEN x1 END) AS left_x, max(CASE WHEN length(text) > 1 THEN x2 END) AS right_x,
+    CAST(arg_max(regexp_matches(text, '^[0-9]{1,3}$'), sn) AS INT) AS right_is_number
+  FROM tok GROUP BY doc_id, page, line),
+lns AS (SELECT *, CAST(floor((left_x + right_x) / 2) AS INT) AS center FROM ln)"""
+)
+
+
+@query(LINE_STATS + " SELECT * FROM lns")
+def line_statistics(spark, d):
+    return pages.line_stats(doc_tokens(spark, d))
+
+
+@query(
+    LINE_STATS
+    + """ SELECT doc_id, page, line, len([x FOR x IN list(left_x) OVER w IF abs(x - left_x) < 20]) - 1 AS n_similar, lead(line) OVER (PARTITION BY doc_id, page ORDER BY line) - line AS to_next
+FROM lns WHERE left_x IS NOT NULL WINDOW w AS (PARTITION BY doc_id, page ORDER BY line ROWS BETWEEN 6 PRECEDING AND 5 FOLLOWING)"""
+)
+def indent_neighbors(spark, d):
+    rows = pages.line_stats(doc_tokens(spark, d)).where("left_x is not null").withColumnRenamed("left_x", "x1")
+    return lines.similar_indents(rows).select("doc_id", "page", "line", "n_similar", "to_next")
+
+
+SECTION = "section|article|schedule|part|amendment|exhibit|attachment|paragraph"
+PARAS = (
+    BLOCKS
+    + f""", pb AS (SELECT *, y1 - lag(y2) OVER w AS gap, lag(page) OVER w AS pp, lag(text) OVER w AS pt FROM blk WINDOW w AS (PARTITION BY doc_id ORDER BY block)),
+par AS (SELECT *, CAST(sum(CASE WHEN pp IS NULL OR pp <> page OR gap > 120 OR ((gap > 0 OR gap < -400)
+  AND (regexp_matches(text, '^([0-9]{{1,2}}\\.|[ivx]{{1,5}}\\.|[A-Z]\\.|[a-z]\\)|\\([ivx]{{1,5}}\\)|\\([0-9]{{1,2}}\\)|\\([a-z]\\))(\\s|$)')
+    OR regexp_matches(text, '(?i)^({SECTION})\\s+([0-9]+|[ivxl]+|[a-z])\\b')
+    OR (NOT regexp_matches(text, '[a-z]') AND regexp_matches(text, '[A-Z]') AND x2 - x1 < 2000 AND abs((x1 + x2) / 2 - 5000) < 400 AND len(string_split_regex(trim(text), '\\s+')) <= 4))
+  AND NOT regexp_matches(lower(pt), '(^|\\s)({"|".join(classify.CONNECTORS)})\\s*$')) THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY block) - 1 AS INT) AS para_no FROM pb)"""
+)
+
+
+@query(PARAS + " SELECT doc_id, block, page, para_no FROM par")
+def paragraph_segments(spark, d):
+    return lines.paragraphs(layout.blocks(doc_tokens(spark, d))).select("doc_id", "block", "page", "para_no")
+
+
+def para_tokens(spark, d):
+    t = doc_tokens(spark, d)
+    return t.join(lines.paragraphs(layout.blocks(t)).select("doc_id", "block", "para_no"), ["doc_id", "block"])
+
+
+PARA_STATS = (
+    PARAS
+    + """, ps AS (SELECT t.doc_id, p.para_no, min(t.sn) AS first_sn, count(*) AS n_tokens, min(t.page) AS page, min(t.line) AS line,
+  min(CASE WHEN regexp_matches(t.text, '[a-z]') THEN 0 ELSE 1 END) AS all_upper, sum(CASE WHEN regexp_matches(t.text, '^[^A-Za-z]*[A-Z]') THEN 1 ELSE 0 END)::BIGINT AS n_first_cap,
+  sum(CASE WHEN regexp_matches(t.text, '^[A-Za-z]{2,}[.,;:]?$') THEN 1 ELSE 0 END)::BIGINT AS n_real
+FROM tok t JOIN par p ON p.doc_id = t.doc_id AND p.block = t.block GROUP BY t.doc_id, p.para_no)"""
+)
+
+
+@query(PARA_STATS + " SELECT * FROM ps")
+def paragraph_statistics(spark, d):
+    return lines.paragraph_stats(para_tokens(spark, d))
+
+
+@query(PARA_STATS + " SELECT doc_id, page, min(para_no) AS first_para FROM ps GROUP BY doc_id, page")
+def page_first_para(spark, d):
+    return lines.first_paragraphs(lines.paragraph_stats(para_tokens(spark, d)))
+
+
+@query(BLOCKS + ", s AS (SELECT doc_id, page, block, y1 - lag(y2) OVER (PARTITION BY doc_id, page ORDER BY block) AS space FROM blk) SELECT * FROM s WHERE space > 120")
+def vertical_spaces(spark, d):
+    return lines.vertical_spaces(layout.blocks(doc_tokens(spark, d)))
+
+
+@query(TOKENS + " SELECT doc_id, sn, CAST(coalesce(sum(length(text) + 1) OVER (PARTITION BY doc_id ORDER BY sn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS loc FROM tok")
+def char_offsets(spark, d):
+    return sinks.char_offsets(doc_tokens(spark, d)).select("doc_id", "sn", "loc")
+
+
+LINES_OF_PAGE = "(SELECT doc_id, page, count(DISTINCT line) AS lines_in_page FROM tok GROUP BY doc_id, page)"
+COLUMNS = (
+    GAPS
+    + f""", mid AS (SELECT DISTINCT doc_id, page, line FROM gap WHERE "left" < 5000 AND "right" > 5000 AND "left" > 0 AND "right" < 10000),
+isl AS (SELECT *, line - row_number() OVER (PARTITION BY doc_id, page ORDER BY line) AS g FROM mid),
+col AS (SELECT i.doc_id, i.page, min(line) AS first_line, max(line) AS last_line, count(*) AS n_lines, count(*) / any_value(lines_in_page) AS line_ratio
+  FROM isl i JOIN {LINES_OF_PAGE} l ON l.doc_id = i.doc_id AND l.page = i.page GROUP BY i.doc_id, i.page, g HAVING count(*) >= 2)"""
+)
+
+
+def column_groups_of(t: DataFrame) -> DataFrame:
+    per_page = t.groupBy("doc_id", "page").agg(F.countDistinct("line").alias("lines_in_page"))
+    return lines.column_groups(lines.block_gaps(layout.blocks(t)), per_page)
+
+
+@query(COLUMNS + " SELECT doc_id, page, first_line, last_line, n_lines, round(line_ratio, 4) AS line_ratio FROM col")
+def dc_groups(spark, d):
+    return column_groups_of(doc_tokens(spark, d)).withColumn("line_ratio", F.round("line_ratio", 4))
+
+
+@query(
+    COLUMNS
+    + """ SELECT b.doc_id, b.block, CAST(row_number() OVER (PARTITION BY b.doc_id ORDER BY b.page, coalesce(c.first_line, b.line), CASE WHEN c.first_line IS NOT NULL AND b.x1 >= 5000 THEN 1 ELSE 0 END, b.line, b.block) - 1 AS INT) AS place
+FROM blk b LEFT JOIN col c ON c.doc_id = b.doc_id AND c.page = b.page AND b.line BETWEEN c.first_line AND c.last_line AND c.line_ratio >= 0.7"""
+)
+def reading_order(spark, d):
+    t = doc_tokens(spark, d)
+    return lines.reading_order(layout.blocks(t), column_groups_of(t)).select("doc_id", "block", "place")
+
+
+@query(
+    GAPS
+    + """, g AS (SELECT * FROM gap WHERE "right" > "left")
+SELECT a.doc_id, a.page, a.line AS line_a, a.nth AS nth_a, b.line AS line_b, b.nth AS nth_b, least(a."right", b."right") - greatest(a."left", b."left") AS overlap
+FROM g a JOIN g b ON a.doc_id = b.doc_id AND a.page = b.page AND b.line BETWEEN a.line + 1 AND a.line + 2 WHERE least(a."right", b."right") > greatest(a."left", b."left")"""
+)
+def gap_overlap(spark, d):
+    return clusters.overlapping_gaps(lines.block_gaps(layout.blocks(doc_tokens(spark, d))))
+
+
+@query()
+def gap_clusters(spark, d):
+    return clusters.gap_clusters(clusters.overlapping_gaps(lines.block_gaps(layout.blocks(doc_tokens(spark, d)))))
+
+
+# tokens, names and numbers
+
+
+def _case(chain, test, other):
+    return "CASE " + " ".join(f"WHEN {test(p)} THEN '{n}'" for n, p in chain) + f" ELSE '{other}' END"
+
+
+CATEGORY = _case(classify.CATEGORIES, lambda p: "regexp_matches(text, '^(" + p.replace("'", "''") + ")$')", "NONE")
+
+
+@query(TOKENS + f" SELECT category, count(*) AS n FROM (SELECT {CATEGORY} AS category FROM tok) GROUP BY category")
+def token_category(spark, d):
+    return doc_tokens(spark, d).groupBy(classify.token_category(F.col("text")).alias("category")).agg(F.count("*").alias("n"))
+
+
+@query(
+    TOKENS
+    + """ SELECT doc_id, sn, CASE WHEN regexp_matches(text, '^[A-Za-z0-9]+$') THEN 0 WHEN regexp_matches(text, '^[A-Za-z0-9]+[^A-Za-z0-9]$') THEN 1
+WHEN regexp_matches(text, '^[^A-Za-z0-9][A-Za-z0-9]+$') THEN 2 WHEN regexp_matches(text, '^[^A-Za-z0-9]+$') THEN 3 ELSE 4 END AS shape FROM tok"""
+)
+def word_shape(spark, d):
+    return doc_tokens(spark, d).select("doc_id", "sn", classify.word_shape(F.col("text")).alias("shape"))
+
+
+@query(TOKENS + " SELECT doc_id, sn, text FROM tok WHERE regexp_matches(text, '^(" + "|".join(classify.UNSPLITTABLE).replace("'", "''") + ")$')")
+def unsplittable_tokens(spark, d):
+    return doc_tokens(spark, d).where(classify.is_unsplittable(F.col("text"))).select("doc_id", "sn", "text")
+
+
+@query()
+def token_pieces(spark, d):
+    return lines.space_before(tokens.token_pieces(doc_tokens(spark, d))).select("doc_id", "sn", "piece", "text", "x1", "x2", "has_space_before")
+
+
+@query("SELECT p_partkey, regexp_replace(regexp_replace(lower(p_name), '[^a-z0-9]+', '_', 'g'), '^_', '') AS slug FROM part")
+def slug(spark, d):
+    return table(spark, d, "part").select("p_partkey", text.slug(F.col("p_name")).alias("slug"))
+
+
+@query(
+    "SELECT p_partkey, regexp_replace(regexp_replace(replace(replace(replace(regexp_replace(lower(p_name || ' Square Feet'), '[^a-z0-9]+', '_', 'g'), 'square', 'sq'), 'feet', 'ft'), 'foot', 'ft'), '^_+', ''), '_+$', '') AS name FROM part"
+)
+def std_name(spark, d):
+    return table(spark, d, "part").select("p_partkey", text.standard_name(F.concat("p_name", F.lit(" Square Feet"))).alias("name"))
+
+
+@query("SELECT c_custkey, list_reduce([s FOR s IN list_concat([''], [CASE WHEN i = 1 THEN p[i] ELSE upper(p[i][1]) || p[i][2:] END FOR i IN range(1, len(p) + 1)])], lambda a, b: a || b) AS camel FROM (SELECT c_custkey, string_split(lower(c_mktsegment || '_' || 'of_' || c_name), '_') AS p FROM customer)")
+def camel_name(spark, d):
+    name = F.lower(F.concat("c_mktsegment", F.lit("_of_"), "c_name"))
+    return table(spark, d, "customer").select("c_custkey", text.camel_case(name).alias("camel"))
+
+
+@query("SELECT c_custkey, lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS padded FROM customer")
+def pad8(spark, d):
+    return table(spark, d, "customer").select("c_custkey", text.pad8(F.col("c_custkey")).alias("padded"))
+
+
+@query("SELECT doc_id, regexp_replace(text, '[^A-Za-z0-9]+', ' ', 'g') AS plain FROM documents")
+def norm_para(spark, d):
+    return table(spark, d, "documents").select("doc_id", text.normal_paragraph(F.col("text")).alias("plain"))
+
+
+@query("SELECT doc_id, lower(regexp_replace(substring(text, 1, 41), '[^A-Za-z0-9]', '', 'g')) AS header FROM documents")
+def norm_header(spark, d):
+    return table(spark, d, "documents").select("doc_id", text.normal_header(F.col("text")).alias("header"))
+
+
+@query()
+def norm_token_split(spark, d):
+    return doc_tokens(spark, d).select("doc_id", "sn", F.posexplode(text.normal_token(F.col("text"))).alias("part", "text"))
+
+
+ROMANS = [(i, r) for i, r in enumerate("I II III IV V VI VII VIII IX X XI XII XIII XIV XV XVI XVII XVIII XIX XX XXI XXII XXIII XXIV XXV XXVI XXVII XXVIII XXIX XXX".split(), 1)]
+
+
+@query("SELECT l_orderkey, l_linenumber, l_linenumber AS value FROM lineitem")
+def roman_value(spark, d):
+    names = spark.createDataFrame(ROMANS, "l_linenumber int, roman string")
+    return table(spark, d, "lineitem").join(F.broadcast(names), "l_linenumber").select("l_orderkey", "l_linenumber", text.roman_value(F.col("roman")).alias("value"))
+
+
+@query("SELECT l_orderkey, l_linenumber, 20 + l_linenumber AS value, l_linenumber AS ordinal FROM lineitem")
+def number_words(spark, d):
+    names = spark.createDataFrame([(i + 1, f"TWENTY-{w}", o) for i, (w, o) in enumerate(zip(text.UNITS[:9], text.ORDINALS[:9], strict=True))], "l_linenumber int, word string, ordinal_word string")
+    rows = table(spark, d, "lineitem").join(F.broadcast(names), "l_linenumber")
+    return rows.select("l_orderkey", "l_linenumber", text.word_number(F.col("word")).alias("value"), text.word_number(F.col("ordinal_word")).alias("ordinal"))
+
+
+@query(
+    "SELECT l_orderkey, l_linenumber, CAST(l_linenumber AS VARCHAR) AS enum_field, CAST(l_orderkey % 97 AS VARCHAR) AS parent_field, 'decimal_pair' AS style, l_linenumber AS value FROM lineitem WHERE l_orderkey % 97 > 0"
+)
+def section_fields(spark, d):
+    s = F.concat((F.col("l_orderkey") % 97).cast("string"), F.lit("."), F.col("l_linenumber").cast("string"))
+    fields = text.section_fields(s)
+    rows = table(spark, d, "lineitem").where("l_orderkey % 97 > 0")
+    return rows.select("l_orderkey", "l_linenumber", F.element_at(fields, -1).alias("enum_field"), F.element_at(fields, -2).alias("parent_field"), text.numeral_style(s).alias("style"), text.section_value(s).alias("value"))
+
+
+STYLE = _case(text.NUMERAL_STYLES, lambda p: f"regexp_matches(text, '^({p})$')", "none")
+
+
+@query(TOKENS + f" SELECT style, count(*) AS n FROM (SELECT {STYLE} AS style FROM tok) GROUP BY style")
+def numbering_group(spark, d):
+    return doc_tokens(spark, d).groupBy(text.numeral_style(F.col("text")).alias("style")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT item_id, rtrim(substring(CASE WHEN regexp_extract(text, '^([^\\n]{3}[^.:\\-]*)', 1) = '' THEN text ELSE rtrim(regexp_extract(text, '^([^\\n]{3}[^.:\\-]*)', 1)) END, 1, 80)) AS header FROM benchmark")
+def header_chop(spark, d):
+    return table(spark, d, "benchmark").select("item_id", F.rtrim(text.sentence_header(F.col("text"))).alias("header"))
+
+
+@query("SELECT doc_id, len(regexp_extract_all(text, '[A-Z]')) AS n_capitals, len(regexp_extract_all(text, '[A-Z]{2,}')) AS n_capital_words, len([x FOR x IN string_split_regex(text, '\\s+') IF x <> '']) AS n_words FROM documents")
+def caps_counts(spark, d):
+    c = F.col("text")
+    n = F.size(F.filter(F.split(c, r"\s+"), lambda w: w != ""))
+    return table(spark, d, "documents").select("doc_id", F.regexp_count(c, F.lit("[A-Z]")).alias("n_capitals"), F.regexp_count(c, F.lit("[A-Z]{2,}")).alias("n_capital_words"), n.alias("n_words"))
+
+
+FREQ = TOKENS + """, wf AS (SELECT word, count(*) AS freq FROM (SELECT lower(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS word FROM tok) WHERE length(word) > 1 GROUP BY word)"""
+
+
+@query(FREQ + " SELECT word, freq, round(freq / (SELECT sum(freq) FROM wf), 9) AS share FROM wf")
+def dict_freq(spark, d):
+    return tokens.word_frequencies(doc_tokens(spark, d)).withColumn("share", F.round("share", 9))
+
+
+@query(
+    TOKENS
+    + """, ty AS (SELECT doc_id, sn, CASE WHEN regexp_matches(text, '^\\(.*\\)$') THEN '__PAREN__' WHEN regexp_matches(text, '^[0-9]+(\\.[0-9]+)+\\.?$') THEN '__SECTION__'
+  WHEN regexp_matches(text, '^[$]?[0-9][0-9,.]*$') THEN '__NUMBER__' ELSE lower(regexp_replace(text, '[.,;:]+$', '')) END AS w1 FROM tok),
+p AS (SELECT w1, lead(w1) OVER (PARTITION BY doc_id ORDER BY sn) AS w2 FROM ty) SELECT w1, w2, count(*) AS freq FROM p WHERE w2 IS NOT NULL GROUP BY w1, w2"""
+)
+def bigrams(spark, d):
+    return tokens.typed_bigrams(doc_tokens(spark, d))
+
+
+# two engines
+
+
+def engines(spark, d):
+    a = doc_tokens(spark, d)
+    return a, layout.second_engine(a)
+
+
+@query(ENGINES + " SELECT doc_id, page, sn_a, sn_b, overlap FROM prs")
+def engine_overlap(spark, d):
+    return vote.overlapping_pairs(*engines(spark, d)).select("doc_id", "page", "sn_a", "sn_b", "overlap")
+
+
+@query(ENGINES + " SELECT doc_id, page, sn_a, sn_b, overlap FROM best")
+def engine_best_match(spark, d):
+    return vote.mutual_best(vote.overlapping_pairs(*engines(spark, d))).select("doc_id", "page", "sn_a", "sn_b", "overlap")
+
+
+@query(ENGINES + " SELECT doc_id, page, sn_a, sn_b, overlap FROM best")
+def engine_greedy_match(spark, d):
+    return vote.greedy_matches(vote.overlapping_pairs(*engines(spark, d)))
+
+
+@query(ENGINES + " SELECT t.doc_id, t.page, t.sn FROM tok t WHERE NOT EXISTS (SELECT 1 FROM best b WHERE b.doc_id = t.doc_id AND b.sn_a = t.sn)")
+def engine_unmatched(spark, d):
+    a, b = engines(spark, d)
+    return vote.unmatched(a, vote.mutual_best(vote.overlapping_pairs(a, b)), "a").select("doc_id", "page", "sn")
+
+
+@query(
+    ENGINES
+    + """ SELECT kind, count(*) AS n FROM (SELECT CASE WHEN text_a = text_b THEN 'SAME' WHEN lower(text_a) = lower(text_b) THEN 'CAPITAL'
+  WHEN regexp_replace(text_a, '[^A-Za-z0-9]', '', 'g') = regexp_replace(text_b, '[^A-Za-z0-9]', '', 'g') THEN 'NONALNUM' ELSE 'OTHER' END AS kind FROM best) GROUP BY kind"""
+)
+def discrepancy(spark, d):
+    best = vote.mutual_best(vote.overlapping_pairs(*engines(spark, d)))
+    kind = vote.discrepancy(F.col("text_a"), F.col("text_b"))
+    kind = F.when(kind.isin("SIMILAR", "DIFFERENT"), "OTHER").otherwise(kind)
+    return best.groupBy(kind.alias("kind")).agg(F.count("*").alias("n"))
+
+
+CAT_A, CAT_B = CATEGORY.replace("(text,", "(text_a,"), CATEGORY.replace("(text,", "(text_b,")
+
+
+@query(
+    ENGINES
+    + f""", d AS (SELECT DISTINCT lower(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS word FROM tok WHERE sn % 11 = 0),
+v AS (SELECT b.*, {CAT_A} <> 'NONE' AS ta, {CAT_B} <> 'NONE' AS tb, regexp_matches(text_a, '[^\\x00-\\x7F]') AS oa, regexp_matches(text_b, '[^\\x00-\\x7F]') AS ob,
+  x.word IS NOT NULL AS ka, y.word IS NOT NULL AS kb FROM best b LEFT JOIN d x ON x.word = lower(regexp_replace(text_a, '[^A-Za-z]', '', 'g')) LEFT JOIN d y ON y.word = lower(regexp_replace(text_b, '[^A-Za-z]', '', 'g')))
+SELECT doc_id, page, sn_a, CASE WHEN ta AND NOT tb THEN 'a' WHEN tb AND NOT ta THEN 'b' WHEN ob AND NOT oa THEN 'a' WHEN oa AND NOT ob THEN 'b' WHEN ka AND NOT kb THEN 'a' WHEN kb AND NOT ka THEN 'b'
+  WHEN conf_b > conf_a THEN 'b' ELSE 'a' END AS voted FROM v"""
+)
+def engine_vote(spark, d):
+    a, b = engines(spark, d)
+    best = vote.mutual_best(vote.overlapping_pairs(a, b))
+    word = lambda c: F.lower(F.regexp_replace(c, "[^A-Za-z]", ""))
+    known = a.where("sn % 11 = 0").select(word("text").alias("word")).distinct()
+    for s in "ab":
+        side = known.select(F.col("word").alias(f"word_{s}"), F.lit(True).alias(f"known_{s}"))
+        best = best.withColumn(f"word_{s}", word(f"text_{s}")).join(side, f"word_{s}", "left")
+    k = lambda s: F.coalesce(f"known_{s}", F.lit(False))
+    voted = vote.decide(F.col("text_a"), F.col("text_b"), k("a"), k("b"), F.col("conf_a"), F.col("conf_b"))
+    return best.select("doc_id", "page", "sn_a", voted.alias("voted"))
+
+
+@query(
+    TOKENS
+    + """, k AS (SELECT doc_id, page, sn, CASE WHEN sn % 5 <> 0 THEN sn END AS sn_a FROM tok),
+p AS (SELECT doc_id, page, sn, sn_a, last_value(sn_a IGNORE NULLS) OVER (PARTITION BY doc_id, page ORDER BY sn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS anchor FROM k)
+SELECT doc_id, page, sn, anchor, CAST(row_number() OVER (PARTITION BY doc_id, page, anchor ORDER BY sn) AS INT) AS nth FROM p WHERE sn_a IS NULL"""
+)
+def insert_anchor(spark, d):
+    a = doc_tokens(spark, d)
+    matched = a.where("sn % 5 <> 0").select("doc_id", "page", F.col("sn").alias("sn_a"), F.col("sn").alias("sn_b"))
+    return vote.insert_anchors(matched, a.where("sn % 5 = 0"))
+
+
+@query(
+    ENGINES
+    + """, c AS (SELECT doc_id, page, sum(a)::BIGINT AS n_a, sum(b)::BIGINT AS n_b FROM (SELECT doc_id, page, 1 AS a, 0 AS b FROM tok UNION ALL SELECT doc_id, page, 0, 1 FROM tokb) GROUP BY doc_id, page)
+SELECT doc_id, page, n_a, n_b, round(abs(n_b - n_a) / (n_a + n_b), 6) AS ratio FROM c WHERE abs(n_b - n_a) / (n_a + n_b) >= 0.05"""
+)
+def missing_pages(spark, d):
+    return vote.page_counts(*engines(spark, d), least=0.05).withColumn("ratio", F.round("ratio", 6))
+
+
+@query(TOKENS + " SELECT doc_id, line, text, count(*) AS n, min(sn) AS sn FROM tok GROUP BY doc_id, line, text HAVING count(*) > 1")
+def dup_tokens(spark, d):
+    return doc_tokens(spark, d).groupBy("doc_id", "line", "text").agg(F.count("*").alias("n"), F.min("sn").alias("sn")).where("n > 1")
+
+
+# clusters of blocks
+
+
+@query()
+def footer_pairs(spark, d):
+    return clusters.repeated_blocks(layout.blocks(doc_tokens(spark, d)))
+
+
+@query()
+def footer_designations(spark, d):
+    b = layout.blocks(doc_tokens(spark, d))
+    pairs = clusters.repeated_blocks(b).select("doc_id", F.col("block_a").alias("a"), F.col("block_b").alias("b"))
+    return clusters.designate(b, clusters.document_clusters(pairs), "footer").where("designation is not null").select("doc_id", "block", "designation")
+
+
+@query(
+    BLOCKS
+    + """, f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, page, line ORDER BY x1, block) AS r FROM blk) WHERE r = 1 AND x1 < 2000 AND regexp_matches(text, '^[0-9]{1,3}\\.?$'))
+SELECT p.doc_id, p.page, p.block AS a, q.block AS b FROM f p JOIN f q ON p.doc_id = q.doc_id AND p.page = q.page AND p.block < q.block AND abs(p.x1 - q.x1) + abs(p.x2 - q.x2) < 200"""
+)
+def enum_pairs(spark, d):
+    return clusters.aligned_numbers(layout.blocks(doc_tokens(spark, d)))
+
+
+@query(BLOCKS + " SELECT p.doc_id, p.page, count(*) AS n FROM blk p JOIN blk q ON p.doc_id = q.doc_id AND p.page = q.page AND p.block < q.block AND abs(p.x1 - q.x1) < 25 GROUP BY p.doc_id, p.page")
+def block_similar_x(spark, d):
+    return clusters.same_indent(layout.blocks(doc_tokens(spark, d))).groupBy("doc_id", "page").agg(F.count("*").alias("n"))
+
+
+# pages
+
+PAGE_DICT = TOKENS + """, d AS (SELECT DISTINCT lower(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS word FROM tok WHERE sn < 20),
+pg AS (SELECT t.doc_id, t.page, count(*) AS n_words, sum(CASE WHEN regexp_matches(text, '^[^A-Za-z]*[A-Z]') THEN 1 ELSE 0 END)::BIGINT AS n_cap_words,
+  sum(CASE WHEN length(regexp_replace(text, '[^A-Za-z0-9]', '', 'g')) < 2 THEN 1 ELSE 0 END)::BIGINT AS n_junk, sum(CASE WHEN d.word IS NOT NULL THEN 1 ELSE 0 END)::BIGINT AS n_dict,
+  count(DISTINCT line) AS n_lines, sum(length(text))::BIGINT AS n_chars FROM tok t LEFT JOIN d ON d.word = lower(regexp_replace(text, '[^A-Za-z]', '', 'g')) GROUP BY t.doc_id, t.page)"""
+
+
+@query(PAGE_DICT + " SELECT * FROM pg")
+def page_statistics(spark, d):
+    t = doc_tokens(spark, d)
+    words = t.where("sn < 20").select(F.lower(F.regexp_replace("text", "[^A-Za-z]", "")).alias("word")).distinct()
+    return pages.page_stats(t, words)
+
+
+@query(
+    LINE_STATS
+    + """ SELECT doc_id, page, max(f) AS right_cluster FROM (SELECT doc_id, page, count(*) OVER (PARTITION BY doc_id, page ORDER BY right_x RANGE BETWEEN 3999 PRECEDING AND 3999 FOLLOWING) - 1 AS f
+FROM lns WHERE right_x IS NOT NULL) GROUP BY doc_id, page"""
+)
+def right_cluster(spark, d):
+    return pages.right_cluster(pages.line_stats(doc_tokens(spark, d)))
+
+
+@query()
+def center_cluster(spark, d):
+    return pages.center_cluster(pages.line_stats(doc_tokens(spark, d)))
+
+
+@query(
+    LINE_STATS
+    + """, b AS (SELECT doc_id, page, CAST(floor(left_x / 1000) AS INT) AS bin, count(*) AS n FROM lns WHERE left_x IS NOT NULL GROUP BY ALL)
+SELECT doc_id, page, bin, n FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, page ORDER BY n DESC, bin) AS r FROM b) WHERE r = 1 AND n >= 3"""
+)
+def indent_mode(spark, d):
+    return pages.indent_mode(pages.line_stats(doc_tokens(spark, d)))
+
+
+SCORES = (
+    LINE_STATS
+    + """, sc AS (SELECT doc_id, page, sum(CASE WHEN n_words <= 4 AND center BETWEEN 4000 AND 6000 THEN 2 ELSE 0 END + CASE WHEN n_all_cap * 2 >= n_words THEN 3 ELSE 0 END)::BIGINT * 10 // count(*) AS title_score,
+  sum(CASE WHEN right_is_number = 1 THEN 10 ELSE 0 END + CASE WHEN n_first_cap * 2 >= n_words THEN 1 ELSE 0 END)::BIGINT * 10 // count(*) AS toc_score,
+  sum(CASE WHEN n_words <= 4 AND center BETWEEN 4000 AND 6000 AND NOT n_all_cap * 2 >= n_words THEN 1 ELSE 0 END)::BIGINT AS sig_score FROM lns GROUP BY doc_id, page)"""
+)
+
+
+@query(SCORES + " SELECT * FROM sc")
+def page_scores(spark, d):
+    return pages.page_scores(pages.line_stats(doc_tokens(spark, d)))
+
+
+@query(
+    SCORES
+    + """, i AS (SELECT *, page - row_number() OVER (PARTITION BY doc_id ORDER BY page) AS g FROM sc WHERE toc_score > 0)
+SELECT doc_id, min(page) AS first_page, max(page) AS last_page, count(*) AS n_pages, max(toc_score) AS best FROM i GROUP BY doc_id, g"""
+)
+def toc_page_runs(spark, d):
+    return pages.toc_runs(pages.page_scores(pages.line_stats(doc_tokens(spark, d))))
+
+
+@query(
+    TOKENS
+    + """, c AS (SELECT *, sum(CASE WHEN NOT regexp_matches(text, '[a-z]') AND regexp_matches(text, '[A-Z]') THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id, line ORDER BY sn) AS low FROM tok)
+SELECT doc_id, line, string_agg(text, ' ' ORDER BY sn) AS label, count(*) AS n FROM c WHERE low = 0 GROUP BY doc_id, line"""
+)
+def caps_points(spark, d):
+    return pages.caps_points(doc_tokens(spark, d))
+
+
+@query(TOKENS + ", p AS (SELECT doc_id, page, string_agg(text, ' ' ORDER BY sn) AS text FROM tok GROUP BY doc_id, page) SELECT doc_id, page FROM p WHERE regexp_matches(lower(text), '" + "|".join([*classify.SUMMARY_PHRASES, "license", "the of"]) + "')")
+def summary_pages(spark, d):
+    low = F.lower("text")
+    return pages.page_texts(doc_tokens(spark, d)).where(classify.is_summary(F.col("text")) | low.contains("license") | low.contains("the of")).select("doc_id", "page")
+
+
+def _score_sql(label):
+    return " + ".join(f"CASE WHEN contains(lower(text), '{p}') THEN {w} ELSE 0 END" for k, p, w in classify.PHRASE_WEIGHTS if k == label)
+
+
+@query("SELECT conv_id, turn, " + ", ".join(f"{_score_sql(k)} AS {k}" for k in ("preamble", "signature", "recitals", "toc")) + " FROM conversations")
+def phrase_scores(spark, d):
+    c = F.col("text")
+    return table(spark, d, "conversations").select("conv_id", "turn", *(classify.phrase_score(c, k).alias(k) for k in ("preamble", "signature", "recitals", "toc")))
+
+
+@query(
+    "SELECT role, turn, conv_id FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS r FROM conversations WHERE contains(lower(text), 'a')) WHERE r <= 5"
+)
+def phrase_caps(spark, d):
+    rows = table(spark, d, "conversations").where(F.lower("text").contains("a"))
+    nth = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn"))
+    return rows.withColumn("nth", nth).where(F.col("nth") <= classify.LABEL_CAPS["toc"]).select("role", "turn", "conv_id")
+
+
+@query("SELECT role, count(*) AS n FROM conversations WHERE role IN (" + ", ".join(f"'{r}'" for r in classify.PARTY_ROLES) + ") GROUP BY role")
+def party_roles(spark, d):
+    return table(spark, d, "conversations").where(F.col("role").isin(*classify.PARTY_ROLES)).groupBy("role").agg(F.count("*").alias("n"))
+
+
+# numbering: order lines as enumerations
+
+ITEMS = "it AS (SELECT l_orderkey, l_linenumber, CAST(l_linenumber + (min(l_partkey) % 3 = 0)::INT AS INT) AS enum FROM lineitem GROUP BY l_orderkey, l_linenumber)"
+
+
+def order_items(spark, d):
+    items = table(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("p"))
+    return items.select("l_orderkey", "l_linenumber", (F.col("l_linenumber") + F.when(F.col("p") % 3 == 0, 1).otherwise(0)).alias("enum"))
+
+
+@query(
+    f"""WITH {ITEMS}, r AS (SELECT l_orderkey, enum, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) - 1 AS INT) AS at FROM it)
+SELECT a.l_orderkey, b.at AS i, a.at AS j, b.enum - a.enum AS gap, b.at - a.at - 1 AS dist FROM r a JOIN r b ON a.l_orderkey = b.l_orderkey AND a.at < b.at AND b.enum - a.enum BETWEEN 1 AND 4"""
+)
+def enum_chain_pairs(spark, d):
+    return toc.chain_pairs(order_items(spark, d), ["l_orderkey"], "l_linenumber", "enum")
+
+
+BADNESS = f"""{ITEMS}, g AS (SELECT l_orderkey, enum - lag(enum) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) - 1 AS gap FROM it),
+bad AS (SELECT l_orderkey, count(*) AS n, coalesce(sum(gap), 0)::BIGINT AS total_gap, coalesce(max(gap), 0) AS max_gap, coalesce(sum(gap * gap), 0)::BIGINT AS total_diff2 FROM g GROUP BY l_orderkey)"""
+
+
+@query(f"WITH {BADNESS} SELECT * FROM bad")
+def seq_badness(spark, d):
+    return toc.sequence_badness(order_items(spark, d), ["l_orderkey"], "l_linenumber", "enum")
+
+
+SPANS = """sp AS (SELECT o.o_custkey, l.l_orderkey AS seq, min(l.l_shipdate) AS first, max(l.l_shipdate) AS last FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey GROUP BY ALL),
+rel AS (SELECT a.o_custkey, a.seq AS a, b.seq AS b, CASE WHEN a.first = b.first AND a.last = b.last THEN 'same' WHEN a.last < b.first THEN 'before' WHEN a.first > b.last THEN 'after'
+  WHEN a.first <= b.first AND a.last >= b.last THEN 'includes' WHEN a.first >= b.first AND a.last <= b.last THEN 'included' ELSE 'overlaps' END AS relation
+  FROM sp a JOIN sp b ON a.o_custkey = b.o_custkey AND a.seq <> b.seq)"""
+
+
+def order_spans(spark, d):
+    both = table(spark, d, "lineitem").join(table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    return both.groupBy("o_custkey", F.col("l_orderkey").alias("seq")).agg(F.min("l_shipdate").alias("first"), F.max("l_shipdate").alias("last"))
+
+
+@query(f"WITH {SPANS} SELECT * FROM rel")
+def seq_span_relations(spark, d):
+    return toc.span_relations(order_spans(spark, d), ["o_custkey"])
+
+
+RANKS = f"""{SPANS}, {BADNESS}, c AS (SELECT o_custkey, a AS seq, sum((relation = 'includes')::INT) AS inc, sum((relation = 'overlaps')::INT) AS ovr FROM rel GROUP BY ALL),
+rk AS (SELECT o.o_custkey, b.l_orderkey AS seq, coalesce(inc, 0) - 3 * coalesce(ovr, 0) - 5 * (total_gap + total_diff2) / n AS rank
+  FROM bad b JOIN orders o ON o.o_orderkey = b.l_orderkey LEFT JOIN c ON c.o_custkey = o.o_custkey AND c.seq = b.l_orderkey)"""
+
+
+def order_ranks(spark, d):
+    owner = table(spark, d, "orders").select(F.col("o_orderkey").alias("seq"), "o_custkey")
+    bad = toc.sequence_badness(order_items(spark, d), ["l_orderkey"], "l_linenumber", "enum").withColumnRenamed("l_orderkey", "seq").join(owner, "seq")
+    return toc.sequence_ranks(toc.span_relations(order_spans(spark, d), ["o_custkey"]), bad, ["o_custkey"])
+
+
+@query(f"WITH {RANKS} SELECT o_custkey, seq, round(rank, 4) AS rank FROM rk")
+def seq_rank(spark, d):
+    return order_ranks(spark, d).withColumn("rank", F.round(F.col("rank").cast("double"), 4))
+
+
+@query(f"WITH {RANKS} SELECT o_custkey, seq FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY rank DESC, seq) AS r FROM rk) WHERE r = 1")
+def main_sequence(spark, d):
+    return toc.main_sequence(order_ranks(spark, d), ["o_custkey"])
+
+
+LEVELS = "lv AS (SELECT l_orderkey, l_linenumber AS item, CAST(2 + min(l_suppkey) % 3 AS INT) AS level, CAST(10 * l_linenumber AS INT) AS para_no FROM lineitem GROUP BY l_orderkey, l_linenumber)"
+
+
+def leveled(spark, d):
+    items = table(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_suppkey").alias("l_suppkey"))
+    return items.select("l_orderkey", F.col("l_linenumber").alias("item"), (2 + F.col("l_suppkey") % 3).cast("int").alias("level"), (10 * F.col("l_linenumber")).alias("para_no"))
+
+
+@query(f"WITH {LEVELS} SELECT a.l_orderkey, a.item, a.level, (SELECT max(b.item) FROM lv b WHERE b.l_orderkey = a.l_orderkey AND b.item < a.item AND b.level = a.level - 1) AS parent FROM lv a")
+def toc_parent(spark, d):
+    return toc.parents(leveled(spark, d), "l_orderkey").select("l_orderkey", "item", "level", "parent")
+
+
+@query(f"WITH {LEVELS} SELECT a.l_orderkey, a.item, a.level, (SELECT min(b.para_no) FROM lv b WHERE b.l_orderkey = a.l_orderkey AND b.item > a.item AND b.level <= a.level) - 1 AS end_para FROM lv a")
+def toc_end(spark, d):
+    return toc.ends(leveled(spark, d), "l_orderkey").select("l_orderkey", "item", "level", "end_para")
+
+
+@query(
+    "WITH i AS (SELECT l_orderkey, l_linenumber, min(l_returnflag || l_linestatus) AS f FROM lineitem GROUP BY ALL), n AS (SELECT *, lag(f) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS p FROM i) SELECT l_orderkey, l_linenumber FROM n WHERE p IS NULL OR p <> f"
+)
+def index_dedup(spark, d):
+    items = table(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min(F.concat("l_returnflag", "l_linestatus")).alias("flags"))
+    return readers.drop_repeats(items, ["l_orderkey"], ["l_linenumber"], ["flags"]).select("l_orderkey", "l_linenumber")
+
+
+@query()
+def toc_items_full(spark, d):
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber")
+    head = F.concat(F.col("l_linenumber").cast("string"), F.lit(". "), F.initcap(F.concat_ws(" ", "l_returnflag", "l_linestatus", F.lit("Terms"))))
+    items = table(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_returnflag").alias("l_returnflag"), F.min("l_linestatus").alias("l_linestatus"))
+    rows = items.select(F.col("l_orderkey").alias("doc_id"), F.row_number().over(w).alias("para_no"), F.lit(1).alias("page"), head.alias("text"))
+    return toc.build(rows)
+
+
+# parts, facts, lookups, retrieval
+
+
+@query(
+    """SELECT s.s_suppkey, coalesce(CASE WHEN s.s_suppkey % 3 = 0 THEN n.n_name END, CASE WHEN s.s_suppkey % 5 <> 0 THEN r.r_name END, 'USA') AS country
+FROM supplier s LEFT JOIN nation n ON n.n_nationkey = s.s_nationkey LEFT JOIN region r ON r.r_regionkey = n.n_regionkey"""
+)
+def country_fallback(spark, d):
+    s, n, r = (table(spark, d, t) for t in ("supplier", "nation", "region"))
+    rows = s.join(F.broadcast(n), F.col("s_nationkey") == F.col("n_nationkey"), "left").join(F.broadcast(r), F.col("n_regionkey") == F.col("r_regionkey"), "left")
+    country = F.coalesce(F.when(F.col("s_suppkey") % 3 == 0, F.col("n_name")), F.when(F.col("s_suppkey") % 5 != 0, F.col("r_name")), F.lit("USA"))
+    return rows.select("s_suppkey", country.alias("country"))
+
+
+@query(
+    "SELECT event_id, last_value(CASE WHEN event_type = 'login' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS enclosing FROM events"
+)
+def asof_enclosing(spark, d):
+    e = table(spark, d, "events")
+    return lines.last_known(e, ["user_id"], F.struct("ts", "event_id"), F.when(F.col("event_type") == "login", F.col("event_id")), "enclosing").select("event_id", "enclosing")
+
+
+@query("SELECT page_id, length(regexp_replace(html, '<[^>]*>', '', 'g')) AS n FROM pages")
+def tag_strip(spark, d):
+    return table(spark, d, "pages").select("page_id", F.length(text.remove_tags(F.col("html"))).alias("n"))
+
+
+@query()
+def kept_tags(spark, d):
+    return table(spark, d, "pages").select("page_id", text.strip_tags(F.col("html")).alias("html"))
+
+
+@query("SELECT page_id, CAST(generate_subscripts(p, 1) - 1 AS INT) AS nth, trim(regexp_replace(unnest(p), '<[^>]*>', '', 'g')) AS text FROM (SELECT page_id, regexp_extract_all(html, '(?s)<p[^>]*>(.*?)</p>', 1) AS p FROM pages)")
+def html_paragraphs(spark, d):
+    return readers.html_paragraphs(table(spark, d, "pages"))
+
+
+@query()
+def html_sections(spark, d):
+    return readers.split_sections(table(spark, d, "pages"))
+
+
+@query(
+    """WITH q AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id % 50 = 0), s AS (
+  SELECT q.vec_id AS query, v.vec_id, list_cosine_similarity(q.e, v.embedding::DOUBLE[]) AS score FROM q JOIN embeddings v ON v.vec_id <> q.vec_id)
+SELECT query, vec_id, round(score, 6) AS score, CAST(r AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS r FROM s) WHERE r <= 3"""
+)
+def topk_similar(spark, d):
+    e = table(spark, d, "embeddings")
+    return parts.top_similar(e.where("vec_id % 50 = 0"), e).withColumn("score", F.round("score", 6))
+
+
+@query(
+    """SELECT o_orderkey, 'status' AS attribute, 'text' AS type, CAST(NULL AS BIGINT) AS int_v, CAST(NULL AS DOUBLE) AS float_v, o_orderstatus AS text_v, CAST(NULL AS VARCHAR) AS date_v FROM orders
+UNION ALL SELECT o_orderkey, 'customer', 'integer', o_custkey, NULL, NULL, NULL FROM orders UNION ALL SELECT o_orderkey, 'total', 'float', NULL, o_totalprice, NULL, NULL FROM orders
+UNION ALL SELECT o_orderkey, 'day', 'date', NULL, NULL, NULL, strftime(o_orderdate, '%Y-%m-%d') FROM orders"""
+)
+def eav_facts(spark, d):
+    values = {"status": F.col("o_orderstatus"), "customer": F.col("o_custkey"), "total": F.col("o_totalprice"), "day": F.col("o_orderdate")}
+    return parts.facts(table(spark, d, "orders"), "o_orderkey", values).withColumn("date_v", F.col("date_v").cast("string"))
+
+
+@query("SELECT o_orderkey, format('{:,}', CAST(floor(o_totalprice) AS BIGINT)) AS display FROM orders")
+def display_number(spark, d):
+    return table(spark, d, "orders").select("o_orderkey", text.display_number(F.floor("o_totalprice")).alias("display"))
+
+
+@query("SELECT o_orderkey, strftime(o_orderdate, '%m/%d/%Y') AS display FROM orders")
+def display_date(spark, d):
+    return table(spark, d, "orders").select("o_orderkey", text.display_date(F.col("o_orderdate")).alias("display"))
+
+
+@query("SELECT p_partkey FROM part WHERE NOT regexp_matches(lower(p_name), 'abstract|ccr|recon')")
+def abstract_filter(spark, d):
+    return table(spark, d, "part").where(~classify.is_abstract_name(F.col("p_name"))).select("p_partkey")
+
+
+@query("SELECT d.doc_id, coalesce(l.quality, -1) AS quality FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id")
+def label_lookup(spark, d):
+    return table(spark, d, "documents").select("doc_id").join(table(spark, d, "labels").select("doc_id", "quality"), "doc_id", "left").select("doc_id", F.coalesce("quality", F.lit(-1)).alias("quality"))
