@@ -216,7 +216,8 @@ def near_embeddings(vectors: DataFrame, least: float = 0.95, id_col: str = "vec_
     links (its own included), kept says that it is the vector's own. Vectors that are null, empty,
     zero or hold null or non-finite components link with nothing, nor do rows with a null id, which
     are kept with a null component_id. Vectors of different length are not compared. Equal vectors
-    are compared once and counted as often as they occur; repeated rows count as vectors of their own.
+    are compared once and counted as often as they occur; repeated rows count as vectors of their own;
+    different vectors under one id count as one node, each with the links of both.
 
     Centroids are fitted on at most SAMPLE vectors (those of smallest id hash); every vector is
     assigned, and every pair that can link meets in one cell. Only centroids and the sizes of cells,
