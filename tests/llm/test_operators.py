@@ -221,7 +221,7 @@ def test_segments_are_the_maximal_ones():
         n = rnd.randint(1, 25)
         at = sorted(rnd.sample(range(60), n))
         w = [rnd.choice([1.0, 2.0, 3.5]) for _ in at]
-        line = [-0.7] * 61
+        line = [-0.75] * 61
         for a, x in zip(at, w, strict=True):
             line[a] = x
 
@@ -233,7 +233,7 @@ def test_segments_are_the_maximal_ones():
             b = a - best[1]
             return [*cut(lo, a), (a, b), *cut(b, hi)]
 
-        assert [(a, b) for a, b, _ in toxicity.segments(at, w, -0.7)] == cut(0, 61)
+        assert [(a, b) for a, b, _ in toxicity.segments(at, w, -0.75)] == cut(0, 61)
 
 
 def test_components(spark):
