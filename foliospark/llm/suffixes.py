@@ -193,6 +193,31 @@ def _merge(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start[cut], upto[np.append(cut[1:], len(start)) - 1]
 
 
+_ANCHORS = "key long, around long, id long, dig long, first long, last long, done boolean"
+
+
+def _combine(columns: list[np.ndarray]) -> pa.RecordBatch:
+    """Before the shuffle: of the anchors with equal surroundings one goes on; all of them are repeated, which rows of random key (done) say."""
+    key, around, ids, digs, first, last = columns
+    by = np.lexsort((around, key))
+    new = np.append(True, (key[by][1:] != key[by][:-1]) | (around[by][1:] != around[by][:-1]))
+    size = np.diff(np.append(np.flatnonzero(new), len(by)))
+    again = np.sort(by[np.repeat(size, size) > 1])
+    one = np.sort(by[new])
+    if len(again):  # windows that follow one another in a text make one row
+        cut = np.append(True, (ids[again][1:] != ids[again][:-1]) | (digs[again][1:] != digs[again][:-1]) | (first[again][1:] != last[again][:-1] + 1))
+        heads = again[cut]
+        tails = again[np.append(np.flatnonzero(cut)[1:], len(again)) - 1]
+    else:
+        heads = tails = again
+    scattered = mix(ids[heads].astype(np.uint64) ^ mix(digs[heads].astype(np.uint64) ^ mix(first[heads].astype(np.uint64))))
+    done = np.repeat([False, True], [len(one), len(heads)])
+    cells = [np.concatenate([key[one], scattered]), np.concatenate([around[one], np.zeros(len(heads), np.uint64)])]
+    cells += [np.concatenate([c[one], c[heads]]) for c in (ids, digs, first)] + [np.concatenate([last[one], last[tails]])]
+    arrays = [pa.array(c.view(np.int64) if c.dtype == np.uint64 else c) for c in cells]
+    return pa.RecordBatch.from_arrays([*arrays, pa.array(done)], ["key", "around", "id", "dig", "first", "last", "done"])
+
+
 def _find_anchors(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()  # one copy of a text for each partition is enough: copies settle each other by their digest
@@ -212,8 +237,7 @@ def _find_anchors(length: int):
                     around = _span_hash(own, first, last + length)
                     out.append((key, around, np.full(len(key), ids[r]), np.full(len(key), digs[r]), first, last))
                 if out:
-                    columns = [np.concatenate(c) for c in zip(*out, strict=True)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64) if c.dtype == np.uint64 else c) for c in columns], ["key", "around", "id", "dig", "first", "last"])
+                    yield _combine([np.concatenate(c) for c in zip(*out, strict=True)])
 
     return run
 
@@ -229,7 +253,7 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new_run = new_key | np.append(True, around[1:] != around[:-1])
         run, group = np.cumsum(new_run) - 1, np.cumsum(new_key) - 1
         runs_of_group = np.bincount(group[new_run], minlength=group[-1] + 1) if n else group
-        twice = np.bincount(run)[run] > 1
+        twice = (np.bincount(run)[run] > 1) | rows.column(6).to_numpy(zero_copy_only=False)
         various = runs_of_group[group] > 1
         pick = np.concatenate([np.flatnonzero(twice), np.flatnonzero(new_run & various)])
         settled = np.arange(len(pick)) < twice.sum()
@@ -389,7 +413,8 @@ def find_repeats(docs: DataFrame, length: int = 200, text_col: str = "text", id_
     `length` lose nothing. Repeated rows are repeats of one another, so that a repeated text of
     `length` bytes or more goes as a whole. Rows may have null or equal ids. No rows give no rows.
 
-    Copies are counted by digest and not searched. What is shuffled: a narrow row for each anchor,
+    Copies are counted by digest and not searched. What is shuffled: a narrow row for each anchor
+    (anchors with equal surroundings are combined first, so that periodic texts and copied passages do not crowd one key),
     the texts twice (once to cut the surroundings that are to be compared, once for the result), and
     those surroundings. An anchor with more than CROWD different surroundings, for which they might not
     fit a task, has its windows compared by hash instead, where each window is a key of its own.
@@ -403,7 +428,7 @@ def find_repeats(docs: DataFrame, length: int = 200, text_col: str = "text", id_
     twice = durable(copies.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1"))
     whole = copies.join(twice, "digest").select("id", "dig", F.lit(0).cast("long").alias("lo"), "hi").distinct()
 
-    found = rows.select("id", "dig", "text").mapInArrow(_find_anchors(length), "key long, around long, id long, dig long, first long, last long")
+    found = rows.select("id", "dig", "text").mapInArrow(_find_anchors(length), _ANCHORS)
     judged = durable(found.repartition("key").sortWithinPartitions("key", "around").mapInArrow(_settle, "id long, dig long, first long, last long, task long, runs long"))
     settled = judged.where("task is null").select("id", "dig", F.col("first").alias("lo"), (F.col("last") + length).alias("hi"))
 
