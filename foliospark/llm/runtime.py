@@ -84,9 +84,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
             break
         seen = mark
         both = stars.union(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        # minima are written, so that both sides of a join come from exchanges of their own and a hot node can be split
+        least = durable(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        large = durable(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        least = durable(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(least, "u")
         small = small.select(F.explode(F.array(F.struct("u", "m"), F.struct(F.col("v").alias("u"), "m"))).alias("e"))
         stars = durable(small.select("e.u", F.col("e.m").alias("v")).where("u <> v").distinct())
