@@ -25,9 +25,11 @@ _U = np.uint64
 #: Labelled rows that the classifier is fitted on, at most (those of smallest id hash), and tokens of the model, at most.
 TRAIN_ROWS = 20_000
 MODEL_WORDS = 5_000
-#: A model token occurs in so many distinct toxic texts at least, and its log-odds are so many deviations above none.
-LEAST_TEXTS = 5
-LEAST_Z = 5.0
+#: A model token occurs in so many distinct toxic texts at least and in such a share of them, such a share of the
+#: texts with it is toxic, and its log-odds are so many deviations above none. Rarer or less telling tokens are chance.
+LEAST_TEXTS, LEAST_COVER = 5, 0.015
+LEAST_PURITY = 0.8
+LEAST_Z = 3.0
 #: The prior weighs as much as this share of the fitted texts of the rarer class.
 PRIOR_SHARE = 1.0
 #: Bytes of the beginnings and endings that are tokens beside the words that are longer.
@@ -220,7 +222,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_
         return ToxicityModel(none.astype(np.uint64), none, -1.0, 1.0, np.array([min(prior, -1e-6), 0.0, 0.0]))
     counted = sample.mapInArrow(_count_words, "word long, yes long, no long").groupBy("word").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
     ahead = F.log((F.col("yes") + 0.5) / yes_texts) - F.log((F.col("no") + 0.5) / no_texts)
-    rows = counted.where((F.col("yes") >= LEAST_TEXTS) & (ahead > 0)).orderBy(F.desc(ahead * F.sqrt("yes")), "word").limit(MODEL_WORDS).collect()
+    telling = (F.col("yes") >= max(LEAST_TEXTS, LEAST_COVER * yes_texts)) & (F.col("yes") >= LEAST_PURITY * (F.col("yes") + F.col("no")))
+    rows = counted.where(telling & (ahead > 0)).orderBy(F.desc(ahead * F.sqrt("yes")), "word").limit(MODEL_WORDS).collect()
     rows.sort(key=lambda r: r.word & (1 << 64) - 1)
     words = np.array([r.word & (1 << 64) - 1 for r in rows], np.uint64)
     yes, no = np.array([r.yes for r in rows], float), np.array([r.no for r in rows], float)
