@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, embeddings, licenses, minhash, secrets, sharding, suffixes, toxicity
+from . import bpe, decontaminate, embeddings, licenses, minhash, secrets, sharding, suffixes, toxicity, wordpieces
 from .runtime import read_table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -43,6 +43,10 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op4_wordpiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wordpieces.count_tokens(read_table(spark, sf_dir, "documents"), str(TOKENIZER))
+
+
 def held_out(doc_id):
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
@@ -122,7 +126,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_embeddings, op2_bpe, op3_sharding, op5_toxicity, op6_secrets, op7_suffixes, op8_licenses, op9_minhash, op10_decontaminate)}
+    return {f.__name__: f for f in (op1_embeddings, op2_bpe, op3_sharding, op4_wordpiece, op5_toxicity, op6_secrets, op7_suffixes, op8_licenses, op9_minhash, op10_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -27,6 +27,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 #: A random value for each byte; capital ASCII letters share the small letters' values.
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _BASE)
+EXACT = _BYTE.copy()
 _BYTE[0x41:0x5B] = _BYTE[0x61:0x7B]
 
 
@@ -80,30 +81,30 @@ def word_spans(body: np.ndarray, at: np.ndarray, inside: np.ndarray) -> tuple[np
     return starts, ends, np.searchsorted(starts, at, "left")
 
 
-def _span_hash(body: np.ndarray) -> np.uint64:
+def _span_hash(body: np.ndarray, table: np.ndarray) -> np.uint64:
     """The same hash for one very long word, a window at a time."""
     total, scale = _U(0), _U(1)
     with np.errstate(over="ignore"):
         for i in range(0, len(body), _WINDOW):
-            part = _BYTE[body[i : i + _WINDOW]]
+            part = table[body[i : i + _WINDOW]]
             total += (part * _UP[: len(part)]).sum(dtype=np.uint64) * scale
             scale *= _UP[-1] * _BASE
     return total
 
 
-def word_hashes(body: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word, capital and small ASCII letters alike."""
+def word_hashes(body: np.ndarray, starts: np.ndarray, ends: np.ndarray, table: np.ndarray = _BYTE) -> np.ndarray:
+    """A 64-bit hash of each word, capital and small ASCII letters alike (with EXACT: apart)."""
     out = np.empty(len(starts), np.uint64)
     i = 0
     while i < len(starts):
         j = max(i + 1, int(np.searchsorted(ends, starts[i] + _WINDOW, "right")))
         lo, hi = int(starts[i]), int(ends[j - 1])
         if hi - lo > _WINDOW:
-            out[i] = _span_hash(body[lo:hi])
+            out[i] = _span_hash(body[lo:hi], table)
         else:
             sums = np.empty(hi - lo + 1, np.uint64)
             sums[0] = 0
-            np.cumsum(_BYTE[body[lo:hi]] * _UP[: hi - lo], out=sums[1:])
+            np.cumsum(table[body[lo:hi]] * _UP[: hi - lo], out=sums[1:])
             s = starts[i:j] - lo
             out[i:j] = (sums[ends[i:j] - lo] - sums[s]) * _DOWN[s]
         i = j

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from foliospark.llm import bpe, decontaminate, embeddings, licenses, minhash, queries, runtime, secrets, sharding, suffixes, toxicity
+from foliospark.llm import bpe, decontaminate, embeddings, licenses, minhash, queries, runtime, secrets, sharding, suffixes, toxicity, wordpieces
 
 from . import brute
 
@@ -69,6 +69,47 @@ def test_bpe(spark, docs, rows, none, nameless, tmp_path):
     assert [r.decoded for r in bpe.bpe_decode(odd, str(queries.TOKENIZER)).orderBy("doc_id").collect()] == [None, '"', ""]
 
 
+def test_token_counts(docs, rows, none, nameless):
+    import json
+
+    vocab = {"".join(piece) for piece in json.load(open(queries.TOKENIZER, encoding="utf-8"))["model"]["vocab"]}
+    char = {b: c for c, b in bpe._byte_of_char().items()}
+
+    def greedy(word):
+        s, n = "".join(char[b] for b in b" " + word.encode()), 0
+        while s:
+            k = next(k for k in range(min(len(s), 140), 0, -1) if s[:k] in vocab)
+            s, n = s[k:], n + 1
+        return n
+
+    want = {}
+    for i, t in rows:
+        n = [greedy(w) for w in brute.BLANKED.findall(t or "")]
+        want[i] = (len(n), sum(n), max(n, default=0))
+    got = {r.doc_id: (r.n_words, r.n_tokens, r.most) for r in wordpieces.count_tokens(docs, str(queries.TOKENIZER)).collect()}
+    assert got == want
+    assert wordpieces.count_tokens(none, str(queries.TOKENIZER)).count() == 0 and wordpieces.count_tokens(nameless, str(queries.TOKENIZER)).count() == 4
+
+
+def test_longest_match_on_a_small_vocabulary():
+    import numpy as np
+
+    rnd = random.Random(8)
+    for _ in range(40):
+        vocab = {bytes([b]) for b in range(256)} | {bytes(rnd.choice(b"abc") for _ in range(rnd.randint(2, 6))) for _ in range(12)}
+        match = wordpieces.LongestMatch(sorted(vocab))
+        words = [bytes(rnd.choice(b"abcd") for _ in range(rnd.randint(1, 20))) for _ in range(30)]
+        want = []
+        for w in words:
+            n = 0
+            while w:
+                k = next(k for k in range(len(w), 0, -1) if w[:k] in vocab)
+                w, n = w[k:], n + 1
+            want.append(n)
+        end = np.cumsum([len(w) for w in words])
+        assert match.counts(np.frombuffer(b"".join(words), np.uint8), end - [len(w) for w in words], end).tolist() == want
+
+
 def test_sharding(spark, docs, rows, none, nameless, tmp_path):
     out = queries.op3_sharding(spark, tables(spark, tmp_path, docs)).collect()
     by = {}
