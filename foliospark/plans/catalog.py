@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import classify, text
-from ..operators import clusters, lines, pages, parts, toc, tokens, vote
+from ..operators import clusters, lines, more, pages, parts, toc, tokens, vote
 from ..sources import layout, readers, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -789,3 +789,148 @@ def abstract_filter(spark, d):
 @query("SELECT d.doc_id, coalesce(l.quality, -1) AS quality FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id")
 def label_lookup(spark, d):
     return table(spark, d, "documents").select("doc_id").join(table(spark, d, "labels").select("doc_id", "quality"), "doc_id", "left").select("doc_id", F.coalesce("quality", F.lit(-1)).alias("quality"))
+
+
+# further operators
+
+AT = "WITH i AS (SELECT l_orderkey, l_linenumber, min(l_partkey) AS p, min(l_suppkey) AS s FROM lineitem GROUP BY ALL)"
+
+
+def order_lines(spark, d):
+    return table(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("p"), F.min("l_suppkey").alias("s"))
+
+
+@query(LINE_STATS + ", r AS (SELECT doc_id, page, right_x - lag(right_x) OVER (PARTITION BY doc_id, page ORDER BY line) AS d FROM lns WHERE right_is_number = 0) SELECT doc_id, page, count(*) AS n_refs, round(sqrt(coalesce(sum(d::DOUBLE * d), 0)) / count(*), 4) AS spread FROM r GROUP BY doc_id, page")
+def aligned_references(spark, d):
+    rows = pages.line_stats(doc_tokens(spark, d)).where("right_is_number = 0").withColumn("right_is_number", F.lit(1))
+    return pages.aligned_references(rows.withColumn("right_x", F.col("right_x").cast("double"))).withColumn("spread", F.round("spread", 4))
+
+
+@query(TOKENS + ", s AS (SELECT doc_id, sn, text, lead(text) OVER (PARTITION BY doc_id ORDER BY sn) AS nx FROM tok) SELECT doc_id, sn FROM s WHERE text LIKE '%,' AND nx IS NOT NULL")
+def split_word_candidates(spark, d):
+    w = Window.partitionBy("doc_id").orderBy("sn")
+    return doc_tokens(spark, d).withColumn("nx", F.lead("text").over(w)).where(F.col("text").endswith(",") & F.col("nx").isNotNull()).select("doc_id", "sn")
+
+
+@query()
+def joined_split_words(spark, d):
+    t = doc_tokens(spark, d)
+    return tokens.join_split_words(t, tokens.word_frequencies(t))
+
+
+@query(
+    ENGINES
+    + f""", un AS (SELECT * FROM tok t WHERE NOT EXISTS (SELECT 1 FROM best b WHERE b.doc_id = t.doc_id AND b.sn_a = t.sn)),
+d AS (SELECT DISTINCT lower(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS word FROM tok WHERE sn % 11 = 1)
+SELECT doc_id, sn FROM un LEFT JOIN d ON d.word = lower(regexp_replace(text, '[^A-Za-z]', '', 'g')) WHERE {CATEGORY} <> 'NONE' OR word IS NOT NULL OR conf > 80"""
+)
+def pairless_kept(spark, d):
+    a, b = engines(spark, d)
+    only = vote.unmatched(a, vote.mutual_best(vote.overlapping_pairs(a, b)), "a")
+    words = a.where("sn % 11 = 1").select(F.lower(F.regexp_replace("text", "[^A-Za-z]", "")).alias("word")).distinct()
+    return vote.keep_pairless(only, words).select("doc_id", "sn")
+
+
+@query(ENGINES + ", v AS (SELECT doc_id, sn_a AS sn, text_b AS voted FROM best WHERE text_a <> text_b AND conf_b > conf_a) SELECT t.doc_id, t.sn, coalesce(v.voted, t.text) AS text FROM tok t LEFT JOIN v ON v.doc_id = t.doc_id AND v.sn = t.sn")
+def applied_votes(spark, d):
+    a, b = engines(spark, d)
+    best = vote.mutual_best(vote.overlapping_pairs(a, b)).where("text_a <> text_b and conf_b > conf_a")
+    return vote.apply_votes(a, best.select("doc_id", F.col("sn_a").alias("sn"), F.col("text_b").alias("voted"))).select("doc_id", "sn", "text")
+
+
+@query(
+    "WITH i AS (SELECT l_orderkey, l_linenumber, min(l_quantity)::BIGINT AS v FROM lineitem GROUP BY ALL), s AS (SELECT *, v - lag(v) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS step FROM i) SELECT l_orderkey AS cluster, count(*) AS n, round(avg(CASE WHEN step = 1 THEN 1.0 ELSE 0.0 END), 6) AS seq_ratio, round(avg(CASE WHEN v % 2 = 0 THEN 1.0 ELSE 0.0 END), 6) AS period_ratio FROM s GROUP BY l_orderkey"
+)
+def line_number_scores(spark, d):
+    v = table(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_quantity").cast("long").alias("v"))
+    rows = v.select(F.lit(1).alias("doc_id"), F.col("l_orderkey").alias("cluster"), F.col("l_linenumber").alias("block"), F.concat(F.col("v").cast("string"), F.when(F.col("v") % 2 == 0, ".").otherwise("")).alias("text"))
+    return clusters.line_number_scores(rows).select("cluster", "n", F.round("seq_ratio", 6).alias("seq_ratio"), F.round("period_ratio", 6).alias("period_ratio"))
+
+
+@query(BLOCKS + " SELECT a.doc_id, a.line, a.block AS label_block, b.block AS value_block FROM blk a JOIN blk b ON a.doc_id = b.doc_id AND a.page = b.page AND a.line = b.line AND a.block < b.block WHERE a.x1 < 5000 AND b.x1 >= 5000")
+def label_values(spark, d):
+    b = layout.blocks(doc_tokens(spark, d))
+    return clusters.label_values(b.where("x1 < 5000"), b.where("x1 >= 5000")).select("doc_id", "line", "label_block", "value_block")
+
+
+@query(AT + " SELECT l_orderkey, s % 3 AS style, count(*) AS n, round(avg(p), 4) AS mean_left, round(stddev_samp(p), 4) AS sd_left FROM i GROUP BY l_orderkey, s % 3")
+def sequence_positions(spark, d):
+    rows = order_lines(spark, d).select("l_orderkey", (F.col("s") % 3).alias("style"), F.col("p").alias("left"), F.col("s").alias("center"))
+    out = more.sequence_position(rows, ["l_orderkey", "style"])
+    return out.select("l_orderkey", "style", "n", F.round("mean_left", 4).alias("mean_left"), F.round("sd_left", 4).alias("sd_left"))
+
+
+@query(AT + ", c AS (SELECT l_orderkey AS doc_id, s % 3 AS style, p % 4 AS level, count(*) AS n FROM i GROUP BY ALL) SELECT doc_id, style, level FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, style ORDER BY n DESC, level) AS r FROM c) WHERE r = 1")
+def modal_levels(spark, d):
+    rows = order_lines(spark, d).select(F.col("l_orderkey").alias("doc_id"), (F.col("s") % 3).alias("style"), (F.col("p") % 4).alias("level"))
+    return more.modal_level(rows)
+
+
+@query(AT + ", w AS (SELECT *, last_value(CASE WHEN s % 2 = 0 THEN p % 4 END IGNORE NULLS) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b FROM i) SELECT l_orderkey AS doc_id, l_linenumber AS item, CASE WHEN s % 2 = 1 AND p % 4 <= b THEN b + 1 ELSE p % 4 END AS level FROM w")
+def deeper_parentheses(spark, d):
+    rows = order_lines(spark, d).select(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("item"), F.when(F.col("s") % 2 == 1, "digit_paren").otherwise("digit").alias("style"), (F.col("p") % 4).alias("level"))
+    return more.deeper_parentheses(rows).select("doc_id", "item", "level")
+
+
+@query(f"WITH {LEVELS}, e AS (SELECT a.l_orderkey AS doc_id, a.para_no, (SELECT min(b.para_no) FROM lv b WHERE b.l_orderkey = a.l_orderkey AND b.item > a.item AND b.level <= a.level) - 1 AS end_para FROM lv a) SELECT p.doc_id, p.para_no, count(*) AS covers FROM e p JOIN e t ON t.doc_id = p.doc_id AND t.para_no <= p.para_no AND (t.end_para IS NULL OR t.end_para >= p.para_no) GROUP BY p.doc_id, p.para_no")
+def cover_counts(spark, d):
+    t = toc.ends(leveled(spark, d), "l_orderkey").withColumnRenamed("l_orderkey", "doc_id")
+    return more.cover_counts(t.select("doc_id", "para_no"), t)
+
+
+@query()
+def section_html(spark, d):
+    t = toc.ends(leveled(spark, d), "l_orderkey").withColumnRenamed("l_orderkey", "doc_id").withColumn("section", F.col("item").cast("string")).withColumn("header", F.lit("Terms"))
+    return more.section_html(t, t.select("doc_id", "para_no", F.lit("text").alias("text")))
+
+
+@query()
+def aligned_headers(spark, d):
+    b = table(spark, d, "benchmark").select(F.col("item_id").alias("key"), F.substring("text", 1, 40).alias("a"), F.substring("text", 4, 40).alias("b"))
+    return more.align_strings(b)
+
+
+@query()
+def indent_groups(spark, d):
+    rows = order_lines(spark, d).select(F.col("l_orderkey").alias("doc_id"), F.lit("digit").alias("style"), F.col("l_linenumber").alias("item"), F.col("p").alias("left"), F.col("s").alias("center"))
+    return more.group_indents(rows)
+
+
+@query("SELECT p_partkey FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 45)")
+def unprotected_rows(spark, d):
+    kept = table(spark, d, "lineitem").where("l_quantity > 45").select(F.col("l_partkey").alias("p_partkey"))
+    return more.unprotected(table(spark, d, "part").select("p_partkey"), kept, "p_partkey")
+
+
+@query("WITH n AS (SELECT DISTINCT regexp_replace(lower(c_mktsegment), '[^a-z0-9]+', '_', 'g') AS name FROM customer), k AS (SELECT name, CAST(100 AS BIGINT) AS id FROM n WHERE name = 'building') SELECT name, id FROM k UNION ALL SELECT name, coalesce((SELECT max(id) FROM k), 0) + row_number() OVER (ORDER BY name) FROM n WHERE name NOT IN (SELECT name FROM k)")
+def label_ids(spark, d):
+    names = table(spark, d, "customer").select(F.col("c_mktsegment").alias("name"))
+    known = names.select(text.standard_name(F.col("name")).alias("name")).distinct().where("name = 'building'").select("name", F.lit(100).cast("long").alias("id"))
+    return more.ids_for_names(names, known)
+
+
+@query(LINE_STATS + " SELECT doc_id, page, line FROM lns WHERE center BETWEEN 4500 AND 5500 AND left_x > 1000 AND n_words < 12 AND n_all_cap * 3 >= n_words * 2")
+def centred_headings(spark, d):
+    return more.centred_headings(pages.line_stats(doc_tokens(spark, d)), band=500, left=1000).select("doc_id", "page", "line")
+
+
+@query(PAGE_DICT + " SELECT doc_id, page FROM pg WHERE n_words >= 2.0 * greatest(n_dict, 1)")
+def drawing_pages(spark, d):
+    return more.drawing_pages(page_statistics(spark, d), 2.0)
+
+
+@query("SELECT doc_id, format('htmlfile_{:08d}', doc_id) AS html_name FROM documents")
+def html_names(spark, d):
+    return more.name_register(table(spark, d, "documents").select("doc_id", F.lit("media/a/b.pdf").alias("path")), "path").select("doc_id", "html_name")
+
+
+@query("WITH p AS (SELECT conv_id AS doc_id, turn AS para_no, CASE WHEN turn % 3 = 0 THEN 'start' ELSE 'end' END AS mark FROM conversations), b AS (SELECT *, last_value(CASE WHEN mark = 'start' THEN para_no END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY para_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS begin_para FROM p) SELECT doc_id, begin_para, para_no AS end_para FROM b WHERE mark = 'end' AND para_no - begin_para <= 20")
+def recital_intervals(spark, d):
+    marks = table(spark, d, "conversations").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("para_no"), F.when(F.col("turn") % 3 == 0, "start").otherwise("end").alias("mark"))
+    return parts.recitals(marks)
+
+
+@query("WITH l AS (SELECT DISTINCT conv_id AS doc_id, turn AS para_no, role AS label FROM conversations WHERE turn % 4 <> 2), n AS (SELECT *, CASE WHEN para_no - lag(para_no) OVER w <= 1 THEN 0 ELSE 1 END AS new FROM l WINDOW w AS (PARTITION BY doc_id, label ORDER BY para_no)), r AS (SELECT *, sum(new) OVER (PARTITION BY doc_id, label ORDER BY para_no) AS run FROM n) SELECT doc_id, label, min(para_no) AS begin_para, max(para_no) AS end_para, count(*) AS n FROM r GROUP BY doc_id, label, run")
+def part_intervals(spark, d):
+    rows = table(spark, d, "conversations").where("turn % 4 <> 2").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("para_no"), F.col("role").alias("label")).distinct()
+    return parts.intervals(rows, 1)
