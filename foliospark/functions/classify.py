@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_, or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -81,11 +84,11 @@ def is_exhibit(c: Column) -> Column:
 
 
 #: Words that open a section.
-SECTION_WORDS = ["section", "article", "schedule", "part", "amendment", "exhibit", "attachment", "paragraph"]
+SECTION_WORDS = ["section", "article", "exhibit", "addendum", "amendment", "paragraph", "clause", "schedule"]
 
 
 def opens_section(c: Column) -> Column:
-    return F.lower(c).rlike("^(" + "|".join(SECTION_WORDS) + ")")
+    return F.lower(c).rlike("^(" + "|".join(w[:7] for w in SECTION_WORDS) + ")")
 
 
 def starts_toc_section(text: Column, x1: Column, x2: Column) -> Column:
@@ -97,7 +100,7 @@ def starts_toc_section(text: Column, x1: Column, x2: Column) -> Column:
 
 
 #: Words after which a sentence goes on.
-CONNECTORS = "in of the and or to by for with at on from under a an as this that such any each all its his her their our per via than upon".split()
+CONNECTORS = "in on this under of with to the an attached any all for thereto see and or as".split()
 
 
 def dangles(c: Column) -> Column:
@@ -134,14 +137,23 @@ def refers_to_section(c: Column) -> Column:
 
 #: Phrases of summary pages.
 SUMMARY_PHRASES = [
-    "basic lease provisions",
+    "definitions",
+    "interpretation",
     "basic lease information",
-    "lease summary",
-    "summary of terms",
+    "basic lease provisions",
     "fundamental lease provisions",
-    "key terms",
+    "basic lease terms",
+    "lease summary sheet",
+    "document cover sheet",
+    "lease cover sheet",
+    "contract cover sheet",
+    "agreement cover sheet",
+    "summary page",
+    "cover sheet",
+    "lease face page",
+    "lease data",
+    "basic data",
     "particulars",
-    "reference data",
 ]
 
 
@@ -149,36 +161,112 @@ def is_summary(c: Column) -> Column:
     return F.lower(c).rlike("|".join(SUMMARY_PHRASES))
 
 
-#: Label, phrase and weight of what preambles, signature blocks, recitals and tables of contents say.
+#: Label, weight and phrases of what preambles, signature blocks, riders, tables of contents and
+#: recitals say. One of the phrases is enough; "ci:" marks those whose capitals do not matter. "a + b" asks for both.
 PHRASE_WEIGHTS = [
-    ("preamble", "this agreement", 5),
-    ("preamble", "by and between", 6),
-    ("preamble", "entered into", 4),
-    ("preamble", "made as of", 4),
-    ("preamble", "hereinafter", 3),
-    ("signature", "in witness whereof", 10),
-    ("signature", "signature page", 6),
-    ("signature", "duly executed", 4),
-    ("recitals", "whereas", 6),
-    ("recitals", "recitals", 5),
-    ("recitals", "now, therefore", 8),
-    ("rider", "rider", 4),
-    ("toc", "table of contents", 10),
-    ("toc", "contents", 3),
-    ("preamble", "section", -2),
-    ("recitals", "exhibit", -3),
+    ("preamble", 2, ["ci:made"]),
+    ("preamble", 1, ["ci:entered"]),
+    ("preamble", 4, ["ci:entered into"]),
+    ("preamble", 2, ["ci:having an office"]),
+    ("preamble", 2, ["ci:with offices at"]),
+    ("preamble", 2, ["ci:with principal offices at"]),
+    ("preamble", 2, ["ci:principal place of business"]),
+    ("preamble", 2, ["ci:located at"]),
+    ("preamble", 2, ["ci:all capitalized"]),
+    ("preamble", 1, ["ci:amendment"]),
+    ("preamble", 1, ["ci:addendum"]),
+    ("preamble", 1, ["ci:amends"]),
+    ("preamble", 1, ["Effective Date"]),
+    ("preamble", 1, ["ci:effective date"]),
+    ("preamble", 1, ["ci:incorporated under"]),
+    ("preamble", 1, ["ci:limited liability company"]),
+    ("preamble", 1, ["ci:llc"]),
+    ("preamble", 1, ["INC", "Inc"]),
+    ("preamble", 1, ["ci:collectively"]),
+    ("preamble", 1, ["ci:day of "]),
+    ("preamble", 1, ["ci:corporation"]),
+    ("preamble", 1, ["ci:hereinafter"]),
+    ("preamble", 2, ["ci:behalf"]),
+    ("preamble", 2, ["ci:subsidiaries"]),
+    ("preamble", 2, ["ci:affiliates"]),
+    ("preamble", 2, ["ci:agree as follows"]),
+    ("preamble", 4, ["ci:hereby agree as follows"]),
+    ("preamble", 1, ["ci:between"]),
+    ("preamble", 1, ["ci:herein"]),
+    ("preamble", 1, ["ci:dated"]),
+    ("preamble", 1, ["ci:among"]),
+    ("preamble", 1, ["ci:agreement"]),
+    ("preamble", 1, ["ci:amendment", "ci:addendum"]),
+    ("preamble", 2, ["ci: by and between"]),
+    ("preamble", 1, ["ci: as of "]),
+    ("preamble", 1, ["ci: effective "]),
+    ("preamble", 2, ["This "]),
+    ("preamble", 2, ["THIS "]),
+    ("preamble", 1, ["ci:letter of intent"]),
+    ("preamble", 1, ["ci:statement of work"]),
+    ("preamble", 1, ["ci:statement of services"]),
+    ("preamble", 1, ["ci:sow"]),
+    ("preamble", 2, ["In connection"]),
+    ("preamble", 2, ["In consideration"]),
+    ("preamble", 1, ["ci:sos"]),
+    ("preamble", -8, ["ci:miscellaneous"]),
+    ("preamble", -2, ["ci:termination"]),
+    ("preamble", -3, ["ci:governing law"]),
+    ("preamble", -3, ["ci:definitive agreement"]),
+    ("preamble", -3, ["ci:jurisdiction"]),
+    ("preamble", -3, ["ci:arbitration"]),
+    ("preamble", -2, ["ci:construed"]),
+    ("preamble", -2, ["ci:shall mean", "ci:means"]),
+    ("preamble", -2, ["ci:governed"]),
+    ("preamble", -2, ["ci:controlled"]),
+    ("preamble", -2, ["ci:no agency"]),
+    ("preamble", -2, ["ci:entire agreement"]),
+    ("preamble", -10, ["WHEREAS", "Whereas"]),
+    ("preamble", -10, ["THEREFORE"]),
+    ("signature", 10, ["ci:in witness whereof"]),
+    ("signature", 10, ["ci:signatures follow", "ci:signatures + ci:follow + ci:page"]),
+    ("signature", 20, ["ci:agreed + ci:accepted"]),
+    ("signature", 10, ["Whereof", "WHEREOF"]),
+    ("signature", 10, ["Witness ", "WITNESS "]),
+    ("rider", 10, ["RIDER"]),
+    ("toc", 10, ["ci:table of contents", "TABLE + CONTENTS"]),
+    ("toc", 15, ["INDEX"]),
+    ("toc", 15, ["EXHIBITS"]),
+    ("toc", 15, ["ci:list of exhibits"]),
+    ("recitals", 10, ["ci:whereas", "ci:w h e r e a s"]),
+    ("recitals", 5, ["ci:in consideration"]),
+    ("recitals", 5, ["ci: agree as follows"]),
+    ("recitals", 5, ["ci:the parties agree as follows", "ci:hereby agree as follows"]),
+    ("recitals", 10, ["ci:now + ci:therefore"]),
+    ("recitals", 10, ["ci:recitals", "ci:r e c i t a l s"]),
+    ("recitals", 10, ["BACKGROUND", "Background"]),
 ]
+#: A paragraph carries a label if it scores more.
+LABEL_BAR = {"preamble": 2, "signature": 5, "rider": 5, "toc": 5, "recitals": 5}
 #: How many paragraphs of a document may carry a label.
 LABEL_CAPS = {"preamble": 25, "signature": 5, "rider": 5, "toc": 5, "recitals": 100}
 
 
 def phrase_score(c: Column, label: str) -> Column:
-    low = F.lower(c)
-    return sum((F.when(low.contains(p), w).otherwise(0) for k, p, w in PHRASE_WEIGHTS if k == label), F.lit(0))
+    """Sum of the weights of a label's phrases that a paragraph holds, runs of other than letters and digits read as one space."""
+    plain = F.regexp_replace(c, "[^A-Za-z0-9]+", " ")
+    low = F.lower(plain)
+
+    def holds(phrase: str) -> Column:
+        parts = [low.contains(p[3:]) if p.startswith("ci:") else plain.contains(p) for p in phrase.split(" + ")]
+        return reduce(and_, parts)
+
+    return sum((F.when(reduce(or_, map(holds, phrases)), w).otherwise(0) for k, w, phrases in PHRASE_WEIGHTS if k == label), F.lit(0))
 
 
 #: Words for the parties of a contract.
-PARTY_ROLES = ["landlord", "tenant", "lessor", "lessee", "buyer", "seller", "licensor", "licensee", "borrower", "lender", "guarantor", "employer", "employee", "user", "assistant", "owner", "agent"]
+PARTY_ROLES = (
+    "landlord lessor lessee tenant agent broker sublessor sublessee sublandlord subtenant mortgagee morgagor buyer reseller seller licensor licensee employer employee owner"
+    " lender borrower guarantor assignor assignee declarant reinsurer customer representative supplier distributor witness attest property building"
+).split()
+#: Weights of words on title pages and in signature blocks.
+TITLE_WORDS = {"dated": 10, "effective": 10, "between": 10, "inc": 10, "shopping": 10, "center": 10, "lease": 10, "agreement": 10, "and": 2, "llc": 2}
+SIGNATURE_WORDS = {"DATE": 10, "Date": 10, "BY": 10, "By": 10, "NAME": 10, "Name": 10, "TITLE": 10, "Title": 10}
 
 
 def is_abstract_name(c: Column) -> Column:

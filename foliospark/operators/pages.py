@@ -106,6 +106,13 @@ def page_texts(tokens: DataFrame) -> DataFrame:
 
 def capped_labels(rows: DataFrame, label: str, text_col: str = "text", order: str = "part", key: str = "doc_id") -> DataFrame:
     """Rows that score for a label, as many of each document as the label's cap allows, in order."""
-    scored = rows.withColumn("score", classify.phrase_score(F.col(text_col), label)).where("score > 0")
+    scored = rows.withColumn("score", classify.phrase_score(F.col(text_col), label)).where(F.col("score") > classify.LABEL_BAR[label])
     ranked = scored.withColumn("nth", F.row_number().over(Window.partitionBy(key).orderBy(order)))
     return ranked.where(F.col("nth") <= classify.LABEL_CAPS[label])
+
+
+def page_word_weights(tokens: DataFrame) -> DataFrame:
+    """(doc_id, page, title_words, sig_words): weights of the words of title pages and signature blocks."""
+    table = lambda d: F.create_map(*(F.lit(x) for pair in d.items() for x in pair))
+    weight = lambda c, d: F.sum(F.coalesce(F.try_element_at(table(d), c), F.lit(0)))
+    return tokens.groupBy("doc_id", "page").agg(weight(F.lower("text"), classify.TITLE_WORDS).alias("title_words"), weight(F.col("text"), classify.SIGNATURE_WORDS).alias("sig_words"))

@@ -159,7 +159,7 @@ def indent_neighbors(spark, d):
     return lines.similar_indents(rows).select("doc_id", "page", "line", "n_similar", "to_next")
 
 
-SECTION = "section|article|schedule|part|amendment|exhibit|attachment|paragraph"
+SECTION = "|".join(classify.SECTION_WORDS)
 PARAS = (
     BLOCKS
     + f""", pb AS (SELECT *, y1 - lag(y2) OVER w AS gap, lag(page) OVER w AS pp, lag(text) OVER w AS pt FROM blk WINDOW w AS (PARTITION BY doc_id ORDER BY block)),
@@ -587,10 +587,12 @@ def summary_pages(spark, d):
 
 
 def _score_sql(label):
-    return " + ".join(f"CASE WHEN contains(lower(text), '{p}') THEN {w} ELSE 0 END" for k, p, w in classify.PHRASE_WEIGHTS if k == label)
+    holds = lambda p: f"contains(lower(q), '{p[3:]}')" if p.startswith("ci:") else f"contains(q, '{p}')"
+    one = lambda phrases: " OR ".join(" AND ".join(map(holds, p.split(" + "))) for p in phrases)
+    return " + ".join(f"CASE WHEN {one(ps)} THEN {w} ELSE 0 END" for k, w, ps in classify.PHRASE_WEIGHTS if k == label)
 
 
-@query("SELECT conv_id, turn, " + ", ".join(f"{_score_sql(k)} AS {k}" for k in ("preamble", "signature", "recitals", "toc")) + " FROM conversations")
+@query("SELECT conv_id, turn, " + ", ".join(f"{_score_sql(k)} AS {k}" for k in ("preamble", "signature", "recitals", "toc")) + " FROM (SELECT *, regexp_replace(text, '[^A-Za-z0-9]+', ' ', 'g') AS q FROM conversations)")
 def phrase_scores(spark, d):
     c = F.col("text")
     return table(spark, d, "conversations").select("conv_id", "turn", *(classify.phrase_score(c, k).alias(k) for k in ("preamble", "signature", "recitals", "toc")))
@@ -605,9 +607,21 @@ def phrase_caps(spark, d):
     return rows.withColumn("nth", nth).where(F.col("nth") <= classify.LABEL_CAPS["toc"]).select("role", "turn", "conv_id")
 
 
-@query("SELECT role, count(*) AS n FROM conversations WHERE role IN (" + ", ".join(f"'{r}'" for r in classify.PARTY_ROLES) + ") GROUP BY role")
+@query(
+    TOKENS
+    + " SELECT doc_id, page, "
+    + ", ".join(
+        f"sum(CASE {c} " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in d.items()) + f" ELSE 0 END)::BIGINT AS {n}" for c, d, n in (("lower(text)", classify.TITLE_WORDS, "title_words"), ("text", classify.SIGNATURE_WORDS, "sig_words"))
+    )
+    + " FROM tok GROUP BY doc_id, page"
+)
+def page_word_weights(spark, d):
+    return pages.page_word_weights(doc_tokens(spark, d))
+
+
+@query("SELECT role, count(*) AS n FROM conversations WHERE role IN (" + ", ".join(f"'{r}'" for r in [*classify.PARTY_ROLES, "user", "assistant"]) + ") GROUP BY role")
 def party_roles(spark, d):
-    return table(spark, d, "conversations").where(F.col("role").isin(*classify.PARTY_ROLES)).groupBy("role").agg(F.count("*").alias("n"))
+    return table(spark, d, "conversations").where(F.col("role").isin(*classify.PARTY_ROLES, "user", "assistant")).groupBy("role").agg(F.count("*").alias("n"))
 
 
 # numbering: order lines as enumerations
