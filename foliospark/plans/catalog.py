@@ -82,7 +82,7 @@ def tokens_layout(spark, d):
     return doc_tokens(spark, d)
 
 
-@query(TOKENS + " SELECT doc_id, sn, round(x1 * 0.0612, 4) AS px1, round(x2 * 0.0612, 4) AS px2, round(y1 * 0.0792, 4) AS py1, round(y2 * 0.0792, 4) AS py2 FROM tok")
+@query(TOKENS + " SELECT doc_id, sn, round(x1 * 0.0612::DOUBLE, 4) AS px1, round(x2 * 0.0612::DOUBLE, 4) AS px2, round(y1 * 0.0792::DOUBLE, 4) AS py1, round(y2 * 0.0792::DOUBLE, 4) AS py2 FROM tok")
 def coords_pixels(spark, d):
     size = spark.createDataFrame([(612, 792)], "xx int, yy int")
     t = doc_tokens(spark, d).crossJoin(F.broadcast(size))

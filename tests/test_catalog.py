@@ -1,6 +1,7 @@
 """Every registered query of the layout engine: its SQL gives the same rows, or it gives rows."""
 
 import math
+from decimal import Decimal
 from pathlib import Path
 
 import pytest
@@ -11,7 +12,7 @@ D = "/root/testdata/sf0.001"
 
 
 def normal(rows):
-    cell = lambda x: "" if x is None or (isinstance(x, float) and math.isnan(x)) else f"{float(x):.6f}" if isinstance(x, (int, float)) and not isinstance(x, bool) else str(x)
+    cell = lambda x: "" if x is None or (isinstance(x, float) and math.isnan(x)) else f"{float(x):.6f}" if isinstance(x, (int, float, Decimal)) and not isinstance(x, bool) else str(x)
     return sorted(tuple(cell(x) for x in r) for r in rows)
 
 
