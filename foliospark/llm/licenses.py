@@ -1,10 +1,10 @@
-"""License scans by a positional index of rare template words; DataFrame functions only."""
+"""License scans by a positional index of template words; DataFrame functions only."""
 
 from __future__ import annotations
 
 from math import log
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .runtime import durable
@@ -30,10 +30,8 @@ TEMPLATES = [
 ]
 #: Words that mark a text worth looking up; every template holds one.
 CUES = ["license", "licensed", "copyright", "redistribution", "redistribute", "permission", "cc0", "unencumbered", "cc"]
-#: A template's label holds from this share of the weight of its looked-up words on.
+#: A template's label holds from this share of the weight of its words on.
 LEAST_SCORE = 0.6
-#: Distinct words of a file that are looked up, the rarest first.
-LOOKED_UP = 12
 _SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _CAPITALS, _SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -69,10 +67,10 @@ def scan_licenses(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...]
     distinct and sorted. labels: with those of the templates found. score: the largest share of a
     template's weight that stands at one relative position, 1 where a base phrase stands.
 
-    The method: for each text the template words that are rarest in the corpus (inverse document
-    frequency over all rows) are looked up in an index of template positions; hits vote for a
-    template at a relative position, and the template holds if the voted weight is LEAST_SCORE of all
-    of the template's looked-up words and its mandatory key phrase stands in the text.
+    The method: all words of a text that a template holds are looked up in an index of template
+    positions, if the template's mandatory key phrase stands in the text; hits vote for the template
+    at a relative position, rare words the most (inverse document frequency over all rows), and the
+    template holds if the voted weight is LEAST_SCORE of the weight of all of its words.
 
     A null or empty text has no words, no labels and score 0. Repeated rows each give a row. An
     empty table gives no rows. Texts are not shuffled, only positions of template words in texts with
@@ -106,11 +104,8 @@ def scan_licenses(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...]
     postings = [(k, i, w, float(weights[w])) for k, (_, _, t) in enumerate(TEMPLATES) for i, w in enumerate(t.split())]
     index = spark.createDataFrame(postings, "template int, place int, word string, weight double")
 
-    hit = found.select("__row", "__keyed", F.explode("__hits").alias("h")).select("__row", "__keyed", "h.at", "h.word")
-    hit = hit.where(F.size("__keyed") > 0).join(F.broadcast(index.select("word", "weight").distinct()), "word")
-    rarest = Window.partitionBy("__row").orderBy(F.desc("weight"), "word")
-    hit = hit.withColumn("nth", F.dense_rank().over(rarest)).where(F.col("nth") <= LOOKED_UP)
-    votes = hit.drop("weight").join(F.broadcast(index), "word").where(F.array_contains("__keyed", F.col("template")))
+    hit = found.where(F.size("__keyed") > 0).select("__row", "__keyed", F.explode("__hits").alias("h")).select("__row", F.explode("__keyed").alias("template"), "h.at", "h.word")
+    votes = hit.join(F.broadcast(index), ["template", "word"])
     votes = votes.groupBy("__row", "template", (F.col("at") - F.col("place")).alias("shift")).agg(F.sum("weight").alias("voted"))
     whole = F.create_map(*(x for k, (_, _, t) in enumerate(TEMPLATES) for x in (F.lit(k), F.lit(float(sum(weights[w] for w in t.split()))))))
     best = votes.select("__row", "template", F.least(F.lit(1.0), F.col("voted") / whole[F.col("template")]).alias("share")).groupBy("__row")

@@ -196,6 +196,20 @@ def test_licenses(spark, docs, rows, none, nameless, tmp_path):
     assert licenses.scan_licenses(none).count() == 0 and licenses.scan_licenses(nameless).count() == 4
 
 
+def test_licenses_of_several_notices(spark):
+    """Each template whose whole text stands in a file holds, however many others stand beside it."""
+    named = [["bsd", "isc", "mit-text"], ["apache-2.0", "bsd", "mit-text"], ["isc", "mit-text"], sorted({label for label, _, _ in licenses.TEMPLATES})]
+    whole = {label: text for label, _, text in licenses.TEMPLATES}
+    files = [(k, " . ".join(whole[x] for x in names)) for k, names in enumerate(named)]
+    files.append((len(named), "licensed under the apache license version 2 0 . " + whole["mit-text"]))
+    rest = [(100 + k, f"the license of this software w{k} and any other notice is in the file") for k in range(20)]
+    got = {r.doc_id: (set(r.labels), r.score) for r in licenses.scan_licenses(spark.createDataFrame(files + rest, "doc_id long, text string")).collect()}
+    for k, names in enumerate(named):
+        assert set(names) <= got[k][0] and got[k][1] == pytest.approx(1)
+    assert {"apache-2.0", "mit-text"} <= got[len(named)][0]
+    assert all(got[k] == (set(), 0) for k, _ in rest)
+
+
 def plain_embeddings(vectors, least=0.95):
     import numpy as np
 
