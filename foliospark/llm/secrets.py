@@ -13,11 +13,11 @@ KINDS = {
     "access": (r"AKIA[A-Z0-9]+", 0, 18),
     "hex": (r"[0-9a-f]{16,}", 0, 16),
 }
-#: The method's own kind: long tokens of small and capital letters and digits that only one owner has.
+#: The method's own kind: long tokens of small and capital letters and digits that only one owner has, in few repositories.
 OWNED = "owned"
 _TOKEN = r"[A-Za-z0-9+/_-]{20,}"
-#: A value that so many owners hold is an example that was copied widely.
-EXAMPLE_OWNERS = 3
+#: A value that so many owners or so many repositories hold is an example that was copied widely.
+EXAMPLE_OWNERS, EXAMPLE_REPOSITORIES = 3, 10
 _SPAN = "array<struct<start:long,kind:int,end:long,value:string>>"
 
 
@@ -54,33 +54,40 @@ def span_names(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def scan_secrets(docs: DataFrame, text_col: str = "text", owner_col: str = "source", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def scan_secrets(docs: DataFrame, text_col: str = "text", owner_col: str = "source", keep: tuple[str, ...] = ("doc_id",), repository_col: str = "doc_id") -> DataFrame:
     """Rows (keep..., base, spans, n_live, n_example): where each text holds secrets.
 
     base: array of (start, kind, end, value), the spans of KINDS, in code points, end exclusive.
-    spans: base and the method's own, of kind len(KINDS): tokens that look random and occur with one
-    owner only. n_live and n_example: spans whose value has one owner, or EXAMPLE_OWNERS and more.
-    Ownership is counted over all rows, by a hash of the value: distinct owners of each value.
+    spans: base and the method's own, of kind len(KINDS): tokens that look random and are live.
+    n_live: spans whose value is live: it has one owner and fewer than EXAMPLE_REPOSITORIES
+    repositories. n_example: base spans whose value has EXAMPLE_OWNERS or EXAMPLE_REPOSITORIES and
+    more, and random tokens that aren't live (spans leaves them out).
+    Ownership is counted over all rows, by a hash of the value: distinct owners and distinct
+    repositories of each value.
 
-    A null or empty text has no spans; a null owner counts as an owner of its own name; repeated rows
-    each give a row and count once for their owner. An empty table gives no rows.
+    A null or empty text has no spans; a null owner or repository counts as one of its own name;
+    repeated rows each give a row and count once for their owner and repository. An empty table
+    gives no rows.
 
     Counts are aggregated before they are shuffled; a value that very many rows hold is joined back
     from a written table, so that the skewed join can be split.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    found = docs.select(*keep, F.coalesce(F.col(owner_col).cast("string"), F.lit("")).alias("__owner"), base_spans(text).alias("base"), token_spans(text).alias("token"))
+    found = docs.select(*keep, *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in ((owner_col, "__owner"), (repository_col, "__repository"))), base_spans(text).alias("base"), token_spans(text).alias("token"))
     found = durable(found.withColumn("__row", F.monotonically_increasing_id()))
-    each = found.where("size(base) + size(token) > 0").select("__row", "__owner", F.explode(F.concat("base", "token")).alias("span"))
+    each = found.where("size(base) + size(token) > 0").select("__row", "__owner", "__repository", F.explode(F.concat("base", "token")).alias("span"))
     each = each.withColumn("hash", F.xxhash64("span.value", F.length("span.value")))
-    owners = each.groupBy("hash", "__owner").agg(F.count("*").alias("n")).groupBy("hash").agg(F.count("*").alias("owners"))
-    owners = durable(owners)
-    judged = each.join(owners, "hash").groupBy("__row")
+    owners = each.select("hash", "__owner").distinct().groupBy("hash").agg(F.count("*").alias("owners"))
+    repositories = each.select("hash", "__repository").distinct().groupBy("hash").agg(F.count("*").alias("repositories"))
+    holders = durable(owners.join(repositories, "hash"))
+    judged = each.join(holders, "hash").groupBy("__row")
     own = F.col("span.kind") == len(KINDS)
+    live = (F.col("owners") == 1) & (F.col("repositories") < EXAMPLE_REPOSITORIES)
+    example = F.when(own, ~live).otherwise((F.col("owners") >= EXAMPLE_OWNERS) | (F.col("repositories") >= EXAMPLE_REPOSITORIES))
     judged = judged.agg(
-        F.collect_list(F.when(own & (F.col("owners") == 1), F.col("span"))).alias("owned"),
-        F.count(F.when((F.col("owners") == 1), 1)).alias("n_live"),
-        F.count(F.when(~own & (F.col("owners") >= EXAMPLE_OWNERS), 1)).alias("n_example"),
+        F.collect_list(F.when(own & live, F.col("span"))).alias("owned"),
+        F.count(F.when(live, 1)).alias("n_live"),
+        F.count(F.when(example, 1)).alias("n_example"),
     )
     none = F.array().cast(_SPAN)
     out = found.join(judged, "__row", "left")
@@ -88,7 +95,7 @@ def scan_secrets(docs: DataFrame, text_col: str = "text", owner_col: str = "sour
     return out.select(*keep, "base", spans.alias("spans"), F.coalesce("n_live", F.lit(0)).cast("long").alias("n_live"), F.coalesce("n_example", F.lit(0)).cast("long").alias("n_example"))
 
 
-def redact_secrets(docs: DataFrame, text_col: str = "text", owner_col: str = "source", mark: str = "[secret]") -> DataFrame:
+def redact_secrets(docs: DataFrame, text_col: str = "text", owner_col: str = "source", mark: str = "[secret]", repository_col: str = "doc_id") -> DataFrame:
     """The rows with each span of scan_secrets replaced by `mark` in their text; overlapping spans by one.
 
     Rows and columns stay as they are otherwise; a null text stays null. Texts without base or token
@@ -99,7 +106,7 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", owner_col: str = "so
     names = docs.columns
     key = [F.xxhash64(text).alias("__a"), F.hash(text, F.lit(7)).alias("__b")]
     dirty = docs.where(any_span).select("*", *key)
-    spans = scan_secrets(docs.where(any_span).select(text_col, owner_col, *key), text_col, owner_col, keep=("__a", "__b"))
+    spans = scan_secrets(docs.where(any_span).select(*dict.fromkeys((text_col, owner_col, repository_col)), *key), text_col, owner_col, keep=("__a", "__b"), repository_col=repository_col)
     spans = durable(spans.where("size(spans) > 0").groupBy("__a", "__b").agg(F.first("spans").alias("__spans")))
     state = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
 

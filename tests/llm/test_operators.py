@@ -186,6 +186,17 @@ def test_secrets(spark, docs, rows, none, nameless, tmp_path):
     assert secrets.scan_secrets(none).count() == 0 and secrets.scan_secrets(nameless).count() == 4 and secrets.redact_secrets(nameless).count() == 4
 
 
+def test_secrets_of_many_repositories(spark):
+    """A token is an owner's secret in few repositories; copied widely, or held by two owners, it is an example."""
+    wide, two, few = "Ab3" * 8, "Zz9" * 8, "Qq7" * 8
+    rows = [(i, f"x {wide} y", "a") for i in range(20)] + [(20, two, "a"), (21, two, "b"), (22, few, "a"), (23, few, "a"), (23, few, "a")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for r in secrets.scan_secrets(df).collect():
+        assert (len(r.spans), r.n_live, r.n_example) == ((1, 1, 0) if r.doc_id >= 22 else (0, 0, 1))
+    clean = {r.doc_id: r.text for r in secrets.redact_secrets(df).collect()}
+    assert all(t == ("[secret]" if i >= 22 else rows[i][1]) for i, t in clean.items())
+
+
 def test_licenses(spark, docs, rows, none, nameless, tmp_path):
     want = brute.op8(rows)
     for r in queries.op8_licenses(spark, tables(spark, tmp_path, docs)).collect():
