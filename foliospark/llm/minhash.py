@@ -20,8 +20,9 @@ from .runtime import connected_components, durable, small_batches
 from .words import BLANK_SEPARATED, distinct_sorted, mix, pieces, shingles, text_bytes, word_hashes, word_spans
 
 _U = np.uint64
+#: Trees that decide how many values a prefix has at least; as many more are planted as the longest prefix asks for.
 TREES = 24
-#: The chance to miss a pair at the threshold decides how many values a prefix has at least.
+#: The chance to miss a pair at the threshold by all trees, at most.
 MISS = 5e-6
 #: Rows that share a prefix before a longer one is asked for, and how many values longer it may get.
 CROWD = 256
@@ -39,6 +40,14 @@ def prefix_depth(percent: int) -> int:
     return depth
 
 
+def tree_count(percent: int) -> int:
+    """Fewest trees by which a pair at the threshold is missed with a chance of MISS at most where prefixes are longest."""
+    trees = TREES
+    while (1 - (percent / 100) ** (prefix_depth(percent) + DEEPER)) ** trees > MISS:
+        trees += 1
+    return trees
+
+
 def _functions(n: int) -> tuple[np.ndarray, np.ndarray]:
     k = np.arange(1, n + 1, dtype=np.uint64)
     return mix(k * _U(0xD1342543DE82EF95)) | _U(1), mix(k * _U(0xAF251AF3B0F025B5))
@@ -79,7 +88,7 @@ _SIGNED = T.StructType(
 )
 
 
-def _sign(n_words: int, depth: int):
+def _sign(n_words: int, depth: int, trees: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j in pieces(batch.column(1), 2 << 20):
@@ -92,8 +101,8 @@ def _sign(n_words: int, depth: int):
                     cuts = at[some]
                     sums = np.stack([np.add.reduceat(mix(values), cuts), np.bitwise_xor.reduceat(mix(values + _U(0x5BD1E995)), cuts)])
                     digest[:, some] = mix(sums + size[some].astype(np.uint64) * _U(0x9E3779B97F4A7C15))
-                    sig = signatures(values, np.append(cuts, at[-1]), TREES * (depth + DEEPER)).reshape(len(some), TREES, depth + DEEPER)
-                    key = np.broadcast_to(mix(np.arange(TREES, dtype=np.uint64) + _U(1)), (len(some), TREES))
+                    sig = signatures(values, np.append(cuts, at[-1]), trees * (depth + DEEPER)).reshape(len(some), trees, depth + DEEPER)
+                    key = np.broadcast_to(mix(np.arange(trees, dtype=np.uint64) + _U(1)), (len(some), trees))
                     for k in range(depth):
                         key = mix(key * _U(0x9E3779B97F4A7C15) + sig[:, :, k])
                     rest = np.zeros_like(key)
@@ -109,14 +118,18 @@ def _sign(n_words: int, depth: int):
     return run
 
 
-def _plant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _plant(trees: int):
     """(rep, forest) to a row for each tree: the prefix, the values below it and the document."""
-    for batch in batches:
-        for i in range(0, batch.num_rows, 2000):
-            part = batch.slice(i, 2000)
-            cells = np.frombuffer(b"".join(part.column(1).to_pylist()), np.int64).reshape(-1, 2)
-            ids = np.repeat(part.column(0).to_numpy(), TREES)
-            yield pa.RecordBatch.from_arrays([pa.array(cells[:, 0]), pa.array(cells[:, 1]), pa.array(ids)], ["key", "rest", "id"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, 2000):
+                part = batch.slice(i, 2000)
+                cells = np.frombuffer(b"".join(part.column(1).to_pylist()), np.int64).reshape(-1, 2)
+                ids = np.repeat(part.column(0).to_numpy(), trees)
+                yield pa.RecordBatch.from_arrays([pa.array(cells[:, 0]), pa.array(cells[:, 1]), pa.array(ids)], ["key", "rest", "id"])
+
+    return run
 
 
 def _neighbours(key: np.ndarray, rest: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -234,14 +247,14 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 80, text_c
     again from the texts of the clustered documents alone. No set, link or component goes to the driver.
     """
     small_batches(docs.sparkSession)
-    depth = prefix_depth(percent)
+    depth, trees = prefix_depth(percent), tree_count(percent)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    signed = durable(rows.mapInArrow(_sign(n_words, depth), _SIGNED))
+    signed = durable(rows.mapInArrow(_sign(n_words, depth, trees), _SIGNED))
     linkable = signed.where("doc_id is not null and n_shingles > 0")
     reps = linkable.groupBy("hi", "lo").agg(F.min(F.struct("doc_id", "forest")).alias("r"))
     reps = durable(reps.select("hi", "lo", F.col("r.doc_id").alias("rep"), F.col("r.forest").alias("forest")))
 
-    forest = reps.select("rep", "forest").mapInArrow(_plant, "key long, rest long, id long")
+    forest = reps.select("rep", "forest").mapInArrow(_plant(trees), "key long, rest long, id long")
     pairs = forest.repartition("key").sortWithinPartitions("key", "rest", "id").mapInArrow(_walk, "u long, v long")
     clusters = connected_components(pairs).withColumnRenamed("component", "cluster")
     clusters = durable(clusters)

@@ -168,6 +168,13 @@ def test_repeated_starts_of_periodic_bytes():
         assert suffixes.repeated_starts(np.frombuffer(body, np.uint8), 5).tolist() == want
 
 
+@pytest.mark.parametrize("percent", [50, 70, 80, 85, 95])
+def test_forest_misses_in_crowds(percent):
+    """A pair at the threshold is missed by all trees with a chance of MISS at most, also where prefixes are longest."""
+    depth, trees = minhash.prefix_depth(percent), getattr(minhash, "tree_count", lambda percent: minhash.TREES)(percent)
+    assert (1 - (percent / 100) ** (depth + minhash.DEEPER)) ** trees <= minhash.MISS
+
+
 def test_secrets(spark, docs, rows, none, nameless, tmp_path):
     want = brute.op6(rows)
     for r in queries.op6_secrets(spark, tables(spark, tmp_path, docs)).collect():
