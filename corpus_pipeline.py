@@ -23,9 +23,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of similar documents (five-word shingles, 0.8 or more) the one of smallest id; those without id stay."""
-    copies = minhash.near_duplicates(docs, n_words=5, percent=80).where("not kept").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    """Of each group of similar rows (five-word shingles, 0.8 or more) the one of smallest doc_id, null ids last.
+
+    Rows are linked by numbers of their own, fixed in the checkpoint folder: repeated and null ids are rows like others.
+    """
+    rows = durable(docs.withColumn("__row", F.monotonically_increasing_id()))
+    groups = minhash.near_duplicates(rows, n_words=5, percent=80, id_col="__row").select(F.col("doc_id").alias("__row"), "component_id")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row"))["__row"].alias("__row")
+    kept = rows.select("__row", "doc_id").join(groups, "__row").groupBy("component_id").agg(first).select("__row")
+    return rows.join(kept, "__row", "left_semi").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

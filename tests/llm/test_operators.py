@@ -320,6 +320,16 @@ def test_components(spark):
     assert runtime.connected_components(df.where("false")).count() == 0
 
 
+def test_near_copies_of_repeated_and_null_ids(spark):
+    import corpus_pipeline
+
+    one, two, three = "a b c d e f g h", "i j k l m n o p", "q r s t u v w x"
+    rows = [(7, one), (7, one), (3, two), (9, two), (9, three), (None, one), (None, "y y y y y y z"), (None, "y y y y y y z"), (None, None), (None, None), (5, "")]
+    left = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    want = [(7, one), (3, two), (9, three), (None, "y y y y y y z"), (None, None), (None, None), (5, "")]
+    assert sorted(map(tuple, left), key=str) == sorted(want, key=str)
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
