@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from .runtime import small_batches
-from .words import mix, pieces
+from .words import code_values, distinct_spans, pieces, span_hashes
 
 #: Bytes of text whose distinct pre-tokens are encoded together, and characters cut into pre-tokens at once.
 PART = 6 << 20
@@ -50,20 +50,13 @@ def _kinds() -> np.ndarray:
     return kind
 
 
-_U = np.uint64
-_BASE = _U(0x9E3779B97F4A7C15)
-_POWER = np.multiply.accumulate(np.append(_U(1), np.full(2 * SPLIT, _BASE)))
-_INVERSE = np.multiply.accumulate(np.append(_U(1), np.full(2 * SPLIT, _U(pow(int(_BASE), -1, 1 << 64)))))
-
-
-def pre_tokens(text: str, lengths: np.ndarray, special: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, ends, hashes and runs of the pre-tokens of runs of text that are joined in `text`.
+def pre_tokens(code: np.ndarray, lengths: np.ndarray, special: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and runs of the pre-tokens of runs of text whose code points are joined in `code`.
 
     The byte-level rules: a run of letters, of numbers or of other characters, each with one space
     before it; the endings 's 't 're 've 'm 'll 'd; white space, of which the last character stays
     apart if something follows. A run marked as special is one pre-token.
     """
-    code = np.frombuffer(text.encode("utf-32-le"), np.uint32)
     n = len(code)
     kind = _kinds()[code]
     run_at = np.cumsum(lengths) - lengths
@@ -94,15 +87,7 @@ def pre_tokens(text: str, lengths: np.ndarray, special: np.ndarray) -> tuple[np.
             cut[a + 1 : a + size] = False
     begin = np.flatnonzero(cut)
     start, end = begin[:-1], begin[1:]
-    run = np.searchsorted(run_at, start, "right") - 1
-    value = mix(code.astype(np.uint64) + _U(1))
-    if n <= 2 * SPLIT:
-        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(value * _POWER[:n])])
-        h = (total[end] - total[start]) * _INVERSE[start]
-    else:  # one text longer than the table of powers
-        h = np.array([int.from_bytes(hashlib.blake2b(text[a:b].encode(), digest_size=8).digest(), "little") for a, b in zip(start.tolist(), end.tolist(), strict=True)], np.uint64)
-        return start, end, h ^ mix((special[run] + 2).astype(np.uint64)), run
-    return start, end, mix(h) ^ mix((special[run] + 2).astype(np.uint64)), run
+    return start, end, np.searchsorted(run_at, start, "right") - 1
 
 
 class BytePairEncoder:
@@ -114,6 +99,8 @@ class BytePairEncoder:
         model, split = spec["model"], spec["pre_tokenizer"]
         if model["type"] != "BPE" or split["type"] != "ByteLevel" or split["add_prefix_space"] or spec["normalizer"]:
             raise ValueError("a byte-level BPE file without normaliser and prefix space is needed")
+        if model.get("dropout") or model.get("ignore_merges") or any(x[flag] for x in spec["added_tokens"] for flag in ("lstrip", "rstrip", "single_word")):
+            raise ValueError("dropout, ignore_merges and added tokens that take in blanks or stand as words alone are not supported")
         byte_of = _byte_of_char()
         vocab = model["vocab"]
         added = {x["content"]: x["id"] for x in spec["added_tokens"]}
@@ -214,29 +201,31 @@ class BytePairEncoder:
                     runs.append(part)
                     owner.append(i)
                     special.append(self.added[part] if k % 2 else -1)
-        hashes, blocks, block_of, starts, ends, run_of = [], [], [], [], [], []
-        i = 0
+        codes, starts, ends, run_of = [], [], [], []
+        i = done = 0
         while i < len(runs):
             j, size = i, 0
             while j < len(runs) and (j == i or size + len(runs[j]) <= SPLIT):
                 size += len(runs[j])
                 j += 1
-            joined = "".join(runs[i:j])
-            s, e, h, r = pre_tokens(joined, np.array([len(x) for x in runs[i:j]]), np.array(special[i:j]))
-            for held, value in ((hashes, h), (starts, s), (ends, e), (run_of, r + i), (block_of, np.full(len(s), len(blocks), np.int32))):
+            code = np.frombuffer("".join(runs[i:j]).encode("utf-32-le"), np.uint32)
+            s, e, r = pre_tokens(code, np.array([len(x) for x in runs[i:j]]), np.array(special[i:j]))
+            for held, value in ((codes, code), (starts, s + done), (ends, e + done), (run_of, r + i)):
                 held.append(value)
-            blocks.append(joined)
+            done += len(code)
             i = j
-        if not hashes:
+        if not codes:
             return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
-        _, first, use = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
-        where = [np.concatenate(x)[first].tolist() for x in (block_of, starts, ends, run_of)]
-        words = [special[r] if special[r] >= 0 else blocks[k][s:e].encode() for k, s, e, r in zip(*where, strict=True)]
+        code, start, end, run = (np.concatenate(x) for x in (codes, starts, ends, run_of))
+        # an added token's string never stands in another run, so that equal symbols are of one sort
+        first, use = distinct_spans(code, start, end, span_hashes(code, start, end, code_values))
+        where = zip(start[first].tolist(), end[first].tolist(), run[first].tolist(), strict=True)
+        words = [special[r] if special[r] >= 0 else code[s:e].tobytes().decode("utf-32-le").encode() for s, e, r in where]
         ids, at = self.encode_pieces(words)
         size = np.diff(at)[use]
         upto = np.concatenate([[0], np.cumsum(size)])
         out = ids[np.repeat(at[:-1][use] - upto[:-1], size) + np.arange(upto[-1])]
-        of_text = np.array(owner)[np.concatenate(run_of)]
+        of_text = np.array(owner)[run]
         return out, upto[np.searchsorted(of_text, np.arange(len(texts) + 1), "left")]
 
     def decode(self, ids: list[int]) -> str:

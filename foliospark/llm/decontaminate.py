@@ -1,13 +1,15 @@
 """Benchmark decontamination by Wu-Manber multi-pattern search over words.
 
 Test strings are the benchmark's windows of words. A shift table over blocks of two words tells how
-far the search may jump; where it says nothing may be skipped, the suffix and prefix blocks select a
-bucket of test strings, and a direct comparison of all words confirms. Texts are cut into strips
-that are searched side by side, so that each step is one vectorised operation.
+far the search may jump; where it says nothing may be skipped, the hash of the suffix and prefix
+blocks selects a bucket of test strings. The test strings stay a table of their own: what the tables
+let through is joined with it on the words themselves, which is the direct comparison. Texts are cut
+into strips that are searched side by side, so that each step is one vectorised operation.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,14 +18,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .runtime import small_batches
-from .words import ALPHANUMERIC, mix, pieces, text_bytes, word_hashes, word_spans
+from .runtime import durable, small_batches
+from .words import ALPHANUMERIC, mix, normal_words, pieces, text_bytes, word_hashes
 
 _U = np.uint64
-_TABLE_BITS = 20
 _STRIP = 256
-#: Bytes of benchmark text whose test strings are searched for (and broadcast) at once.
-BLOCK_BYTES = 8 << 20
+#: Slots of the tables for each test string, and the most slots of a table: with more test strings it lets more through, and loses nothing.
+SLOTS, MOST_BITS = 64, 24
 
 
 def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -31,38 +32,37 @@ def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 class WuManber:
-    """Test strings of one length in words. strings: one row of word hashes each; owner: its item."""
-
-    def __init__(self, strings: np.ndarray, owner: np.ndarray):
-        unique, at = np.unique(strings, axis=0, return_inverse=True)
-        at = at.reshape(-1)
-        self.size = m = strings.shape[1]
-        self.block = block = min(2, m)
-        by = np.argsort(at, kind="stable")
-        self.owners, self.owner_at = owner[by], np.searchsorted(at[by], np.arange(len(unique) + 1))
-        self.shift = np.full(1 << _TABLE_BITS, m - block + 1, np.uint8 if m < 250 else np.int32)
-        for end in range(block - 1, m):
-            b = self._blocks(unique[:, end - block + 1 : end + 1])
-            np.minimum.at(self.shift, (b >> _U(64 - _TABLE_BITS)).astype(np.int64), m - 1 - end)
-        key = _pair(self._blocks(unique[:, -block:]), self._blocks(unique[:, :block]))
-        by = np.argsort(key, kind="stable")
-        self.keys, self.strings, self.string_no = key[by], unique[by], by
+    """Shift and bucket tables of test strings of m words each."""
+
+    def __init__(self, m: int, bits: int, shift: np.ndarray | None = None, bucket: np.ndarray | None = None):
+        self.m, self.bits, self.block = m, bits, min(2, m)
+        self.shift = np.full(1 << bits, min(255, m - self.block + 1), np.uint8) if shift is None else shift
+        self.bucket = np.zeros(1 << bits, np.uint8) if bucket is None else bucket
+
+    def _slot(self, values: np.ndarray) -> np.ndarray:
+        return (values >> _U(64 - self.bits)).astype(np.int64)
 
     def _blocks(self, words: np.ndarray) -> np.ndarray:
         return mix(words[:, 0]) if self.block == 1 else _pair(words[:, 0], words[:, 1])
 
-    def search(self, h: np.ndarray, word_at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """First word and number of the test string, of each occurrence that lies in one row."""
-        m, empty = self.size, np.zeros(0, np.int64)
+    def add(self, strings: np.ndarray) -> None:
+        """Enter test strings: a row of word hashes each."""
+        for end in range(self.block - 1, self.m):
+            np.minimum.at(self.shift, self._slot(self._blocks(strings[:, end - self.block + 1 : end + 1])), min(255, self.m - 1 - end))
+        self.bucket[self._slot(_pair(self._blocks(strings[:, -self.block :]), self._blocks(strings[:, : self.block])))] = 1
+
+    def search(self, h: np.ndarray, word_at: np.ndarray) -> np.ndarray:
+        """First word of every place in a row where a test string may stand: all that do, and few others."""
+        m, empty = self.m, np.zeros(0, np.int64)
         lo, hi = word_at[:-1] + m - 1, word_at[1:]
         strips = np.maximum(0, -(-(hi - lo) // _STRIP))
         if not strips.sum():
-            return empty, empty
+            return empty
         nth = np.arange(strips.sum()) - np.repeat(np.cumsum(strips) - strips, strips)
         pos = np.repeat(lo, strips) + nth * _STRIP
         end = np.minimum(pos + _STRIP, np.repeat(hi, strips))
         blocks = mix(h) if self.block == 1 else np.append(_U(0), _pair(h[:-1], h[1:]))
-        slot = (blocks >> _U(64 - _TABLE_BITS)).astype(np.int32)
+        slot = self._slot(blocks)
         found = []
         while len(pos):
             jump = self.shift[slot[pos]]
@@ -73,39 +73,114 @@ class WuManber:
             keep = pos < end
             pos, end = pos[keep], end[keep]
         if not found:
-            return empty, empty
+            return empty
         last = np.concatenate(found)
         key = _pair(blocks[last], blocks[last - m + self.block])
-        a, b = np.searchsorted(self.keys, key, "left"), np.searchsorted(self.keys, key, "right")
-        last, a, n = last[b > a], a[b > a], (b - a)[b > a]
-        last, a = np.repeat(last, n), np.repeat(a, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        for k in range(m):
-            same = h[last - m + 1 + k] == self.strings[a, k]
-            last, a = last[same], a[same]
-        return last - m + 1, self.string_no[a]
-
-
-def searchers(items: list[tuple[str, str]], window: int) -> tuple[list[WuManber], np.ndarray]:
-    """One for each length of test string, and the item names that their owners count in."""
-    names = sorted({name for name, _ in items})
-    number = {name: i for i, name in enumerate(names)}
-    body, at = text_bytes(pa.array([t for _, t in items], pa.large_string()))
-    starts, ends, word_at = word_spans(body, at, ALPHANUMERIC)
-    h = word_hashes(body, starts, ends)
-    parts: dict[int, list[tuple[np.ndarray, int]]] = {}
-    for i, (name, _) in enumerate(items):
-        w = h[word_at[i] : word_at[i + 1]]
-        if m := min(window, len(w)):
-            parts.setdefault(m, []).append((np.lib.stride_tricks.sliding_window_view(w, m), number[name]))
-    out = [WuManber(np.concatenate([w for w, _ in p]), np.concatenate([np.full(len(w), k) for w, k in p])) for p in parts.values()]
-    return out, np.array(names, object)
-
-
-def _flagged(from_: np.ndarray, to: np.ndarray, n: int) -> np.ndarray:
-    edge = np.zeros(n + 1, np.int32)
-    np.add.at(edge, from_, 1)
-    np.add.at(edge, to, -1)
-    return np.cumsum(edge[:-1]) > 0
+        return np.sort(last[self.bucket[self._slot(key)] > 0] - m + 1)
+
+
+def _test_strings(window: int):
+    """(item, text) to a row for each test string: (m, string, item)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j in pieces(batch.column(1), 1 << 18):
+                raw, start, end, word_at = normal_words(*text_bytes(batch.column(1).slice(i, j - i)), ALPHANUMERIC)
+                names = batch.column(0).slice(i, j - i)
+                count = np.diff(word_at)
+                m = np.minimum(count, window)
+                each = np.where(count > 0, count - m + 1, 0)
+                row = np.repeat(np.arange(j - i), each)
+                head = word_at[row] + np.arange(len(row)) - (np.cumsum(each) - each)[row]
+                strings = [raw[a:b] for a, b in zip(start[head].tolist(), end[head + m[row] - 1].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(m[row], pa.int32()), pa.array(strings, pa.binary()), names.take(pa.array(row))], ["m", "string", "item"])
+
+    return run
+
+
+def _enter(bits: dict[int, int]):
+    """(m, string) to a part of the tables: (m, shift, bucket) for each length that occurs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tools: dict[int, WuManber] = {}
+        for batch in batches:
+            lengths = batch.column(0).to_numpy()
+            for m in np.unique(lengths).tolist():
+                some = batch.column(1).take(pa.array(np.flatnonzero(lengths == m)))
+                body, at = text_bytes(some.cast(pa.large_binary()))
+                raw, start, end, _ = normal_words(body, at, ALPHANUMERIC)
+                tools.setdefault(m, WuManber(m, bits[m])).add(word_hashes(np.frombuffer(raw, np.uint8), start, end).reshape(-1, m))
+        for m, tool in tools.items():
+            yield pa.RecordBatch.from_arrays([pa.array([m], pa.int32()), pa.array([tool.shift.tobytes()], pa.binary()), pa.array([tool.bucket.tobytes()], pa.binary())], ["m", "shift", "bucket"])
+
+    return run
+
+
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parts of tables to whole tables; two are held for each length."""
+    held: dict[int, list[np.ndarray]] = {}
+    for batch in batches:
+        for k in range(batch.num_rows):
+            m = batch.column(0)[k].as_py()
+            part = [np.frombuffer(batch.column(c)[k].as_buffer(), np.uint8) for c in (1, 2)]
+            if m in held:
+                np.minimum(held[m][0], part[0], out=held[m][0])
+                np.maximum(held[m][1], part[1], out=held[m][1])
+            else:
+                held[m] = [p.copy() for p in part]
+    for m, (shift, bucket) in held.items():
+        yield pa.RecordBatch.from_arrays([pa.array([m], pa.int32()), pa.array([shift.tobytes()], pa.binary()), pa.array([bucket.tobytes()], pa.binary())], ["m", "shift", "bucket"])
+
+
+def _tables(strings: DataFrame) -> list[WuManber]:
+    """The tables, filled and merged by Spark tasks; at most 2 << MOST_BITS bytes for each length of test string come to the driver."""
+    sizes = {r.m: r["count"] for r in strings.groupBy("m").count().collect()}  # window rows at most
+    bits = {m: min(MOST_BITS, max(8, (SLOTS * n).bit_length())) for m, n in sizes.items()}
+    layout = "m int, shift binary, bucket binary"
+    parts = strings.select("m", "string").mapInArrow(_enter(bits), layout)
+    whole = parts.repartition("m").mapInArrow(_merge, layout)
+    return [WuManber(r.m, bits[r.m], np.frombuffer(r.shift, np.uint8), np.frombuffer(r.bucket, np.uint8)) for r in whole.toLocalIterator()]
+
+
+_CANDIDATES = T.ArrayType(T.StructType([T.StructField("m", T.IntegerType()), T.StructField("string", T.BinaryType()), T.StructField("at", T.ArrayType(T.LongType()))]))
+
+
+def _search(shared, n_keep: int, names: list[str]):
+    """(keep..., text) to (keep..., n_words, candidates)."""
+    kind = pa.list_(pa.struct([("m", pa.int32()), ("string", pa.binary()), ("at", pa.list_(pa.int64()))]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tools = shared.value
+        for batch in batches:
+            for i, j in pieces(batch.column(n_keep), 4 << 20):
+                raw, start, end, word_at = normal_words(*text_bytes(batch.column(n_keep).slice(i, j - i)), ALPHANUMERIC)
+                h = word_hashes(np.frombuffer(raw, np.uint8), start, end)
+                cells: list[dict] = [defaultdict(list) for _ in range(j - i)]
+                for tool in tools:
+                    first = tool.search(h, word_at)
+                    rows = np.searchsorted(word_at, first, "right") - 1
+                    spans = zip(rows.tolist(), (first - word_at[rows]).tolist(), start[first].tolist(), end[first + tool.m - 1].tolist(), strict=True)
+                    for r, at, a, b in spans:
+                        cells[r][tool.m, raw[a:b]].append(at)
+                found = pa.array([[{"m": m, "string": s, "at": at} for (m, s), at in c.items()] for c in cells], kind)
+                yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(i, j - i) for k in range(n_keep)), pa.array(np.diff(word_at), pa.int64()), found], names)
+
+    return run
+
+
+def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row, list of (m, at)) to (row, hit_spans): the union of the places."""
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    for batch in batches:
+        out = []
+        for cell in batch.column(1).to_pylist():
+            start = np.concatenate([np.array(x["at"], np.int64) for x in cell])
+            end = start + np.concatenate([np.full(len(x["at"]), x["m"]) for x in cell])
+            by = np.argsort(start, kind="stable")
+            start, end = start[by], np.maximum.accumulate(end[by])
+            cut = np.flatnonzero(np.append(True, start[1:] > end[:-1]))
+            out.append([{"start": a, "end": b} for a, b in zip(start[cut].tolist(), end[np.append(cut[1:], len(start)) - 1].tolist(), strict=True)])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, kind)], ["__row", "hit_spans"])
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), item_col: str = "item_id") -> DataFrame:
@@ -115,83 +190,46 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10,
     A test string is `window` consecutive words of a benchmark item, or all words of a shorter one. A
     document's hit_spans are the maximal runs of words inside any occurrence, and items the sorted
     item names of which a test string occurs. A null or empty text has no words; items without words
-    or without a name are ignored; equal items and repeated rows each count as they stand.
+    or without a name are ignored; equal items and repeated rows each count as they stand. A kept
+    column named like one of the results gives way to it. Empty tables give no rows or no hits.
 
-    The documents are not shuffled. The benchmark is gathered and broadcast in blocks of at most
-    BLOCK_BYTES of text (a longer item is a block alone), one pass in the same stage for each block.
+    Texts are not shuffled; the kept columns are written once. The benchmark's test strings are a
+    distributed table. What is broadcast are tables of bytes, of at most 2 << MOST_BITS for each
+    length of test string; places that they let through are joined with the test strings on all words.
     """
     small_batches(docs.sparkSession)
-    cells = benchmark.where(F.col(item_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(item_col).cast("string").alias("n"), F.col(text_col).alias("t"))
-    fields = [docs.schema[c] for c in keep]
-    span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
-    found = T.StructType([*fields, T.StructField("n_words", T.LongType()), T.StructField("hit_spans", span), T.StructField("items", T.ArrayType(T.StringType()))])
-    name = text_col if text_col in keep else "__text"
-    body_field = [] if text_col in keep else [T.StructField(name, T.StringType())]
-    spark = docs.sparkSession
-    blocks: list[list[tuple[str, str]]] = [[]]
-    room = BLOCK_BYTES
-    shared = []
-    for row in cells.toLocalIterator():
-        if blocks[0] and room < len(row.t):
-            shared.append(spark.sparkContext.broadcast(searchers(blocks.pop(), window)))
-            blocks, room = [[]], BLOCK_BYTES
-        blocks[0].append((row.n, row.t))
-        room -= len(row.t)
-    shared.append(spark.sparkContext.broadcast(searchers(blocks[0], window)))
-
-    def run(batches: Iterator[pa.RecordBatch], last: bool, first: bool, tables) -> Iterator[pa.RecordBatch]:
-        tools, names = tables.value
-        span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(name))
-            for i, j in pieces(texts, 4 << 20):
-                part = batch.slice(i, j - i)
-                body, at = text_bytes(part.column(part.schema.get_field_index(name)))
-                starts, ends, word_at = word_spans(body, at, ALPHANUMERIC)
-                h = word_hashes(body, starts, ends)
-                n_rows, n = j - i, len(h)
-                row_of = np.repeat(np.arange(n_rows), np.diff(word_at))
-                lo, hi, rows, who = [], [], [], []
-                for tool in tools:
-                    begin, string = tool.search(h, word_at)
-                    lo.append(begin)
-                    hi.append(begin + tool.size)
-                    a, k = tool.owner_at[string], tool.owner_at[string + 1] - tool.owner_at[string]
-                    rows.append(np.repeat(row_of[begin], k))
-                    who.append(tool.owners[np.repeat(a, k) + np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)])
-                items: list[list[str]] = [[] for _ in range(n_rows)]
-                if tools:
-                    pairs = np.unique(np.stack([np.concatenate(rows), np.concatenate(who)]), axis=1)
-                    for r, k in pairs.T.tolist():
-                        items[r].append(names[k])
-                if not first:
-                    old = part.column(part.schema.get_field_index("hit_spans")).to_pylist()
-                    lo.append(np.array([word_at[r] + x["start"] for r, spans in enumerate(old) for x in spans], np.int64))
-                    hi.append(np.array([word_at[r] + x["end"] for r, spans in enumerate(old) for x in spans], np.int64))
-                    for r, before in enumerate(part.column(part.schema.get_field_index("items")).to_pylist()):
-                        items[r] = sorted({*items[r], *before})
-                hit = _flagged(np.concatenate(lo), np.concatenate(hi), n) if lo else np.zeros(n, bool)
-                prev, nxt = np.append(False, hit[:-1]), np.append(hit[1:], False)
-                heads, tails = word_at[(word_at > 0) & (word_at < n)], word_at[(word_at > 0) & (word_at < n)] - 1
-                prev[heads] = False
-                nxt[tails] = False
-                a, b = np.flatnonzero(hit & ~prev), np.flatnonzero(hit & ~nxt) + 1
-                base = word_at[row_of[a]]
-                flat = pa.StructArray.from_arrays([pa.array(a - base), pa.array(b - base)], ["start", "end"])
-                spans = pa.ListArray.from_arrays(pa.array(np.searchsorted(a, word_at), pa.int32()), flat)
-                cols = {f.name: part.column(part.schema.get_field_index(f.name)) for f in fields}
-                cols |= {} if last or name in cols else {name: part.column(part.schema.get_field_index(name))}
-                cols |= {"n_words": pa.array(np.diff(word_at), pa.int64()), "hit_spans": spans.cast(span_type), "items": pa.array(items, pa.list_(pa.string()))}
-                yield pa.RecordBatch.from_arrays(list(cols.values()), list(cols))
-
-    out = docs.select(*keep, *([] if text_col in keep else [F.col(text_col).alias(name)]))
-    for k, tables in enumerate(shared):
-        last = k == len(shared) - 1
-        schema = found if last else T.StructType([*fields, *body_field, *found.fields[len(fields) :]])
-        out = out.mapInArrow(lambda batches, last=last, first=not k, tables=tables: run(batches, last, first, tables), schema)
-    return out
+    keep = tuple(c for c in keep if c.lower() not in ("n_words", "hit_spans", "items"))
+    cells = benchmark.where(F.col(item_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text"))
+    strings = cells.mapInArrow(_test_strings(window), "m int, string binary, item string").groupBy("m", "string").agg(F.collect_set("item").alias("items"))
+    strings = durable(strings)
+    shared = docs.sparkSession.sparkContext.broadcast(_tables(strings))
+
+    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("n_words", T.LongType()), T.StructField("__found", _CANDIDATES)])
+    found = docs.select(*keep, F.col(text_col).alias("__text")).mapInArrow(_search(shared, len(keep), schema.names), schema)
+    found = durable(found.withColumn("__row", F.monotonically_increasing_id()))
+    shared.unpersist()
+    places = found.where("size(__found) > 0").select("__row", F.explode("__found").alias("f")).select("__row", "f.m", "f.string", "f.at")
+    hits = durable(places.join(strings, ["m", "string"]).select("__row", "m", "at", "items"))
+    spans = hits.groupBy("__row").agg(F.collect_list(F.struct("m", "at")).alias("p")).mapInArrow(_spans, "__row long, hit_spans array<struct<start:long,end:long>>")
+    items = hits.select("__row", F.explode("items").alias("i")).groupBy("__row").agg(F.sort_array(F.collect_set("i")).alias("items"))
+    out = found.drop("__found").join(spans.join(items, "__row"), "__row", "left")
+    nothing = F.array().cast("array<struct<start:long,end:long>>")
+    return out.select(*keep, "n_words", F.coalesce("hit_spans", nothing).alias("hit_spans"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 
 def hit_words(spans: str = "hit_spans"):
     """Number of words in the spans."""
     return F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_col: str = "text", item_col: str = "item_id") -> DataFrame:
+    """The rows whose text holds no test string, all columns as they are; a null text holds none.
+
+    Contaminated texts are named by their SHA-256 digest, so that no text is written or shuffled
+    for the search; where few are contaminated, their digests are broadcast by the planner.
+    """
+    digest = F.sha2(F.col(text_col).cast("binary"), 256)
+    texts = docs.where(F.col(text_col).isNotNull()).select(digest.alias("__digest"), F.col(text_col).alias("__body"))
+    found = find_contamination(texts, benchmark.select(item_col, F.col(text_col).alias("__body")), window, "__body", ("__digest",), item_col)
+    bad = durable(found.where("size(hit_spans) > 0").select("__digest").distinct())
+    return docs.withColumn("__digest", digest).join(bad, "__digest", "left_anti").select(*docs.columns)

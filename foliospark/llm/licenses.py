@@ -30,7 +30,9 @@ TEMPLATES = [
 ]
 #: Words that mark a text worth looking up; every template holds one.
 CUES = ["license", "licensed", "copyright", "redistribution", "redistribute", "permission", "cc0", "unencumbered", "cc"]
-#: A template's label holds from this share of the weight of its words on.
+#: Words of each template that are looked up: those of highest inverse document frequency.
+RAREST = 8
+#: A template's label holds from this share of the weight of its looked-up words on.
 LEAST_SCORE = 0.6
 _SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _CAPITALS, _SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -45,18 +47,17 @@ def word_count(spaced: Column) -> Column:
     return (F.length(spaced) - F.length(F.replace(spaced, F.lit(" "), F.lit(""))) - 1).cast("long")
 
 
-def phrase_places(spaced: Column, phrase: str) -> Column:
+def phrase_places(words: Column, spaced: Column, phrase: str) -> Column:
     """First words of the places where the phrase's words stand, in order."""
-    n = len(phrase.split())
-    between = F.split(spaced, f" {phrase}(?= )", -1)
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<long>").alias("out"))
+    first, *rest = phrase.split()
 
-    def step(state: Column, piece: Column) -> Column:
-        at = state["at"] + F.length(piece) - F.length(F.replace(piece, F.lit(" "), F.lit("")))
-        at = at - F.when(piece.endswith(" "), 1).otherwise(0)
-        return F.struct((at + n).cast("long").alias("at"), F.array_append(state["out"], at.cast("long")).alias("out"))
+    def place(every: Column, word: Column, i: Column) -> Column:
+        here = word == first
+        for k, other in enumerate(rest, 1):
+            here = here & (F.get(every, i + k) == other)
+        return F.when(here, i.cast("long"))
 
-    found = F.aggregate(F.slice(between, 1, F.size(between) - 1), start, step)["out"]
+    found = F.transform(F.array(words), lambda every: F.filter(F.transform(every, lambda w, i: place(every, w, i)), lambda x: x.isNotNull()))[0]
     return F.when(spaced.contains(f" {phrase} "), found).otherwise(F.array().cast("array<long>"))
 
 
@@ -67,30 +68,32 @@ def scan_licenses(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...]
     distinct and sorted. labels: with those of the templates found. score: the largest share of a
     template's weight that stands at one relative position, 1 where a base phrase stands.
 
-    The method: all words of a text that a template holds are looked up in an index of template
-    positions, if the template's mandatory key phrase stands in the text; hits vote for the template
-    at a relative position, rare words the most (inverse document frequency over all rows), and the
-    template holds if the voted weight is LEAST_SCORE of the weight of all of its words.
+    The method: of each template whose mandatory key phrase stands in the text, the RAREST words of
+    highest inverse document frequency over all rows are looked up in an index of template positions;
+    hits vote for the template at a relative position with that frequency as their weight, and the
+    template holds if the voted weight is LEAST_SCORE of the weight of its looked-up places.
 
     A null or empty text has no words, no labels and score 0. Repeated rows each give a row. An
     empty table gives no rows. Texts are not shuffled, only positions of template words in texts with
     a cue word; the index is a constant of a few hundred rows, and only its words' document
-    frequencies (as many values as the templates have words) pass through the driver.
+    frequencies (as many values as the templates have words) pass through the driver. A kept column
+    named like one of the results gives way to it.
     """
     spark = docs.sparkSession
+    keep = tuple(c for c in keep if c.lower() not in ("n_words", "places", "base_labels", "labels", "score"))
     vocabulary = sorted({w for _, _, t in TEMPLATES for w in t.split()})
     index_words = F.array(*(F.lit(w) for w in vocabulary))
     spaced = F.col("__spaced")
     words = F.split(F.trim(spaced), " ")
     cue = spaced.rlike(" (" + "|".join(CUES) + ") ")
-    hits = F.filter(F.transform(words, lambda w, i: F.struct(i.cast("long").alias("at"), w.alias("word"))), lambda s: F.array_contains(index_words, s["word"]))
+    hits = F.filter(F.transform(words, lambda w, i: F.struct(i.cast("long").alias("at"), w.alias("word"))), lambda s: s["word"].isin(vocabulary))
     nothing = F.array().cast("array<struct<at:long,word:string>>")
     keyed = F.filter(F.array(*(F.when(spaced.contains(f" {phrase} "), F.lit(k)) for k, (_, phrase, _) in enumerate(TEMPLATES))), lambda x: x.isNotNull())
     base = docs.select(*keep, spaced_words(F.col(text_col)).alias("__spaced"))
     found = base.select(
         *keep,
         word_count(spaced).alias("n_words"),
-        *(phrase_places(spaced, p).alias(f"__p{k}") for k, p in enumerate(PHRASES)),
+        *(phrase_places(words, spaced, p).alias(f"__p{k}") for k, p in enumerate(PHRASES)),
         F.array_intersect(words, index_words).alias("__seen"),
         F.when(cue, hits).otherwise(nothing).alias("__hits"),
         F.when(cue, keyed).otherwise(F.array().cast("array<int>")).alias("__keyed"),
@@ -101,13 +104,14 @@ def scan_licenses(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...]
     total = found.count()
     idf = {w: log((1 + total) / (1 + n)) for w, n in counted}
     weights = {w: max(1e-6, idf.get(w, log(1 + total))) for w in vocabulary}
-    postings = [(k, i, w, float(weights[w])) for k, (_, _, t) in enumerate(TEMPLATES) for i, w in enumerate(t.split())]
+    rare = [sorted(set(t.split()), key=lambda w: (-weights[w], w))[:RAREST] for _, _, t in TEMPLATES]
+    postings = [(k, i, w, float(weights[w])) for k, (_, _, t) in enumerate(TEMPLATES) for i, w in enumerate(t.split()) if w in rare[k]]
     index = spark.createDataFrame(postings, "template int, place int, word string, weight double")
 
     hit = found.where(F.size("__keyed") > 0).select("__row", "__keyed", F.explode("__hits").alias("h")).select("__row", F.explode("__keyed").alias("template"), "h.at", "h.word")
     votes = hit.join(F.broadcast(index), ["template", "word"])
     votes = votes.groupBy("__row", "template", (F.col("at") - F.col("place")).alias("shift")).agg(F.sum("weight").alias("voted"))
-    whole = F.create_map(*(x for k, (_, _, t) in enumerate(TEMPLATES) for x in (F.lit(k), F.lit(float(sum(weights[w] for w in t.split()))))))
+    whole = F.create_map(*(x for k in range(len(TEMPLATES)) for x in (F.lit(k), F.lit(sum(w for n, _, _, w in postings if n == k)))))
     best = votes.select("__row", "template", F.least(F.lit(1.0), F.col("voted") / whole[F.col("template")]).alias("share")).groupBy("__row")
     names = F.array(*(F.lit(label) for label, _, _ in TEMPLATES))
     best = best.agg(F.max("share").alias("share"), F.collect_set(F.when(F.col("share") >= LEAST_SCORE, F.element_at(names, F.col("template") + 1))).alias("more"))

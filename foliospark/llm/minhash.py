@@ -8,6 +8,7 @@ belong together (clusters); links are then decided on full shingle sets, each cl
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .runtime import connected_components, durable, small_batches
-from .words import BLANK_SEPARATED, distinct_sorted, mix, pieces, shingles, text_bytes, word_hashes, word_spans
+from .words import BLANK_SEPARATED, exact_shingles, mix, normal_words, pieces, text_bytes
 
 _U = np.uint64
 #: Trees that decide how many values a prefix has at least; as many more are planted as the longest prefix asks for.
@@ -27,8 +28,10 @@ MISS = 5e-6
 #: Rows that share a prefix before a longer one is asked for, and how many values longer it may get.
 CROWD = 256
 DEEPER = 2
-#: Documents of a cluster that are compared in one task; a larger cluster is compared block by block.
-BLOCK = 512
+#: Documents, and shingles of documents, of a cluster that are compared in one task at least; a larger cluster is dealt to blocks.
+BLOCK, BLOCK_SHINGLES = 512, 500_000
+#: Documents of a large cluster that every block of it is compared with, about so many.
+HUBS = 32
 _CARRY = 1 << 20
 
 
@@ -70,11 +73,11 @@ def signatures(values: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def shingle_sets(column: pa.Array, n_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct shingle hashes of each text, and the texts' offsets in them."""
-    body, at = text_bytes(column)
-    starts, ends, word_at = word_spans(body, at, BLANK_SEPARATED)
-    return distinct_sorted(*shingles(word_hashes(body, starts, ends), word_at, n_words))
+def word_digests(body: np.ndarray, at: np.ndarray) -> list[bytes]:
+    """A cryptographic digest of each row's words, small letters and single blanks between them."""
+    raw, start, end, word_at = normal_words(body, at, BLANK_SEPARATED)
+    spans = [(int(start[i]), int(end[j - 1])) if j > i else (0, 0) for i, j in zip(word_at[:-1].tolist(), word_at[1:].tolist(), strict=True)]
+    return [hashlib.blake2b(raw[i:j], digest_size=16).digest() for i, j in spans]
 
 
 _SIGNED = T.StructType(
@@ -92,15 +95,13 @@ def _sign(n_words: int, depth: int, trees: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j in pieces(batch.column(1), 2 << 20):
-                values, at = shingle_sets(batch.column(1).slice(i, j - i), n_words)
+                body, rows_at = text_bytes(batch.column(1).slice(i, j - i))
+                _, values, at = exact_shingles(body, rows_at, BLANK_SEPARATED, n_words)
                 size = np.diff(at)
                 some = np.flatnonzero(size)
                 forest = [b""] * len(size)
-                digest = np.zeros((2, len(size)), np.uint64)
                 if len(some):
                     cuts = at[some]
-                    sums = np.stack([np.add.reduceat(mix(values), cuts), np.bitwise_xor.reduceat(mix(values + _U(0x5BD1E995)), cuts)])
-                    digest[:, some] = mix(sums + size[some].astype(np.uint64) * _U(0x9E3779B97F4A7C15))
                     sig = signatures(values, np.append(cuts, at[-1]), trees * (depth + DEEPER)).reshape(len(some), trees, depth + DEEPER)
                     key = np.broadcast_to(mix(np.arange(trees, dtype=np.uint64) + _U(1)), (len(some), trees))
                     for k in range(depth):
@@ -111,8 +112,8 @@ def _sign(n_words: int, depth: int, trees: int):
                     both = np.stack([key, rest], axis=2).view(np.int64)
                     for r, cell in zip(some.tolist(), both, strict=True):
                         forest[r] = cell.tobytes()
-                signed = digest.view(np.int64)
-                columns = [batch.column(0).slice(i, j - i), pa.array(size, pa.int64()), pa.array(signed[0]), pa.array(signed[1]), pa.array(forest, pa.binary())]
+                digest = np.frombuffer(b"".join(word_digests(body, rows_at)), np.int64).reshape(-1, 2)
+                columns = [batch.column(0).slice(i, j - i), pa.array(size, pa.int64()), pa.array(digest[:, 0]), pa.array(digest[:, 1]), pa.array(forest, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, _SIGNED.names)
 
     return run
@@ -149,7 +150,7 @@ def _neighbours(key: np.ndarray, rest: np.ndarray, ids: np.ndarray) -> tuple[np.
 def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Candidate pairs of rows sorted by prefix; the last region of a batch waits for the next batch."""
     held = [np.zeros(0, np.int64)] * 3
-    for batch in [*()] if batches is None else batches:
+    for batch in batches:
         rows = [np.concatenate([h, batch.column(k).to_numpy()]) for k, h in enumerate(held)]
         if not len(rows[0]):
             continue
@@ -165,12 +166,17 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def spanning_links(values: np.ndarray, at: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of all pairs of sets with 100 * intersection >= percent * union, decided on the full sets."""
+    """A spanning forest of all pairs of sets with 100 * intersection >= percent * union, decided on the full sets.
+
+    values: each set's members, as numbers. Intersections are counted through lists of the sets that
+    hold a member; sets that are linked leave the lists whenever half of those in them have been.
+    """
     size = np.diff(at)
     n = len(size)
-    sig = signatures(values, at, 64) if n > 8 else None
-    if sig is not None:
-        sig = (sig >> _U(56)).astype(np.uint8)
+    row = np.repeat(np.arange(n), size)
+    by = np.argsort(values, kind="stable")
+    held, holder = values[by], row[by]
+    listed = n
     waiting = np.ones(n, bool)
     a, b = [], []
     for first in range(n):
@@ -179,19 +185,20 @@ def spanning_links(values: np.ndarray, at: np.ndarray, percent: int) -> tuple[np
         waiting[first] = False
         queue = [first]
         while queue:
+            left = int(waiting.sum())
+            if not left:
+                break
+            if 2 * left < listed:
+                keep = waiting[holder]
+                held, holder, listed = held[keep], holder[keep], left
             s = queue.pop()
-            near = np.flatnonzero(waiting)
-            near = near[(100 * np.minimum(size[near], size[s]) >= percent * np.maximum(size[near], size[s]))]
-            if sig is not None and len(near) > 4:  # at 64 values, 0.3 below the threshold is over six deviations
-                near = near[(sig[near] == sig[s]).sum(1) >= 64 * (percent / 100 - 0.3)]
-            if not len(near):
-                continue
             own = values[at[s] : at[s + 1]]
-            upto = np.cumsum(size[near])
-            other = values[np.arange(upto[-1]) + np.repeat(at[near] - (upto - size[near]), size[near])]
-            place = np.minimum(np.searchsorted(own, other), len(own) - 1)
-            shared = np.add.reduceat((own[place] == other).astype(np.int64), upto - size[near])
-            linked = near[100 * shared >= percent * (size[near] + size[s] - shared)]
+            lo, hi = np.searchsorted(held, own, "left"), np.searchsorted(held, own, "right")
+            k = hi - lo
+            met = holder[np.repeat(lo - (np.cumsum(k) - k), k) + np.arange(k.sum())]
+            shared = np.bincount(met, minlength=n)
+            near = np.flatnonzero(waiting & (shared > 0))
+            linked = near[100 * shared[near] >= percent * (size[near] + size[s] - shared[near])]
             waiting[linked] = False
             queue += linked.tolist()
             a += [s] * len(linked)
@@ -204,9 +211,7 @@ def _verify(n_words: int, percent: int):
 
     def decide(ids: list[pa.Array], texts: list[pa.Array]) -> pa.RecordBatch:
         which = np.concatenate([x.to_numpy() for x in ids])
-        parts = [shingle_sets(t.slice(i, j - i), n_words) for t in texts for i, j in pieces(t, 4 << 20)]
-        values = np.concatenate([v for v, _ in parts])
-        at = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(a) for _, a in parts]))])
+        values, _, at = exact_shingles(*text_bytes(pa.concat_arrays(texts)), BLANK_SEPARATED, n_words)
         full = np.flatnonzero(np.diff(at))
         a, b = spanning_links(values, np.append(at[full], at[-1]), percent)
         return pa.RecordBatch.from_arrays([pa.array(which[full][a]), pa.array(which[full][b])], ["u", "v"])
@@ -243,32 +248,56 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 80, text_c
     is linked with nothing and kept, its component_id null. Rows of equal id count as one document.
     An empty table gives no rows; columns other than the two named are not read.
 
-    Equal sets are represented by their smallest id before anything is compared. Full sets are made
-    again from the texts of the clustered documents alone. No set, link or component goes to the driver.
+    Equal sequences of words are represented by their smallest id before anything is compared. The
+    forest only says which documents may be linked (clusters); each link is confirmed on the words of
+    both texts. A cluster of more than BLOCK documents is dealt to blocks, each of which is compared
+    in itself and with some HUBS documents of the cluster. Where that leaves a cluster in more than
+    one component, the documents outside its largest component are compared with all others, block
+    by block; pairs within one component need no comparison. No set, link or component goes to the driver.
     """
     small_batches(docs.sparkSession)
     depth, trees = prefix_depth(percent), tree_count(percent)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     signed = durable(rows.mapInArrow(_sign(n_words, depth, trees), _SIGNED))
     linkable = signed.where("doc_id is not null and n_shingles > 0")
-    reps = linkable.groupBy("hi", "lo").agg(F.min(F.struct("doc_id", "forest")).alias("r"))
-    reps = durable(reps.select("hi", "lo", F.col("r.doc_id").alias("rep"), F.col("r.forest").alias("forest")))
+    reps = linkable.groupBy("hi", "lo").agg(F.min(F.struct("doc_id", "n_shingles", "forest")).alias("r"))
+    reps = durable(reps.select("hi", "lo", F.col("r.doc_id").alias("rep"), "r.n_shingles", F.col("r.forest").alias("forest")))
 
     forest = reps.select("rep", "forest").mapInArrow(_plant(trees), "key long, rest long, id long")
     pairs = forest.repartition("key").sortWithinPartitions("key", "rest", "id").mapInArrow(_walk, "u long, v long")
     clusters = connected_components(pairs).withColumnRenamed("component", "cluster")
-    clusters = durable(clusters)
-    sizes = durable(clusters.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")))
+    clusters = durable(clusters.join(reps.select(F.col("rep").alias("id"), "n_shingles"), "id"))
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int")
+    sizes = durable(clusters.groupBy("cluster").agg(blocks.alias("blocks"), F.count("*").alias("documents")))
     members = clusters.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    # a task for each pair of blocks of a cluster, and for a lone block
-    other = F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(F.expr("filter(sequence(0, blocks - 1), x -> x <> block)"))
-    tasks = members.select("id", "cluster", "block", F.explode(other).alias("other"))
-    tasks = tasks.select("id", F.xxhash64("cluster", F.least("block", "other"), F.greatest("block", "other")).alias("task"))
-    texts = rows.join(tasks, rows.doc_id == tasks.id).select("task", "id", "text")
-    links = texts.repartition("task").sortWithinPartitions("task").mapInArrow(_verify(n_words, percent), "u long, v long")
-    linked = connected_components(links)
-
-    named = durable(reps.drop("forest").join(linked, F.col("rep") == F.col("id"), "left").select("hi", "lo", F.coalesce("component", "rep").alias("component")))
+
+    def confirmed(tasks: DataFrame) -> DataFrame:
+        texts = rows.join(tasks, rows.doc_id == tasks.id).select("task", "id", "text")
+        return durable(texts.repartition("task").sortWithinPartitions("task").mapInArrow(_verify(n_words, percent), "u long, v long"))
+
+    hub = (F.col("blocks") > 1) & (F.pmod(F.xxhash64("id", F.lit(1)), F.ceil(F.col("documents") / HUBS)) == 0)
+    visited = F.when(hub, F.expr("sequence(0, blocks - 1)")).otherwise(F.array("block"))
+    links = confirmed(members.select("id", F.col("cluster"), F.explode(visited).alias("k")).select("id", F.xxhash64("cluster", "k").alias("task")))
+    linked = durable(connected_components(links))
+
+    # clusters of several blocks that are in more than one component yet
+    parts = members.where("blocks > 1").join(linked, "id", "left").select("id", "cluster", "n_shingles", F.coalesce("component", "id").alias("root"))
+    roots = durable(parts.groupBy("cluster", "root").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("s")))
+    torn = roots.groupBy("cluster").agg(F.max(F.struct("n", "root"))["root"].alias("main"), F.count("*").alias("roots"), F.sum("n").alias("all"), F.max("n").alias("most"), F.sum("s").alias("s")).where("roots > 1")
+    # at the mean length, so many documents fill a block
+    fill = F.least(F.lit(float(BLOCK)), F.greatest(F.lit(1.0), F.col("all") * F.lit(float(BLOCK_SHINGLES)) / F.col("s")))
+    torn = durable(torn.select("cluster", "main", F.ceil(F.col("most") / fill).cast("int").alias("n_main"), F.ceil((F.col("all") - F.col("most")) / fill).cast("int").alias("n_rest")))
+    if not torn.isEmpty():
+        parts = parts.join(torn, "cluster").withColumn("draw", F.xxhash64("id", F.lit(2)))
+        mine = F.pmod(F.col("draw"), F.when(F.col("root") == F.col("main"), F.col("n_main")).otherwise(F.col("n_rest"))).cast("int")
+        parts = parts.withColumn("mine", mine)
+        everywhere = F.expr("transform(sequence(0, n_rest - 1), k -> struct(k as first, -1 - mine as second))")
+        others = F.expr("concat(transform(sequence(0, n_main - 1), k -> struct(mine as first, -1 - k as second)), transform(sequence(0, n_rest - 1), k -> struct(least(mine, k) as first, greatest(mine, k) as second)))")
+        tasks = parts.select("id", "cluster", F.explode(F.when(F.col("root") == F.col("main"), everywhere).otherwise(others)).alias("t"))
+        links = durable(links.union(confirmed(tasks.select("id", F.xxhash64("cluster", "t.first", "t.second").alias("task")))))
+        linked = connected_components(links)
+
+    named = durable(reps.drop("forest", "n_shingles").join(linked, F.col("rep") == F.col("id"), "left").select("hi", "lo", F.coalesce("component", "rep").alias("component")))
     with_sets = signed.where("doc_id is not null and n_shingles > 0").select("doc_id", "n_shingles", "hi", "lo").join(named, ["hi", "lo"], "left")
     alone = signed.where("doc_id is null or n_shingles = 0")
     out = with_sets.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))

@@ -15,18 +15,20 @@ def durable(df: DataFrame) -> DataFrame:
     """Cut lineage: write the rows to the shared checkpoint folder and read them from there.
 
     The folder is the one the session names in spark.checkpoint.dir; only where that is unset
-    (tests on one machine) is a temporary folder taken.
+    and Spark runs on one machine (tests) is a temporary folder taken.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+        if not folder and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="foliospark-"))
     return df.checkpoint(eager=True)
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Let Arrow batches hold at most so many rows: texts are long, and each task's workers hold a few batches."""
+    """Let Arrow batches of this session hold at most so many rows from now on: texts are long, and each task's workers hold a few batches."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(name)) <= rows:
         spark.conf.set(name, str(rows))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .runtime import durable
@@ -18,34 +18,23 @@ OWNED = "owned"
 _TOKEN = r"[A-Za-z0-9+/_-]{20,}"
 #: A value that so many owners or so many repositories hold is an example that was copied widely.
 EXAMPLE_OWNERS, EXAMPLE_REPOSITORIES = 3, 10
+#: Strings that only stand in made-up values (any case).
+MADE_UP = r"(?i)example|sample|placeholder|changeme|dummy|your[-_]|xxxx|0123456789|1234567890|abcdefgh|(.)\1{5}"
 _SPAN = "array<struct<start:long,kind:int,end:long,value:string>>"
 
 
-def _spans(text: Column, kind: int, pattern: str, group: int, least: int) -> Column:
-    """Matches with code point positions: the pieces between the matches and the matches tell where each starts."""
-    between, whole, value = (F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.regexp_extract_all(text, F.lit(pattern), F.lit(group)))
-    found = F.arrays_zip(F.slice(between, 1, F.size(whole)).alias("b"), whole.alias("w"), value.alias("v"))
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(_SPAN).alias("out"))
+def looks_live(value: Column) -> Column:
+    """Whether a value looks like one in use: letters and digits, three different characters at least, and nothing of MADE_UP."""
+    return value.rlike("[A-Za-z]") & value.rlike("[0-9]") & (F.size(F.array_distinct(F.split(value, ""))) >= 3) & ~value.rlike(MADE_UP)
 
-    def step(state: Column, m: Column) -> Column:
-        first = state["at"] + F.length(m["b"])
-        end = first + F.length(m["w"])
-        span = F.struct(first.cast("long").alias("start"), F.lit(kind).alias("kind"), end.cast("long").alias("end"), m["v"].alias("value"))
-        out = F.when(F.length(m["v"]) >= least, F.array_append(state["out"], span)).otherwise(state["out"])
-        return F.struct(end.cast("long").alias("at"), out.alias("out"))
 
-    return F.when(text.rlike(pattern), F.aggregate(found, start, step)["out"]).otherwise(F.array().cast(_SPAN))
-
-
-def base_spans(text: Column) -> Column:
-    """All base spans of a text in order of start, then kind."""
-    return F.array_sort(F.concat(*(_spans(text, k, *how) for k, how in enumerate(KINDS.values()))))
-
-
-def token_spans(text: Column) -> Column:
-    """Long tokens that hold a digit, a capital and a small letter."""
-    mixed = lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[A-Z]") & s["value"].rlike("[a-z]")
-    return F.filter(_spans(text, len(KINDS), _TOKEN, 0, 20), mixed)
+def _matches(text: Column, kind: int, pattern: str, group: int) -> Column:
+    """Array of (kind, nth, gap, size, value): each match, its length in code points and that of the text since the match before."""
+    whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
+    found = F.arrays_zip(F.slice(F.split(text, pattern, -1), 1, F.size(whole)).alias("b"), whole.alias("w"), value.alias("v"))
+    cell = lambda m, i: F.struct(F.lit(kind).alias("kind"), i.alias("nth"), F.length(m["b"]).alias("gap"), F.length(m["w"]).alias("size"), m["v"].alias("value"))
+    return F.when(text.rlike(pattern), F.transform(found, cell)).otherwise(F.array().cast("array<struct<kind:int,nth:int,gap:int,size:int,value:string>>"))
 
 
 def span_names(spans: Column) -> Column:
@@ -54,68 +43,86 @@ def span_names(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _found_spans(docs: DataFrame, text_col: str, owner_col: str, keep: tuple[str, ...], repository_col: str) -> tuple[DataFrame, DataFrame]:
+    """The kept columns by row number, and a row for each span: (__row, kind, start, end, value, live, example)."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    every = [*KINDS.values(), (_TOKEN, 0, 20)]
+    named = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in ((owner_col, "__owner"), (repository_col, "__repository"))]
+    found = docs.select(*keep, *named, F.concat(*(_matches(text, k, p, g) for k, (p, g, _) in enumerate(every))).alias("__found"))
+    found = durable(found.withColumn("__row", F.monotonically_increasing_id()))
+    each = found.where("size(__found) > 0").select("__row", "__owner", "__repository", F.explode("__found").alias("m")).select("__row", "__owner", "__repository", "m.*")
+    upto = Window.partitionBy("__row", "kind").orderBy("nth").rowsBetween(Window.unboundedPreceding, 0)
+    each = each.withColumn("end", F.sum((F.col("gap") + F.col("size")).cast("long")).over(upto))
+    least = F.element_at(F.array(*(F.lit(n) for _, _, n in every)), F.col("kind") + 1)
+    mixed = F.col("value").rlike("[0-9]") & F.col("value").rlike("[A-Z]") & F.col("value").rlike("[a-z]")
+    each = each.where((F.length("value") >= least) & ((F.col("kind") < len(KINDS)) | mixed))
+    each = durable(each.select("__row", "__owner", "__repository", "kind", (F.col("end") - F.col("size")).alias("start"), "end", "value", F.sha2(F.col("value").cast("binary"), 256).alias("hash")))
+    owners = each.select("hash", "__owner").distinct().groupBy("hash").agg(F.count("*").alias("owners"))
+    repositories = each.select("hash", "__repository").distinct().groupBy("hash").agg(F.count("*").alias("repositories"))
+    holders = durable(owners.join(repositories, "hash"))
+    alone = (F.col("owners") == 1) & (F.col("repositories") < EXAMPLE_REPOSITORIES)
+    live = alone & looks_live(F.col("value"))
+    wide = (F.col("owners") >= EXAMPLE_OWNERS) | (F.col("repositories") >= EXAMPLE_REPOSITORIES)
+    example = F.when(F.col("kind") == len(KINDS), ~live).otherwise(wide)
+    return found.drop("__found", "__owner", "__repository"), each.join(holders, "hash").select("__row", "kind", "start", "end", "value", live.alias("live"), example.alias("example"))
+
+
 def scan_secrets(docs: DataFrame, text_col: str = "text", owner_col: str = "source", keep: tuple[str, ...] = ("doc_id",), repository_col: str = "doc_id") -> DataFrame:
     """Rows (keep..., base, spans, n_live, n_example): where each text holds secrets.
 
     base: array of (start, kind, end, value), the spans of KINDS, in code points, end exclusive.
     spans: base and the method's own, of kind len(KINDS): tokens that look random and are live.
-    n_live: spans whose value is live: it has one owner and fewer than EXAMPLE_REPOSITORIES
-    repositories. n_example: base spans whose value has EXAMPLE_OWNERS or EXAMPLE_REPOSITORIES and
-    more, and random tokens that aren't live (spans leaves them out).
-    Ownership is counted over all rows, by a hash of the value: distinct owners and distinct
+    n_live: spans whose value is live: it looks like one in use (looks_live), has one owner and fewer
+    than EXAMPLE_REPOSITORIES repositories. n_example: base spans whose value has EXAMPLE_OWNERS or
+    EXAMPLE_REPOSITORIES and more, and random tokens that aren't live (spans leaves them out).
+    Ownership is counted over all rows, by a SHA-256 digest of the value: distinct owners and distinct
     repositories of each value.
 
     A null or empty text has no spans; a null owner or repository counts as one of its own name;
     repeated rows each give a row and count once for their owner and repository. An empty table
-    gives no rows.
+    gives no rows. A kept column named like one of the results gives way to it.
 
-    Counts are aggregated before they are shuffled; a value that very many rows hold is joined back
-    from a written table, so that the skewed join can be split.
+    Matches are rows of lengths, whose running sums are the places, so that a text of very many
+    matches takes time in proportion. Counts are aggregated before they are shuffled; a value that
+    very many rows hold is joined back from a written table, so that the skewed join can be split.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    found = docs.select(*keep, *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in ((owner_col, "__owner"), (repository_col, "__repository"))), base_spans(text).alias("base"), token_spans(text).alias("token"))
-    found = durable(found.withColumn("__row", F.monotonically_increasing_id()))
-    each = found.where("size(base) + size(token) > 0").select("__row", "__owner", "__repository", F.explode(F.concat("base", "token")).alias("span"))
-    each = each.withColumn("hash", F.xxhash64("span.value", F.length("span.value")))
-    owners = each.select("hash", "__owner").distinct().groupBy("hash").agg(F.count("*").alias("owners"))
-    repositories = each.select("hash", "__repository").distinct().groupBy("hash").agg(F.count("*").alias("repositories"))
-    holders = durable(owners.join(repositories, "hash"))
-    judged = each.join(holders, "hash").groupBy("__row")
-    own = F.col("span.kind") == len(KINDS)
-    live = (F.col("owners") == 1) & (F.col("repositories") < EXAMPLE_REPOSITORIES)
-    example = F.when(own, ~live).otherwise((F.col("owners") >= EXAMPLE_OWNERS) | (F.col("repositories") >= EXAMPLE_REPOSITORIES))
-    judged = judged.agg(
-        F.collect_list(F.when(own & live, F.col("span"))).alias("owned"),
-        F.count(F.when(live, 1)).alias("n_live"),
-        F.count(F.when(example, 1)).alias("n_example"),
+    keep = tuple(c for c in keep if c.lower() not in ("base", "spans", "n_live", "n_example"))
+    found, each = _found_spans(docs, text_col, owner_col, keep, repository_col)
+    span = F.struct("start", "kind", "end", "value")
+    own = F.col("kind") == len(KINDS)
+    judged = each.groupBy("__row").agg(
+        F.sort_array(F.collect_list(F.when(~own, span))).alias("base"),
+        F.sort_array(F.collect_list(F.when(~own | F.col("live"), span))).alias("spans"),
+        F.count(F.when(F.col("live"), 1)).alias("n_live"),
+        F.count(F.when(F.col("example"), 1)).alias("n_example"),
     )
     none = F.array().cast(_SPAN)
     out = found.join(judged, "__row", "left")
-    spans = F.array_sort(F.concat("base", F.coalesce("owned", none)))
-    return out.select(*keep, "base", spans.alias("spans"), F.coalesce("n_live", F.lit(0)).cast("long").alias("n_live"), F.coalesce("n_example", F.lit(0)).cast("long").alias("n_example"))
+    return out.select(*keep, *(F.coalesce(c, none).alias(c) for c in ("base", "spans")), *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_live", "n_example")))
 
 
 def redact_secrets(docs: DataFrame, text_col: str = "text", owner_col: str = "source", mark: str = "[secret]", repository_col: str = "doc_id") -> DataFrame:
     """The rows with each span of scan_secrets replaced by `mark` in their text; overlapping spans by one.
 
     Rows and columns stay as they are otherwise; a null text stays null. Texts without base or token
-    spans are not shuffled; the others are joined with their spans by a hash of owner and text.
+    spans are not shuffled; the others are joined with their spans by a SHA-256 digest of the text.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     any_span = text.rlike("|".join(p for p, _, _ in [*KINDS.values(), (_TOKEN, 0, 0)]).replace("(?i)", "", 1).replace("(password|passwd|secret|token|api_?key)", "(?i:password|passwd|secret|token|api_?key)"))
     names = docs.columns
-    key = [F.xxhash64(text).alias("__a"), F.hash(text, F.lit(7)).alias("__b")]
-    dirty = docs.where(any_span).select("*", *key)
-    spans = scan_secrets(docs.where(any_span).select(*dict.fromkeys((text_col, owner_col, repository_col)), *key), text_col, owner_col, keep=("__a", "__b"), repository_col=repository_col)
-    spans = durable(spans.where("size(spans) > 0").groupBy("__a", "__b").agg(F.first("spans").alias("__spans")))
-    state = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-
-    def step(s: Column, span: Column) -> Column:
-        gap = F.substring(text, (s["at"] + 1).cast("int"), F.greatest(span["start"] - s["at"], F.lit(0)).cast("int"))
-        fresh = F.struct(span["end"].alias("at"), F.concat(s["out"], gap, F.when(span["start"] >= s["at"], F.lit(mark)).otherwise(F.lit(""))).alias("out"))
-        return F.when(span["end"] > s["at"], fresh).otherwise(s)
-
-    last = F.aggregate("__spans", state, step)
-    clean = F.concat(last["out"], F.substring(text, (last["at"] + 1).cast("int"), F.length(text)))
-    joined = dirty.join(spans, ["__a", "__b"], "left").withColumn(text_col, F.when(F.col("__spans").isNull(), F.col(text_col)).otherwise(clean))
+    key = F.sha2(text.cast("binary"), 256).alias("__key")
+    found, each = _found_spans(docs.where(any_span).select(*dict.fromkeys((text_col, owner_col, repository_col)), key), text_col, owner_col, ("__key",), repository_col)
+    each = each.where((F.col("kind") < len(KINDS)) | F.col("live")).select("__row", "start", "end").distinct()
+    before = Window.partitionBy("__row").orderBy("start", "end")
+    fresh = F.coalesce(F.col("start") >= F.max("end").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True))
+    each = each.withColumn("__fresh", fresh.cast("int")).withColumn("__nth", F.sum("__fresh").over(before.rowsBetween(Window.unboundedPreceding, 0)))
+    cuts = each.groupBy("__row", "__nth").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    cuts = cuts.groupBy("__row").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("__cuts"))
+    cuts = durable(found.join(cuts, "__row").groupBy("__key").agg(F.first("__cuts").alias("__cuts")))
+
+    # four bytes for each code point: a piece is found without reading what is before it
+    edges = F.arrays_zip(F.concat(F.array(F.lit(0).cast("long")), F.col("__cuts.end")).alias("a"), F.concat(F.col("__cuts.start"), F.array(F.length(text).cast("long"))).alias("b"))
+    piece = lambda wide, e: F.decode(F.substring(wide, (e["a"] * 4 + 1).cast("int"), ((e["b"] - e["a"]) * 4).cast("int")), "UTF-32")
+    clean = F.transform(F.array(F.encode(text, "UTF-32")), lambda wide: F.array_join(F.transform(edges, lambda e: piece(wide, e)), mark))[0]
+    joined = docs.where(any_span).withColumn("__key", key).join(cuts, "__key", "left").withColumn(text_col, F.when(F.col("__cuts").isNull(), F.col(text_col)).otherwise(clean))
     return docs.where(~any_span).select(*names).union(joined.select(*names))

@@ -2,11 +2,11 @@
 
 Where in the corpus a string of the threshold length can occur twice is found by anchors: in every
 window of that length the run of ANCHOR bytes with the least hash. Equal windows have equal anchors,
-so an anchor that occurs once rules its windows out, and occurrences with equal surroundings settle
-each other. What remains are surroundings that agree in part. Those of one anchor meet in one task,
-where the method proper runs: a Burrows-Wheeler transform of them, and breadth-first backward
-extension of its intervals, which derives common prefixes by increasing length and stops at the
-threshold; suffixes that no boundary divides by then start repeated strings.
+so an anchor that occurs once rules its windows out. The surroundings of the others meet by anchor,
+two copies of equal ones at most, where the method proper decides: a Burrows-Wheeler transform of
+them, and breadth-first backward extension of its intervals, which derives common prefixes by
+increasing length and stops at the threshold; suffixes that no boundary divides by then start
+repeated strings. What holds for surroundings holds wherever they stand.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ _U = np.uint64
 ANCHOR = 32
 #: Bytes of surroundings that are transformed together, at least.
 BATCH = 2 << 20
-#: Surroundings of one anchor that may meet in one task; beyond, their windows are compared by hash, each in its own group.
+#: Different surroundings of one anchor that may meet in one task; beyond, their windows meet by their own content instead.
 CROWD = 20_000
 _PART = 1 << 20
 _BASE = _U(0x9E3779B97F4A7C15)
@@ -48,21 +48,6 @@ def _string_hashes(body: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
-def _span_hash(body: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A hash of each of the spans, which follow one another by start and are short."""
-    out = np.empty(len(start), np.uint64)
-    i = 0
-    while i < len(start):
-        j = max(i + 1, int(np.searchsorted(end, start[i] + (1 << 18), "right")))
-        lo = int(start[i])
-        part = body[lo : int(end[j - 1])]
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_VALUE[part] * _UP[: len(part)])])
-        s = start[i:j] - lo
-        out[i:j] = (sums[end[i:j] - lo] - sums[s]) * _DOWN[s]
-        i = j
-    return mix(out ^ mix((end - start).astype(np.uint64)))
-
-
 def _running(values: np.ndarray, w: int, take) -> np.ndarray:
     """take.reduce over every w consecutive values."""
     n = len(values)
@@ -193,90 +178,92 @@ def _merge(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start[cut], upto[np.append(cut[1:], len(start)) - 1]
 
 
-_ANCHORS = "key long, around long, id long, dig long, first long, last long, done boolean"
+_ANCHORS = "deal long, key long, hi long, lo long, id long, dig long, first long, last long, lead int"
 
 
-def _combine(columns: list[np.ndarray]) -> pa.RecordBatch:
-    """Before the shuffle: of the anchors with equal surroundings one goes on; all of them are repeated, which rows of random key (done) say."""
-    key, around, ids, digs, first, last = columns
-    by = np.lexsort((around, key))
-    new = np.append(True, (key[by][1:] != key[by][:-1]) | (around[by][1:] != around[by][:-1]))
-    size = np.diff(np.append(np.flatnonzero(new), len(by)))
-    again = np.sort(by[np.repeat(size, size) > 1])
-    one = np.sort(by[new])
-    if len(again):  # windows that follow one another in a text make one row
-        cut = np.append(True, (ids[again][1:] != ids[again][:-1]) | (digs[again][1:] != digs[again][:-1]) | (first[again][1:] != last[again][:-1] + 1))
-        heads = again[cut]
-        tails = again[np.append(np.flatnonzero(cut)[1:], len(again)) - 1]
-    else:
-        heads = tails = again
-    scattered = mix(ids[heads].astype(np.uint64) ^ mix(digs[heads].astype(np.uint64) ^ mix(first[heads].astype(np.uint64))))
-    done = np.repeat([False, True], [len(one), len(heads)])
-    cells = [np.concatenate([key[one], scattered]), np.concatenate([around[one], np.zeros(len(heads), np.uint64)])]
-    cells += [np.concatenate([c[one], c[heads]]) for c in (ids, digs, first)] + [np.concatenate([last[one], last[tails]])]
-    arrays = [pa.array(c.view(np.int64) if c.dtype == np.uint64 else c) for c in cells]
-    return pa.RecordBatch.from_arrays([*arrays, pa.array(done)], ["key", "around", "id", "dig", "first", "last", "done"])
+def _digests(raw: bytes, start: list[int], end: list[int]) -> np.ndarray:
+    """A cryptographic digest of each span, as two numbers."""
+    parts = [hashlib.blake2b(raw[a:b], digest_size=16).digest() for a, b in zip(start, end, strict=True)]
+    return np.frombuffer(b"".join(parts), np.int64).reshape(-1, 2)
 
 
 def _find_anchors(length: int):
+    """(id, dig, text) to anchors with the digest of what surrounds them.
+
+    Of equal surroundings in one batch, two are dealt by anchor; the others (lead 0) anywhere. Of
+    equal texts in one batch, one is read: it has copies, which the caller removes as a whole.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[bytes] = set()  # one copy of a text for each partition is enough: copies settle each other by their digest
         for batch in batches:
             texts = batch.column(2)
             for i, j in pieces(texts, _PART):
                 body, at = text_bytes(texts.slice(i, j - i))
                 ids, digs = batch.column(0).slice(i, j - i).to_numpy(), batch.column(1).slice(i, j - i).to_numpy()
                 out: list[tuple] = []
+                seen: set[bytes] = set()
                 for r in range(j - i):
                     own = body[at[r] : at[r + 1]]
-                    digest = hashlib.blake2b(own, digest_size=16).digest()
-                    if len(own) < length or digest in seen:
+                    raw = own.tobytes()
+                    if len(own) < length or raw in seen:
                         continue
-                    seen.add(digest)
+                    seen.add(raw)
                     key, _, first, last = anchors(own, length)
-                    around = _span_hash(own, first, last + length)
-                    out.append((key, around, np.full(len(key), ids[r]), np.full(len(key), digs[r]), first, last))
+                    out.append((key.view(np.int64), *_digests(raw, first.tolist(), (last + length).tolist()).T, np.full(len(key), ids[r]), np.full(len(key), digs[r]), first, last))
                 if out:
-                    yield _combine([np.concatenate(c) for c in zip(*out, strict=True)])
+                    cells = [np.concatenate(c) for c in zip(*out, strict=True)]
+                    by = np.lexsort((cells[2], cells[1], cells[0]))
+                    again = np.append(False, np.all([c[by][1:] == c[by][:-1] for c in cells[:3]], axis=0))
+                    nth = np.arange(len(by)) - np.maximum.accumulate(np.where(again, 0, np.arange(len(by))))
+                    lead = np.empty(len(by), np.int32)
+                    lead[by] = np.where(nth < 2, nth + 1, 0)
+                    deal = np.where(lead > 0, cells[0], mix(cells[1].view(np.uint64) + cells[5].astype(np.uint64) * _BASE + cells[3].view(np.uint64)).view(np.int64))
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in (deal, *cells, lead)], ["deal", "key", "hi", "lo", "id", "dig", "first", "last", "lead"])
 
     return run
 
 
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Anchors sorted by key, surroundings: the repeated ones, settled (task null) or to be compared (task: the anchor)."""
-    held: pa.RecordBatch | None = None
-
-    def judge(rows: pa.RecordBatch) -> pa.RecordBatch:
-        key, around = rows.column(0).to_numpy(), rows.column(1).to_numpy()
-        n = len(key)
-        new_key = np.append(True, key[1:] != key[:-1])
-        new_run = new_key | np.append(True, around[1:] != around[:-1])
-        run, group = np.cumsum(new_run) - 1, np.cumsum(new_key) - 1
-        runs_of_group = np.bincount(group[new_run], minlength=group[-1] + 1) if n else group
-        twice = (np.bincount(run)[run] > 1) | rows.column(6).to_numpy(zero_copy_only=False)
-        various = runs_of_group[group] > 1
-        pick = np.concatenate([np.flatnonzero(twice), np.flatnonzero(new_run & various)])
-        settled = np.arange(len(pick)) < twice.sum()
-        out = rows.select(["id", "dig", "first", "last"]).take(pa.array(pick))
-        count = np.minimum(runs_of_group[group[pick]], 1 << 30)
-        return pa.RecordBatch.from_arrays([*out.columns, pa.array(key[pick], mask=settled), pa.array(count)], ["id", "dig", "first", "last", "task", "runs"])
+    """Anchors sorted by deal, key and digest: those that occur twice, two of each digest numbered 1 and 2.
 
+    Rows are passed on as they come; all that is held is a row whose anchor has not occurred again yet.
+    """
+    held: pa.RecordBatch | None = None
+    last: tuple = ()  # deal, key, hi, lo of the row before, and how many of its digest there were
     for batch in batches:
-        if not batch.num_rows:
-            continue
         if held is not None:
             batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-        key = batch.column(0).to_numpy()
-        cut = int(np.searchsorted(key, key[-1], "left"))
-        if cut:
-            yield judge(batch.slice(0, cut))
-        held = batch.slice(cut)
-    if held is not None and held.num_rows:
-        yield judge(held)
+            last, held = (), None
+        if not batch.num_rows:
+            continue
+        cells = [batch.column(k).to_numpy() for k in range(4)]
+        goes_on = bool(last) and last[:2] == (cells[0][0], cells[1][0])
+        same = goes_on and last[:4] == tuple(c[0] for c in cells)
+        new_key = np.append(not goes_on, (cells[0][1:] != cells[0][:-1]) | (cells[1][1:] != cells[1][:-1]))
+        new_run = new_key | np.append(not same, (cells[2][1:] != cells[2][:-1]) | (cells[3][1:] != cells[3][:-1]))
+        group = np.cumsum(new_key)
+        n = len(group)
+        nth = np.arange(n) - np.maximum.accumulate(np.where(new_run, np.arange(n), 0))
+        if same:
+            nth[: int(np.append(np.flatnonzero(new_run), n)[0])] += last[4]
+        many = np.bincount(group)[group] > 1
+        many |= group == 0  # goes on from the batch before
+        follower = batch.column(8).to_numpy() == 0
+        wait = not many[-1] and not follower[-1]
+        if wait:
+            held = batch.slice(n - 1)
+        last = (*(c[-1] for c in cells), int(nth[-1]) + 1)
+        pick = np.flatnonzero(many | follower)
+        lead = np.where(~follower & (nth < 2), nth + 1, 0).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([*(batch.column(k).take(pa.array(pick)) for k in range(1, 8)), pa.array(lead[pick])], ["key", "hi", "lo", "id", "dig", "first", "last", "lead"])
+
+
+_CUT = "key long, hi long, lo long, id long, dig long, first long, bytes binary, lead int"
+_NAMES = ["key", "hi", "lo", "id", "dig", "first", "bytes", "lead"]
 
 
 def _cut_out(length: int):
-    """(id, dig, text, asked) to the surroundings that are to be compared."""
+    """(id, dig, text, asked) to the surroundings that are asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -285,72 +272,70 @@ def _cut_out(length: int):
                 body, at = text_bytes(part.column(2))
                 asked = part.column(3)
                 flat = asked.flatten()
-                n = asked.value_lengths().to_numpy(zero_copy_only=False)
-                row = np.repeat(np.arange(j - i), n)
-                task, first, last, runs = (flat.field(k).to_numpy(zero_copy_only=False) for k in range(4))
+                row = np.repeat(np.arange(j - i), asked.value_lengths().to_numpy(zero_copy_only=False))
+                first, last = (flat.field(k).to_numpy(zero_copy_only=False) for k in (3, 4))
                 lo, hi = at[row] + first, at[row] + last + length
                 raw = body.tobytes()
-                cells = [raw[a:b] for a, b in zip(lo.tolist(), hi.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(task), part.column(0).take(pa.array(row)), part.column(1).take(pa.array(row)), pa.array(first), pa.array(cells, pa.binary()), pa.array(runs)], ["task", "id", "dig", "first", "bytes", "runs"]
-                )
+                cells = pa.array([raw[a:b] for a, b in zip(lo.tolist(), hi.tolist(), strict=True)], pa.binary())
+                pick = pa.array(row)
+                yield pa.RecordBatch.from_arrays([*(flat.field(k) for k in range(3)), part.column(0).take(pick), part.column(1).take(pick), pa.array(first), cells, flat.field(5)], _NAMES)
 
     return run
 
 
 def _transform(length: int):
-    """Surroundings sorted by anchor to the spans of repeated strings in them; whole anchors at a time."""
+    """Surroundings sorted by key to the spans of repeated strings in them, by digest; whole keys at a time."""
 
     def decide(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
         rows = pa.Table.from_batches(parts).combine_chunks()
-        ids, digs, first = (rows.column(k).to_numpy() for k in (1, 2, 3))
-        cells = rows.column(4).to_pylist()
+        ids, digs, first, lead = (rows.column(k).to_numpy() for k in (3, 4, 5, 7))
+        cells = rows.column(6).to_pylist()
         by = np.lexsort((first, digs, ids))
-        segments: list[list] = []  # of one text: [row, place, bytes], overlapping ones made one
+        segments: list[bytearray] = []  # of one text, overlapping ones made one
+        shift = np.empty(len(by), np.int64)  # of each row, its place in the text that is transformed
+        at, before, reach = 0, None, 0
         for r in by.tolist():
-            if segments and ids[segments[-1][0]] == ids[r] and digs[segments[-1][0]] == digs[r]:
-                held = segments[-1]
-                over = held[1] + len(held[2]) - int(first[r])
-                if over >= 0:
-                    held[2] += cells[r][over:]
-                    continue
-            segments.append([r, int(first[r]), bytearray(cells[r])])
-        text = np.frombuffer(b"\xff".join(s[2] for s in segments), np.uint8)
-        marked = repeated_starts(text, length)
-        size = np.array([len(s[2]) for s in segments])
-        at = np.cumsum(size + 1) - size - 1
-        start = np.flatnonzero(marked)
-        which = np.searchsorted(at, start, "right") - 1
-        fits = start + length <= at[which] + size[which]
-        start = start[fits]
-        if len(start):  # strings of two segments are never a byte apart, for 0xff lies between
-            lo, hi = _merge(start, start + length)
-        else:
-            lo = hi = start
-        which = np.searchsorted(at, lo, "right") - 1
-        row = np.array([s[0] for s in segments], np.int64)[which]
-        shift = np.array([s[1] for s in segments], np.int64)[which] - at[which]
-        return pa.RecordBatch.from_arrays([pa.array(ids[row]), pa.array(digs[row]), pa.array(lo + shift), pa.array(hi + shift)], ["id", "dig", "lo", "hi"])
+            place = int(first[r])
+            if (ids[r], digs[r]) == before and place <= reach:
+                segments[-1] += cells[r][reach - place :]
+            else:
+                at += len(segments[-1]) + 1 if segments else 0
+                segments.append(bytearray(cells[r]))
+                before, begin = (ids[r], digs[r]), place
+                reach = place
+            shift[r] = at + place - begin
+            reach = max(reach, place + len(cells[r]))
+        text = np.frombuffer(b"\xff".join(segments), np.uint8)
+        start = np.flatnonzero(repeated_starts(text, length))
+        own = np.flatnonzero(lead == 1)
+        windows = np.array([len(cells[r]) - length + 1 for r in own.tolist()], np.int64)
+        a, b = np.searchsorted(start, shift[own]), np.searchsorted(start, shift[own] + windows)
+        row = np.repeat(own, b - a)
+        k = np.repeat(a - (np.cumsum(b - a) - (b - a)), b - a) + np.arange((b - a).sum())
+        lo = start[k] - shift[row]
+        cut = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (lo[1:] > lo[:-1] + length))[: len(row)])
+        to = np.append(cut[1:], len(row))[: len(cut)] - 1
+        pick = pa.array(row[cut])
+        return pa.RecordBatch.from_arrays([*(rows.column(c).combine_chunks().take(pick) if isinstance(rows.column(c), pa.ChunkedArray) else rows.column(c).take(pick) for c in range(3)), pa.array(lo[cut]), pa.array(lo[to] + length)], ["key", "hi", "lo", "from", "to"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[pa.RecordBatch] = []
-        task, size = None, 0
+        key, size = None, 0
         for batch in batches:
-            tasks = batch.column(0).to_numpy()
-            cuts = [0, *(np.flatnonzero(tasks[1:] != tasks[:-1]) + 1).tolist(), len(tasks)]
-            lens = np.concatenate([[0], np.cumsum(pc.binary_length(batch.column(4)).to_numpy())])
+            keys = batch.column(0).to_numpy()
+            cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+            lens = np.concatenate([[0], np.cumsum(pc.binary_length(batch.column(6)).to_numpy())])
             i = 0
             for j in cuts[1:]:
                 if j == i:
                     continue
-                if size >= BATCH and tasks[i] != task:
+                if size >= BATCH and keys[i] != key:
                     yield decide(parts)
                     parts, size = [], 0
-                k = j
-                parts.append(batch.slice(i, k - i))
-                size += int(lens[k] - lens[i])
-                task = tasks[i]
-                i = k
+                parts.append(batch.slice(i, j - i))
+                size += int(lens[j] - lens[i])
+                key = keys[i]
+                i = j
         if parts:
             yield decide(parts)
 
@@ -358,17 +343,18 @@ def _transform(length: int):
 
 
 def _windows(length: int):
-    """Surroundings to a row for each window: (hash, second hash, id, dig, place)."""
+    """Surroundings to a row for each window: (key, hi, lo, lead, nth, h, g, id, dig, first, bytes); h and g are its digest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(batch.num_rows):
-                body = np.frombuffer(batch.column(4)[r].as_py(), np.uint8)
-                h = _string_hashes(body, length)
-                g = mix(_string_hashes(body, length - 1)[: len(h)] + body[length - 1 :])
-                n = len(h)
-                columns = [pa.array(h.view(np.int64)), pa.array(g.view(np.int64)), pa.array([batch.column(1)[r].as_py()] * n, pa.int64()), pa.array([batch.column(2)[r].as_py()] * n, pa.int64())]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(np.arange(n) + batch.column(3)[r].as_py())], ["h", "g", "id", "dig", "place"])
+                raw = batch.column(6)[r].as_py()
+                n = len(raw) - length + 1
+                digest = _digests(raw, list(range(n)), list(range(length, n + length)))
+                own = [batch.column(k).slice(r, 1).take(pa.array(np.zeros(n, np.int64))) for k in (0, 1, 2, 7)]
+                place = [batch.column(k).slice(r, 1).take(pa.array(np.zeros(n, np.int64))) for k in (3, 4)]
+                cells = [*own, pa.array(np.arange(n)), pa.array(digest[:, 0]), pa.array(digest[:, 1]), *place, pa.array(np.arange(n) + batch.column(5)[r].as_py())]
+                yield pa.RecordBatch.from_arrays([*cells, pa.array([raw[k : k + length] for k in range(n)], pa.binary())], ["key", "hi", "lo", "lead", "nth", "h", "g", "id", "dig", "first", "bytes"])
 
     return run
 
@@ -413,36 +399,48 @@ def find_repeats(docs: DataFrame, length: int = 200, text_col: str = "text", id_
     `length` lose nothing. Repeated rows are repeats of one another, so that a repeated text of
     `length` bytes or more goes as a whole. Rows may have null or equal ids. No rows give no rows.
 
-    Copies are counted by digest and not searched. What is shuffled: a narrow row for each anchor
-    (anchors with equal surroundings are combined first, so that periodic texts and copied passages do not crowd one key),
-    the texts twice (once to cut the surroundings that are to be compared, once for the result), and
-    those surroundings. An anchor with more than CROWD different surroundings, for which they might not
-    fit a task, has its windows compared by hash instead, where each window is a key of its own.
+    A text of which the corpus holds another copy (by SHA-256) goes as a whole. All else is decided by
+    the transform. What is shuffled: a narrow row for each anchor, those of anchors that occur twice
+    once more, the texts twice (once to cut out surroundings, once for the result), and two copies at
+    most of each different surroundings. Equal surroundings are told by a 128-bit digest, so that a
+    passage in very many texts meets in no task more than twice; an anchor with more than CROWD
+    different surroundings has its windows dealt by their own digests, two copies of each at most.
     """
     small_batches(docs.sparkSession)
     none = F.lit(-(1 << 63)).cast("long")
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), none).alias("id"), F.xxhash64(text).alias("dig"), text.alias("text"))
 
-    copies = rows.where(F.octet_length("text") >= length).select("id", "dig", F.octet_length("text").cast("long").alias("hi"), F.unhex(F.md5(F.col("text").cast("binary"))).alias("digest"))
+    copies = rows.where(F.octet_length("text") >= length).select("id", "dig", F.octet_length("text").cast("long").alias("end"), F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("digest"))
     twice = durable(copies.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1"))
-    whole = copies.join(twice, "digest").select("id", "dig", F.lit(0).cast("long").alias("lo"), "hi").distinct()
+    whole = copies.join(twice, "digest").select("id", "dig", F.lit(0).cast("long").alias("from"), F.col("end").alias("to")).distinct()
 
     found = rows.select("id", "dig", "text").mapInArrow(_find_anchors(length), _ANCHORS)
-    judged = durable(found.repartition("key").sortWithinPartitions("key", "around").mapInArrow(_settle, "id long, dig long, first long, last long, task long, runs long"))
-    settled = judged.where("task is null").select("id", "dig", F.col("first").alias("lo"), (F.col("last") + length).alias("hi"))
-
-    asked = judged.where("task is not null").groupBy("id", "dig").agg(F.collect_list(F.struct("task", "first", "last", "runs")).alias("asked"))
-    around = rows.join(asked, ["id", "dig"]).select("id", "dig", "text", "asked").mapInArrow(_cut_out(length), "task long, id long, dig long, first long, bytes binary, runs long")
-    calm = around.where(F.col("runs") <= CROWD).repartition("task").sortWithinPartitions("task")
-    spans = settled.union(calm.mapInArrow(_transform(length), "id long, dig long, lo long, hi long")).union(whole)
-    if not judged.where(F.col("task").isNotNull() & (F.col("runs") > CROWD)).isEmpty():
-        windows = around.where(F.col("runs") > CROWD).mapInArrow(_windows(length), "h long, g long, id long, dig long, place long").distinct()
-        again = durable(windows.groupBy("h", "g").agg(F.count("*").alias("n")).where("n > 1").select("h", "g"))
-        spans = spans.union(windows.join(again, ["h", "g"]).select("id", "dig", F.col("place").alias("lo"), (F.col("place") + length).alias("hi")))
-    spans = spans.groupBy("id", "dig").agg(F.collect_list(F.struct("lo", "hi")).alias("removed"))
+    judged = found.repartition("deal").sortWithinPartitions("deal", "key", "hi", "lo")
+    judged = durable(judged.mapInArrow(_settle, "key long, hi long, lo long, id long, dig long, first long, last long, lead int"))
+    leads = judged.where("lead > 0")
+    crowded = durable(leads.where("lead = 1").groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > CROWD).select("key"))
+    asked = leads.groupBy("id", "dig").agg(F.collect_list(F.struct("key", "hi", "lo", "first", "last", "lead")).alias("asked"))
+    around = rows.join(asked, ["id", "dig"]).select("id", "dig", "text", "asked").mapInArrow(_cut_out(length), _CUT)
+    decided = "key long, hi long, lo long, from long, to long"
+    if crowded.isEmpty():
+        verdicts = around.repartition("key").sortWithinPartitions("key").mapInArrow(_transform(length), decided)
+    else:
+        around = durable(around)
+        calm = around.join(crowded, "key", "left_anti").select(*_NAMES).repartition("key").sortWithinPartitions("key")
+        windows = durable(around.join(crowded, "key", "left_semi").select(*_NAMES).mapInArrow(_windows(length), "key long, hi long, lo long, lead int, nth long, h long, g long, id long, dig long, first long, bytes binary"))
+        place = F.struct("id", "dig", "first")
+        met = windows.groupBy("h", "g").agg(F.min(place).alias("a"), F.max(place).alias("b"), F.first("bytes").alias("bytes")).where("a <> b")
+        met = met.select("h", "g", "bytes", F.posexplode(F.array("a", "b")).alias("k", "p"))
+        met = met.select(F.col("h").alias("key"), F.col("h").alias("hi"), F.col("g").alias("lo"), "p.id", "p.dig", "p.first", "bytes", (F.col("k") + 1).alias("lead"))
+        sure = met.repartition("key").sortWithinPartitions("key").mapInArrow(_transform(length), decided).select(F.col("hi").alias("h"), F.col("lo").alias("g")).distinct()
+        fresh = windows.where("lead = 1").join(durable(sure), ["h", "g"]).select("key", "hi", "lo", F.col("nth").alias("from"), (F.col("nth") + length).alias("to"))
+        verdicts = calm.mapInArrow(_transform(length), decided).union(fresh)
+    verdicts = durable(verdicts)
+    spans = judged.select("key", "hi", "lo", "id", "dig", "first").join(verdicts, ["key", "hi", "lo"]).select("id", "dig", (F.col("first") + F.col("from")).alias("from"), (F.col("first") + F.col("to")).alias("to"))
+    spans = spans.union(whole).groupBy("id", "dig").agg(F.collect_list(F.struct("from", "to")).alias("removed"))
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"]
     given = F.when(F.col("id") != none, F.col("id")).alias("doc_id")
-    out = rows.join(spans, ["id", "dig"], "left").select(given, "text", F.coalesce("removed", F.array().cast("array<struct<lo:long,hi:long>>")).alias("removed"))
+    out = rows.join(spans, ["id", "dig"], "left").select(given, "text", F.coalesce("removed", F.array().cast("array<struct<from:long,to:long>>")).alias("removed"))
     return out.mapInArrow(_report(names), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>")
 

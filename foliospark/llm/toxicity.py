@@ -22,37 +22,34 @@ from .runtime import durable, small_batches
 from .words import ALPHANUMERIC, mix, pieces, text_bytes, word_hashes, word_spans
 
 _U = np.uint64
-#: Labelled rows that the classifier is fitted on, at most (those of smallest id hash), and tokens of the model, at most.
+#: Labelled rows that the classifier is fitted on, at most (those of smallest id hash).
 TRAIN_ROWS = 20_000
-MODEL_WORDS = 5_000
-#: A model token occurs in so many distinct toxic texts at least and in such a share of them, such a share of the
-#: texts with it is toxic, and its log-odds are so many deviations above none. Rarer or less telling tokens are chance.
-LEAST_TEXTS, LEAST_COVER = 5, 0.015
-LEAST_PURITY = 0.8
-LEAST_Z = 3.0
-#: The prior weighs as much as this share of the fitted texts of the rarer class.
+#: A model token occurs between so many different pairs of words in toxic texts at least, and its log-odds are so many deviations above none:
+#: the bar among these that serves best in cross-validation within the labelled rows, over so many folds.
+LEAST_PLACES = 3
+BARS = (3.0, 4.0, 5.0, 6.5, 8.0)
+FOLDS = 5
+#: The prior weighs as much as this share of the tokens of the rarer class.
 PRIOR_SHARE = 1.0
 #: Bytes of the beginnings and endings that are tokens beside the words that are longer.
 BEGINNINGS, ENDINGS = (4, 5, 6, 7, 8), (4, 5, 6)
 #: What a word without weight takes from a segment at least.
 LEAST_REST = 0.005
 _BITS = 18
+#: Segments of texts that aren't toxic are counted from this scaled score on to find the extreme-value constant.
+_FROM = 2.0
 
 
-@dataclass
-class ToxicityModel:
-    words: np.ndarray  # sorted hashes
-    weights: np.ndarray
-    rest: float  # of every other word, below 0
-    scale: float  # of the extreme-value distribution
-    coefficients: np.ndarray
+class Lookup:
+    """Numbers of tokens in a sorted array of token hashes."""
 
-    def __post_init__(self):
+    def __init__(self, words: np.ndarray):
+        self.words = words
         self.near = np.zeros(1 << _BITS, bool)
-        self.near[(self.words >> _U(64 - _BITS)).astype(np.int64)] = True
+        self.near[(words >> _U(64 - _BITS)).astype(np.int64)] = True
 
     def numbers(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of model tokens, and their numbers."""
+        """Places of known tokens, and their numbers."""
         if not len(self.words):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         at = np.flatnonzero(self.near[(tokens >> _U(64 - _BITS)).astype(np.int64)])
@@ -60,15 +57,53 @@ class ToxicityModel:
         same = self.words[number] == tokens[at]
         return at[same], number[same]
 
-    def hits(self, kinds: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """Words that hold a model token, and the heaviest one's weight."""
+    def all(self, kinds: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         found = [self.numbers(k) for k in kinds]
-        at = np.concatenate([a for a, _ in found])
-        weight = self.weights[np.concatenate([n for _, n in found])]
-        by = np.lexsort((-weight, at))
-        at, weight = at[by], weight[by]
-        first = np.append(True, at[1:] != at[:-1])[: len(at)]
-        return at[first], weight[first]
+        return np.concatenate([a for a, _ in found]), np.concatenate([n for _, n in found])
+
+
+def heaviest(at: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words that hold a token of weight, and the heaviest one's weight."""
+    some = weight > 0
+    at, weight = at[some], weight[some]
+    by = np.lexsort((-weight, at))
+    at, weight = at[by], weight[by]
+    first = np.append(True, at[1:] != at[:-1])[: len(at)]
+    return at[first], weight[first]
+
+
+@dataclass
+class ToxicityModel:
+    words: np.ndarray  # sorted hashes
+    weights: np.ndarray
+    rest: float  # of every other word, below 0
+    scale: float  # of the extreme-value distribution
+    constant: float  # expected segments of scaled score 0 for each word
+    coefficients: np.ndarray
+
+    def __post_init__(self):
+        self.lookup = Lookup(self.words)
+
+    def hits(self, kinds: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        at, number = self.lookup.all(kinds)
+        return heaviest(at, self.weights[number])
+
+    def worth(self, score: np.ndarray | float, n_words: int) -> np.ndarray | float:
+        """Log of one over the number of segments as good that a text as long is expected to have if it isn't toxic."""
+        return self.scale * score - float(np.log1p(self.constant * n_words))
+
+
+def log_odds(yes: np.ndarray, no: np.ndarray, all_yes: float, all_no: float, share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log-odds of each token of toxic against other texts, and how many deviations that is above none.
+
+    yes, no: places of the token in each class; all_yes, all_no: texts with a token, summed over all
+    tokens, so that long texts, which hold any word, tell little. share: the token's part of the words
+    of the corpus, along which the Dirichlet prior spreads as much as the rarer class holds, times PRIOR_SHARE.
+    """
+    weight = PRIOR_SHARE * min(all_yes, all_no)
+    prior = weight * share + 0.01
+    odds = np.log((yes + prior) / (all_yes + weight)) - np.log((no + prior) / (all_no + weight))
+    return odds, odds / np.sqrt(1 / (yes + prior) + 1 / (no + prior))
 
 
 def segments(places: list[int], weights: list[float], rest: float) -> list[tuple[int, int, float]]:
@@ -111,36 +146,43 @@ def _words(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, list[
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(toxic, text) to (word, toxic texts, other texts): in how many texts each token occurs."""
+    """(toxic, fold, text) to (word, class, n): in how many texts of each class (2 * fold + toxic) each token occurs; word 0: the sum over all."""
     for batch in batches:
-        toxic = batch.column(0).to_numpy()
-        for i, j, kinds, word_at in _words(batch, 1):
+        group = batch.column(1).to_numpy() * 2 + (batch.column(0).to_numpy() > 0)
+        for i, j, kinds, word_at in _words(batch, 2):
+            row = np.repeat(np.arange(j - i), np.diff(word_at))
             for h in kinds:
-                own = [np.unique(h[word_at[r] : word_at[r + 1]]) for r in range(j - i)]
-                flat = np.concatenate(own)
-                flag = np.repeat(toxic[i:j] > 0, [len(x) for x in own])
-                word, at = np.unique(flat, return_inverse=True)
-                yes = np.bincount(at, weights=flag, minlength=len(word)).astype(np.int64)
-                no = np.bincount(at, minlength=len(word)) - yes
-                some = word != 0
-                yield pa.RecordBatch.from_arrays([pa.array(word[some].view(np.int64)), pa.array(yes[some]), pa.array(no[some])], ["word", "yes", "no"])
+                some = np.flatnonzero(h)
+                word, of = np.unique(h[some], return_inverse=True)
+                held = np.unique(of.reshape(-1) * np.int64(j - i) + row[some])  # a text counts once
+                total = np.bincount(group[i:j][held % (j - i)], minlength=2 * FOLDS)
+                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(2 * FOLDS, np.int64)), pa.array(np.arange(2 * FOLDS, dtype=np.int32)), pa.array(total)], ["word", "class", "n"])
+                key, n = np.unique(held // (j - i) * (2 * FOLDS) + group[i:j][held % (j - i)], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(word[key // (2 * FOLDS)].view(np.int64)), pa.array((key % (2 * FOLDS)).astype(np.int32)), pa.array(n)], ["word", "class", "n"])
 
 
-def _calm_weights(model: ToxicityModel):
-    """(toxic, text) to (weight in hundredths, words of it); weight -1: all words."""
+def _places(shared):
+    """(toxic, fold, text) to (number, toxic, fold, place): known tokens and a hash of the words around each, once for each row range."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, kinds, _ in _words(batch, 1):
-                weight, n = np.unique(np.rint(model.hits(kinds)[1] * 100).astype(np.int64), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(np.append(weight, -1)), pa.array(np.append(n, len(kinds[0])))], ["weight", "n"])
+            toxic, fold = (batch.column(0).to_numpy() > 0).astype(np.int32), batch.column(1).to_numpy()
+            for i, j, kinds, word_at in _words(batch, 2):
+                at, number = shared.value.all(kinds)
+                row = np.searchsorted(word_at, at, "right") - 1
+                word = np.append(kinds[0], _U(0))
+                before = np.where(at > word_at[row], word[at - 1], _U(0))
+                after = np.where(at + 1 < word_at[row + 1], word[at + 1], _U(0))
+                place = mix(before * _U(3) + mix(after)).view(np.int64)
+                cells = np.unique(np.stack([number, toxic[i:j][row], fold[i:j][row], place]), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cells], ["number", "toxic", "fold", "place"])
 
     return run
 
 
 def _background(words: np.ndarray):
-    """(text) to (word, occurrences) of the given sorted words; word null: all words."""
-    lookup = ToxicityModel(words, np.zeros(len(words)), 0.0, 1.0, np.zeros(3))
+    """(text) to (number, n): occurrences of the given sorted tokens, and as number -1 of all words."""
+    lookup = Lookup(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count, total = np.zeros(len(words), np.int64), 0
@@ -150,14 +192,60 @@ def _background(words: np.ndarray):
                     count += np.bincount(lookup.numbers(h)[1], minlength=len(words))
                 total += len(kinds[0])
         some = np.flatnonzero(count)
-        word = pa.array([*words[some].view(np.int64).tolist(), None], pa.int64())
-        yield pa.RecordBatch.from_arrays([word, pa.array([*count[some].tolist(), total], pa.int64())], ["word", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array([*some.tolist(), -1], pa.int64()), pa.array([*count[some].tolist(), total], pa.int64())], ["number", "n"])
+
+    return run
+
+
+def _left_out(batch: pa.RecordBatch, shared) -> Iterator[tuple]:
+    """Of each row range: offsets of rows in words, and for each bar the words of weight under the model that left the row's fold out."""
+    lookup, weights = shared
+    folds = batch.column(1).to_numpy()
+    for i, j, kinds, word_at in _words(batch, 2):
+        at, number = lookup.all(kinds)
+        fold = folds[i:j][np.searchsorted(word_at, at, "right") - 1]
+        yield i, j, word_at, [heaviest(at, w[fold, number]) for w in weights]
+
+
+def _calm_weights(shared):
+    """(toxic, fold, text) to (bar, weight in hundredths, words of it) of texts that aren't toxic; weight -1: all words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, word_at, found in _left_out(batch, shared.value):
+                for bar, (_, weight) in enumerate(found):
+                    value, n = np.unique(np.rint(weight * 100).astype(np.int64), return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array([bar] * (len(value) + 1), pa.int32()), pa.array(np.append(value, -1)), pa.array(np.append(n, word_at[-1]))], ["bar", "weight", "n"])
 
     return run
 
 
+def _scores(shared, rests: list[float]):
+    """(toxic, fold, text) to (toxic, n_words, scores): for each bar the scores of the text's maximal segments."""
+    kind = pa.list_(pa.list_(pa.float64()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, word_at, found in _left_out(batch, shared.value):
+                cells: list[list] = [[] for _ in range(j - i)]
+                for (at, weight), rest in zip(found, rests, strict=True):
+                    edge = np.searchsorted(at, word_at)
+                    for r in range(j - i):
+                        a, b = edge[r], edge[r + 1]
+                        cells[r].append([s for _, _, s in segments((at[a:b] - word_at[r]).tolist(), weight[a:b].tolist(), rest)] if b > a else [])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i).cast(pa.int32()), pa.array(np.diff(word_at), pa.int64()), pa.array(cells, kind)], ["toxic", "n_words", "scores"])
+
+    return run
+
+
+def worths(model: ToxicityModel, scores: np.ndarray, n_words: int) -> tuple[float, float]:
+    """The worth of all significant segments of a text, and of the best."""
+    worth = model.worth(np.asarray(scores, float), n_words)
+    return (float(np.maximum(worth, 0).sum()), float(worth.max())) if len(scores) else (0.0, 0.0)
+
+
 def _features(model: ToxicityModel, kinds: list[np.ndarray], word_at: np.ndarray) -> tuple[np.ndarray, list[list[tuple[int, int, float]]]]:
-    """The worth of all significant segments and of the best of each text, and the significant segments."""
+    """The worths of each text, and its significant segments."""
     n = len(word_at) - 1
     out, found = np.zeros((n, 2)), [[] for _ in range(n)]
     at, weight = model.hits(kinds)
@@ -165,10 +253,9 @@ def _features(model: ToxicityModel, kinds: list[np.ndarray], word_at: np.ndarray
     for r in np.flatnonzero(np.diff(edge)).tolist():
         a, b = edge[r], edge[r + 1]
         parts = segments((at[a:b] - word_at[r]).tolist(), weight[a:b].tolist(), model.rest)
-        # log of one over the expected number of segments as good in a text as long that isn't toxic
-        worth = [(model.scale * s - float(np.log1p(word_at[r + 1] - word_at[r])), (i, j)) for i, j, s in parts]
-        found[r] = [(i, j, w) for w, (i, j) in worth if w > 0]
-        out[r] = sum(max(0.0, w) for w, _ in worth), max(w for w, _ in worth)
+        size = int(word_at[r + 1] - word_at[r])
+        found[r] = [(i, j, w) for i, j, s in parts if (w := float(model.worth(s, size))) > 0]
+        out[r] = worths(model, np.array([s for _, _, s in parts]), size)
     return out, found
 
 
@@ -208,54 +295,85 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_
     Labels with a null id or value are left away; of several labels of one id the largest counts.
     At most TRAIN_ROWS labelled rows are used, equal texts once; the prior's frequencies are counted
     over all documents. With no toxic or no other text to fit on, every text scores the prior.
+
+    Every labelled text is scored by a model whose token counts leave its fold out. These scores
+    choose the bar for tokens (least log loss), give the extreme-value scale and constant, and
+    calibrate the score. What comes to the driver is bounded by the labelled rows: tokens that
+    their toxic texts favour by BARS[0] deviations, and the segments of the labelled texts.
     """
     small_batches(docs.sparkSession)
     told = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(F.max(F.col(label_col).cast("int")).alias("__toxic"))
     told = told.orderBy(F.xxhash64("__id"), "__id").limit(TRAIN_ROWS)
     sample = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(told), "__id")
-    sample = durable(sample.groupBy("text").agg(F.max("__toxic").alias("toxic")).select("toxic", "text"))
-    sizes = {bool(k): n for k, n in sample.groupBy(F.col("toxic") > 0).count().collect()}
-    yes_texts, no_texts = sizes.get(True, 0), sizes.get(False, 0)
+    fold = F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int").alias("fold")
+    sample = durable(sample.groupBy("text").agg(F.max("__toxic").alias("toxic")).select("toxic", fold, "text"))
+    texts = np.zeros((FOLDS, 2))  # of each fold, not toxic and toxic
+    for r in sample.groupBy("fold", (F.col("toxic") > 0).cast("int").alias("y")).count().collect():
+        texts[r.fold, r.y] = r["count"]
+    no_texts, yes_texts = texts.sum(axis=0)
     if not yes_texts or not no_texts:
         none = np.zeros(0)
         prior = np.log((yes_texts + 0.5) / (no_texts + yes_texts + 1.0) / (1 - (yes_texts + 0.5) / (no_texts + yes_texts + 1.0)))
-        return ToxicityModel(none.astype(np.uint64), none, -1.0, 1.0, np.array([min(prior, -1e-6), 0.0, 0.0]))
-    counted = sample.mapInArrow(_count_words, "word long, yes long, no long").groupBy("word").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
-    ahead = F.log((F.col("yes") + 0.5) / yes_texts) - F.log((F.col("no") + 0.5) / no_texts)
-    telling = (F.col("yes") >= max(LEAST_TEXTS, LEAST_COVER * yes_texts)) & (F.col("yes") >= LEAST_PURITY * (F.col("yes") + F.col("no")))
-    rows = counted.where(telling & (ahead > 0)).orderBy(F.desc(ahead * F.sqrt("yes")), "word").limit(MODEL_WORDS).collect()
+        return ToxicityModel(none.astype(np.uint64), none, -1.0, 1.0, 1.0, np.array([min(prior, -1e-6), 0.0, 0.0]))
+
+    counts = [F.sum(F.when(F.col("class") == c, F.col("n")).otherwise(0)).alias(f"c{c}") for c in range(2 * FOLDS)]
+    counted = durable(sample.mapInArrow(_count_words, "word long, class int, n long").groupBy("word").agg(*counts))
+    totals = np.array(counted.where("word = 0").first()[1:], float).reshape(FOLDS, 2)
+    all_no, all_yes = np.maximum(totals.sum(axis=0), 1)
+    no, yes = (sum(F.col(f"c{c}") for c in range(k, 2 * FOLDS, 2)) for k in (0, 1))
+    raw = F.log((yes + 0.5) / all_yes) - F.log((no + 0.5) / all_no)
+    telling = (F.col("word") != 0) & (yes >= LEAST_PLACES) & (raw >= BARS[0] * F.sqrt(1 / (yes + 0.5) + 1 / (no + 0.5)))
+    rows = counted.where(telling).collect()
     rows.sort(key=lambda r: r.word & (1 << 64) - 1)
     words = np.array([r.word & (1 << 64) - 1 for r in rows], np.uint64)
-    yes, no = np.array([r.yes for r in rows], float), np.array([r.no for r in rows], float)
-
-    seen = {r.word: r.n for r in docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(_background(words), "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()}
-    share = np.array([seen.get(r.word, 0) for r in rows], float) / max(1, seen.get(None, 1))
-    per_text = seen.get(None, 1) / max(1, docs.count())
-    weight = PRIOR_SHARE * min(yes_texts, no_texts)
-    prior = weight * np.minimum(0.9, share * per_text) + 0.01
-    odds = np.log((yes + prior) / (yes_texts + weight)) - np.log((no + prior) / (no_texts + weight))
-    z = odds / np.sqrt(1 / (yes + prior) + 1 / (no + prior))
-    keep = (z >= LEAST_Z) & (odds > 0)
-    model = ToxicityModel(words[keep], odds[keep], -1.0, 1.0, np.zeros(3))
-    calm = sample.where("toxic = 0").mapInArrow(_calm_weights(model), "weight long, n long").groupBy("weight").agg(F.sum("n").alias("n")).toPandas()  # a row for each hundredth
-    found = calm[calm.weight >= 0]
-    weights, counts = found.weight.to_numpy(float) / 100, found.n.to_numpy(float)
-    every = float(calm.n[calm.weight < 0].sum()) + 1
-    weights, counts = np.append(weights, odds[keep].mean() if keep.any() else 1.0), np.append(counts, 0.5)
-    # the mean word of a text that isn't toxic weighs less than nothing
-    model.rest = -max(LEAST_REST, 2 * float(weights @ counts) / every)
-    model.scale = _scale(weights, counts / every, model.rest)
-
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i, j, kinds, word_at in _words(batch, 1):
-                f, _ = _features(model, kinds, word_at)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i).cast(pa.int32()), pa.array(f[:, 0]), pa.array(f[:, 1])], ["toxic", "all", "best"])
-
-    measured = sample.mapInArrow(measure, "toxic int, all double, best double").toPandas()  # TRAIN_ROWS at most
-    x = _design(measured[["all", "best"]].to_numpy())
-    model.coefficients = _fit_logistic(x, (measured.toxic > 0).to_numpy(float))
-    return model
+    # texts that are near copies of one another repeat a token between the same words, which counts once
+    spark = docs.sparkSession
+    known = spark.sparkContext.broadcast(Lookup(words))
+    places = sample.mapInArrow(_places(known), "number long, toxic long, fold long, place long").groupBy("number", "toxic", "place").agg(F.min("fold").alias("fold"))
+    by_class = np.zeros((len(words), FOLDS, 2))
+    for r in places.groupBy("number", "fold", "toxic").count().collect():  # 2 * FOLDS rows for each token at most
+        by_class[r.number, r.fold, r.toxic] = r["count"]
+    known.unpersist()
+
+    seen = {r.number: r.n for r in docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(_background(words), "number long, n long").groupBy("number").agg(F.sum("n").alias("n")).collect()}
+    share = np.array([seen.get(i, 0) for i in range(len(words))], float) / max(1, seen.get(-1, 0))
+
+    def weights(left_out: int | None) -> list[np.ndarray]:
+        """The weight of every token for each bar, 0 below it."""
+        own = [f for f in range(FOLDS) if f != left_out]
+        (n, y), t = by_class[:, own].sum(axis=1).T, np.maximum(totals[own].sum(axis=0), 1.0)
+        odds, z = log_odds(y, n, t[1], t[0], share)
+        return [np.where((z >= bar) & (y >= LEAST_PLACES), np.maximum(odds, 0), 0.0) for bar in BARS]
+
+    parts = [weights(f) for f in range(FOLDS)]
+    shared = spark.sparkContext.broadcast((Lookup(words), [np.stack([p[b] for p in parts]) for b in range(len(BARS))]))
+    calm = sample.where("toxic = 0").mapInArrow(_calm_weights(shared), "bar int, weight long, n long").groupBy("bar", "weight").agg(F.sum("n").alias("n")).toPandas()  # a row for each hundredth
+    whole = weights(None)
+    models = []
+    for b in range(len(BARS)):
+        mine = calm[calm.bar == b]
+        found = mine[mine.weight >= 0]
+        value, n = found.weight.to_numpy(float) / 100, found.n.to_numpy(float)
+        every = float(mine.n[mine.weight < 0].sum()) + 1
+        value, n = np.append(value, whole[b][whole[b] > 0].mean() if (whole[b] > 0).any() else 1.0), np.append(n, 0.5)
+        # the mean word of a text that isn't toxic weighs less than nothing
+        rest = -max(LEAST_REST, 2 * float(value @ n) / every)
+        models.append(ToxicityModel(words, whole[b], rest, _scale(value, n / every, rest), 1.0, np.zeros(3)))
+    measured = sample.mapInArrow(_scores(shared, [m.rest for m in models]), "toxic int, n_words long, scores array<array<double>>").collect()  # TRAIN_ROWS at most
+    shared.unpersist()
+    y = np.array([r.toxic > 0 for r in measured], float)
+    losses = []
+    for b, model in enumerate(models):
+        quiet = [(np.array(r.scores[b]), r.n_words) for r in measured if not r.toxic > 0]
+        high = sum(int((model.scale * s >= _FROM).sum()) for s, _ in quiet)
+        model.constant = (high + 0.5) * float(np.exp(_FROM)) / max(1, sum(n for _, n in quiet))
+        x = _design(np.array([worths(model, np.array(r.scores[b]), r.n_words) for r in measured]))
+        model.coefficients = _fit_logistic(x, y)
+        p = 1 / (1 + np.exp(-np.clip(x @ model.coefficients, -30, 30)))
+        losses.append(-float(np.log(np.where(y > 0, p, 1 - p)).mean()))
+    best = models[int(np.argmin(losses))]
+    some = best.weights > 0
+    return ToxicityModel(words[some], best.weights[some], best.rest, best.scale, best.constant, best.coefficients)
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -263,14 +381,15 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text"
 
     passages: array of (start, end, worth), words from 0, end exclusive. A null, empty or wordless
     text has no passage and the score of a text without model words. Rows are kept as they are,
-    repeated ones too. No shuffle.
+    repeated ones too; a kept column named like one of the results gives way to it. No shuffle.
     """
     small_batches(docs.sparkSession)
+    keep = tuple(c for c in keep if c.lower() not in ("score", "passages"))
     passage = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("worth", T.DoubleType())])
     schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("score", T.DoubleType()), T.StructField("passages", T.ArrayType(passage))])
     own_text = [] if text_col in keep else [F.col(text_col).alias("__text")]
     text_at = keep.index(text_col) if text_col in keep else len(keep)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # MODEL_WORDS words at most
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the labelled rows
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("worth", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

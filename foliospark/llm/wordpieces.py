@@ -18,7 +18,10 @@ from pyspark.sql import types as T
 
 from .bpe import _byte_of_char
 from .runtime import small_batches
-from .words import BLANK_SEPARATED, EXACT, pieces, text_bytes, word_hashes, word_spans
+from .words import BLANK_SEPARATED, EXACT, distinct_spans, pieces, text_bytes, word_hashes, word_spans
+
+#: So few spans are quicker to read one by one than side by side.
+FEW = 48
 
 
 class LongestMatch:
@@ -55,9 +58,13 @@ class LongestMatch:
         self.keys = np.array([k for k, _ in edges], np.int64)
         self.child = np.array([v for _, v in edges], np.int32)
         self.fail, self.popped = np.array(fail, np.int32), np.array(popped, np.int64)
+        self.steps = dict(edges), fail, popped
 
     def counts(self, body: np.ndarray, start: np.ndarray, end: np.ndarray, before: bytes = b"") -> np.ndarray:
-        """Tokens of each span of the bytes, read with `before` in front; all spans advance side by side."""
+        """Tokens of each span of the bytes, read with `before` in front.
+
+        Spans advance side by side, a byte each in one step; the last few long ones are read one after another.
+        """
         n = len(start)
         state, out = np.zeros(n, np.int64), np.zeros(n, np.int64)
         order = np.argsort(start - end, kind="stable")  # the longest first, so that those still read are a prefix
@@ -78,6 +85,10 @@ class LongestMatch:
             advance(np.full(n, b, np.int64))
         for k in range(int(size[0]) if n else 0):
             reading = int(np.searchsorted(-size, -k, "left"))
+            if reading <= FEW:
+                for i in range(reading):
+                    state[i], out[i] = self._read(body[start[i] + k : start[i] + size[i]].tobytes(), int(state[i]), int(out[i]))
+                break
             advance(body[start[:reading] + k].astype(np.int64))
         rows = np.flatnonzero(state)
         while len(rows):
@@ -88,6 +99,16 @@ class LongestMatch:
         back[order] = out
         return back
 
+    def _read(self, rest: bytes, state: int, count: int) -> tuple[int, int]:
+        """State and count after the bytes of one span."""
+        child, fail, popped = self.steps
+        for c in rest:
+            while (goal := child.get(state << 8 | c)) is None:
+                count += popped[state]
+                state = fail[state]
+            state = goal
+        return state, count
+
 
 @lru_cache(maxsize=2)
 def load(path: str) -> LongestMatch:
@@ -116,7 +137,7 @@ def count_tokens(docs: DataFrame, path: str, text_col: str = "text", keep: tuple
             for i, j in pieces(texts, 4 << 20):
                 body, at = text_bytes(texts.slice(i, j - i))
                 start, end, word_at = word_spans(body, at, BLANK_SEPARATED)
-                _, first, of = np.unique(word_hashes(body, start, end, EXACT), return_index=True, return_inverse=True)
+                first, of = distinct_spans(body, start, end, word_hashes(body, start, end, EXACT))
                 each = match.counts(body, start[first], end[first], b" ")[of]
                 total = np.concatenate([[0], np.cumsum(each)])
                 most = np.zeros(j - i, np.int64)

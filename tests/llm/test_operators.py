@@ -130,8 +130,8 @@ def test_decontamination(spark, docs, rows, none, nameless, monkeypatch):
     items = [(1, " ".join((text[20] or "").split(" ")[3:17])), (2, "two words"), (3, None), (None, "one"), (5, "..."), (11, "ONE"), (12, "never seen here at all in any of these many texts"), (13, text[30])]
     bench = spark.createDataFrame(items, "item_id long, text string")
     want = brute.op10(rows, items)
-    for block in (8 << 20, 40):
-        monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
+    for bits in (24, 8):  # small tables let more through
+        monkeypatch.setattr(decontaminate, "MOST_BITS", bits)
         got = decontaminate.find_contamination(docs, bench).withColumn("n", decontaminate.hit_words()).collect()
         assert {r.doc_id: (r.n_words, r.n, len(r["items"]), brute.sha(",".join(r["items"])), r.n > 0) for r in got} == want
     assert decontaminate.find_contamination(none, bench).count() == 0
@@ -251,8 +251,9 @@ def test_embeddings(spark, none, monkeypatch):
     vectors += [(1000, None), (1001, []), (1002, [0.0] * 16), (1003, [float("nan")] * 16), (1004, [None, *[1.0] * 15]), (1005, [1.0, 2.0]), (1006, [1.0, 2.0]), (1007, [float("inf")] * 16)]
     df = spark.createDataFrame(vectors, "vec_id long, embedding array<float>")
     want = plain_embeddings(vectors)
-    for block in (4096, 8):
+    for block, values in ((8192, 1 << 22), (8, 400)):  # small groups, so that a cell spans several
         monkeypatch.setattr(embeddings, "BLOCK", block)
+        monkeypatch.setattr(embeddings, "GROUP_VALUES", values)
         assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embeddings.near_embeddings(df).collect()} == want
     assert embeddings.near_embeddings(df.where("false")).count() == 0
     assert embeddings.near_embeddings(df.where("vec_id >= 1000 and vec_id < 1005")).where("n_links > 0").count() == 0
