@@ -16,16 +16,22 @@ from foliospark.llm.runtime import durable, read_table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below 0.5, by a model fitted on the labelled documents that aren't held out."""
+    """Documents that score below 0.5, by a model fitted on the labelled documents that aren't held out.
+
+    Null, empty and very long texts are scored like others, repeated rows and null ids too; without
+    labels nothing goes but what the prior rejects, which is nothing. Any further columns stay.
+    """
     model = toxicity.fit_toxicity(docs, read_table(spark, sf_dir, "labels").where(~held_out("doc_id")))
-    scored = toxicity.score_toxicity(docs, model, keep=tuple(docs.columns))
-    return scored.where("score < 0.5").select(*docs.columns)
+    own = [f"__c{k}" for k in range(len(docs.columns))]  # so that no column is named like a result
+    scored = toxicity.score_toxicity(docs.toDF(*own), model, text_col=own[docs.columns.index("text")], keep=tuple(own))
+    return scored.where("score < 0.5").select(*own).toDF(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of similar rows (five-word shingles, 0.8 or more) the one of smallest doc_id, null ids last.
 
     Rows are linked by numbers of their own, fixed in the checkpoint folder: repeated and null ids are rows like others.
+    Null, empty and wordless texts are similar to nothing and stay; of equal ones with one id the first stored stays.
     """
     rows = durable(docs.withColumn("__row", F.monotonically_increasing_id()))
     groups = minhash.near_duplicates(rows, n_words=5, percent=80, id_col="__row").select(F.col("doc_id").alias("__row"), "component_id")
@@ -35,19 +41,20 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any window of the benchmark."""
-    found = decontaminate.find_contamination(docs, read_table(spark, sf_dir, "benchmark"), WINDOW, keep=tuple(docs.columns))
-    return found.where(F.size("hit_spans") == 0).select(*docs.columns)
+    """Documents without any window of the benchmark. Null and empty texts stay; an empty benchmark drops nothing."""
+    return decontaminate.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"), WINDOW)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, each secret in their texts replaced by a mark; n_chars follows."""
+    """All documents, each secret in their texts replaced by a mark; n_chars, where there is one, follows. A null text stays null."""
     clean = secrets.redact_secrets(docs)
+    if "n_chars" not in docs.columns:
+        return clean
     return clean.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars")))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows (doc_id, n_tokens, ids, lossless): token ids, and whether they decode to the text."""
+    """Rows (doc_id, n_tokens, ids, lossless): token ids, and whether they decode to the text. A null text counts as empty and has none."""
     coded = bpe.bpe_decode(bpe.bpe_encode(docs.select("doc_id", "text"), str(TOKENIZER)), str(TOKENIZER))
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"))
 
