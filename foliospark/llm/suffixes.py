@@ -2,11 +2,11 @@
 
 Where in the corpus a string of the threshold length can occur twice is found by anchors: in every
 window of that length the run of ANCHOR bytes with the least hash. Equal windows have equal anchors,
-so an anchor that occurs once rules its windows out. The surroundings of the others meet by anchor,
-two copies of equal ones at most, where the method proper decides: a Burrows-Wheeler transform of
-them, and breadth-first backward extension of its intervals, which derives common prefixes by
-increasing length and stops at the threshold; suffixes that no boundary divides by then start
-repeated strings. What holds for surroundings holds wherever they stand.
+so an anchor that occurs once rules its windows out, and surroundings that occur twice as a whole
+hold repeated strings only. Where surroundings of one anchor differ, each different one goes into a
+Burrows-Wheeler transform once, and breadth-first backward extension of its intervals derives common
+prefixes by increasing length and stops at the threshold; suffixes that no boundary divides by then
+start repeated strings.
 """
 
 from __future__ import annotations
@@ -224,42 +224,48 @@ def _find_anchors(length: int):
 
 
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Anchors sorted by deal, key and digest: those that occur twice, two of each digest numbered 1 and 2.
+    """Anchors sorted by deal, key and digest: those that occur twice, with what is known by then.
 
-    Rows are passed on as they come; all that is held is a row whose anchor has not occurred again yet.
+    heavy: the same surroundings occur again. nth: the number of different surroundings of the anchor
+    up to this row, or 0 where another row stands for the same. All that is held is the last row.
     """
     held: pa.RecordBatch | None = None
-    last: tuple = ()  # deal, key, hi, lo of the row before, and how many of its digest there were
+    before: tuple = ()  # what is known of the row held: whether its surroundings, its anchor came before, and nth
+
+    def known(batch: pa.RecordBatch) -> tuple:
+        deal, key, hi, lo = (batch.column(k).to_numpy() for k in range(4))
+        new_key = np.append(True, (deal[1:] != deal[:-1]) | (key[1:] != key[:-1]))
+        new_run = new_key | np.append(True, (hi[1:] != hi[:-1]) | (lo[1:] != lo[:-1]))
+        run_before, key_before, nth = ~new_run, ~new_key, np.cumsum(new_run)
+        nth = nth - np.maximum.accumulate(np.where(new_key, nth, 0)) + 1
+        if before:
+            run_before[0], key_before[0] = before[:2]
+            end = int(np.append(np.flatnonzero(new_key[1:]) + 1, len(key))[0])
+            nth[:end] += before[2] - 1
+        return run_before, key_before, nth
+
+    def judge(batch: pa.RecordBatch, n: int) -> pa.RecordBatch:
+        """The first n rows; the one behind them is still to come."""
+        run_before, key_before, nth = known(batch)
+        follower = batch.column(8).to_numpy() == 0
+        heavy = follower | run_before | np.append(run_before[1:], False)
+        pick = np.flatnonzero((heavy | key_before | np.append(key_before[1:], False))[:n])
+        own = np.where(run_before | follower, 0, nth)[pick]
+        return pa.RecordBatch.from_arrays([*(batch.column(k).take(pa.array(pick)) for k in range(1, 8)), pa.array(heavy[pick]), pa.array(own)], ["key", "hi", "lo", "id", "dig", "first", "last", "heavy", "nth"])
+
     for batch in batches:
         if held is not None:
             batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-            last, held = (), None
-        if not batch.num_rows:
-            continue
-        cells = [batch.column(k).to_numpy() for k in range(4)]
-        goes_on = bool(last) and last[:2] == (cells[0][0], cells[1][0])
-        same = goes_on and last[:4] == tuple(c[0] for c in cells)
-        new_key = np.append(not goes_on, (cells[0][1:] != cells[0][:-1]) | (cells[1][1:] != cells[1][:-1]))
-        new_run = new_key | np.append(not same, (cells[2][1:] != cells[2][:-1]) | (cells[3][1:] != cells[3][:-1]))
-        group = np.cumsum(new_key)
-        n = len(group)
-        nth = np.arange(n) - np.maximum.accumulate(np.where(new_run, np.arange(n), 0))
-        if same:
-            nth[: int(np.append(np.flatnonzero(new_run), n)[0])] += last[4]
-        many = np.bincount(group)[group] > 1
-        many |= group == 0  # goes on from the batch before
-        follower = batch.column(8).to_numpy() == 0
-        wait = not many[-1] and not follower[-1]
-        if wait:
-            held = batch.slice(n - 1)
-        last = (*(c[-1] for c in cells), int(nth[-1]) + 1)
-        pick = np.flatnonzero(many | follower)
-        lead = np.where(~follower & (nth < 2), nth + 1, 0).astype(np.int32)
-        yield pa.RecordBatch.from_arrays([*(batch.column(k).take(pa.array(pick)) for k in range(1, 8)), pa.array(lead[pick])], ["key", "hi", "lo", "id", "dig", "first", "last", "lead"])
+        if batch.num_rows > 1:
+            yield judge(batch, batch.num_rows - 1)
+            before = tuple(x[-1] for x in known(batch))
+        held = batch.slice(batch.num_rows - 1) if batch.num_rows else held
+    if held is not None:
+        yield judge(held, 1)
 
 
-_CUT = "key long, hi long, lo long, id long, dig long, first long, bytes binary, lead int"
-_NAMES = ["key", "hi", "lo", "id", "dig", "first", "bytes", "lead"]
+_CUT = "key long, hi long, lo long, id long, dig long, first long, bytes binary, heavy boolean"
+_NAMES = ["key", "hi", "lo", "id", "dig", "first", "bytes", "heavy"]
 
 
 def _cut_out(length: int):
@@ -284,11 +290,11 @@ def _cut_out(length: int):
 
 
 def _transform(length: int):
-    """Surroundings sorted by key to the spans of repeated strings in them, by digest; whole keys at a time."""
+    """Surroundings sorted by key to the spans of repeated strings in those that aren't heavy; whole keys at a time."""
 
     def decide(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
         rows = pa.Table.from_batches(parts).combine_chunks()
-        ids, digs, first, lead = (rows.column(k).to_numpy() for k in (3, 4, 5, 7))
+        ids, digs, first, heavy = (rows.column(k).to_numpy() for k in (3, 4, 5, 7))
         cells = rows.column(6).to_pylist()
         by = np.lexsort((first, digs, ids))
         segments: list[bytearray] = []  # of one text, overlapping ones made one
@@ -307,7 +313,7 @@ def _transform(length: int):
             reach = max(reach, place + len(cells[r]))
         text = np.frombuffer(b"\xff".join(segments), np.uint8)
         start = np.flatnonzero(repeated_starts(text, length))
-        own = np.flatnonzero(lead == 1)
+        own = np.flatnonzero(~heavy)
         windows = np.array([len(cells[r]) - length + 1 for r in own.tolist()], np.int64)
         a, b = np.searchsorted(start, shift[own]), np.searchsorted(start, shift[own] + windows)
         row = np.repeat(own, b - a)
@@ -315,8 +321,8 @@ def _transform(length: int):
         lo = start[k] - shift[row]
         cut = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (lo[1:] > lo[:-1] + length))[: len(row)])
         to = np.append(cut[1:], len(row))[: len(cut)] - 1
-        pick = pa.array(row[cut])
-        return pa.RecordBatch.from_arrays([*(rows.column(c).combine_chunks().take(pick) if isinstance(rows.column(c), pa.ChunkedArray) else rows.column(c).take(pick) for c in range(3)), pa.array(lo[cut]), pa.array(lo[to] + length)], ["key", "hi", "lo", "from", "to"])
+        at = first[row[cut]]
+        return pa.RecordBatch.from_arrays([pa.array(ids[row[cut]]), pa.array(digs[row[cut]]), pa.array(at + lo[cut]), pa.array(at + lo[to] + length)], ["id", "dig", "from", "to"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[pa.RecordBatch] = []
@@ -343,7 +349,7 @@ def _transform(length: int):
 
 
 def _windows(length: int):
-    """Surroundings to a row for each window: (key, hi, lo, lead, nth, h, g, id, dig, first, bytes); h and g are its digest."""
+    """Surroundings to a row for each window: its digest (h, g), whether it is heavy, where it is, and its bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -351,10 +357,9 @@ def _windows(length: int):
                 raw = batch.column(6)[r].as_py()
                 n = len(raw) - length + 1
                 digest = _digests(raw, list(range(n)), list(range(length, n + length)))
-                own = [batch.column(k).slice(r, 1).take(pa.array(np.zeros(n, np.int64))) for k in (0, 1, 2, 7)]
-                place = [batch.column(k).slice(r, 1).take(pa.array(np.zeros(n, np.int64))) for k in (3, 4)]
-                cells = [*own, pa.array(np.arange(n)), pa.array(digest[:, 0]), pa.array(digest[:, 1]), *place, pa.array(np.arange(n) + batch.column(5)[r].as_py())]
-                yield pa.RecordBatch.from_arrays([*cells, pa.array([raw[k : k + length] for k in range(n)], pa.binary())], ["key", "hi", "lo", "lead", "nth", "h", "g", "id", "dig", "first", "bytes"])
+                heavy, own, dig = (batch.column(k).slice(r, 1).take(pa.array(np.zeros(n, np.int64))) for k in (7, 3, 4))
+                place = pa.array(np.arange(n) + batch.column(5)[r].as_py())
+                yield pa.RecordBatch.from_arrays([pa.array(digest[:, 0]), pa.array(digest[:, 1]), heavy, own, dig, place, pa.array([raw[k : k + length] for k in range(n)], pa.binary())], ["h", "g", "heavy", "id", "dig", "first", "bytes"])
 
     return run
 
@@ -399,12 +404,12 @@ def find_repeats(docs: DataFrame, length: int = 200, text_col: str = "text", id_
     `length` lose nothing. Repeated rows are repeats of one another, so that a repeated text of
     `length` bytes or more goes as a whole. Rows may have null or equal ids. No rows give no rows.
 
-    A text of which the corpus holds another copy (by SHA-256) goes as a whole. All else is decided by
-    the transform. What is shuffled: a narrow row for each anchor, those of anchors that occur twice
-    once more, the texts twice (once to cut out surroundings, once for the result), and two copies at
-    most of each different surroundings. Equal surroundings are told by a 128-bit digest, so that a
-    passage in very many texts meets in no task more than twice; an anchor with more than CROWD
-    different surroundings has its windows dealt by their own digests, two copies of each at most.
+    A text of which the corpus holds another copy (by SHA-256) goes as a whole, and so do surroundings
+    of an anchor (by a 128-bit digest); in all else the transform decides. What is shuffled: a narrow
+    row for each anchor, the texts twice (once to cut out surroundings, once for the result), and
+    each different surroundings of the anchors of which some occur once. So a passage in very many
+    texts meets in no task more than once. An anchor with more than CROWD different surroundings has
+    its windows dealt by their own digests instead, and two copies of each that occurs twice go into a transform.
     """
     small_batches(docs.sparkSession)
     none = F.lit(-(1 << 63)).cast("long")
@@ -417,27 +422,26 @@ def find_repeats(docs: DataFrame, length: int = 200, text_col: str = "text", id_
 
     found = rows.select("id", "dig", "text").mapInArrow(_find_anchors(length), _ANCHORS)
     judged = found.repartition("deal").sortWithinPartitions("deal", "key", "hi", "lo")
-    judged = durable(judged.mapInArrow(_settle, "key long, hi long, lo long, id long, dig long, first long, last long, lead int"))
-    leads = judged.where("lead > 0")
-    crowded = durable(leads.where("lead = 1").groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > CROWD).select("key"))
-    asked = leads.groupBy("id", "dig").agg(F.collect_list(F.struct("key", "hi", "lo", "first", "last", "lead")).alias("asked"))
-    around = rows.join(asked, ["id", "dig"]).select("id", "dig", "text", "asked").mapInArrow(_cut_out(length), _CUT)
-    decided = "key long, hi long, lo long, from long, to long"
-    if crowded.isEmpty():
-        verdicts = around.repartition("key").sortWithinPartitions("key").mapInArrow(_transform(length), decided)
-    else:
-        around = durable(around)
-        calm = around.join(crowded, "key", "left_anti").select(*_NAMES).repartition("key").sortWithinPartitions("key")
-        windows = durable(around.join(crowded, "key", "left_semi").select(*_NAMES).mapInArrow(_windows(length), "key long, hi long, lo long, lead int, nth long, h long, g long, id long, dig long, first long, bytes binary"))
+    judged = durable(judged.mapInArrow(_settle, "key long, hi long, lo long, id long, dig long, first long, last long, heavy boolean, nth long"))
+    spans = judged.where("heavy").select("id", "dig", F.col("first").alias("from"), (F.col("last") + length).alias("to"))
+
+    various = judged.where("nth > 0").groupBy("key").agg(F.max("nth").alias("most"), F.min("heavy").alias("settled")).where("most > 1 and not settled").select("key", "most")
+    asked = judged.where("nth > 0").join(durable(various), "key")
+    crowded = not asked.where(F.col("most") > CROWD).isEmpty()
+    asked = asked.groupBy("id", "dig").agg(F.collect_list(F.struct("key", "hi", "lo", "first", "last", "heavy", (F.col("most") > CROWD).alias("crowd"))).alias("asked"))
+    around = rows.join(asked, ["id", "dig"]).select("id", "dig", "text", "asked")
+    part = lambda crowd: around.withColumn("asked", F.filter("asked", lambda x: x["crowd"] == F.lit(crowd))).mapInArrow(_cut_out(length), _CUT)
+    decided = "id long, dig long, from long, to long"
+    spans = spans.union(part(False).repartition("key").sortWithinPartitions("key").mapInArrow(_transform(length), decided))
+    if crowded:
+        windows = durable(part(True).mapInArrow(_windows(length), "h long, g long, heavy boolean, id long, dig long, first long, bytes binary"))
         place = F.struct("id", "dig", "first")
-        met = windows.groupBy("h", "g").agg(F.min(place).alias("a"), F.max(place).alias("b"), F.first("bytes").alias("bytes")).where("a <> b")
-        met = met.select("h", "g", "bytes", F.posexplode(F.array("a", "b")).alias("k", "p"))
-        met = met.select(F.col("h").alias("key"), F.col("h").alias("hi"), F.col("g").alias("lo"), "p.id", "p.dig", "p.first", "bytes", (F.col("k") + 1).alias("lead"))
-        sure = met.repartition("key").sortWithinPartitions("key").mapInArrow(_transform(length), decided).select(F.col("hi").alias("h"), F.col("lo").alias("g")).distinct()
-        fresh = windows.where("lead = 1").join(durable(sure), ["h", "g"]).select("key", "hi", "lo", F.col("nth").alias("from"), (F.col("nth") + length).alias("to"))
-        verdicts = calm.mapInArrow(_transform(length), decided).union(fresh)
-    verdicts = durable(verdicts)
-    spans = judged.select("key", "hi", "lo", "id", "dig", "first").join(verdicts, ["key", "hi", "lo"]).select("id", "dig", (F.col("first") + F.col("from")).alias("from"), (F.col("first") + F.col("to")).alias("to"))
+        met = windows.groupBy("h", "g").agg(F.min(place).alias("a"), F.max(place).alias("b"), F.max("heavy").alias("heavy"), F.first("bytes").alias("bytes")).where("a <> b or heavy")
+        pair = met.select("h", "g", "bytes", F.explode(F.array(F.lit(0).cast("long"), F.lit(1).cast("long"))).alias("k"))
+        pair = pair.select(F.col("h").alias("key"), "h", F.col("g").alias("lo"), F.col("h").alias("id"), F.col("g").alias("dig"), (F.col("k") * 2 * length).alias("first"), "bytes", F.lit(False).alias("heavy"))
+        sure = pair.repartition("key").sortWithinPartitions("key").mapInArrow(_transform(length), decided).select(F.col("id").alias("h"), F.col("dig").alias("g")).distinct()
+        fresh = windows.where("not heavy").join(durable(sure), ["h", "g"])
+        spans = spans.union(fresh.select("id", "dig", F.col("first").alias("from"), (F.col("first") + length).alias("to")))
     spans = spans.union(whole).groupBy("id", "dig").agg(F.collect_list(F.struct("from", "to")).alias("removed"))
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"]
     given = F.when(F.col("id") != none, F.col("id")).alias("doc_id")
