@@ -271,8 +271,11 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 80, text_c
     sizes = durable(clusters.groupBy("cluster").agg(blocks.alias("blocks"), F.count("*").alias("documents")))
     members = clusters.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
 
+    # texts of clustered documents only, written once for both rounds
+    known = durable(rows.withColumnRenamed("doc_id", "id").join(clusters.select("id"), "id").select("id", "text"))
+
     def confirmed(tasks: DataFrame) -> DataFrame:
-        texts = rows.join(tasks, rows.doc_id == tasks.id).select("task", "id", "text")
+        texts = known.join(tasks, "id").select("task", "id", "text")
         return durable(texts.repartition("task").sortWithinPartitions("task").mapInArrow(_verify(n_words, percent), "u long, v long"))
 
     hub = (F.col("blocks") > 1) & (F.pmod(F.xxhash64("id", F.lit(1)), F.ceil(F.col("documents") / HUBS)) == 0)

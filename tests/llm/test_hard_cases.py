@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from foliospark.llm import bpe, decontaminate, licenses, minhash, queries, secrets, sharding, suffixes, toxicity, wordpieces, words
+from foliospark.llm import bpe, decontaminate, licenses, minhash, queries, runtime, secrets, sharding, suffixes, toxicity, wordpieces, words
 
 from . import brute
 
@@ -224,5 +224,16 @@ def test_stages_on_odd_tables(spark, tmp_path):
     assert stage_texts(corpus_pipeline.redact(spark, docs, str(tmp_path)))[4] == "😀 ünï [secret]"
 
 
+def test_components_in_one_task_and_in_rounds(spark, monkeypatch):
+    rnd = random.Random(5)
+    links = [(rnd.randrange(400), rnd.randrange(400)) for _ in range(260)] + [(900 + i, 901 + i) for i in range(90)]
+    df = spark.createDataFrame(links, "u long, v long").repartition(4)
+    real = [(a, b) for a, b in links if a != b]
+    want = brute.components({x for e in real for x in e}, real)
+    for few in (1 << 20, 0):
+        monkeypatch.setattr(runtime, "FEW_EDGES", few)
+        assert {r.id: r.component for r in runtime.connected_components(df).collect()} == want
+
+
 def stage_texts(df):
     return {r.doc_id: r.text for r in df.collect()}
