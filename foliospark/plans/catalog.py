@@ -178,7 +178,8 @@ def paragraph_segments(spark, d):
 
 def para_tokens(spark, d):
     t = doc_tokens(spark, d)
-    return t.join(lines.paragraphs(layout.blocks(t)).select("doc_id", "block", "para_no"), ["doc_id", "block"])
+    # a block for each few tokens: nothing to broadcast
+    return t.hint("merge").join(lines.paragraphs(layout.blocks(t)).select("doc_id", "block", "para_no"), ["doc_id", "block"])
 
 
 PARA_STATS = (
