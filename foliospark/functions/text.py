@@ -201,3 +201,69 @@ def leading_int(c: Column) -> Column:
 def relative_ratio(a: Column, b: Column) -> Column:
     """|b - a| / (a + b): how much two counts disagree."""
     return F.abs(b - a) / (a + b)
+
+
+#: Kinds of page references.
+PAGE_TYPES = {"none": 0, "roman": 1, "arabic": 2, "letter": 3, "bad": 4}
+
+
+def page_type(c: Column) -> Column:
+    """Kind of a page reference: digits (with an I in front read as 1; I alone too), small roman digits, none, or neither."""
+    return (
+        F.when(c == "", PAGE_TYPES["none"])
+        .when(c.rlike(r"^I?\d+$") | (c == "I"), PAGE_TYPES["arabic"])
+        .when(c.rlike("^I?[ivx]+$"), PAGE_TYPES["roman"])
+        .otherwise(PAGE_TYPES["bad"])
+    )
+
+
+def page_value(c: Column) -> Column:
+    """Number of a page reference: 1 for I, 0 for one that is bad."""
+    kind = page_type(c)
+    digits = F.greatest(F.lit(1), F.coalesce(F.regexp_replace(c, "^I", "1").try_cast("int"), F.lit(0)))
+    return F.when(kind == PAGE_TYPES["arabic"], digits).when(kind == PAGE_TYPES["roman"], roman_value(c)).otherwise(0)
+
+
+def unescape(c: Column) -> Column:
+    r"""Text with \uXXXX, \n, \" and the like resolved; a text that is no JSON string's inside stays as it is."""
+    bare = F.regexp_replace(F.regexp_replace(c, r'(?<!\\)((?:\\\\)*)"', r'$1\\"'), r"\t", r"\\t")
+    bare = F.regexp_replace(F.regexp_replace(bare, r"\r", r"\\r"), r"\n", r"\\n")
+    return F.coalesce(F.element_at(F.from_json(F.concat(F.lit('["'), bare, F.lit('"]')), "array<string>"), 1), c)
+
+
+def split_distance(a: Column, b: Column) -> Column:
+    """Edit distance of two readings and its parts: struct of distance, capital, non_alnum and alnum, which add up to it."""
+    plain = lambda c: F.regexp_replace(F.lower(c), "[^a-z0-9]", "")
+    whole, low, core = edit_distance(a, b), edit_distance(F.lower(a), F.lower(b)), edit_distance(plain(a), plain(b))
+    core = F.least(core, low)
+    return F.struct(whole.alias("distance"), (whole - low).alias("capital"), (low - core).alias("non_alnum"), core.alias("alnum"))
+
+
+def title_case(c: Column) -> Column:
+    """Every word with a capital in front and small letters after it."""
+    return F.initcap(F.lower(c))
+
+
+def lower_and_cut(c: Column, most: int = 100) -> Column:
+    return F.lower(F.substring(c, 1, most))
+
+
+def after_last(c: Column, mark: str) -> Column:
+    """The rest of a text from the last place of a mark on; empty if it has none."""
+    return F.when(c.contains(mark), F.concat(F.lit(mark), F.substring_index(c, mark, -1))).otherwise(F.lit(""))
+
+
+def or_placeholder(c: Column, placeholder: str = "-") -> Column:
+    return F.coalesce(F.when(c != "", c), F.lit(placeholder))
+
+
+def prefix_class(c: Column, names: dict[str, str], other: str) -> Column:
+    """The class of the first of `names` that a text begins with, whatever its capitals."""
+    chain = F
+    for prefix, name in names.items():
+        chain = chain.when(F.lower(c).startswith(prefix.lower()), F.lit(name))
+    return chain.otherwise(F.lit(other))
+
+
+def count_tags(c: Column, tag: str) -> Column:
+    return F.regexp_count(c, F.lit(f"(?i)<{tag}\\b"))

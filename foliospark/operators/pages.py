@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import classify
@@ -10,8 +10,8 @@ from ..functions import classify
 count_if = lambda c: F.sum(F.when(c, 1).otherwise(0))
 
 
-def line_stats(tokens: DataFrame) -> DataFrame:
-    """One row for each line: words, capitals, extent (single characters left away), whether it ends in a number."""
+def line_stats(tokens: DataFrame, *more: Column) -> DataFrame:
+    """One row for each line: words, capitals, extent (single characters left away), whether it ends in a number; `more` are further aggregates."""
     text = F.col("text")
     long = F.length("text") > 1
     return tokens.groupBy("doc_id", "page", "line").agg(
@@ -21,6 +21,7 @@ def line_stats(tokens: DataFrame) -> DataFrame:
         F.min(F.when(long, F.col("x1"))).alias("left_x"),
         F.max(F.when(long, F.col("x2"))).alias("right_x"),
         F.max_by(text.rlike(r"^\d{1,3}$"), "sn").cast("int").alias("right_is_number"),
+        *more,
     ).withColumn("center", F.floor((F.col("left_x") + F.col("right_x")) / 2).cast("int"))
 
 
@@ -116,3 +117,13 @@ def page_word_weights(tokens: DataFrame) -> DataFrame:
     table = lambda d: F.create_map(*(F.lit(x) for pair in d.items() for x in pair))
     weight = lambda c, d: F.sum(F.coalesce(F.try_element_at(table(d), c), F.lit(0)))
     return tokens.groupBy("doc_id", "page").agg(weight(F.lower("text"), classify.TITLE_WORDS).alias("title_words"), weight(F.col("text"), classify.SIGNATURE_WORDS).alias("sig_words"))
+
+
+def indent_clusters(lines: DataFrame, width: int = 1000) -> DataFrame:
+    """(doc_id, page, bin, n and means and deviations of the extent, words and closing numbers) of the lines of a page that start alike."""
+    mean = lambda c: F.round(F.avg(c), 4)
+    dev = lambda c: F.round(F.stddev_samp(c), 4)
+    return lines.where("left_x is not null").groupBy("doc_id", "page", F.floor(F.col("left_x") / width).cast("int").alias("bin")).agg(
+        F.count("*").alias("n"), mean("left_x").alias("mean_left"), mean("right_x").alias("mean_right"), dev("left_x").alias("sd_left"), dev("right_x").alias("sd_right"),
+        mean("right_is_number").alias("number_ratio"), mean("n_words").alias("mean_words"),
+    )

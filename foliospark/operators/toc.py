@@ -203,3 +203,11 @@ def build(paragraphs: DataFrame) -> DataFrame:
     tree = nest(kept)
     toc = kept.join(tree, ["doc_id", "item"])
     return ends(toc).select("doc_id", "item", "para_no", "page", "style", "enum", "header", "level", "parent", "end_para")
+
+
+def summary(items: DataFrame, key: str = "doc_id", top: int = 2) -> DataFrame:
+    """(key, n_items, n_top, n_nested, total_gap) of items (key, item, level): how many stand at the top, open a deeper level, and are missing between."""
+    w = Window.partitionBy(key).orderBy("item")
+    step = items.withColumn("deeper", F.col("level") > F.lag("level").over(w)).withColumn("gap", F.col("item") - F.lag("item").over(w) - 1)
+    count_if = lambda c: F.sum(F.when(c, 1).otherwise(0))
+    return step.groupBy(key).agg(F.count("*").alias("n_items"), count_if(F.col("level") == top).alias("n_top"), count_if(F.col("deeper")).alias("n_nested"), F.coalesce(F.sum("gap"), F.lit(0)).alias("total_gap"))

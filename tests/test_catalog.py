@@ -6,7 +6,7 @@ from pathlib import Path
 
 import pytest
 
-from foliospark.plans import catalog
+from foliospark.plans import catalog, structure  # noqa: F401
 
 D = "/root/testdata/sf0.001"
 
