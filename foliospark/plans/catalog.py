@@ -90,9 +90,10 @@ def coords_pixels(spark, d):
     return t.select("doc_id", "sn", px("x1", "xx").alias("px1"), px("x2", "xx").alias("px2"), px("y1", "yy").alias("py1"), px("y2", "yy").alias("py2"))
 
 
-@query("SELECT vec_id, CAST(trunc(CAST(embedding[1] AS DOUBLE) * 10000) AS INT) AS scaled FROM embeddings")
+@query("SELECT vec_id, list_sum([CAST(trunc(CAST(x AS DOUBLE) * 10000) AS INT) FOR x IN embedding])::BIGINT AS scaled FROM embeddings")
 def coords_scaled(spark, d):
-    return table(spark, d, "embeddings").select("vec_id", readers.scaled(F.element_at("embedding", 1).cast("double")).alias("scaled"))
+    total = F.aggregate(F.transform("embedding", lambda x: readers.scaled(x.cast("double"))), F.lit(0).cast("long"), lambda n, x: n + x)
+    return table(spark, d, "embeddings").select("vec_id", total.alias("scaled"))
 
 
 @query(BLOCKS + " SELECT * FROM blk")
@@ -345,13 +346,12 @@ def number_words(spark, d):
 
 
 @query(
-    "SELECT l_orderkey, l_linenumber, CAST(l_linenumber AS VARCHAR) AS enum_field, CAST(l_orderkey % 97 AS VARCHAR) AS parent_field, 'decimal_pair' AS style, l_linenumber AS value FROM lineitem WHERE l_orderkey % 97 > 0"
+    "SELECT l_orderkey, l_linenumber, CAST(l_linenumber AS VARCHAR) AS enum_field, CAST(l_orderkey % 97 + 1 AS VARCHAR) AS parent_field, 'decimal_pair' AS style, l_linenumber AS value FROM lineitem"
 )
 def section_fields(spark, d):
-    s = F.concat((F.col("l_orderkey") % 97).cast("string"), F.lit("."), F.col("l_linenumber").cast("string"))
+    s = F.concat((F.col("l_orderkey") % 97 + 1).cast("string"), F.lit("."), F.col("l_linenumber").cast("string"))
     fields = text.section_fields(s)
-    rows = table(spark, d, "lineitem").where("l_orderkey % 97 > 0")
-    return rows.select("l_orderkey", "l_linenumber", F.element_at(fields, -1).alias("enum_field"), F.element_at(fields, -2).alias("parent_field"), text.numeral_style(s).alias("style"), text.section_value(s).alias("value"))
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.element_at(fields, -1).alias("enum_field"), F.element_at(fields, -2).alias("parent_field"), text.numeral_style(s).alias("style"), text.section_value(s).alias("value"))
 
 
 STYLE = _case(text.NUMERAL_STYLES, lambda p: f"regexp_matches(text, '^({p})$')", "none")
@@ -424,13 +424,12 @@ def engine_unmatched(spark, d):
 @query(
     ENGINES
     + """ SELECT kind, count(*) AS n FROM (SELECT CASE WHEN text_a = text_b THEN 'SAME' WHEN lower(text_a) = lower(text_b) THEN 'CAPITAL'
-  WHEN regexp_replace(text_a, '[^A-Za-z0-9]', '', 'g') = regexp_replace(text_b, '[^A-Za-z0-9]', '', 'g') THEN 'NONALNUM' ELSE 'OTHER' END AS kind FROM best) GROUP BY kind"""
+  WHEN regexp_replace(text_a, '[^A-Za-z0-9]', '', 'g') = regexp_replace(text_b, '[^A-Za-z0-9]', '', 'g') THEN 'NONALNUM'
+  WHEN levenshtein(text_a, text_b) <= 0.5 * greatest(length(text_a), length(text_b)) AND greatest(length(text_a), length(text_b)) <= 150 THEN 'SIMILAR' ELSE 'DIFFERENT' END AS kind FROM best) GROUP BY kind"""
 )
 def discrepancy(spark, d):
     best = vote.mutual_best(vote.overlapping_pairs(*engines(spark, d)))
-    kind = vote.discrepancy(F.col("text_a"), F.col("text_b"))
-    kind = F.when(kind.isin("SIMILAR", "DIFFERENT"), "OTHER").otherwise(kind)
-    return best.groupBy(kind.alias("kind")).agg(F.count("*").alias("n"))
+    return best.groupBy(vote.discrepancy(F.col("text_a"), F.col("text_b")).alias("kind")).agg(F.count("*").alias("n"))
 
 
 CAT_A, CAT_B = CATEGORY.replace("(text,", "(text_a,"), CATEGORY.replace("(text,", "(text_b,")
@@ -438,7 +437,7 @@ CAT_A, CAT_B = CATEGORY.replace("(text,", "(text_a,"), CATEGORY.replace("(text,"
 
 @query(
     ENGINES
-    + f""", d AS (SELECT DISTINCT lower(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS word FROM tok WHERE sn % 11 = 0),
+    + f""", d AS (SELECT word FROM (SELECT lower(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS word FROM tok) WHERE length(word) > 1 GROUP BY word HAVING count(*) >= 3),
 v AS (SELECT b.*, {CAT_A} <> 'NONE' AS ta, {CAT_B} <> 'NONE' AS tb, regexp_matches(text_a, '[^\\x00-\\x7F]') AS oa, regexp_matches(text_b, '[^\\x00-\\x7F]') AS ob,
   x.word IS NOT NULL AS ka, y.word IS NOT NULL AS kb FROM best b LEFT JOIN d x ON x.word = lower(regexp_replace(text_a, '[^A-Za-z]', '', 'g')) LEFT JOIN d y ON y.word = lower(regexp_replace(text_b, '[^A-Za-z]', '', 'g')))
 SELECT doc_id, page, sn_a, CASE WHEN ta AND NOT tb THEN 'a' WHEN tb AND NOT ta THEN 'b' WHEN ob AND NOT oa THEN 'a' WHEN oa AND NOT ob THEN 'b' WHEN ka AND NOT kb THEN 'a' WHEN kb AND NOT ka THEN 'b'
@@ -448,7 +447,7 @@ def engine_vote(spark, d):
     a, b = engines(spark, d)
     best = vote.mutual_best(vote.overlapping_pairs(a, b))
     word = lambda c: F.lower(F.regexp_replace(c, "[^A-Za-z]", ""))
-    known = a.where("sn % 11 = 0").select(word("text").alias("word")).distinct()
+    known = tokens.frequent_words(a)
     for s in "ab":
         side = known.select(F.col("word").alias(f"word_{s}"), F.lit(True).alias(f"known_{s}"))
         best = best.withColumn(f"word_{s}", word(f"text_{s}")).join(side, f"word_{s}", "left")
@@ -514,7 +513,7 @@ def block_similar_x(spark, d):
 
 # pages
 
-PAGE_DICT = TOKENS + """, d AS (SELECT DISTINCT lower(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS word FROM tok WHERE sn < 20),
+PAGE_DICT = TOKENS + """, d AS (SELECT word FROM (SELECT lower(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS word FROM tok) WHERE length(word) > 1 GROUP BY word HAVING count(*) >= 3),
 pg AS (SELECT t.doc_id, t.page, count(*) AS n_words, sum(CASE WHEN regexp_matches(text, '^[^A-Za-z]*[A-Z]') THEN 1 ELSE 0 END)::BIGINT AS n_cap_words,
   sum(CASE WHEN length(regexp_replace(text, '[^A-Za-z0-9]', '', 'g')) < 2 THEN 1 ELSE 0 END)::BIGINT AS n_junk, sum(CASE WHEN d.word IS NOT NULL THEN 1 ELSE 0 END)::BIGINT AS n_dict,
   count(DISTINCT line) AS n_lines, sum(length(text))::BIGINT AS n_chars FROM tok t LEFT JOIN d ON d.word = lower(regexp_replace(text, '[^A-Za-z]', '', 'g')) GROUP BY t.doc_id, t.page)"""
@@ -523,8 +522,7 @@ pg AS (SELECT t.doc_id, t.page, count(*) AS n_words, sum(CASE WHEN regexp_matche
 @query(PAGE_DICT + " SELECT * FROM pg")
 def page_statistics(spark, d):
     t = doc_tokens(spark, d)
-    words = t.where("sn < 20").select(F.lower(F.regexp_replace("text", "[^A-Za-z]", "")).alias("word")).distinct()
-    return pages.page_stats(t, words)
+    return pages.page_stats(t, tokens.frequent_words(t))
 
 
 @query(
@@ -581,10 +579,9 @@ def caps_points(spark, d):
     return pages.caps_points(doc_tokens(spark, d))
 
 
-@query(TOKENS + ", p AS (SELECT doc_id, page, string_agg(text, ' ' ORDER BY sn) AS text FROM tok GROUP BY doc_id, page) SELECT doc_id, page FROM p WHERE regexp_matches(lower(text), '" + "|".join([*classify.SUMMARY_PHRASES, "license", "the of"]) + "')")
+@query(TOKENS + ", p AS (SELECT doc_id, page, string_agg(text, ' ' ORDER BY sn) AS text FROM tok GROUP BY doc_id, page) SELECT doc_id, page, regexp_matches(lower(text), '" + "|".join(classify.SUMMARY_PHRASES) + "') AS is_summary FROM p")
 def summary_pages(spark, d):
-    low = F.lower("text")
-    return pages.page_texts(doc_tokens(spark, d)).where(classify.is_summary(F.col("text")) | low.contains("license") | low.contains("the of")).select("doc_id", "page")
+    return pages.page_texts(doc_tokens(spark, d)).select("doc_id", "page", classify.is_summary(F.col("text")).alias("is_summary"))
 
 
 def _score_sql(label):
@@ -600,12 +597,10 @@ def phrase_scores(spark, d):
 
 
 @query(
-    "SELECT role, turn, conv_id FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS r FROM conversations WHERE contains(lower(text), 'a')) WHERE r <= 5"
+    f"SELECT conv_id, turn, score FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS r FROM (SELECT conv_id, turn, {_score_sql('preamble')} AS score FROM (SELECT *, regexp_replace(text, '[^A-Za-z0-9]+', ' ', 'g') AS q FROM conversations)) WHERE score > 2) WHERE r <= 25"
 )
 def phrase_caps(spark, d):
-    rows = table(spark, d, "conversations").where(F.lower("text").contains("a"))
-    nth = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn"))
-    return rows.withColumn("nth", nth).where(F.col("nth") <= classify.LABEL_CAPS["toc"]).select("role", "turn", "conv_id")
+    return pages.capped_labels(table(spark, d, "conversations"), "preamble", order="turn", key="conv_id").select("conv_id", "turn", "score")
 
 
 @query(
@@ -620,9 +615,13 @@ def page_word_weights(spark, d):
     return pages.page_word_weights(doc_tokens(spark, d))
 
 
-@query("SELECT role, count(*) AS n FROM conversations WHERE role IN (" + ", ".join(f"'{r}'" for r in [*classify.PARTY_ROLES, "user", "assistant"]) + ") GROUP BY role")
+_ROLES = ", ".join(f"'{r}'" for r in classify.PARTY_ROLES)
+
+
+@query(f"SELECT conv_id, turn, len([x FOR x IN string_split_regex(lower(text), '[^a-z]+') IF x IN ({_ROLES})]) AS n_roles FROM conversations")
 def party_roles(spark, d):
-    return table(spark, d, "conversations").where(F.col("role").isin(*classify.PARTY_ROLES, "user", "assistant")).groupBy("role").agg(F.count("*").alias("n"))
+    roles = F.filter(F.split(F.lower("text"), "[^a-z]+"), lambda w: w.isin(*classify.PARTY_ROLES))
+    return table(spark, d, "conversations").select("conv_id", "turn", F.size(roles).alias("n_roles"))
 
 
 # numbering: order lines as enumerations
@@ -815,16 +814,16 @@ def order_lines(spark, d):
     return table(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("p"), F.min("l_suppkey").alias("s"))
 
 
-@query(LINE_STATS + ", r AS (SELECT doc_id, page, right_x - lag(right_x) OVER (PARTITION BY doc_id, page ORDER BY line) AS d FROM lns WHERE right_is_number = 0) SELECT doc_id, page, count(*) AS n_refs, round(sqrt(coalesce(sum(d::DOUBLE * d), 0)) / count(*), 4) AS spread FROM r GROUP BY doc_id, page")
+@query(LINE_STATS + ", r AS (SELECT doc_id, page, right_x - lag(right_x) OVER (PARTITION BY doc_id, page ORDER BY line) AS d FROM lns WHERE right_is_number = 1) SELECT doc_id, page, count(*) AS n_refs, round(sqrt(coalesce(sum(d::DOUBLE * d), 0)) / count(*), 4) AS spread FROM r GROUP BY doc_id, page")
 def aligned_references(spark, d):
-    rows = pages.line_stats(doc_tokens(spark, d)).where("right_is_number = 0").withColumn("right_is_number", F.lit(1))
+    rows = pages.line_stats(doc_tokens(spark, d))
     return pages.aligned_references(rows.withColumn("right_x", F.col("right_x").cast("double"))).withColumn("spread", F.round("spread", 4))
 
 
-@query(TOKENS + ", s AS (SELECT doc_id, sn, text, lead(text) OVER (PARTITION BY doc_id ORDER BY sn) AS nx FROM tok) SELECT doc_id, sn FROM s WHERE text LIKE '%,' AND nx IS NOT NULL")
+@query(TOKENS + ", s AS (SELECT doc_id, sn, text, lead(text) OVER (PARTITION BY doc_id ORDER BY sn) AS nx FROM tok) SELECT doc_id, sn FROM s WHERE ends_with(text, '-') AND starts_with(nx, regexp_replace(text, '-+$', '')) AND length(nx) > length(regexp_replace(text, '-+$', ''))")
 def split_word_candidates(spark, d):
     w = Window.partitionBy("doc_id").orderBy("sn")
-    return doc_tokens(spark, d).withColumn("nx", F.lead("text").over(w)).where(F.col("text").endswith(",") & F.col("nx").isNotNull()).select("doc_id", "sn")
+    return doc_tokens(spark, d).withColumn("nx", F.lead("text").over(w)).where(classify.is_split_word(F.col("text"), F.col("nx"))).select("doc_id", "sn")
 
 
 @query()
@@ -836,14 +835,13 @@ def joined_split_words(spark, d):
 @query(
     ENGINES
     + f""", un AS (SELECT * FROM tok t WHERE NOT EXISTS (SELECT 1 FROM best b WHERE b.doc_id = t.doc_id AND b.sn_a = t.sn)),
-d AS (SELECT DISTINCT lower(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS word FROM tok WHERE sn % 11 = 1)
+d AS (SELECT word FROM (SELECT lower(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS word FROM tok) WHERE length(word) > 1 GROUP BY word HAVING count(*) >= 3)
 SELECT doc_id, sn FROM un LEFT JOIN d ON d.word = lower(regexp_replace(text, '[^A-Za-z]', '', 'g')) WHERE {CATEGORY} <> 'NONE' OR word IS NOT NULL OR conf > 80"""
 )
 def pairless_kept(spark, d):
     a, b = engines(spark, d)
     only = vote.unmatched(a, vote.mutual_best(vote.overlapping_pairs(a, b)), "a")
-    words = a.where("sn % 11 = 1").select(F.lower(F.regexp_replace("text", "[^A-Za-z]", "")).alias("word")).distinct()
-    return vote.keep_pairless(only, words).select("doc_id", "sn")
+    return vote.keep_pairless(only, tokens.frequent_words(a)).select("doc_id", "sn")
 
 
 @query(ENGINES + ", v AS (SELECT doc_id, sn_a AS sn, text_b AS voted FROM best WHERE text_a <> text_b AND conf_b > conf_a) SELECT t.doc_id, t.sn, coalesce(v.voted, t.text) AS text FROM tok t LEFT JOIN v ON v.doc_id = t.doc_id AND v.sn = t.sn")
@@ -901,7 +899,8 @@ def section_html(spark, d):
 
 @query()
 def aligned_headers(spark, d):
-    b = table(spark, d, "benchmark").select(F.col("item_id").alias("key"), F.substring("text", 1, 40).alias("a"), F.substring("text", 4, 40).alias("b"))
+    header = text.sentence_header(F.col("text"))
+    b = table(spark, d, "benchmark").select(F.col("item_id").alias("key"), header.alias("a"), F.lower(header).alias("b"))
     return more.align_strings(b)
 
 
@@ -939,13 +938,21 @@ def html_names(spark, d):
     return more.name_register(table(spark, d, "documents").select("doc_id", F.lit("media/a/b.pdf").alias("path")), "path").select("doc_id", "html_name")
 
 
-@query("WITH p AS (SELECT conv_id AS doc_id, turn AS para_no, CASE WHEN turn % 3 = 0 THEN 'start' ELSE 'end' END AS mark FROM conversations), b AS (SELECT *, last_value(CASE WHEN mark = 'start' THEN para_no END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY para_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS begin_para FROM p) SELECT doc_id, begin_para, para_no AS end_para FROM b WHERE mark = 'end' AND para_no - begin_para <= 20")
+@query("WITH p AS (SELECT conv_id AS doc_id, turn AS para_no, CASE WHEN regexp_matches(text, '^[A-M]') THEN 'start' ELSE 'end' END AS mark FROM conversations), b AS (SELECT *, last_value(CASE WHEN mark = 'start' THEN para_no END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY para_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS begin_para FROM p) SELECT doc_id, begin_para, para_no AS end_para FROM b WHERE mark = 'end' AND para_no - begin_para <= 20")
 def recital_intervals(spark, d):
-    marks = table(spark, d, "conversations").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("para_no"), F.when(F.col("turn") % 3 == 0, "start").otherwise("end").alias("mark"))
+    marks = table(spark, d, "conversations").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("para_no"), F.when(F.col("text").rlike("^[A-M]"), "start").otherwise("end").alias("mark"))
     return parts.recitals(marks)
 
 
-@query("WITH l AS (SELECT DISTINCT conv_id AS doc_id, turn AS para_no, role AS label FROM conversations WHERE turn % 4 <> 2), n AS (SELECT *, CASE WHEN para_no - lag(para_no) OVER w <= 1 THEN 0 ELSE 1 END AS new FROM l WINDOW w AS (PARTITION BY doc_id, label ORDER BY para_no)), r AS (SELECT *, sum(new) OVER (PARTITION BY doc_id, label ORDER BY para_no) AS run FROM n) SELECT doc_id, label, min(para_no) AS begin_para, max(para_no) AS end_para, count(*) AS n FROM r GROUP BY doc_id, label, run")
+_LABELS = " UNION ALL ".join(f"SELECT conv_id AS doc_id, turn AS para_no, '{k}' AS label, {_score_sql(k)} AS score, {bar} AS bar, {classify.LABEL_CAPS[k]} AS cap FROM q0" for k, bar in classify.LABEL_BAR.items())
+
+
+@query(
+    f"""WITH q0 AS (SELECT *, regexp_replace(text, '[^A-Za-z0-9]+', ' ', 'g') AS q FROM conversations), s AS ({_LABELS}),
+l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, label ORDER BY para_no) AS r FROM s WHERE score > bar) WHERE r <= cap),
+n AS (SELECT *, CASE WHEN para_no - lag(para_no) OVER w <= 5 THEN 0 ELSE 1 END AS new FROM l WINDOW w AS (PARTITION BY doc_id, label ORDER BY para_no)), r AS (SELECT *, sum(new) OVER (PARTITION BY doc_id, label ORDER BY para_no) AS run FROM n)
+SELECT doc_id, label, min(para_no) AS begin_para, max(para_no) AS end_para, count(*) AS n FROM r GROUP BY doc_id, label, run"""
+)
 def part_intervals(spark, d):
-    rows = table(spark, d, "conversations").where("turn % 4 <> 2").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("para_no"), F.col("role").alias("label")).distinct()
-    return parts.intervals(rows, 1)
+    rows = table(spark, d, "conversations").select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("para_no"), "text")
+    return parts.intervals(parts.label_paragraphs(rows))
