@@ -248,8 +248,9 @@ LABEL_CAPS = {"preamble": 25, "signature": 5, "rider": 5, "toc": 5, "recitals":
 
 
 def phrase_score(c: Column, label: str) -> Column:
-    """Sum of the weights of a label's phrases that a paragraph holds, runs of other than letters and digits read as one space."""
-    plain = F.regexp_replace(c, "[^A-Za-z0-9]+", " ")
+    """Sum of the weights of a label's phrases that a paragraph holds, runs of other than letters and digits read as one space, and one at its end."""
+    plain = F.concat(F.regexp_replace(c, "[^A-Za-z0-9]+$", ""), F.lit(" "))
+    plain = F.regexp_replace(plain, "[^A-Za-z0-9]+", " ")
     low = F.lower(plain)
 
     def holds(phrase: str) -> Column:

@@ -99,7 +99,7 @@ def column_groups(gaps: DataFrame, lines_of_page: DataFrame, least: int = 2) ->
 def reading_order(blocks: DataFrame, groups: DataFrame, ratio: float = 0.7) -> DataFrame:
     """Blocks with `place`: in each two-column run of a page that is mostly columns, all left blocks, then all right ones.
 
-    Runs come as column_groups gives them; blocks marked with a designation get a null place.
+    Runs come as column_groups gives them. Every block has a place; lookups.word_places leaves out those to be dropped.
     """
     wide = groups.where(F.col("line_ratio") >= ratio).select("doc_id", "page", "first_line", "last_line")
     inside = blocks.alias("b").join(wide.alias("g"), (F.expr("b.doc_id = g.doc_id and b.page = g.page and b.line between g.first_line and g.last_line")), "left")

@@ -211,3 +211,28 @@ def summary(items: DataFrame, key: str = "doc_id", top: int = 2) -> DataFrame:
     step = items.withColumn("deeper", F.col("level") > F.lag("level").over(w)).withColumn("gap", F.col("item") - F.lag("item").over(w) - 1)
     count_if = lambda c: F.sum(F.when(c, 1).otherwise(0))
     return step.groupBy(key).agg(F.count("*").alias("n_items"), count_if(F.col("level") == top).alias("n_top"), count_if(F.col("deeper")).alias("n_nested"), F.coalesce(F.sum("gap"), F.lit(0)).alias("total_gap"))
+
+
+def sequence_tree(relations: DataFrame, roots: DataFrame, key: list[str], root_level: int = 2, deepest: int = 12) -> DataFrame:
+    """(key..., seq, parent, level): the sequences that the root (key..., seq) includes, each below the one that includes it most closely.
+
+    relations: key..., a, b, relation, as span_relations gives them. A sequence's level is the root's and one more for each
+    sequence on the way, so that no recursion is needed: whatever includes it within the root's own lies on it. The closest is the
+    one that most others include, ties to the smallest number. Levels below `deepest` stay at it.
+    """
+    inside = relations.where("relation = 'includes'").select(*key, F.col("a").alias("outer"), F.col("b").alias("seq"))
+    root = roots.select(*key, F.col("seq").alias("root"))
+    below = inside.join(root, key).where("outer = root").select(*key, "seq", "root")
+    pairs = inside.join(below.select(*key, F.col("seq").alias("outer")), [*key, "outer"]).join(below.select(*key, "seq"), [*key, "seq"])
+    depth = pairs.groupBy(*key, "seq").agg(F.count("*").alias("n"))
+    near = pairs.join(depth.select(*key, F.col("seq").alias("outer"), F.col("n").alias("m")), [*key, "outer"], "left")
+    parent = near.groupBy(*key, "seq").agg(F.max_by("outer", F.struct(F.coalesce("m", F.lit(0)), -F.col("outer"))).alias("parent"))
+    tree = below.join(depth, [*key, "seq"], "left").join(parent, [*key, "seq"], "left")
+    level = F.least(F.coalesce("n", F.lit(0)) + root_level + 1, F.lit(deepest))
+    children = tree.select(*key, "seq", F.coalesce("parent", "root").alias("parent"), level.cast("int").alias("level"))
+    return children.unionByName(root.select(*key, F.col("root").alias("seq"), F.lit(None).cast(dict(roots.dtypes)["seq"]).alias("parent"), F.lit(root_level).alias("level")))
+
+
+def marked_styles(items: DataFrame, key: list[str]) -> DataFrame:
+    """(key..., n, marked): whether any section string of a sequence has a full stop or a bracket; plain letters without one are no numbering."""
+    return items.groupBy(*key).agg(F.count("*").alias("n"), F.bool_or(F.col("section").rlike("[.)]")).alias("marked"))

@@ -590,14 +590,14 @@ def _score_sql(label):
     return " + ".join(f"CASE WHEN {one(ps)} THEN {w} ELSE 0 END" for k, w, ps in classify.PHRASE_WEIGHTS if k == label)
 
 
-@query("SELECT conv_id, turn, " + ", ".join(f"{_score_sql(k)} AS {k}" for k in ("preamble", "signature", "recitals", "toc")) + " FROM (SELECT *, regexp_replace(text, '[^A-Za-z0-9]+', ' ', 'g') AS q FROM conversations)")
+@query("SELECT conv_id, turn, " + ", ".join(f"{_score_sql(k)} AS {k}" for k in ("preamble", "signature", "recitals", "toc")) + " FROM (SELECT *, regexp_replace(regexp_replace(text, '[^A-Za-z0-9]+$', '') || ' ', '[^A-Za-z0-9]+', ' ', 'g') AS q FROM conversations)")
 def phrase_scores(spark, d):
     c = F.col("text")
     return table(spark, d, "conversations").select("conv_id", "turn", *(classify.phrase_score(c, k).alias(k) for k in ("preamble", "signature", "recitals", "toc")))
 
 
 @query(
-    f"SELECT conv_id, turn, score FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS r FROM (SELECT conv_id, turn, {_score_sql('preamble')} AS score FROM (SELECT *, regexp_replace(text, '[^A-Za-z0-9]+', ' ', 'g') AS q FROM conversations)) WHERE score > 2) WHERE r <= 25"
+    f"SELECT conv_id, turn, score FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS r FROM (SELECT conv_id, turn, {_score_sql('preamble')} AS score FROM (SELECT *, regexp_replace(regexp_replace(text, '[^A-Za-z0-9]+$', '') || ' ', '[^A-Za-z0-9]+', ' ', 'g') AS q FROM conversations)) WHERE score > 2) WHERE r <= 25"
 )
 def phrase_caps(spark, d):
     return pages.capped_labels(table(spark, d, "conversations"), "preamble", order="turn", key="conv_id").select("conv_id", "turn", "score")
@@ -948,7 +948,7 @@ _LABELS = " UNION ALL ".join(f"SELECT conv_id AS doc_id, turn AS para_no, '{k}'
 
 
 @query(
-    f"""WITH q0 AS (SELECT *, regexp_replace(text, '[^A-Za-z0-9]+', ' ', 'g') AS q FROM conversations), s AS ({_LABELS}),
+    f"""WITH q0 AS (SELECT *, regexp_replace(regexp_replace(text, '[^A-Za-z0-9]+$', '') || ' ', '[^A-Za-z0-9]+', ' ', 'g') AS q FROM conversations), s AS ({_LABELS}),
 l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, label ORDER BY para_no) AS r FROM s WHERE score > bar) WHERE r <= cap),
 n AS (SELECT *, CASE WHEN para_no - lag(para_no) OVER w <= 5 THEN 0 ELSE 1 END AS new FROM l WINDOW w AS (PARTITION BY doc_id, label ORDER BY para_no)), r AS (SELECT *, sum(new) OVER (PARTITION BY doc_id, label ORDER BY para_no) AS run FROM n)
 SELECT doc_id, label, min(para_no) AS begin_para, max(para_no) AS end_para, count(*) AS n FROM r GROUP BY doc_id, label, run"""

@@ -9,8 +9,8 @@ from ..functions import classify, text
 from ..operators import lines, lookups, pages, parts, scores, toc, vote
 from ..sources import layout, sinks
 from .catalog import (
-    BLOCKS, CATEGORY, COLUMNS, ENGINES, ITEMS, LEVELS, LINE_STATS, PARAS, PARA_STATS, TOKENS,
-    column_groups_of, doc_tokens, engines, leveled, order_items, para_tokens, query, table,
+    BLOCKS, CATEGORY, COLUMNS, ENGINES, ITEMS, LEVELS, LINE_STATS, PARAS, PARA_STATS, RANKS, STYLE, TOKENS,
+    column_groups_of, doc_tokens, engines, leveled, order_items, order_ranks, order_spans, para_tokens, query, table,
 )
 
 _quoted = lambda words: ", ".join(f"'{w}'" for w in words)
@@ -398,3 +398,23 @@ def upserted_facts(spark, d):
     o = table(spark, d, "orders").select("o_custkey", F.lit("status").alias("attribute"), F.col("o_orderstatus").alias("text_v"), F.col("o_orderkey").alias("version"))
     half = F.col("version") % 2 == 0
     return sinks.upserted(o.where(half), o.where(~half), ["o_custkey", "attribute"], "version").drop("version")
+
+
+@query(
+    f"""WITH {RANKS}, rt AS (SELECT o_custkey, seq AS root FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY rank DESC, seq) AS r FROM rk) WHERE r = 1),
+be AS (SELECT rel.o_custkey, b AS seq, root FROM rel JOIN rt ON rt.o_custkey = rel.o_custkey AND a = root WHERE relation = 'includes'),
+pr AS (SELECT rel.o_custkey, rel.a AS o, rel.b AS seq FROM rel JOIN be x ON x.o_custkey = rel.o_custkey AND x.seq = rel.a JOIN be y ON y.o_custkey = rel.o_custkey AND y.seq = rel.b WHERE relation = 'includes'),
+dp AS (SELECT o_custkey, seq, count(*) AS n FROM pr GROUP BY ALL),
+pa AS (SELECT pr.o_custkey, pr.seq, pr.o, row_number() OVER (PARTITION BY pr.o_custkey, pr.seq ORDER BY coalesce(dp.n, 0) DESC, pr.o) AS r FROM pr LEFT JOIN dp ON dp.o_custkey = pr.o_custkey AND dp.seq = pr.o)
+SELECT be.o_custkey, be.seq, coalesce(pa.o, root) AS parent, CAST(least(coalesce(n, 0) + 3, 12) AS INT) AS level FROM be LEFT JOIN dp ON dp.o_custkey = be.o_custkey AND dp.seq = be.seq LEFT JOIN pa ON pa.o_custkey = be.o_custkey AND pa.seq = be.seq AND r = 1
+UNION ALL SELECT o_custkey, root, NULL, 2 FROM rt"""
+)
+def sequence_tree(spark, d):
+    roots = toc.main_sequence(order_ranks(spark, d), ["o_custkey"])
+    return toc.sequence_tree(toc.span_relations(order_spans(spark, d), ["o_custkey"]), roots, ["o_custkey"])
+
+
+@query(TOKENS + f" SELECT doc_id, style, count(*) AS n, bool_or(regexp_matches(text, '[.)]')) AS marked FROM (SELECT doc_id, text, {STYLE} AS style FROM tok) WHERE style <> 'none' GROUP BY doc_id, style")
+def marked_styles(spark, d):
+    items = doc_tokens(spark, d).withColumn("style", text.numeral_style(F.col("text"))).where("style <> 'none'").withColumnRenamed("text", "section")
+    return toc.marked_styles(items, ["doc_id", "style"])
