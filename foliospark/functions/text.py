@@ -267,3 +267,19 @@ def prefix_class(c: Column, names: dict[str, str], other: str) -> Column:
 
 def count_tags(c: Column, tag: str) -> Column:
     return F.regexp_count(c, F.lit(f"(?i)<{tag}\\b"))
+
+
+#: Small words inside headers in capitals.
+SMALL_WORDS = "a an and as at by for from in of on or the to with".split()
+
+
+def capital_head(c: Column, most: int = 80) -> Column:
+    """The words that open a header up to the first one without a capital that is no small word, at most `most` characters; empty if the first is one."""
+    word = r"(?:[A-Z0-9(][^\s]*|" + "|".join(SMALL_WORDS) + ")"
+    return F.rtrim(F.substring(F.regexp_extract(c, rf"^((?:{word}(?:\s+|$))*)", 1), 1, most))
+
+
+def balanced(c: Column) -> Column:
+    """As many opening as closing brackets and braces."""
+    n = lambda mark: F.length(c) - F.length(F.replace(c, F.lit(mark), F.lit("")))
+    return (n("{") == n("}")) & (n("[") == n("]"))

@@ -236,3 +236,11 @@ def sequence_tree(relations: DataFrame, roots: DataFrame, key: list[str], root_l
 def marked_styles(items: DataFrame, key: list[str]) -> DataFrame:
     """(key..., n, marked): whether any section string of a sequence has a full stop or a bracket; plain letters without one are no numbering."""
     return items.groupBy(*key).agg(F.count("*").alias("n"), F.bool_or(F.col("section").rlike("[.)]")).alias("marked"))
+
+
+def sequence_tallies(items: DataFrame, key: list[str], header: str = "header", long: int = 80) -> DataFrame:
+    """(key..., n, n_caps, n_period, too_long): headers of a sequence in capitals, with a full stop at the end, and whether most are longer than `long`."""
+    h = F.col(header)
+    count_if = lambda c: F.sum(F.when(c, 1).otherwise(0))
+    caps = h.rlike("[A-Z]") & ~h.rlike("[a-z]")
+    return items.groupBy(*key).agg(F.count("*").alias("n"), count_if(caps).alias("n_caps"), count_if(F.rtrim(h).endswith(".")).alias("n_period"), (count_if(F.length(h) > long) * 2 > F.count("*")).alias("too_long"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import classify, text
 from ..operators import lines, lookups, pages, parts, scores, toc, vote
-from ..sources import layout, sinks
+from ..sources import layout, readers, sinks
 from .catalog import (
     BLOCKS, CATEGORY, COLUMNS, ENGINES, ITEMS, LEVELS, LINE_STATS, PARAS, PARA_STATS, RANKS, STYLE, TOKENS,
     column_groups_of, doc_tokens, engines, leveled, order_items, order_ranks, order_spans, para_tokens, query, table,
@@ -418,3 +418,87 @@ def sequence_tree(spark, d):
 def marked_styles(spark, d):
     items = doc_tokens(spark, d).withColumn("style", text.numeral_style(F.col("text"))).where("style <> 'none'").withColumnRenamed("text", "section")
     return toc.marked_styles(items, ["doc_id", "style"])
+
+
+# files: what is written and read again
+
+
+def page_json(spark, d):
+    return sinks.ocr_json(doc_tokens(spark, d))
+
+
+@query(TOKENS + f" SELECT doc_id, 'w' || sn AS id, page, text, CAST(conf AS DOUBLE) AS conf, x1, x2, y1, y2, {CATEGORY} AS category FROM tok")
+def ocr_word_scan(spark, d):
+    w = readers.ocr_words(page_json(spark, d))
+    return w.select("doc_id", "id", "page", "text", F.col("conf").cast("double").alias("conf"), "x1", "x2", "y1", "y2", classify.token_category(F.col("text")).alias("category"))
+
+
+@query(TOKENS + " SELECT doc_id, 'l' || line AS id, page, string_agg(text, ' ' ORDER BY sn) AS text, count(*) AS n_words, min(x1) AS x1, max(x2) AS x2, min(y1) AS y1, max(y2) AS y2 FROM tok GROUP BY doc_id, page, line")
+def ocr_line_scan(spark, d):
+    return readers.ocr_lines(page_json(spark, d)).select("doc_id", "id", "page", "text", F.size("tokens").cast("long").alias("n_words"), "x1", "x2", "y1", "y2")
+
+
+@query(TOKENS + " SELECT doc_id, 'l' || line AS line_id, 'w' || sn AS word_id, CAST(sn % 10 AS INT) AS nth, text FROM tok")
+def ocr_membership(spark, d):
+    return readers.words_of_lines(page_json(spark, d)).select("doc_id", "line_id", "word_id", "nth", "text")
+
+
+PARA_TEXTS = PARAS + ", ptx AS (SELECT t.doc_id, p.para_no, min(t.page) AS page, string_agg(t.text, ' ' ORDER BY t.sn) AS text FROM tok t JOIN par p ON p.doc_id = t.doc_id AND p.block = t.block GROUP BY t.doc_id, p.para_no)"
+
+
+def para_texts(spark, d):
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("sn", "text"))), lambda s: s["text"]), " ")
+    return para_tokens(spark, d).groupBy("doc_id", "para_no").agg(F.min("page").alias("page"), body.alias("text"))
+
+
+@query(PARA_TEXTS + """ SELECT doc_id, page, '<HR pn=' || page || '>' || chr(10) || string_agg('<p id="' || para_no || '">' || text || '</p>', chr(10) ORDER BY para_no) AS html FROM ptx GROUP BY doc_id, page""")
+def paragraph_pages(spark, d):
+    return sinks.paragraph_html(para_texts(spark, d))
+
+
+@query(PARA_TEXTS + " SELECT doc_id, page, para_no, text FROM ptx")
+def paged_paragraphs(spark, d):
+    return readers.paged_paragraphs(sinks.paragraph_html(para_texts(spark, d)))
+
+
+@query(TOKENS + """ SELECT doc_id, page, string_agg('<span id="sp_' || sn || '">' || text || '</span>', ' ' ORDER BY sn) AS html FROM tok GROUP BY doc_id, page""")
+def display_pages(spark, d):
+    return sinks.display_html(doc_tokens(spark, d))
+
+
+_HEAD = "rtrim(substring(regexp_extract(text, '^((?:(?:[A-Z0-9(][^\\s]*|" + "|".join(text.SMALL_WORDS) + ")(?:\\s+|$))*)', 1), 1, 80), ' ')"
+
+
+@query(PARA_TEXTS + f""", h AS (SELECT *, {_HEAD} AS header FROM ptx) SELECT doc_id, para_no, CASE WHEN header <> '' THEN '<MARK class="toc_header">' || header || '</MARK>' || substring(text, length(header) + 1) ELSE text END AS html FROM h""")
+def marked_headers(spark, d):
+    return sinks.marked_headers(para_texts(spark, d).withColumn("header", text.capital_head(F.col("text"))))
+
+
+@query(PARA_TEXTS + f""" SELECT doc_id, count(*) AS n, {_count("regexp_matches(text, '[A-Z]') AND NOT regexp_matches(text, '[a-z]')")} AS n_caps, {_count("ends_with(text, '.')")} AS n_period, {_count("length(text) > 80")} * 2 > count(*) AS too_long FROM ptx GROUP BY doc_id""")
+def paragraph_tallies(spark, d):
+    return toc.sequence_tallies(para_texts(spark, d), ["doc_id"], "text")
+
+
+_N = lambda mark: f"(length(html) - length(replace(html, '{mark}', '')))"
+
+
+@query(f"SELECT page_id, {_N('{')} = {_N('}')} AND {_N('[')} = {_N(']')} AS balanced FROM pages")
+def balanced_pages(spark, d):
+    return table(spark, d, "pages").select("page_id", text.balanced(F.col("html")).alias("balanced"))
+
+
+@query(
+    LINE_STATS
+    + """, x AS (SELECT doc_id, page, line, string_agg(text, ' ' ORDER BY sn) AS text FROM tok GROUP BY doc_id, page, line),
+n AS (SELECT x.*, center AS c, n_words AS w, n_first_cap AS f, lead(x.text, 1) OVER o AS t1, lead(center, 1) OVER o AS c1, lead(n_words, 1) OVER o AS w1, lead(x.text, 2) OVER o AS t2, lead(center, 2) OVER o AS c2, lead(n_words, 2) OVER o AS w2, lead(n_first_cap, 2) OVER o AS f2
+  FROM x JOIN lns USING (doc_id, page, line) WINDOW o AS (PARTITION BY doc_id, page ORDER BY line))
+SELECT doc_id, page, line, concat_ws(' ', text, CASE WHEN abs(c1 - c) < 133 AND w < 10 AND w1 < 10 THEN t1 END, CASE WHEN abs(c2 - c) < 133 AND w < 10 AND w2 < 10 AND f * 2 >= w AND f2 * 2 >= w2 THEN t2 END) AS heading
+FROM n WHERE regexp_matches(lower(text), '^(exhibit|schedule|appendix)') AND w >= 6"""
+)
+def exhibit_headings(spark, d):
+    t = doc_tokens(spark, d)
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("sn", "text"))), lambda s: s["text"]), " ")
+    rows = pages.line_stats(t, body.alias("text"))
+    # labels of fewer than six words may take in four lines; the SQL tells of the others
+    found = scores.exhibit_headings(rows).join(rows.select("doc_id", "page", "line", "n_words"), ["doc_id", "page", "line"])
+    return found.where("n_words >= 6").drop("n_words")

@@ -76,7 +76,7 @@ def test_ocr_readers(spark):
 
 def test_dictionary_and_index(spark, tmp_path):
     (tmp_path / "dict").write_text("1\t10\trent\n2\t20\trent\n3\t5\ta\n4\t7\tx9\n5\t50\t__TOTAL_WORDS__\n")
-    assert [tuple(r) for r in readers.read_dictionary(spark, str(tmp_path / "dict")).collect()] == [("rent", 20, 0.4)]
+    assert [tuple(r) for r in readers.read_dictionary(spark, str(tmp_path / "dict")).collect()] == [("rent", 10, 0.2)]  # the lower id stands
     names = [c.split()[0] for c in readers.INDEX_SCHEMA.split(", ")]
     row = lambda **k: tuple(k.get(n, "t" if n in ("title", "section", "header") else 0) for n in names)
     df = spark.createDataFrame([row(seq=1, line=1, level=2), row(seq=2, line=1, level=2), row(seq=3, line=2, level=10), row(seq=4, line=3, level=3)], readers.INDEX_SCHEMA).coalesce(1)

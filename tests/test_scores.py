@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from foliospark.functions import classify, text
 from foliospark.operators import lookups, parts, scores, toc
-from foliospark.sources import sinks
+from foliospark.sources import readers, sinks
 
 LINE = "doc_id int, page int, line int, text string, center int, n_words int, n_first_cap int"
 
@@ -164,3 +164,35 @@ def test_paths_and_upserts(spark):
     cols = "k int, v string, at int"
     old, new = spark.createDataFrame([(1, "a", 1), (2, "b", 5), (3, None, 1)], cols), spark.createDataFrame([(1, "c", 1), (2, "d", 4)], cols)
     assert {(r.k, r.v) for r in sinks.upserted(old, new, ["k"], "at").collect()} == {(1, "c"), (2, "b"), (3, None)}
+
+
+def test_parts_of_a_result(spark, tmp_path):
+    for doc, part, body in (("d1", "1.json", '{"Blocks": []}'), ("d1", "2.json", '{"Blocks": ['), ("d2", "1.json", "{}")):
+        (tmp_path / doc).mkdir(exist_ok=True)
+        (tmp_path / doc / part).write_text(body)
+    got = readers.read_ocr_parts(spark, str(tmp_path))
+    rows = got.withColumn("ok", text.balanced(F.col("json"))).select("doc_id", "part", "ok").collect()
+    assert sorted(map(tuple, rows)) == [("d1", "1.json", True), ("d1", "2.json", False), ("d2", "1.json", True)]
+    assert readers.ocr_words(got).count() == 0
+
+
+def test_headers_and_marks(spark):
+    cells = ["Terms of the Lease shall be", "plain words", "OF Rent", "", None]
+    assert values(spark, cells, text.capital_head) == ["Terms of the Lease", "", "OF Rent", "", None]
+    rows = spark.createDataFrame([(1, 0, "Base Rent is due", "Base Rent"), (1, 1, "no header", ""), (1, 2, "other", "Base")], "doc_id int, para_no int, text string, header string")
+    assert [r.html for r in sinks.marked_headers(rows).orderBy("para_no").collect()] == ['<MARK class="toc_header">Base Rent</MARK> is due', "no header", "other"]
+
+
+def test_pages_of_html(spark):
+    rows = spark.createDataFrame([(1, 2, 5, "a <b> c"), (1, 2, 6, "two\nlines"), (1, 3, 7, "")], "doc_id int, page int, para_no int, text string")
+    back = readers.paged_paragraphs(sinks.paragraph_html(rows)).collect()
+    assert sorted(map(tuple, back)) == [(1, 2, 5, "a <b> c"), (1, 2, 6, "two\nlines"), (1, 3, 7, "")]
+
+
+def test_json_of_pages(spark):
+    rows = [(1, 1, 0, 0, "Say", 10, 20, 5, 9, 61), (1, 1, 0, 1, '"so"', 30, 40, 5, 9, 62), (1, 2, 1, 2, "é", 1, 2, 3, 4, 63)]
+    t = spark.createDataFrame(rows, "doc_id int, page int, line int, sn int, text string, x1 int, x2 int, y1 int, y2 int, conf int")
+    raw = sinks.ocr_json(t)
+    got = readers.ocr_words(raw).select("id", "page", "text", "x1", "x2", "y1", "y2").collect()
+    assert sorted(map(tuple, got)) == [("w0", 1, "Say", 10, 20, 5, 9), ("w1", 1, '"so"', 30, 40, 5, 9), ("w2", 2, "é", 1, 2, 3, 4)]
+    assert sorted((r.line_id, r.word_id, r.nth) for r in readers.words_of_lines(raw).collect()) == [("l0", "w0", 0), ("l0", "w1", 1), ("l1", "w2", 0)]
