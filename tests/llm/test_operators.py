@@ -377,3 +377,16 @@ def test_sql(spark, name):
     got = queries.queries()[name](spark, d)
     assert sorted(got.columns) == sorted(want.columns)
     assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(want.fetchall())
+
+
+def test_bpe_decoded_by_the_same_worker(spark):
+    path = str(queries.TOKENIZER)
+    rows = [(1, "Déjà vu, 'tis  so\n", "old"), (2, None, "old"), (3, "", None), (4, "x" * 3000 + " 漢字 😀", "old"), (4, "same id", "old")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, Decoded string")
+    one = bpe.bpe_encode(df, path, decoded_col="decoded")
+    two = bpe.bpe_decode(bpe.bpe_encode(df.drop("Decoded"), path), path)
+    assert one.columns == ["doc_id", "text", "ids", "decoded"]
+    key = lambda r: (r.doc_id, r.text or "")
+    assert sorted(map(tuple, one.collect()), key=lambda t: (t[0], t[1] or "")) == [tuple(r) for r in sorted(two.select(*one.columns).collect(), key=key)]
+    assert all(r.decoded == (r.text or "") for r in one.collect())
+    assert bpe.bpe_encode(df.limit(0), path, decoded_col="decoded").count() == 0
