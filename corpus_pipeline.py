@@ -55,7 +55,7 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows (doc_id, n_tokens, ids, lossless): token ids, and whether they decode to the text. A null text counts as empty and has none."""
-    coded = bpe.bpe_decode(bpe.bpe_encode(docs.select("doc_id", "text"), str(TOKENIZER)), str(TOKENIZER))
+    coded = bpe.bpe_encode(docs.select("doc_id", "text"), str(TOKENIZER), decoded_col="decoded")
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"))
 
 
