@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, embeddings, licenses, minhash, secrets, sharding, suffixes, toxicity, wordpieces
+from . import bpe, decontaminate, embeddings, licenses, minhash, mixing, secrets, sharding, suffixes, toxicity, wordpieces
 from .runtime import read_table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -125,9 +125,46 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_rates(read_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+OP11_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+    CAST(CAST('0x' || substr(sha256('11:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496 AS draw
+  FROM documents
+), s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS nth FROM d GROUP BY source
+), w AS (
+  SELECT *, CASE nth % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS weight FROM s
+), k AS (
+  SELECT *, row_number() OVER (ORDER BY CAST(source_size AS DOUBLE) / weight, nth) AS place, sum(source_size) OVER () AS all_sizes, sum(weight) OVER () AS all_weights,
+    coalesce(sum(source_size) OVER (ORDER BY CAST(source_size AS DOUBLE) / weight, nth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS sizes_before,
+    coalesce(sum(weight) OVER (ORDER BY CAST(source_size AS DOUBLE) / weight, nth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS weights_before
+  FROM w
+), l AS (
+  SELECT arg_min(level, place) FILTER (WHERE weight * level <= 2 * source_size) AS level
+  FROM (SELECT *, CAST(3 * all_sizes - 4 * sizes_before AS DOUBLE) / CAST(2 * (all_weights - weights_before) AS DOUBLE) AS level FROM k)
+), t AS (
+  SELECT source, source_size, least(weight * coalesce(level, 0.0), CAST(2 * source_size AS DOUBLE)) AS target,
+    CAST(CAST('0x' || substr(sha256('11:' || coalesce('source ' || source, 'no source')), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496 AS start
+  FROM w, l
+), r AS (
+  SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate FROM t
+), n AS (
+  SELECT d.doc_id, d.size, r.source_size, r.target, r.rate, r.start, r.rate - floor(r.rate) AS fraction,
+    row_number() OVER (PARTITION BY d.source ORDER BY d.size, d.draw) - 1 AS nth
+  FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source
+)
+SELECT doc_id, size, source_size, target, CAST(floor(rate) + floor(start + (nth + 1) * fraction) - floor(start + nth * fraction) AS BIGINT) * size AS taken
+FROM n
+"""
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_embeddings, op2_bpe, op3_sharding, op4_wordpiece, op5_toxicity, op6_secrets, op7_suffixes, op8_licenses, op9_minhash, op10_decontaminate)}
+    return {f.__name__: f for f in (op1_embeddings, op2_bpe, op3_sharding, op4_wordpiece, op5_toxicity, op6_secrets, op7_suffixes, op8_licenses, op9_minhash, op10_decontaminate, op11_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_embeddings": OP1_SQL, "op9_minhash": OP9_SQL}
+    return {"op1_embeddings": OP1_SQL, "op9_minhash": OP9_SQL, "op11_mixing": OP11_SQL}

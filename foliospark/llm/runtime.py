@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -31,6 +31,21 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """Rows with a gapless number from 0 in the order given, sorted and written to the checkpoint folder.
+
+    Rows are dealt by ranges of the order and sorted in their partitions; each partition's count gives
+    the next one's start, as many values as there are partitions. Rows that are equal in the order are
+    numbered as they lie; give it a tie breaker where that matters.
+    """
+    at = F.monotonically_increasing_id()
+    rows = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"__part": F.shiftright(at, 33), "__nth": at.bitwiseAND((1 << 33) - 1)})
+    rows = durable(rows)
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy("__part").agg(F.count("*").alias("n")).select("__part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__start"))
+    return rows.join(F.broadcast(starts), "__part").withColumn(name, F.col("__start") + F.col("__nth")).drop("__part", "__nth", "__start")
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Let Arrow batches of this session hold at most so many rows from now on: texts are long, and each task's workers hold a few batches."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
