@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, embeddings, licenses, minhash, mixing, secrets, sharding, suffixes, toxicity, wordpieces
+from . import bpe, decontaminate, embeddings, licenses, minhash, mixing, ranking, secrets, sharding, suffixes, toxicity, wordpieces
 from .runtime import read_table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -162,9 +162,31 @@ FROM n
 """
 
 
+def op12_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.rank_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+OP12_SQL = r"""
+WITH t AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents
+), f AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+d AS (SELECT doc_id, sum(tf) AS n FROM f GROUP BY doc_id),
+c AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM d),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM f, c GROUP BY term, n_docs),
+q AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), g AS (SELECT item_id, term, count(*) AS times FROM q GROUP BY ALL),
+s AS (
+  SELECT g.item_id, f.doc_id, CAST(sum(g.times * w.w * ((1000000000 * f.tf) // (1000 * f.tf + 12 * (75 + CAST((25 * d.n * c.n_docs) // c.n_terms AS BIGINT))))) AS BIGINT) AS score
+  FROM g JOIN f ON f.term = g.term JOIN w ON w.term = g.term JOIN d ON d.doc_id = f.doc_id, c GROUP BY g.item_id, f.doc_id
+), r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 20
+"""
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_embeddings, op2_bpe, op3_sharding, op4_wordpiece, op5_toxicity, op6_secrets, op7_suffixes, op8_licenses, op9_minhash, op10_decontaminate, op11_mixing)}
+    return {f.__name__: f for f in (op1_embeddings, op2_bpe, op3_sharding, op4_wordpiece, op5_toxicity, op6_secrets, op7_suffixes, op8_licenses, op9_minhash, op10_decontaminate, op11_mixing, op12_ranking)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_embeddings": OP1_SQL, "op9_minhash": OP9_SQL, "op11_mixing": OP11_SQL}
+    return {"op1_embeddings": OP1_SQL, "op9_minhash": OP9_SQL, "op11_mixing": OP11_SQL, "op12_ranking": OP12_SQL}
