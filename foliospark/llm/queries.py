@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, embeddings, licenses, minhash, mixing, ranking, secrets, sharding, suffixes, toxicity, wordpieces
+from . import alignment, bpe, decontaminate, embeddings, licenses, minhash, mixing, ranking, secrets, sharding, suffixes, toxicity, wordpieces
 from .runtime import read_table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 WINDOW = 10
 
 
@@ -184,8 +185,12 @@ SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <
 """
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_tokenizers(read_table(spark, sf_dir, "documents"), str(TOKENIZER), str(PIECES))[0]
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_embeddings, op2_bpe, op3_sharding, op4_wordpiece, op5_toxicity, op6_secrets, op7_suffixes, op8_licenses, op9_minhash, op10_decontaminate, op11_mixing, op12_ranking)}
+    return {f.__name__: f for f in (op1_embeddings, op2_bpe, op3_sharding, op4_wordpiece, op5_toxicity, op6_secrets, op7_suffixes, op8_licenses, op9_minhash, op10_decontaminate, op11_mixing, op12_ranking, op13_alignment)}
 
 
 def oracle_sql() -> dict[str, str]:

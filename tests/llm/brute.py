@@ -115,3 +115,96 @@ def op10(docs, items, window=10):
 
 def crc(text):
     return zlib.crc32((text or "").encode())
+
+
+def op12(docs, items, most=20):
+    import math
+
+    term = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
+    terms = lambda t: term.findall((t or "").translate(CAPITALS))
+    bags = {i: Counter(terms(t)) for i, t in docs}
+    bags = {i: b for i, b in bags.items() if b}
+    n_docs, n_terms = len(bags), sum(sum(b.values()) for b in bags.values())
+    df = Counter(t for b in bags.values() for t in b)
+    weight = {t: math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) for t in df}
+    out = {}
+    for item, text in items:
+        scores = []
+        for i, b in bags.items():
+            m = 75 + (25 * sum(b.values()) * n_docs) // n_terms
+            score = sum(weight[t] * ((10**9 * b[t]) // (1000 * b[t] + 12 * m)) for t in terms(text) if t in b)
+            if score > 0:
+                scores.append((-score, i))
+        if scores:
+            out[item] = [(k + 1, i, -s) for k, (s, i) in enumerate(sorted(scores)[:most])]
+    return out
+
+
+def _aligned(text, a, b, bytes_a, bytes_b):
+    """((id, start, end) of both tokenizers' tokens), or None."""
+    raw = b" " + (text or "").encode()
+    found = []
+    for ids, of in ((a, bytes_a), (b, bytes_b)):
+        at, spans = 0, []
+        for i in ids:
+            spans.append((i, at, at + len(of(i))))
+            at += len(of(i))
+        found.append(spans)
+        if b"".join(map(of, ids)) != raw:
+            return None
+    return found
+
+
+def _both(rows, path_a, path_b):
+    import sentencepiece
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    t = Tokenizer.from_file(path_a)
+    t.encode_special_tokens = True
+    s = sentencepiece.SentencePieceProcessor(model_file=path_b)
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+    char = {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in shown)}
+    assert set(char) == set(pre_tokenizers.ByteLevel.alphabet())
+    bytes_a = lambda i: bytes(char[c] for c in t.id_to_token(i))
+    bytes_b = lambda i: bytes([int(s.id_to_piece(i)[3:5], 16)]) if s.is_byte(i) else s.id_to_piece(i).replace("▁", " ").encode()
+    return {i: _aligned(text, t.encode(" " + text, add_special_tokens=False).ids, s.encode(text), bytes_a, bytes_b) if text else None for i, text in rows}
+
+
+def links_of(rows, path_a, path_b):
+    out = {}
+    for i, found in _both(rows, path_a, path_b).items():
+        links = []
+        if found:
+            a, b = found
+            first = 0
+            for x, s, e in a:
+                while b[first][2] <= s:
+                    first += 1
+                k = first
+                while k < len(b) and b[k][1] < e:
+                    links.append((x, b[k][0]))
+                    k += 1
+        out[i] = links
+    return out
+
+
+def op13(rows, path_a, path_b):
+    links = links_of(rows, path_a, path_b)
+    count = Counter(p for doc in links.values() for p in doc)
+    best = Counter()
+    for (_, b), n in count.items():
+        best[b] = max(best[b], n)
+    out = {}
+    for i, found in _both(rows, path_a, path_b).items():
+        if not found:
+            out[i] = (0, 0, 0, 0, 0, 0, "")
+            continue
+        a, b = found
+        cuts = sorted({e for _, _, e in a} & {e for _, _, e in b})
+        groups, lo = [], 0
+        for hi in cuts:
+            groups.append("|".join(",".join(str(x) for x, s, e in side if lo <= s and e <= hi) for side in (a, b)))
+            lo = hi
+        mine = links[i]
+        out[i] = (len(a), len(b), len(cuts), len(mine), sum(count[p] == best[p[1]] for p in mine), sum(count[p] for p in mine), sha(";".join(groups)))
+    return out
