@@ -35,7 +35,7 @@ def source_targets(sources: DataFrame, weights: tuple[int, ...], share: tuple[in
     all sizes leaves every target at its bound.
     """
     nth = F.element_at(F.array(*map(F.lit, weights)), (F.col("nth") % len(weights) + 1).cast("int"))
-    weighed = durable(numbered(sources, [F.asc_nulls_last("source")], "nth").withColumn("weight", nth).drop("nth"))
+    weighed = numbered(sources, [F.asc_nulls_last("source")], "nth").withColumn("weight", nth).drop("nth")
     level, capped = None, -1
     while True:
         above = F.lit(False) if level is None else F.col("weight") * F.lit(level) > most * F.col("source_size")
@@ -85,8 +85,8 @@ def mix_rates(
         _unit(seed, F.col(id_col), F.col(text_col)).alias("draw"),
     )
     placed = numbered(durable(rows), [F.asc_nulls_last("source"), F.asc("size"), F.asc("draw")], "at")
-    sources = durable(placed.groupBy("source").agg(F.sum("size").alias("source_size"), F.min("at").alias("first")))
-    rates = durable(source_targets(sources, weights, share, most))
+    sources = placed.groupBy("source").agg(F.sum("size").alias("source_size"), F.min("at").alias("first"))
+    rates = source_targets(sources, weights, share, most)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     rates = rates.select(F.col("source").alias("of"), "source_size", "target", "first", rate.alias("rate"), _unit(seed, F.coalesce(F.concat(F.lit("source "), "source"), F.lit("no source"))).alias("start"))
     if rates.count() <= FEW_SOURCES:
