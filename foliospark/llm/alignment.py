@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import hashlib
-import os
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .bpe import _byte_of_char
+from .bpe import BytePairEncoder
 from .runtime import durable, small_batches
 from .words import pieces
 
-#: Bytes of text that are encoded at once, and postings that a task holds before it writes their bitmaps.
+#: Bytes of text that are aligned and that are encoded by A at once, and postings that a task holds before it writes their bitmaps.
 PART = 1 << 20
+ENCODED = 6 << 20
 POSTINGS = 2 << 20
 #: Documents of one bitmap, members from which on it is written as bits, and bytes of it then.
 CHUNK = 1 << 16
@@ -38,42 +39,34 @@ class TokenPair:
     """Two tokenizers and their tokens' bytes: byte-level BPE of a space and the text, and a piece model that adds the space itself."""
 
     def __init__(self, path_a: str, path_b: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark gives each task its core
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(path_a)
-        self.a.encode_special_tokens = True
-        self.a.no_truncation()
-        self.a.no_padding()
+        self.a = BytePairEncoder(path_a)
+        self.a.cut = None  # strings of added tokens are plain text
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        byte_of = _byte_of_char()
-        vocab = self.a.get_vocab(with_added_tokens=False)
-        added = {i: t.content.encode() for i, t in self.a.get_added_tokens_decoder().items()}
-        self.bytes_a = [b""] * (max([*vocab.values(), *added]) + 1)
-        for piece, i in vocab.items():
-            self.bytes_a[i] = added[i] if i in added else bytes(byte_of[c] for c in piece)
-        for i, raw in added.items():
-            self.bytes_a[i] = raw
         piece = self.b.id_to_piece
         self.bytes_b = [bytes([int(piece(i)[3:5], 16)]) if self.b.is_byte(i) else piece(i).replace("▁", " ").encode() for i in range(self.b.get_piece_size())]
-        self.n_a, self.n_b = len(self.bytes_a), len(self.bytes_b)
+        self.n_a, self.n_b = len(self.a.bytes_of), len(self.bytes_b)
         if self.n_a * self.n_b >= 1 << 47:
             raise ValueError("the vocabularies have too many pairs for 47 bits")
-        self.size_a, self.size_b = (np.array([len(x) for x in of], np.int64) for of in (self.bytes_a, self.bytes_b))
+        self.size_a, self.size_b = (np.array([len(x) for x in of], np.int64) for of in (self.a.bytes_of, self.bytes_b))
         # each id's decimal digits with the sign that follows it: within a group, or at the end of its side
         self.names = [f"{i}{sign}".encode() for n, last in ((self.n_a, "|"), (self.n_b, ";")) for i in range(n) for sign in (",", last)]
 
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of both, empty for texts that are empty or that one of them doesn't keep byte by byte."""
-        whole = [i for i, t in enumerate(texts) if t]
-        a, b = [[] for _ in texts], [[] for _ in texts]
-        given = [texts[i] for i in whole]
-        for i, text, x, y in zip(whole, given, self.a.encode_batch_fast([" " + t for t in given], add_special_tokens=False), self.b.encode(given, num_threads=1) if given else [], strict=True):
-            raw, ids = b" " + text.encode(), x.ids
-            if b"".join(map(self.bytes_a.__getitem__, ids)) == raw == b"".join(map(self.bytes_b.__getitem__, y)):
-                a[i], b[i] = ids, y
-        return a, b
+    def encode_a(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """A's ids of all texts, and the texts' offsets in them. A's bytes are always those of the space and the text."""
+        return self.a.encode([" " + t if t else "" for t in texts])
+
+    def encode_b(self, texts: list[str]) -> list[list[int]]:
+        """B's ids of each text, none for texts that are empty or whose bytes B changes."""
+        some = [i for i, t in enumerate(texts) if t]
+        out: list[list[int]] = [[] for _ in texts]
+        given = [texts[i] for i in some]
+        of = self.bytes_b.__getitem__
+        for i, text, ids in zip(some, given, self.b.encode(given, num_threads=1) if given else [], strict=True):
+            if b"".join(map(of, ids)) == b" " + text.encode():
+                out[i] = ids
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -81,28 +74,36 @@ def load(path_a: str, path_b: str) -> TokenPair:
     return TokenPair(path_a, path_b)
 
 
-def align_texts(model: TokenPair, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[str], np.ndarray, np.ndarray]:
-    """(n_a, n_b, n_groups, n_links, digests of groups, links' texts, links' pairs) of a few texts.
+def align_texts(model: TokenPair, texts: list[str], a: np.ndarray, at_a: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[str], np.ndarray, np.ndarray]:
+    """(n_a, n_b, n_groups, n_links, digests of groups, links' texts, links' pairs) of a few texts and A's ids of them.
 
     The ends of A's and B's tokens, merged, cut the bytes into stretches of one A and one B token each:
-    these are the links. Ends that both have close a group.
+    these are the links. Ends that both have close a group. Each end is a mark at its byte, so that
+    counts of marks give every stretch its tokens.
     """
-    some_a, some_b = model.encode(texts)
-    n_a, n_b = (np.array([len(x) for x in ids], np.int64) for ids in (some_a, some_b))
-    a, b = (np.array([i for x in ids for i in x], np.int64) for ids in (some_a, some_b))
-    doc_a = np.repeat(np.arange(len(texts)), n_a)
+    ids = model.encode_b(texts)
+    n_b = np.array([len(x) for x in ids], np.int64)
+    n_a = np.where(n_b > 0, np.diff(at_a), 0)
+    a = a[np.repeat(n_b > 0, np.diff(at_a))].astype(np.int64)
+    b = np.fromiter(chain.from_iterable(ids), np.int64, int(n_b.sum()))
     end_a, end_b = np.cumsum(model.size_a[a]), np.cumsum(model.size_b[b])
-    cuts = np.union1d(end_a, end_b)
-    of_a, of_b = np.searchsorted(end_a, cuts), np.searchsorted(end_b, cuts)
-    last_a = np.isin(end_a, end_b, assume_unique=True)
-    last_b = np.isin(end_b, end_a, assume_unique=True)
+    mark_a, mark_b = (np.zeros(int(end_a[-1]) + 1 if len(end_a) else 1, bool) for _ in "ab")
+    mark_a[end_a] = True
+    mark_b[end_b] = True
+    last_a, last_b = mark_b[end_a], mark_a[end_b]
+    cuts = np.flatnonzero(mark_a | mark_b)
+    in_a, in_b = mark_a[cuts], mark_b[cuts]
+    of_a, of_b = np.cumsum(in_a) - in_a, np.cumsum(in_b) - in_b
     group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+    # a token's place in its text's list: behind the other side's tokens of the groups before it, or of its own group too
+    upto_a, upto_b = (np.concatenate([[0], np.flatnonzero(x) + 1]) for x in (last_a, last_b))
     order = np.empty(len(a) + len(b), np.int64)
-    order[np.arange(len(a)) + np.searchsorted(group_b, group_a, "left")] = 2 * a + last_a
-    order[np.arange(len(b)) + np.searchsorted(group_a, group_b, "right")] = 2 * (model.n_a + b) + last_b
+    order[np.arange(len(a)) + upto_b[group_a]] = 2 * a + last_a
+    order[np.arange(len(b)) + upto_a[group_b + 1]] = 2 * (model.n_a + b) + last_b
     at = np.concatenate([[0], np.cumsum(n_a + n_b)]).tolist()
     names = model.names.__getitem__
     digests = [hashlib.sha256(b"".join(map(names, order[i:j].tolist()))[:-1]).hexdigest() if j > i else "" for i, j in zip(at[:-1], at[1:], strict=True)]
+    doc_a = np.repeat(np.arange(len(texts)), n_a)
     link_doc = doc_a[of_a]
     count = lambda docs: np.bincount(docs, minlength=len(texts))
     return n_a, n_b, count(doc_a[last_a]), count(link_doc), digests, link_doc, a[of_a] * model.n_b + b[of_b]
@@ -165,6 +166,15 @@ def members(planes: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarr
         i = j
 
 
+def _steps(texts: pa.Array, nth: int) -> Iterator[tuple[int, int]]:
+    """Ranges of about PART bytes that don't cross chunks, the first text being the task's nth."""
+    for i, j in pieces(texts, PART):
+        while i < j:
+            end = min(j, i + CHUNK - (nth + i) % CHUNK)
+            yield i, end
+            i = end
+
+
 def _index(docs: DataFrame, path_a: str, path_b: str, text_col: str, keep: tuple[str, ...]) -> DataFrame:
     """Rows of documents (doc) and of bitmaps (part): one pass over the texts, nothing moved."""
     kept = [T.StructField(f"k{i}", docs.schema[c].dataType) for i, c in enumerate(keep)]
@@ -191,13 +201,14 @@ def _index(docs: DataFrame, path_a: str, path_b: str, text_col: str, keep: tuple
 
         for batch in batches:
             texts = batch.column(0)
-            for i, j in pieces(texts, PART):
-                while i < j:
-                    end = min(j, i + CHUNK - nth % CHUNK)  # no step crosses chunks
+            for lo, hi in pieces(texts, ENCODED):
+                some = [t or "" for t in texts.slice(lo, hi - lo).to_pylist()]
+                ids, at = model.encode_a(some)
+                for i, end in _steps(texts.slice(lo, hi - lo), nth):
                     uid = base + nth + np.arange(end - i)
-                    n_a, n_b, n_groups, n_links, digests, link_doc, pair = align_texts(model, [t or "" for t in texts.slice(i, end - i).to_pylist()])
+                    n_a, n_b, n_groups, n_links, digests, link_doc, pair = align_texts(model, some[i:end], ids[at[i] : at[end]], at[i : end + 1] - at[i])
                     doc = pa.StructArray.from_arrays(
-                        [pa.array(uid), pa.array(n_a), pa.array(n_b), pa.array(n_groups, pa.int64()), pa.array(n_links, pa.int64()), pa.array(digests, pa.string()), *(batch.column(1 + k).slice(i, end - i) for k in range(len(kept)))],
+                        [pa.array(uid), pa.array(n_a), pa.array(n_b), pa.array(n_groups, pa.int64()), pa.array(n_links, pa.int64()), pa.array(digests, pa.string()), *(batch.column(1 + k).slice(lo + i, end - i) for k in range(len(kept)))],
                         [f.name for f in doc_type.fields],
                     )
                     part = pa.nulls(len(doc), pa.struct([("chunk", pa.int64()), ("pair", pa.int64()), ("planes", pa.list_(pa.binary()))]))
@@ -210,7 +221,6 @@ def _index(docs: DataFrame, path_a: str, path_b: str, text_col: str, keep: tuple
                     times.append(count)
                     n_held += len(key)
                     nth += end - i
-                    i = end
         yield from flush()
 
     small_batches(docs.sparkSession)
@@ -259,7 +269,7 @@ def _scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def align_tokenizers(docs: DataFrame, path_a: str, path_b: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> tuple[DataFrame, DataFrame]:
     """(documents, pairs): how the tokens of two tokenizers lie over each other in every whole text.
 
-    A (a byte-level BPE file of the tokenizers library) encodes a space and the text, B (a sentencepiece
+    A (a byte-level BPE file, encoded by BytePairEncoder) encodes a space and the text, B (a sentencepiece
     model that adds the space) the text, both without special tokens, whose strings count as plain
     text. An A and a B token are linked where their bytes overlap; bytes at which tokens of both end cut
     the text into groups.

@@ -147,7 +147,7 @@ def check_alignment(got, rows):
 @pytest.mark.parametrize("small", [False, True])
 def test_alignment(spark, docs, rows, small, monkeypatch, tmp_path):
     if small:  # several bitmaps a task, dense ones, counts joined by salt
-        for name, value in (("PART", 200), ("POSTINGS", 500), ("FEW_PAIRS", 10), ("OPEN", 1)):
+        for name, value in (("PART", 200), ("ENCODED", 700), ("POSTINGS", 500), ("FEW_PAIRS", 10), ("OPEN", 1)):
             monkeypatch.setattr(alignment, name, value)
     documents, pairs = alignment.align_tokenizers(docs, *PATHS)
     check_alignment(documents.collect(), rows)
