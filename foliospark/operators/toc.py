@@ -5,57 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import text
-from .grouped import fold
-
 MOST_GAP = 4
-#: Misread numerals (style, literal, style and value that it may stand for).
-MISREADINGS = [
-    ("roman_capital", "I", "digit", 1),
-    ("roman_capital", "I", "letter_capital", 9),
-    ("roman_capital", "V", "letter_capital", 22),
-    ("roman_capital", "V", "digit", 5),
-    ("roman_capital", "X", "letter_capital", 24),
-    ("roman_capital", "X", "digit", 10),
-    ("letter_small", "l", "digit", 1),
-    ("letter_small", "m", "roman_small", 3),
-    ("letter_capital", "H", "roman_capital", 2),
-    ("letter_capital", "G", "digit", 6),
-    ("letter_capital", "Z", "digit", 2),
-    ("digit", "1", "letter_small", 12),
-    ("digit", "1", "roman_small", 1),
-    ("digit", "11", "roman_capital", 2),
-]
-
-
-def heading_items(paragraphs: DataFrame) -> DataFrame:
-    """(doc_id, item, para_no, page, section, style, enum, header): paragraphs (doc_id, para_no, page, text) that open with a numeral."""
-    named = r"(?i)^((?:section|article|part|schedule|exhibit|paragraph)\s+)?"
-    numeral = r"(\d{1,2}(?:\.\d{1,2}){0,2}[.)]?|\([A-Za-z]{1,6}\)|\(\d{1,3}\)|[ivx]{1,6}[.)]|[IVX]{1,6}[.)]|[A-Za-z][.)])\s+"
-    full = named + numeral + "(.*)$"
-    section = F.regexp_extract("text", full, 2)
-    found = paragraphs.where(F.col("text").rlike(full)).withColumn("section", section)
-    w = Window.partitionBy("doc_id").orderBy("para_no")
-    return found.select(
-        "doc_id",
-        F.row_number().over(w).alias("item"),
-        "para_no",
-        "page",
-        "section",
-        text.numeral_style(F.col("section")).alias("style"),
-        text.section_value(F.col("section")).alias("enum"),
-        text.sentence_header(F.regexp_extract("text", full, 3)).alias("header"),
-        F.lit(False).alias("converted"),
-    )
-
-
-def with_misreadings(items: DataFrame) -> DataFrame:
-    """Items and, marked as converted, what a misread numeral may stand for."""
-    rules = items.sparkSession.createDataFrame(MISREADINGS, "style string, literal string, to_style string, to_enum int")
-    literal = F.regexp_replace("section", "[().]", "")
-    other = items.withColumn("literal", literal).join(F.broadcast(rules), ["style", "literal"])
-    other = other.select("doc_id", "item", "para_no", "page", "section", F.col("to_style").alias("style"), F.col("to_enum").alias("enum"), "header", F.lit(True).alias("converted"))
-    return items.unionByName(other)
 
 
 def chain_pairs(items: DataFrame, key: list[str], order: str, value: str) -> DataFrame:
@@ -68,41 +18,6 @@ def chain_pairs(items: DataFrame, key: list[str], order: str, value: str) -> Dat
     return pairs.select(*key, "i", "j", (F.col("v") - F.col("vj")).alias("gap"), (F.col("i") - F.col("j") - 1).alias("dist"))
 
 
-def sequences(items: DataFrame) -> DataFrame:
-    """(doc_id, style, seq, item, para_no, page, enum, header): the longest counting chains of each style, best first, each item once.
-
-    A chain's worth grows by ten less gap and distance with each item. A document's items of a style
-    are one group; the longest chain is taken out, then the next of what is left, down to two items.
-    """
-    schema = "doc_id long, style string, seq int, item int, para_no int, page int, enum int, header string"
-
-    def step(rows: list[dict]) -> list[tuple]:
-        left = sorted((r for r in rows if r["enum"] is not None), key=lambda r: (r["item"], r["enum"]))
-        out, seq = [], 0
-        while True:
-            best, back = [0] * len(left), [-1] * len(left)
-            for i, x in enumerate(left):
-                for j in range(i):
-                    gap = x["enum"] - left[j]["enum"]
-                    if 1 <= gap <= MOST_GAP and left[j]["item"] < x["item"]:
-                        worth = best[j] + 10 - (gap - 1 + min(9, i - j - 1))
-                        if worth > best[i]:
-                            best[i], back[i] = worth, j
-            top = max(range(len(left)), key=lambda i: (best[i], -i), default=-1)
-            if top < 0 or back[top] < 0:
-                return out
-            chain = []
-            while top >= 0:
-                chain.append(left[top])
-                top = back[top]
-            seq += 1
-            taken = {x["item"] for x in chain}
-            out += [(x["doc_id"], x["style"], seq, x["item"], x["para_no"], x["page"], x["enum"], x["header"]) for x in chain[::-1]]
-            left = [x for x in left if x["item"] not in taken]
-
-    return fold(items, ["doc_id", "style"], ["item"], schema, step)
-
-
 def sequence_badness(rows: DataFrame, key: list[str], order: str, value: str) -> DataFrame:
     """(key..., n, total_gap, max_gap, total_diff2): how far a sequence is from counting by ones."""
     w = Window.partitionBy(*key).orderBy(order)
@@ -112,16 +27,6 @@ def sequence_badness(rows: DataFrame, key: list[str], order: str, value: str) ->
     )
 
 
-def best_interpretations(seqs: DataFrame) -> DataFrame:
-    """Of several sequences that hold an item, the one in which it lies nearest to its neighbours."""
-    w = Window.partitionBy("doc_id", "style", "seq").orderBy("item")
-    off = lambda c: F.coalesce(F.abs(F.col(c) - F.lag(c).over(w)), F.lit(0)) + F.coalesce(F.abs(F.lead(c).over(w) - F.col(c)), F.lit(0))
-    n = F.count("*").over(Window.partitionBy("doc_id", "style", "seq"))
-    costed = seqs.withColumn("cost", off("para_no") + off("enum")).withColumn("n", n).where("n > 1")
-    best = F.row_number().over(Window.partitionBy("doc_id", "item").orderBy("cost", F.desc("n"), "style", "seq"))
-    return costed.withColumn("nth", best).where("nth = 1").drop("nth", "n", "cost")
-
-
 def span_relations(spans: DataFrame, key: list[str]) -> DataFrame:
     """(key..., a, b, relation) of sequences (key..., seq, first, last): before, after, same, includes, included or overlaps."""
     a = spans.select(*key, F.col("seq").alias("a"), F.col("first").alias("fa"), F.col("last").alias("la"))
@@ -150,22 +55,6 @@ def main_sequence(ranks: DataFrame, key: list[str]) -> DataFrame:
     return ranks.groupBy(*key).agg(F.max_by("seq", F.struct("rank", -F.col("seq"))).alias("seq"))
 
 
-def nest(items: DataFrame) -> DataFrame:
-    """(doc_id, item, level, parent): items (doc_id, item, style) nested by the order in which their styles open."""
-
-    def step(rows: list[dict]) -> list[tuple]:
-        open_: list[tuple[str, int]] = []
-        out = []
-        for r in rows:
-            at = next((k for k, (s, _) in enumerate(open_) if s == r["style"]), None)
-            open_ = open_[:at] if at is not None else open_
-            out.append((r["doc_id"], r["item"], len(open_) + 2, open_[-1][1] if open_ else None))
-            open_.append((r["style"], r["item"]))
-        return out
-
-    return fold(items.select("doc_id", "item", "style"), ["doc_id"], ["item"], "doc_id long, item int, level int, parent int", step)
-
-
 def parents(items: DataFrame, key: str = "doc_id", levels: int = 12) -> DataFrame:
     """Items (key, item, level) with parent: the latest item seen one level above, not cleared when a level closes."""
     w = Window.partitionBy(key).orderBy("item").rowsBetween(Window.unboundedPreceding, -1)
@@ -188,21 +77,11 @@ def bad_levels(items: DataFrame) -> DataFrame:
     return items.withColumn("level", F.when((F.col("level") > 12) | (F.col("level") < 1), 10).otherwise(F.col("level")))
 
 
-def nearest_headers(headers: DataFrame, key: str, most: int = 2) -> DataFrame:
-    """(key, i, j, distance): for each header the later one of its document that reads most alike, at most `most` edits away."""
-    a, b = headers.alias("a"), headers.alias("b")
-    pairs = a.join(b, F.expr(f"a.{key} = b.{key} and a.item < b.item")).select(f"a.{key}", F.col("a.item").alias("i"), F.col("b.item").alias("j"), F.levenshtein("a.header", "b.header").alias("distance"))
-    best = pairs.groupBy(key, "i").agg(F.min(F.struct("distance", "j")).alias("m"))
-    return best.select(key, "i", "m.j", "m.distance").where(F.col("distance") <= most)
-
-
 def build(paragraphs: DataFrame) -> DataFrame:
-    """The table of contents of each document: items in sequences, nested, with parents and ends."""
-    items = with_misreadings(heading_items(paragraphs))
-    kept = best_interpretations(sequences(items))
-    tree = nest(kept)
-    toc = kept.join(tree, ["doc_id", "item"])
-    return ends(toc).select("doc_id", "item", "para_no", "page", "style", "enum", "header", "level", "parent", "end_para")
+    """The table of contents of each document: numbering.contents of (doc_id, para_no, page, text)."""
+    from . import numbering
+
+    return numbering.contents(paragraphs)
 
 
 def summary(items: DataFrame, key: str = "doc_id", top: int = 2) -> DataFrame:
