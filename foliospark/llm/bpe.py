@@ -305,9 +305,11 @@ def bpe_digests(df: DataFrame, path: str, ids_col: str = "ids", keep: tuple[str,
     """Rows (keep..., n_tokens, ids_sha256, decoded_sha256): digests of each row's ids and of the text they decode to.
 
     For checking a round trip without carrying the texts on. ids are hashed as little-endian unsigned
-    32-bit integers, the text as UTF-8; null ids count as none.
+    32-bit integers, the text as UTF-8; null ids count as none. A kept column named like one of the
+    results gives way to it; an empty table gives no rows.
     """
     small_batches(df.sparkSession)
+    keep = tuple(c for c in keep if c.lower() not in ("n_tokens", "ids_sha256", "decoded_sha256"))
     schema = T.StructType([*(df.schema[c] for c in keep), T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
     sha = lambda x: hashlib.sha256(x).hexdigest()
 

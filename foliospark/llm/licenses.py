@@ -28,9 +28,7 @@ TEMPLATES = [
     ("mpl-2.0", "mozilla public license v 2 0", "this source code form is subject to the terms of the mozilla public license v 2 0"),
     ("unlicense", "free and unencumbered software", "this is free and unencumbered software released into the public domain"),
 ]
-#: Words that mark a text worth looking up; every template holds one.
-CUES = ["license", "licensed", "copyright", "redistribution", "redistribute", "permission", "cc0", "unencumbered", "cc"]
-#: Words of each template that are looked up: those of highest inverse document frequency.
+#: Words of each template that are looked up: those of highest inverse document frequency among those that any text has.
 RAREST = 8
 #: A template's label holds from this share of the weight of its looked-up words on.
 LEAST_SCORE = 0.6
@@ -69,13 +67,13 @@ def scan_licenses(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...]
     template's weight that stands at one relative position, 1 where a base phrase stands.
 
     The method: of each template whose mandatory key phrase stands in the text, the RAREST words of
-    highest inverse document frequency over all rows are looked up in an index of template positions;
+    highest inverse document frequency over all rows (words that no row has tell nothing) are looked up in an index of template positions;
     hits vote for the template at a relative position with that frequency as their weight, and the
     template holds if the voted weight is LEAST_SCORE of the weight of its looked-up places.
 
     A null or empty text has no words, no labels and score 0. Repeated rows each give a row. An
     empty table gives no rows. Texts are not shuffled, only positions of template words in texts with
-    a cue word; the index is a constant of a few hundred rows, and only its words' document
+    a key phrase; the index is a constant of a few hundred rows, and only its words' document
     frequencies (as many values as the templates have words) pass through the driver. A kept column
     named like one of the results gives way to it.
     """
@@ -85,26 +83,25 @@ def scan_licenses(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...]
     index_words = F.array(*(F.lit(w) for w in vocabulary))
     spaced = F.col("__spaced")
     words = F.split(F.trim(spaced), " ")
-    cue = spaced.rlike(" (" + "|".join(CUES) + ") ")
     hits = F.filter(F.transform(words, lambda w, i: F.struct(i.cast("long").alias("at"), w.alias("word"))), lambda s: s["word"].isin(vocabulary))
     nothing = F.array().cast("array<struct<at:long,word:string>>")
     keyed = F.filter(F.array(*(F.when(spaced.contains(f" {phrase} "), F.lit(k)) for k, (_, phrase, _) in enumerate(TEMPLATES))), lambda x: x.isNotNull())
+    named = F.greatest(*(spaced.contains(f" {phrase} ") for phrase in sorted({phrase for _, phrase, _ in TEMPLATES})))
     base = docs.select(*keep, spaced_words(F.col(text_col)).alias("__spaced"))
     found = base.select(
         *keep,
         word_count(spaced).alias("n_words"),
         *(phrase_places(words, spaced, p).alias(f"__p{k}") for k, p in enumerate(PHRASES)),
         F.array_intersect(words, index_words).alias("__seen"),
-        F.when(cue, hits).otherwise(nothing).alias("__hits"),
-        F.when(cue, keyed).otherwise(F.array().cast("array<int>")).alias("__keyed"),
+        F.when(named, hits).otherwise(nothing).alias("__hits"),
+        keyed.alias("__keyed"),
     )
     found = durable(found.withColumn("__row", F.monotonically_increasing_id()))
 
     counted = found.select(F.explode("__seen").alias("word")).groupBy("word").count().collect()  # a row for each template word at most
     total = found.count()
-    idf = {w: log((1 + total) / (1 + n)) for w, n in counted}
-    weights = {w: max(1e-6, idf.get(w, log(1 + total))) for w in vocabulary}
-    rare = [sorted(set(t.split()), key=lambda w: (-weights[w], w))[:RAREST] for _, _, t in TEMPLATES]
+    weights = {w: log(1 + (1 + total) / (1 + n)) for w, n in counted}
+    rare = [sorted(set(t.split()) & weights.keys(), key=lambda w: (-weights[w], w))[:RAREST] for _, _, t in TEMPLATES]
     postings = [(k, i, w, float(weights[w])) for k, (_, _, t) in enumerate(TEMPLATES) for i, w in enumerate(t.split()) if w in rare[k]]
     index = spark.createDataFrame(postings, "template int, place int, word string, weight double")
 

@@ -124,10 +124,11 @@ def count_tokens(docs: DataFrame, path: str, text_col: str = "text", keep: tuple
 
     Words end at ASCII white space, and each is read with a space in front. most is the number of
     tokens of the text's most divided word, 0 without words. A null or empty text has no words.
-    Rows are kept as they are, repeated ones too. Equal words of a part of a partition are read once.
-    No shuffle.
+    Rows are kept as they are, repeated ones too; an empty table gives none. A kept column named like
+    one of the results gives way to it. Equal words of a part of a partition are read once. No shuffle.
     """
     small_batches(docs.sparkSession)
+    keep = tuple(c for c in keep if c.lower() not in ("n_words", "n_tokens", "most"))
     schema = T.StructType([*(docs.schema[c] for c in keep), *(T.StructField(n, T.LongType()) for n in ("n_words", "n_tokens", "most"))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

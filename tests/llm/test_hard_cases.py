@@ -204,6 +204,27 @@ def test_kept_columns_named_like_results(spark):
     model = toxicity.fit_toxicity(docs, spark.createDataFrame([], "doc_id long, toxic int"))
     for out in (secrets.scan_secrets(docs, keep=keep), licenses.scan_licenses(docs, keep=keep), decontaminate.find_contamination(docs, bench, keep=keep), toxicity.score_toxicity(docs, model, keep=keep)):
         assert len({c.lower() for c in out.columns}) == len(out.columns) and out.count() == 1
+    docs = docs.withColumns({c: F.lit(9) for c in ("size", "shard", "SLOT", "part", "nth", "row", "most", "ids_sha256")})
+    keep = tuple(c for c in docs.columns if c != "text")
+    path = str(queries.TOKENIZER)
+    for out in (sharding.shard_by_bytes(docs, 3, keep=keep), wordpieces.count_tokens(docs, path, keep=keep), bpe.bpe_digests(bpe.bpe_encode(docs, path), path, keep=keep)):
+        assert len({c.lower() for c in out.columns}) == len(out.columns) and out.count() == 1
+    placed = sharding.shard_by_bytes(docs, 3, keep=keep).first()
+    assert (placed.part, placed.nth, placed.row, placed["shard"], placed["slot"]) == (9, 9, 9, 1, 0)
+
+
+@pytest.mark.parametrize("n", [1, 300, 3000])
+def test_notices_need_no_other_words(spark, n):
+    """A key phrase with the rest of its notice is found whatever else stands in the text and however many texts there are."""
+    notices = [(label, t) for label, _, t in licenses.TEMPLATES]
+    plain = [f"quiet words w{i % 50} of no licence" for i in range(n)]
+    texts = [t for _, t in notices] + [f"before x {t} behind y" for _, t in notices] + ["Creative Commons Attribution 4.0 International"] * 2 + plain
+    found = {r.doc_id: r["labels"] for r in licenses.scan_licenses(spark.createDataFrame(list(enumerate(texts)), SCHEMA)).collect()}
+    for i, (label, _) in enumerate(notices * 2):
+        assert label in found[i]
+    assert all(not found[i] for i in range(2 * len(notices) + 2, len(texts)))
+    alone = spark.createDataFrame(list(enumerate(["Creative Commons Attribution 4.0 International"] * 2 + plain)), SCHEMA)
+    assert [r["labels"] for r in licenses.scan_licenses(alone).orderBy("doc_id").limit(2).collect()] == [["cc-by-4.0"]] * 2
 
 
 def test_stages_on_odd_tables(spark, tmp_path):
