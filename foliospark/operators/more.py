@@ -9,42 +9,6 @@ from ..functions import classify, text
 from .grouped import fold
 
 
-def align_strings(pairs: DataFrame, match: int = 2, mismatch: int = -1, gap: int = -1) -> DataFrame:
-    """(key, score, a, b): global alignment of each pair (key, a, b), gaps shown as $.
-
-    Of equally good alignments the one that pairs characters latest in the text is given.
-    """
-
-    def step(rows: list[dict]) -> list[tuple]:
-        out = []
-        for r in rows:
-            a, b = r["a"] or "", r["b"] or ""
-            table = [[j * gap for j in range(len(b) + 1)]]
-            for i, x in enumerate(a, 1):
-                row = [i * gap]
-                for j, y in enumerate(b, 1):
-                    row.append(max(table[i - 1][j - 1] + (match if x == y else mismatch), table[i - 1][j] + gap, row[j - 1] + gap))
-                table.append(row)
-            i, j, left, right = len(a), len(b), [], []
-            while i or j:
-                if i and j and table[i][j] == table[i - 1][j - 1] + (match if a[i - 1] == b[j - 1] else mismatch):
-                    i, j = i - 1, j - 1
-                    left.append(a[i])
-                    right.append(b[j])
-                elif i and table[i][j] == table[i - 1][j] + gap:
-                    i -= 1
-                    left.append(a[i])
-                    right.append("$")
-                else:
-                    j -= 1
-                    left.append("$")
-                    right.append(b[j])
-            out.append((r["key"], table[-1][-1], "".join(left[::-1]), "".join(right[::-1])))
-        return out
-
-    return fold(pairs.select("key", "a", "b"), ["key"], [], "key long, score int, a string, b string", step)
-
-
 def group_indents(items: DataFrame, k: int = 5, rounds: int = 5) -> DataFrame:
     """(doc_id, style, item, cluster): items (doc_id, style, item, left, center) grouped by k-means of left and twice the centre.
 
@@ -65,26 +29,6 @@ def group_indents(items: DataFrame, k: int = 5, rounds: int = 5) -> DataFrame:
     return fold(items.select("doc_id", "style", "item", "left", "center"), ["doc_id", "style"], ["item"], "doc_id long, style string, item int, cluster int", step)
 
 
-def fold_contents(contents: DataFrame, body: DataFrame) -> DataFrame:
-    """(doc_id, item, para_no, ratio): headings of a table of contents (doc_id, item, header) matched in order with those of the text (doc_id, para_no, header)."""
-    both = contents.select("doc_id", F.lit(0).alias("side"), F.col("item").alias("at"), "header").unionByName(body.select("doc_id", F.lit(1).alias("side"), F.col("para_no").alias("at"), "header"))
-    plain = both.withColumn("header", text.normal_header(F.col("header")))
-
-    def step(rows: list[dict]) -> list[tuple]:
-        from difflib import SequenceMatcher
-
-        a, b = ([r for r in rows if r["side"] == s] for s in (0, 1))
-        out, start = [], 0
-        for x in a:
-            best = max(((SequenceMatcher(None, x["header"], b[j]["header"], autojunk=False).ratio(), -j) for j in range(start, len(b))), default=(0.0, 0))
-            if best[0] >= 0.8:
-                out.append((x["doc_id"], x["at"], b[-best[1]]["at"], round(best[0], 4)))
-                start = 1 - best[1]
-        return out
-
-    return fold(plain, ["doc_id"], ["side", "at"], "doc_id long, item int, para_no int, ratio double", step)
-
-
 def ids_for_names(names: DataFrame, known: DataFrame) -> DataFrame:
     """(name, id): known ids of standardised names, new names numbered after the largest known id, in order."""
     fresh = names.select(text.standard_name(F.col("name")).alias("name")).distinct().join(known, "name", "left_anti")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import classify, text
-from ..operators import clusters, lines, more, pages, parts, toc, tokens, vote
+from ..operators import clusters, lines, more, pages, pairwise, parts, toc, tokens, vote
 from ..sources import layout, readers, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -901,7 +901,7 @@ def section_html(spark, d):
 def aligned_headers(spark, d):
     header = text.sentence_header(F.col("text"))
     b = table(spark, d, "benchmark").select(F.col("item_id").alias("key"), header.alias("a"), F.lower(header).alias("b"))
-    return more.align_strings(b)
+    return pairwise.align_pairs(b)
 
 
 @query()

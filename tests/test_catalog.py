@@ -6,7 +6,7 @@ from pathlib import Path
 
 import pytest
 
-from foliospark.plans import catalog, outlines, structure  # noqa: F401
+from foliospark.plans import catalog, outlines, records, structure  # noqa: F401
 
 D = "/root/testdata/sf0.001"
 
