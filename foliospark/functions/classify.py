@@ -100,7 +100,7 @@ def starts_toc_section(text: Column, x1: Column, x2: Column) -> Column:
 
 
 #: Words after which a sentence goes on.
-CONNECTORS = "in on this under of with to the an attached any all for thereto see and or as".split()
+CONNECTORS = ["in", "on", "this", "under", "of", "with", "to", "the", "an", "attached", "any", "all", "for", "thereto", "see", "and", "or", "as"]
 
 
 def dangles(c: Column) -> Column:
@@ -161,85 +161,85 @@ def is_summary(c: Column) -> Column:
     return F.lower(c).rlike("|".join(SUMMARY_PHRASES))
 
 
-#: Label, weight and phrases of what preambles, signature blocks, riders, tables of contents and
-#: recitals say. One of the phrases is enough; "ci:" marks those whose capitals do not matter. "a + b" asks for both.
+#: Label, weight, and the ways to get it for what preambles, signature blocks, riders, tables of contents
+#: and recitals say. A way is the phrases that must all stand, and whether the case of letters matters; one way is enough.
 PHRASE_WEIGHTS = [
-    ("preamble", 2, ["ci:made"]),
-    ("preamble", 1, ["ci:entered"]),
-    ("preamble", 4, ["ci:entered into"]),
-    ("preamble", 2, ["ci:having an office"]),
-    ("preamble", 2, ["ci:with offices at"]),
-    ("preamble", 2, ["ci:with principal offices at"]),
-    ("preamble", 2, ["ci:principal place of business"]),
-    ("preamble", 2, ["ci:located at"]),
-    ("preamble", 2, ["ci:all capitalized"]),
-    ("preamble", 1, ["ci:amendment"]),
-    ("preamble", 1, ["ci:addendum"]),
-    ("preamble", 1, ["ci:amends"]),
-    ("preamble", 1, ["Effective Date"]),
-    ("preamble", 1, ["ci:effective date"]),
-    ("preamble", 1, ["ci:incorporated under"]),
-    ("preamble", 1, ["ci:limited liability company"]),
-    ("preamble", 1, ["ci:llc"]),
-    ("preamble", 1, ["INC", "Inc"]),
-    ("preamble", 1, ["ci:collectively"]),
-    ("preamble", 1, ["ci:day of "]),
-    ("preamble", 1, ["ci:corporation"]),
-    ("preamble", 1, ["ci:hereinafter"]),
-    ("preamble", 2, ["ci:behalf"]),
-    ("preamble", 2, ["ci:subsidiaries"]),
-    ("preamble", 2, ["ci:affiliates"]),
-    ("preamble", 2, ["ci:agree as follows"]),
-    ("preamble", 4, ["ci:hereby agree as follows"]),
-    ("preamble", 1, ["ci:between"]),
-    ("preamble", 1, ["ci:herein"]),
-    ("preamble", 1, ["ci:dated"]),
-    ("preamble", 1, ["ci:among"]),
-    ("preamble", 1, ["ci:agreement"]),
-    ("preamble", 1, ["ci:amendment", "ci:addendum"]),
-    ("preamble", 2, ["ci: by and between"]),
-    ("preamble", 1, ["ci: as of "]),
-    ("preamble", 1, ["ci: effective "]),
-    ("preamble", 2, ["This "]),
-    ("preamble", 2, ["THIS "]),
-    ("preamble", 1, ["ci:letter of intent"]),
-    ("preamble", 1, ["ci:statement of work"]),
-    ("preamble", 1, ["ci:statement of services"]),
-    ("preamble", 1, ["ci:sow"]),
-    ("preamble", 2, ["In connection"]),
-    ("preamble", 2, ["In consideration"]),
-    ("preamble", 1, ["ci:sos"]),
-    ("preamble", -8, ["ci:miscellaneous"]),
-    ("preamble", -2, ["ci:termination"]),
-    ("preamble", -3, ["ci:governing law"]),
-    ("preamble", -3, ["ci:definitive agreement"]),
-    ("preamble", -3, ["ci:jurisdiction"]),
-    ("preamble", -3, ["ci:arbitration"]),
-    ("preamble", -2, ["ci:construed"]),
-    ("preamble", -2, ["ci:shall mean", "ci:means"]),
-    ("preamble", -2, ["ci:governed"]),
-    ("preamble", -2, ["ci:controlled"]),
-    ("preamble", -2, ["ci:no agency"]),
-    ("preamble", -2, ["ci:entire agreement"]),
-    ("preamble", -10, ["WHEREAS", "Whereas"]),
-    ("preamble", -10, ["THEREFORE"]),
-    ("signature", 10, ["ci:in witness whereof"]),
-    ("signature", 10, ["ci:signatures follow", "ci:signatures + ci:follow + ci:page"]),
-    ("signature", 20, ["ci:agreed + ci:accepted"]),
-    ("signature", 10, ["Whereof", "WHEREOF"]),
-    ("signature", 10, ["Witness ", "WITNESS "]),
-    ("rider", 10, ["RIDER"]),
-    ("toc", 10, ["ci:table of contents", "TABLE + CONTENTS"]),
-    ("toc", 15, ["INDEX"]),
-    ("toc", 15, ["EXHIBITS"]),
-    ("toc", 15, ["ci:list of exhibits"]),
-    ("recitals", 10, ["ci:whereas", "ci:w h e r e a s"]),
-    ("recitals", 5, ["ci:in consideration"]),
-    ("recitals", 5, ["ci: agree as follows"]),
-    ("recitals", 5, ["ci:the parties agree as follows", "ci:hereby agree as follows"]),
-    ("recitals", 10, ["ci:now + ci:therefore"]),
-    ("recitals", 10, ["ci:recitals", "ci:r e c i t a l s"]),
-    ("recitals", 10, ["BACKGROUND", "Background"]),
+    ("preamble", 2, [(["made"], False)]),
+    ("preamble", 1, [(["entered"], False)]),
+    ("preamble", 4, [(["entered into"], False)]),
+    ("preamble", 2, [(["having an office"], False)]),
+    ("preamble", 2, [(["with offices at"], False)]),
+    ("preamble", 2, [(["with principal offices at"], False)]),
+    ("preamble", 2, [(["principal place of business"], False)]),
+    ("preamble", 2, [(["located at"], False)]),
+    ("preamble", 2, [(["all capitalized"], False)]),
+    ("preamble", 1, [(["amendment"], False)]),
+    ("preamble", 1, [(["addendum"], False)]),
+    ("preamble", 1, [(["amends"], False)]),
+    ("preamble", 1, [(["Effective Date"], True)]),
+    ("preamble", 1, [(["effective date"], False)]),
+    ("preamble", 1, [(["incorporated under"], False)]),
+    ("preamble", 1, [(["limited liability company"], False)]),
+    ("preamble", 1, [(["llc"], False)]),
+    ("preamble", 1, [(["INC"], True), (["Inc"], True)]),
+    ("preamble", 1, [(["collectively"], False)]),
+    ("preamble", 1, [(["day of "], False)]),
+    ("preamble", 1, [(["corporation"], False)]),
+    ("preamble", 1, [(["hereinafter"], False)]),
+    ("preamble", 2, [(["behalf"], False)]),
+    ("preamble", 2, [(["subsidiaries"], False)]),
+    ("preamble", 2, [(["affiliates"], False)]),
+    ("preamble", 2, [(["agree as follows"], False)]),
+    ("preamble", 4, [(["hereby agree as follows"], False)]),
+    ("preamble", 1, [(["between"], False)]),
+    ("preamble", 1, [(["herein"], False)]),
+    ("preamble", 1, [(["dated"], False)]),
+    ("preamble", 1, [(["among"], False)]),
+    ("preamble", 1, [(["agreement"], False)]),
+    ("preamble", 1, [(["amendment"], False), (["addendum"], False)]),
+    ("preamble", 2, [([" by and between"], False)]),
+    ("preamble", 1, [([" as of "], False)]),
+    ("preamble", 1, [([" effective "], False)]),
+    ("preamble", 2, [(["This "], True)]),
+    ("preamble", 2, [(["THIS "], True)]),
+    ("preamble", 1, [(["letter of intent"], False)]),
+    ("preamble", 1, [(["statement of work"], False)]),
+    ("preamble", 1, [(["statement of services"], False)]),
+    ("preamble", 1, [(["sow"], False)]),
+    ("preamble", 2, [(["In connection"], True)]),
+    ("preamble", 2, [(["In consideration"], True)]),
+    ("preamble", 1, [(["sos"], False)]),
+    ("preamble", -8, [(["miscellaneous"], False)]),
+    ("preamble", -2, [(["termination"], False)]),
+    ("preamble", -3, [(["governing law"], False)]),
+    ("preamble", -3, [(["definitive agreement"], False)]),
+    ("preamble", -3, [(["jurisdiction"], False)]),
+    ("preamble", -3, [(["arbitration"], False)]),
+    ("preamble", -2, [(["construed"], False)]),
+    ("preamble", -2, [(["shall mean"], False), (["means"], False)]),
+    ("preamble", -2, [(["governed"], False)]),
+    ("preamble", -2, [(["controlled"], False)]),
+    ("preamble", -2, [(["no agency"], False)]),
+    ("preamble", -2, [(["entire agreement"], False)]),
+    ("preamble", -10, [(["WHEREAS"], True), (["Whereas"], True)]),
+    ("preamble", -10, [(["THEREFORE"], True)]),
+    ("signature", 10, [(["in witness whereof"], False)]),
+    ("signature", 10, [(["signatures follow"], False), (["signatures", "follow", "page"], False)]),
+    ("signature", 20, [(["agreed", "accepted"], False)]),
+    ("signature", 10, [(["Whereof"], True), (["WHEREOF"], True)]),
+    ("signature", 10, [(["Witness "], True), (["WITNESS "], True)]),
+    ("rider", 10, [(["RIDER"], True)]),
+    ("toc", 10, [(["table of contents"], False), (["TABLE", "CONTENTS"], True)]),
+    ("toc", 15, [(["INDEX"], True)]),
+    ("toc", 15, [(["EXHIBITS"], True)]),
+    ("toc", 15, [(["list of exhibits"], False)]),
+    ("recitals", 10, [(["whereas"], False), (["w h e r e a s"], False)]),
+    ("recitals", 5, [(["in consideration"], False)]),
+    ("recitals", 5, [([" agree as follows"], False)]),
+    ("recitals", 5, [(["the parties agree as follows"], False), (["hereby agree as follows"], False)]),
+    ("recitals", 10, [(["now", "therefore"], False)]),
+    ("recitals", 10, [(["recitals"], False), (["r e c i t a l s"], False)]),
+    ("recitals", 10, [(["BACKGROUND"], True), (["Background"], True)]),
 ]
 #: A paragraph carries a label if it scores more.
 LABEL_BAR = {"preamble": 2, "signature": 5, "rider": 5, "toc": 5, "recitals": 5}
@@ -253,18 +253,19 @@ def phrase_score(c: Column, label: str) -> Column:
     plain = F.regexp_replace(plain, "[^A-Za-z0-9]+", " ")
     low = F.lower(plain)
 
-    def holds(phrase: str) -> Column:
-        parts = [low.contains(p[3:]) if p.startswith("ci:") else plain.contains(p) for p in phrase.split(" + ")]
-        return reduce(and_, parts)
+    def holds(way: tuple[list[str], bool]) -> Column:
+        phrases, with_case = way
+        return reduce(and_, [(plain if with_case else low).contains(p) for p in phrases])
 
-    return sum((F.when(reduce(or_, map(holds, phrases)), w).otherwise(0) for k, w, phrases in PHRASE_WEIGHTS if k == label), F.lit(0))
+    return sum((F.when(reduce(or_, map(holds, ways)), w).otherwise(0) for k, w, ways in PHRASE_WEIGHTS if k == label), F.lit(0))
 
 
 #: Words for the parties of a contract.
-PARTY_ROLES = (
-    "landlord lessor lessee tenant agent broker sublessor sublessee sublandlord subtenant mortgagee morgagor buyer reseller seller licensor licensee employer employee owner"
-    " lender borrower guarantor assignor assignee declarant reinsurer customer representative supplier distributor witness attest property building"
-).split()
+PARTY_ROLES = [
+    "landlord", "lessor", "lessee", "tenant", "agent", "broker", "sublessor", "sublessee", "sublandlord", "subtenant", "mortgagee", "morgagor",
+    "buyer", "reseller", "seller", "licensor", "licensee", "employer", "employee", "owner", "lender", "borrower", "guarantor", "assignor", "assignee",
+    "declarant", "reinsurer", "customer", "representative", "supplier", "distributor", "witness", "attest", "property", "building",
+]
 #: Weights of words on title pages and in signature blocks.
 TITLE_WORDS = {"dated": 10, "effective": 10, "between": 10, "inc": 10, "shopping": 10, "center": 10, "lease": 10, "agreement": 10, "and": 2, "llc": 2}
 SIGNATURE_WORDS = {"DATE": 10, "Date": 10, "BY": 10, "By": 10, "NAME": 10, "Name": 10, "TITLE": 10, "Title": 10}

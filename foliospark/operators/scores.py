@@ -20,16 +20,59 @@ ITEM_START = r"^(Exhibit|Schedule|Section|Article|EXHIBIT|SCHEDULE|SECTION|ARTIC
 REFERENCE_END = r"^([0-9]{1,3}|[ivx]{1,4})$"
 #: Words that head a table of contents.
 CONTENTS_WORDS = ["CONTENTS", "INDEX"]
-#: Beginnings of the words of lease titles in capitals, and whole words otherwise.
-TITLE_STEMS = (
-    "AGREEME JOINDER ATTORN DISTUR SUBLEA AMEND RENEWAL SUBORD ADDEND GUARANTY ASSIGNM COMMEN MEMORA MODIFI ESTOP CERTI LETT INVO COMM".split()
-)
-TITLE_CAPITALS = "ACKNOWLEDGEMENT CONSENT ASSUMPTION".split()
-TITLE_CASED = (
-    "Agreement Sublease Acknowledgement Amendment Extension Addendum Guaranty Assignment Assumption Commencement Modification Memorandum Estoppel Certificate Letter".split()
-)
-#: What must not follow "lease" in a title.
-NOT_AFTER_LEASE = "SUMMA ADMIN DATA TERMS PROVIS RESTRI FACE YEAR INFORM".split()
+#: Words of lease titles in capitals, and how many of their letters are compared; the whole word where none is given.
+TITLE_CAPITALS = [
+    ("AGREEMENT", 7),
+    ("JOINDER", 7),
+    ("ATTORNMENT", 6),
+    ("DISTURBANCE", 6),
+    ("SUBLEASE", 6),
+    ("ACKNOWLEDGEMENT", None),
+    ("AMENDMENT", 5),
+    ("RENEWAL", 7),
+    ("SUBORDINATION", 6),
+    ("CONSENT", None),
+    ("ADDENDUM", 6),
+    ("GUARANTY", 8),
+    ("ASSIGNMENT", 7),
+    ("ASSUMPTION", None),
+    ("COMMENCEMENT", 6),
+    ("MEMORANDUM", 6),
+    ("MODIFICATION", 6),
+    ("ESTOPPEL", 5),
+    ("CERTIFICATE", 5),
+    ("LETTER", 4),
+    ("INVOICE", 4),
+    ("COMMISSION", 4),
+]
+#: The same for words with small letters.
+TITLE_CASED = [
+    ("Agreement", None),
+    ("Joinder", 7),
+    ("Sublease", None),
+    ("Acknowledgement", None),
+    ("Amendment", None),
+    ("Renewal", 7),
+    ("Extension", None),
+    ("Addendum", None),
+    ("Guaranty", None),
+    ("Assignment", None),
+    ("Assumption", None),
+    ("Commencement", None),
+    ("Modification", None),
+    ("Memorandum", None),
+    ("Estoppel", None),
+    ("Certificate", None),
+    ("Letter", None),
+]
+#: What must not follow LEASE in a title, and Lease.
+NOT_AFTER_CAPITALS = [("SUMMARY", 5), ("ADMINISTRATOR", 5), ("DATA", None), ("TERMS", None), ("PROVISIONS", 6), ("RESTRICTIONS", 6), ("FACE", None), ("YEAR", None), ("INFORMATION", 6)]
+NOT_AFTER_CASED = ["Summary", "Administrator", "Data", "Terms", "Provisions", "Restrictions", "Face", "Year", "Information"]
+
+
+def reads_as(c: Column, words: list[tuple[str, int | None]]) -> Column:
+    """Whether a word is one of the words, or begins with as many of its letters as are compared."""
+    return c.rlike("^(" + "|".join(w[:n] if n else f"{w}$" for w, n in words) + ")")
 
 
 def marked_lines(tokens: DataFrame) -> DataFrame:
@@ -100,9 +143,11 @@ def title_words(tokens: DataFrame) -> DataFrame:
     before, after = F.lag("text", 1, "").over(w), F.lead("text", 1, "").over(w)
     third = F.lead("text", 2, "").over(w)
     word = F.col("text")
-    lease = (word.startswith("LEASE") | (word == "Lease")) & (F.lower(before) != "of") & ~F.upper(after).rlike("^(" + "|".join(NOT_AFTER_LEASE) + ")")
+    capitals = word.startswith("LEAS") & ~reads_as(after, NOT_AFTER_CAPITALS)
+    cased = (word == "Lease") & ~after.isin(NOT_AFTER_CASED)
+    lease = (capitals | cased) & (F.lower(before) != "of")
     rules = (word == "RULES") & third.startswith("REGU")
-    named = word.rlike("^(" + "|".join(TITLE_STEMS) + ")") | word.isin(*TITLE_CAPITALS, *TITLE_CASED) | word.rlike("^(Joinder|Renewal)")
+    named = reads_as(word, TITLE_CAPITALS) | reads_as(word, TITLE_CASED)
     return tokens.withColumn("is_title", lease | rules | named)
 
 

@@ -30,8 +30,55 @@ def query(sql: str | None = None):
     return register
 
 
+#: Words of the invented languages and the words of contracts that stand for them, so that rules of contracts have something to find.
+SAID = [
+    (" of ", " LEASE AGREEMENT AMENDMENT "),
+    (" the ", " 12 "),
+    (" and ", " 3. "),
+    (" to ", " witness "),
+    (" in ", " By "),
+    (" la ", " INDEX "),
+    (" le ", " DATE "),
+    (" der ", " lease data "),
+    (" die ", " in Section 4 hereof "),
+    (" und ", " WHEREAS "),
+    (" de ", " regula- regulation "),
+    (" que ", " landlord "),
+    (" zu ", " EXHIBIT "),
+    (" et ", " made and entered into by and between "),
+    ("In ", "Section "),
+]
+
+
+class Said(str):
+    """A folder of tables whose documents and conversations are read with the words of SAID."""
+
+
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    df = spark.read.parquet(f"{d}/{name}.parquet")
+    if isinstance(d, Said) and name in ("documents", "conversations"):
+        text_ = F.col("text")
+        for word, other in SAID:
+            text_ = F.replace(text_, F.lit(word), F.lit(other))
+        df = df.withColumn("text", text_)
+    return df
+
+
+def said(*names: str) -> None:
+    """Let registered queries and their SQL read documents and conversations with the words of SAID."""
+    changed = "text"
+    for word, other in SAID:
+        changed = f"replace({changed}, '{word}', '{other}')"
+    for name in names:
+        QUERIES[name] = lambda spark, d, f=QUERIES[name]: f(spark, Said(d))
+        if name in ORACLE_SQL:
+            sql = ORACLE_SQL[name]
+            tables = [t for t in ("documents", "conversations") if f"FROM {t}" in sql]
+            for t in tables:
+                sql = sql.replace(f"FROM {t}", f"FROM said_{t}")
+            ctes = ", ".join(f"said_{t} AS (SELECT * REPLACE ({changed} AS text) FROM {t})" for t in tables)
+            opening = "WITH RECURSIVE " if sql.lstrip().startswith("WITH RECURSIVE ") else "WITH " if sql.lstrip().startswith("WITH ") else ""
+            ORACLE_SQL[name] = f"{opening or 'WITH '}{ctes}{', ' if opening else ' '}{sql.lstrip()[len(opening) :]}"
 
 
 def doc_tokens(spark: SparkSession, d: str) -> DataFrame:
@@ -498,12 +545,20 @@ def footer_designations(spark, d):
 
 
 @query(
-    BLOCKS
-    + """, f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, page, line ORDER BY x1, block) AS r FROM blk) WHERE r = 1 AND x1 < 2000 AND regexp_matches(text, '^[0-9]{1,3}\\.?$'))
+    """WITH blk AS (
+  SELECT l_orderkey AS doc_id, 1 AS page, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate, l_linenumber, l_partkey, l_extendedprice) AS INT) AS block,
+    CAST(round(1000 + l_discount * 3000) AS INT) AS x1, CAST(round(1000 + l_discount * 3000 + l_tax * 1000) AS INT) AS x2, CASE l_returnflag WHEN 'R' THEN CAST(l_linenumber AS VARCHAR) || '.' WHEN 'A' THEN CAST(l_linenumber AS VARCHAR) ELSE 'line' END AS text FROM lineitem
+), f AS (SELECT * FROM blk WHERE x1 < 2000 AND regexp_matches(text, '^[0-9]{1,3}\\.?$'))
 SELECT p.doc_id, p.page, p.block AS a, q.block AS b FROM f p JOIN f q ON p.doc_id = q.doc_id AND p.page = q.page AND p.block < q.block AND abs(p.x1 - q.x1) + abs(p.x2 - q.x2) < 200"""
 )
 def enum_pairs(spark, d):
-    return clusters.aligned_numbers(layout.blocks(doc_tokens(spark, d)))
+    w = Window.partitionBy("l_orderkey").orderBy("l_shipdate", "l_linenumber", "l_partkey", "l_extendedprice")
+    number = F.col("l_linenumber").cast("string")
+    body = F.when(F.col("l_returnflag") == "R", F.concat(number, F.lit("."))).when(F.col("l_returnflag") == "A", number).otherwise(F.lit("line"))
+    at = lambda c: F.round(c).cast("int")
+    left = 1000 + F.col("l_discount") * 3000
+    rows = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("doc_id"), F.lit(1).alias("page"), F.row_number().over(w).alias("block"), at(left).alias("x1"), at(left + F.col("l_tax") * 1000).alias("x2"), body.alias("text"))
+    return clusters.aligned_numbers(rows.withColumn("line", F.col("block")))
 
 
 @query(BLOCKS + " SELECT p.doc_id, p.page, count(*) AS n FROM blk p JOIN blk q ON p.doc_id = q.doc_id AND p.page = q.page AND p.block < q.block AND abs(p.x1 - q.x1) < 25 GROUP BY p.doc_id, p.page")
@@ -585,8 +640,8 @@ def summary_pages(spark, d):
 
 
 def _score_sql(label):
-    holds = lambda p: f"contains(lower(q), '{p[3:]}')" if p.startswith("ci:") else f"contains(q, '{p}')"
-    one = lambda phrases: " OR ".join(" AND ".join(map(holds, p.split(" + "))) for p in phrases)
+    holds = lambda p, with_case: f"contains({'q' if with_case else 'lower(q)'}, '{p}')"
+    one = lambda ways: " OR ".join(" AND ".join(holds(p, with_case) for p in phrases) for phrases, with_case in ways)
     return " + ".join(f"CASE WHEN {one(ps)} THEN {w} ELSE 0 END" for k, w, ps in classify.PHRASE_WEIGHTS if k == label)
 
 
