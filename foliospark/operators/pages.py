@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import classify
+from ..sources.durable import dictionary_join, durable
 
 count_if = lambda c: F.sum(F.when(c, 1).otherwise(0))
 
@@ -25,19 +26,33 @@ def line_stats(tokens: DataFrame, *more: Column) -> DataFrame:
     ).withColumn("center", F.floor((F.col("left_x") + F.col("right_x")) / 2).cast("int"))
 
 
-def page_stats(tokens: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """One row for each page: words, capitals, junk, dictionary words, lines."""
-    word = F.lower(F.regexp_replace("text", "[^A-Za-z]", ""))
-    known = tokens.withColumn("word", word).join(dictionary.select("word", F.lit(1).alias("known")), "word", "left")
-    text = F.col("text")
-    return known.groupBy("doc_id", "page").agg(
-        F.count("*").alias("n_words"),
-        count_if(classify.is_first_cap(text)).alias("n_cap_words"),
-        count_if(F.length(F.regexp_replace("text", "[^A-Za-z0-9]", "")) < 2).alias("n_junk"),
-        count_if(F.col("known") == 1).alias("n_dict"),
-        F.countDistinct("line").alias("n_lines"),
-        F.sum(F.length("text")).alias("n_chars"),
+def page_stats(tokens: DataFrame, least: int = 3) -> DataFrame:
+    """One row for each page: words, capitals, junk, dictionary words, lines. The dictionary is the words of two letters or more in `least` places of all documents.
+
+    Equal words of a page are counted together before anything else, so that patterns are matched and
+    the dictionary is asked once for each, and the corpus is cut into words once for counts and
+    dictionary, which is broadcast if its counted size allows it. Lines are counted apart, by
+    their numbers alone.
+    """
+    text, n = F.col("text"), F.col("n")
+    of_page = tokens.groupBy("doc_id", "page", "text").agg(F.count("*").alias("n"))
+    of_page = durable(
+        of_page.select(
+            "doc_id",
+            "page",
+            "n",
+            F.lower(F.regexp_replace("text", "[^A-Za-z]", "")).alias("word"),
+            F.when(classify.is_first_cap(text), n).otherwise(0).alias("caps"),
+            F.when(F.length(F.regexp_replace("text", "[^A-Za-z0-9]", "")) < 2, n).otherwise(0).alias("junk"),
+            (n * F.length("text")).alias("chars"),
+        )
+    )
+    dictionary = durable(of_page.where(F.length("word") > 1).groupBy("word").agg(F.sum("n").alias("freq")).where(F.col("freq") >= least).select("word", F.lit(1).alias("known")))
+    sums = dictionary_join(of_page, dictionary, "word").groupBy("doc_id", "page").agg(
+        F.sum("n").alias("n_words"), F.sum("caps").alias("n_cap_words"), F.sum("junk").alias("n_junk"), F.coalesce(F.sum(F.when(F.col("known") == 1, F.col("n"))), F.lit(0)).alias("n_dict"), F.sum("chars").alias("n_chars")
     )
+    lines = tokens.select("doc_id", "page", "line").distinct().groupBy("doc_id", "page").agg(F.count("*").alias("n_lines"))
+    return sums.join(lines, ["doc_id", "page"])
 
 
 def right_cluster(lines: DataFrame, near: int = 3999) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import classify, text
 from ..operators import clusters, lines, more, pages, pairwise, parts, toc, tokens, vote
 from ..sources import layout, readers, sinks
+from ..sources.durable import dictionary_join, durable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -131,10 +132,8 @@ def tokens_layout(spark, d):
 
 @query(TOKENS + " SELECT doc_id, sn, round(x1 * 0.0612::DOUBLE, 4) AS px1, round(x2 * 0.0612::DOUBLE, 4) AS px2, round(y1 * 0.0792::DOUBLE, 4) AS py1, round(y2 * 0.0792::DOUBLE, 4) AS py2 FROM tok")
 def coords_pixels(spark, d):
-    size = spark.createDataFrame([(612, 792)], "xx int, yy int")
-    t = doc_tokens(spark, d).crossJoin(F.broadcast(size))
-    px = lambda c, s: F.round(F.col(c) * (F.col(s) / 10000), 4)
-    return t.select("doc_id", "sn", px("x1", "xx").alias("px1"), px("x2", "xx").alias("px2"), px("y1", "yy").alias("py1"), px("y2", "yy").alias("py2"))
+    px = lambda c, size: F.round(F.col(c) * F.lit(size / 10000), 4)
+    return doc_tokens(spark, d).select("doc_id", "sn", px("x1", 612).alias("px1"), px("x2", 612).alias("px2"), px("y1", 792).alias("py1"), px("y2", 792).alias("py2"))
 
 
 @query("SELECT vec_id, list_sum([CAST(trunc(CAST(x AS DOUBLE) * 10000) AS INT) FOR x IN embedding])::BIGINT AS scaled FROM embeddings")
@@ -494,10 +493,10 @@ def engine_vote(spark, d):
     a, b = engines(spark, d)
     best = vote.mutual_best(vote.overlapping_pairs(a, b))
     word = lambda c: F.lower(F.regexp_replace(c, "[^A-Za-z]", ""))
-    known = tokens.frequent_words(a)
+    known = durable(tokens.frequent_words(a))
     for s in "ab":
         side = known.select(F.col("word").alias(f"word_{s}"), F.lit(True).alias(f"known_{s}"))
-        best = best.withColumn(f"word_{s}", word(f"text_{s}")).join(side, f"word_{s}", "left")
+        best = dictionary_join(best.withColumn(f"word_{s}", word(f"text_{s}")), side, f"word_{s}")
     k = lambda s: F.coalesce(f"known_{s}", F.lit(False))
     voted = vote.decide(F.col("text_a"), F.col("text_b"), k("a"), k("b"), F.col("conf_a"), F.col("conf_b"))
     return best.select("doc_id", "page", "sn_a", voted.alias("voted"))
@@ -577,7 +576,7 @@ pg AS (SELECT t.doc_id, t.page, count(*) AS n_words, sum(CASE WHEN regexp_matche
 @query(PAGE_DICT + " SELECT * FROM pg")
 def page_statistics(spark, d):
     t = doc_tokens(spark, d)
-    return pages.page_stats(t, tokens.frequent_words(t))
+    return pages.page_stats(t)
 
 
 @query(
