@@ -292,7 +292,7 @@ def reading_order(spark, d):
     GAPS
     + """, g AS (SELECT * FROM gap WHERE "right" > "left")
 SELECT a.doc_id, a.page, a.line AS line_a, a.nth AS nth_a, b.line AS line_b, b.nth AS nth_b, least(a."right", b."right") - greatest(a."left", b."left") AS overlap
-FROM g a JOIN g b ON a.doc_id = b.doc_id AND a.page = b.page AND b.line BETWEEN a.line + 1 AND a.line + 2 WHERE least(a."right", b."right") > greatest(a."left", b."left")"""
+FROM g a JOIN (SELECT *, line - 1 AS above FROM g UNION ALL SELECT *, line - 2 FROM g) b ON a.doc_id = b.doc_id AND a.page = b.page AND a.line = b.above WHERE least(a."right", b."right") > greatest(a."left", b."left")"""
 )
 def gap_overlap(spark, d):
     return clusters.overlapping_gaps(lines.block_gaps(layout.blocks(doc_tokens(spark, d))))
@@ -375,20 +375,26 @@ def norm_token_split(spark, d):
     return doc_tokens(spark, d).select("doc_id", "sn", F.posexplode(text.normal_token(F.col("text"))).alias("part", "text"))
 
 
-ROMANS = [(i, r) for i, r in enumerate("I II III IV V VI VII VIII IX X XI XII XIII XIV XV XVI XVII XVIII XIX XX XXI XXII XXIII XXIV XXV XXVI XXVII XXVIII XXIX XXX".split(), 1)]
-
-
-@query("SELECT l_orderkey, l_linenumber, l_linenumber AS value FROM lineitem")
+@query("SELECT p_partkey, CASE WHEN p_size % 50 BETWEEN 1 AND 39 THEN p_size % 50 END AS value, CASE WHEN p_size % 50 BETWEEN 1 AND 39 THEN p_size % 50 END AS small FROM part")
 def roman_value(spark, d):
-    names = spark.createDataFrame(ROMANS, "l_linenumber int, roman string")
-    return table(spark, d, "lineitem").join(F.broadcast(names), "l_linenumber").select("l_orderkey", "l_linenumber", text.roman_value(F.col("roman")).alias("value"))
+    """Sizes below 40 written in roman numerals; 40 and more are written in digits and are none."""
+    n = (F.col("p_size") % 50).cast("int")
+    ones = F.element_at(F.array(*map(F.lit, ["", "I", "II", "III", "IV", "V", "VI", "VII", "VIII", "IX"])), n % 10 + 1)
+    written = F.when((n > 0) & (n < 40), F.concat(F.expr("repeat('X', cast(p_size % 50 div 10 as int))"), ones)).otherwise(n.cast("string"))
+    rows = table(spark, d, "part").withColumn("written", written)
+    return rows.select("p_partkey", text.roman_value(F.col("written")).alias("value"), text.roman_value(F.lower("written")).alias("small"))
 
 
-@query("SELECT l_orderkey, l_linenumber, 20 + l_linenumber AS value, l_linenumber AS ordinal FROM lineitem")
+@query("SELECT p_partkey, CASE WHEN p_size BETWEEN 20 AND 99 THEN p_size END AS value, CASE WHEN p_size <= 20 THEN p_size END AS ordinal FROM part")
 def number_words(spark, d):
-    names = spark.createDataFrame([(i + 1, f"TWENTY-{w}", o) for i, (w, o) in enumerate(zip(text.UNITS[:9], text.ORDINALS[:9], strict=True))], "l_linenumber int, word string, ordinal_word string")
-    rows = table(spark, d, "lineitem").join(F.broadcast(names), "l_linenumber")
-    return rows.select("l_orderkey", "l_linenumber", text.word_number(F.col("word")).alias("value"), text.word_number(F.col("ordinal_word")).alias("ordinal"))
+    """Sizes from 20 on written in words, and those up to 20 as ordinals; what is no number word has no value."""
+    size = F.col("p_size")
+    at = lambda words, n: F.try_element_at(F.array(*map(F.lit, words)), n)
+    ones = at(text.UNITS[:9], (size % 10).cast("int"))
+    ten = at(text.TENS, (F.floor(size / 10) - 1).cast("int"))
+    word = F.when(size >= 20, F.when(size % 10 == 0, ten).otherwise(F.concat_ws("-", ten, ones))).otherwise(F.lit("DOZENS"))
+    ordinal = F.when(size <= 20, at(text.ORDINALS, size)).otherwise(F.lit("LATER"))
+    return table(spark, d, "part").select("p_partkey", text.word_number(word).alias("value"), text.word_number(ordinal).alias("ordinal"))
 
 
 @query(
@@ -914,7 +920,11 @@ def line_number_scores(spark, d):
     return clusters.line_number_scores(rows).select("cluster", "n", F.round("seq_ratio", 6).alias("seq_ratio"), F.round("period_ratio", 6).alias("period_ratio"))
 
 
-@query(BLOCKS + " SELECT a.doc_id, a.line, a.block AS label_block, b.block AS value_block FROM blk a JOIN blk b ON a.doc_id = b.doc_id AND a.page = b.page AND a.line = b.line AND a.block < b.block WHERE a.x1 < 5000 AND b.x1 >= 5000")
+@query(
+    BLOCKS
+    + """, s AS (SELECT doc_id, line, x1 < 5000 AS is_label, list(block ORDER BY block) AS blocks FROM blk GROUP BY doc_id, page, line, x1 < 5000)
+SELECT v.doc_id, v.line, unnest(l.blocks) AS label_block, v.value_block FROM (SELECT doc_id, line, unnest(blocks) AS value_block FROM s WHERE NOT is_label) v JOIN s l ON l.doc_id = v.doc_id AND l.line = v.line AND l.is_label"""
+)
 def label_values(spark, d):
     b = layout.blocks(doc_tokens(spark, d))
     return clusters.label_values(b.where("x1 < 5000"), b.where("x1 >= 5000")).select("doc_id", "line", "label_block", "value_block")
