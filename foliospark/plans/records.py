@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import nesting
-from ..operators import fold, protection, runs
-from .catalog import query, table
+from ..operators import fold, preambles, protection, runs
+from ..sources import sinks
+from .catalog import TOKENS, doc_tokens, query, table
 
 # protection: rich customers protect their open orders, those their returned lines, and these part and supplier
 
@@ -176,3 +177,71 @@ SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(e.balance, 0) END AS
 def nested_texts(spark, d):
     brackets = F.translate("text", "ensi", "{}[]")
     return table(spark, d, "documents").select("doc_id", nesting.nesting(brackets).alias("n")).select("doc_id", "n.balance", "n.least")
+
+
+# where documents come from: orders lie in the folder of their customer, that in a nation's, that belongs to a region
+
+
+def folder_tree(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Folders (id, parent_id, org_id) and assignments (folder_id, org_id, country)."""
+    c, n, r = (table(spark, d, t) for t in ("customer", "nation", "region"))
+    name = lambda letter, key: F.concat(F.lit(letter), F.col(key).cast("string"))
+    none = F.lit(None).cast("string")
+    folders = c.select(name("c", "c_custkey").alias("id"), name("n", "c_nationkey").alias("parent_id"), none.alias("org_id"))
+    folders = folders.unionByName(n.select(name("n", "n_nationkey").alias("id"), none.alias("parent_id"), name("r", "n_regionkey").alias("org_id")))
+    assigned = c.where("c_acctbal < 0").select(name("c", "c_custkey").alias("folder_id"), none.alias("org_id"), F.col("c_mktsegment").alias("country"))
+    assigned = assigned.unionByName(n.where("n_nationkey < 10").select(name("n", "n_nationkey").alias("folder_id"), none.alias("org_id"), F.col("n_name").alias("country")))
+    assigned = assigned.unionByName(r.where("r_regionkey > 1").select(none.alias("folder_id"), name("r", "r_regionkey").alias("org_id"), F.col("r_name").alias("country")))
+    return folders, assigned
+
+
+@query(
+    """SELECT o.o_orderkey AS doc_id, coalesce(CASE WHEN c.c_acctbal < 0 THEN c.c_mktsegment END, CASE WHEN n.n_nationkey < 10 THEN n.n_name END, CASE WHEN r.r_regionkey > 1 THEN r.r_name END, 'USA') AS country
+FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey LEFT JOIN region r ON r.r_regionkey = n.n_regionkey"""
+)
+def document_countries(spark, d):
+    folders, assigned = folder_tree(spark, d)
+    docs = table(spark, d, "orders").select(F.col("o_orderkey").alias("doc_id"), F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("folder_id"))
+    return preambles.document_values(docs, folders, assigned)
+
+
+@query(TOKENS + " SELECT doc_id, page, length(string_agg(text, ' ' ORDER BY sn)) AS n_chars, count(*) AS n_words, count(*) AS n_spans, min(sn) AS first_span, max(sn) AS last_span FROM tok WHERE NOT contains(text, '<') AND NOT contains(text, '>') GROUP BY doc_id, page")
+def label_spans(spark, d):
+    t = doc_tokens(spark, d).where("not contains(text, '<') and not contains(text, '>')")
+    return preambles.label_spans(sinks.display_html(t), ["doc_id", "page"]).select("doc_id", "page", F.length("text").alias("n_chars"), "n_words", "n_spans", "first_span", "last_span")
+
+
+# recitals: lines are marks of customers' documents, named by their number; parts are features
+
+
+@query(
+    """SELECT CAST(l_linenumber AS BIGINT) AS entity, CASE l_linenumber WHEN 1 THEN 'Preamble' WHEN 2 THEN 'Recitals' WHEN 3 THEN 'Sigblock' ELSE 'Table_Of_Contents' END AS name, l_returnflag AS value, o.o_orderkey AS doc_id, CAST(l_quantity AS INT) AS para_no,
+  o.o_orderpriority AS document, c.c_mktsegment AS folder, n.n_name AS parent, p.p_type AS feature
+FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey LEFT JOIN customer c ON c.c_custkey = o.o_custkey LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey LEFT JOIN part p ON p.p_partkey = l.l_partkey AND p.p_size < 25
+WHERE l_linenumber <= 4 AND o.o_orderpriority NOT LIKE '%Abstract%'"""
+)
+def marked_paragraphs(spark, d):
+    o, c, n, p = (table(spark, d, t) for t in ("orders", "customer", "nation", "part"))
+    texts = table(spark, d, "lineitem").select(F.col("l_partkey").alias("id"), F.col("l_linenumber").cast("long").alias("entity_id"), F.col("l_orderkey").alias("doc_id"), F.col("l_quantity").cast("int").alias("para_no"), F.col("l_returnflag").alias("value"))
+    names = ["Preamble", "Recitals", "Sigblock", "Table_Of_Contents", "Other", "Other", "Other"]
+    entities = spark.createDataFrame(list(enumerate(names, 1)), "id long, name string")
+    features = p.where("p_size < 25").select(F.col("p_partkey").alias("instance_id"), F.col("p_type").alias("feature"))
+    documents = o.select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("name"), F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("folder_id"))
+    folders = c.select(F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("id"), F.col("c_mktsegment").alias("name"), F.concat(F.lit("n"), F.col("c_nationkey").cast("string")).alias("parent_id"))
+    folders = folders.unionByName(n.select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("id"), F.col("n_name").alias("name"), F.lit(None).cast("string").alias("parent_id")))
+    return preambles.marked_paragraphs(texts, entities, features, documents, folders)
+
+
+@query()
+def decided_preambles(spark, d):
+    """Marks are lines of the customers' outlines that are no items, items their headings in chains."""
+    from ..operators import numbering
+    from ..sources.durable import durable
+    from .outlines import outline
+
+    rows = durable(outline(spark, d))
+    names = F.element_at(F.array(*map(F.lit, ["Preamble", "Recitals", "Preamble", "Table_Of_Contents", "Sigblock"])), (F.col("para_no") % 5 + 1).cast("int"))
+    marks = rows.where("text = 'Other goods are neither'").select("doc_id", "para_no", names.alias("name"))
+    n = F.count("*").over(Window.partitionBy("doc_id", "seq"))
+    items = numbering.chains(numbering.numbered_items(rows)).withColumn("n", n).select("doc_id", "para_no", "enum", "nth", "n")
+    return preambles.decide_preambles(marks, items, rows.select("doc_id", "para_no", F.length("text").alias("length")))
