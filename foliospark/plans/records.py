@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import nesting
-from ..operators import fold, preambles, protection, runs
+from ..functions import classify, nesting
+from ..operators import fold, more, preambles, protection, runs, vote
 from ..sources import sinks
-from .catalog import TOKENS, doc_tokens, query, table
+from .catalog import TOKENS, doc_tokens, query, said, table
 
 # protection: rich customers protect their open orders, those their returned lines, and these part and supplier
 
@@ -245,3 +245,57 @@ def decided_preambles(spark, d):
     n = F.count("*").over(Window.partitionBy("doc_id", "seq"))
     items = numbering.chains(numbering.numbered_items(rows)).withColumn("n", n).select("doc_id", "para_no", "enum", "nth", "n")
     return preambles.decide_preambles(marks, items, rows.select("doc_id", "para_no", F.length("text").alias("length")))
+
+
+# votes: words of ten letters are marked as split, those with a digit replaced; words behind a comma come in anew, lower by their length
+
+
+@query(
+    TOKENS
+    + """, v AS (
+  SELECT doc_id, sn, CASE WHEN length(text) >= 10 THEN 1 WHEN regexp_matches(text, '[0-9]') THEN 2 ELSE 0 END AS split, upper(text) AS voted FROM tok WHERE length(text) >= 10 OR regexp_matches(text, '[0-9]') OR ends_with(text, '.')
+), x AS (
+  SELECT doc_id, sn AS after, text || 'x' AS voted, y1 + 30 * length(text) AS y1, y2 + 30 * length(text) AS y2 FROM tok WHERE ends_with(text, ',') AND sn > 0
+), k AS (
+  SELECT *, lead(y1) OVER w AS n1, lead(y2) OVER w AS n2 FROM tok WINDOW w AS (PARTITION BY doc_id ORDER BY sn)
+), u AS (
+  SELECT t.doc_id, t.sn AS at_, 0 AS nth, t.sn, coalesce(v.voted, t.text) AS text, CASE WHEN v.split = 1 THEN 1 ELSE 0 END AS split_token, false AS inserted FROM tok t LEFT JOIN v ON v.doc_id = t.doc_id AND v.sn = t.sn
+  UNION ALL SELECT x.doc_id, x.after, 1, NULL, x.voted, 0, true FROM x JOIN k ON k.doc_id = x.doc_id AND k.sn = x.after
+    WHERE abs(k.y1 - x.y1) < 200 AND abs(k.y2 - x.y2) < 200 AND coalesce(abs(k.n1 - x.y1) < 200 AND abs(k.n2 - x.y2) < 200, true)
+)
+SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY at_, nth, text) - 1 AS place, sn, text, split_token, inserted FROM u"""
+)
+def votes_of_all_kinds(spark, d):
+    t = doc_tokens(spark, d)
+    size = F.length("text")
+    digit = F.col("text").rlike("[0-9]")
+    none = lambda kind: F.lit(None).cast(kind)
+    replaced = t.where((size >= 10) | digit | F.col("text").endswith(".")).select("doc_id", "sn", F.upper("text").alias("voted"), F.when(size >= 10, 1).when(digit, 2).otherwise(0).alias("split"), none("int").alias("after"), none("int").alias("nth"), "y1", "y2")
+    new = t.where(F.col("text").endswith(",") & (F.col("sn") > 0)).select("doc_id", none("int").alias("sn"), F.concat("text", F.lit("x")).alias("voted"), F.lit(0).alias("split"), F.col("sn").alias("after"), F.lit(1).alias("nth"), (F.col("y1") + 30 * size).alias("y1"), (F.col("y2") + 30 * size).alias("y2"))
+    return vote.applied_votes(t, replaced.unionByName(new))
+
+
+# marks of tokens and exhibit lines
+
+
+@query(TOKENS + " SELECT doc_id, sn, regexp_matches(text, '^[0-9]{1,3}\\.?$') AS digits, length(text) <= 8 AND (x1 + x2) / 2 BETWEEN 4000 AND 6000 AND (contains(lower(text), 'page') OR regexp_matches(lower(regexp_replace(text, '[^A-Za-z0-9]', '', 'g')), '^([a-z0-9]{1,2}|[ivxl]{1,5})$')) AS page_number FROM tok")
+def number_marks(spark, d):
+    c = F.col("text")
+    return doc_tokens(spark, d).select("doc_id", "sn", classify.is_digits(c).alias("digits"), classify.is_page_number(c, F.col("x1"), F.col("x2")).alias("page_number"))
+
+
+@query(
+    """WITH l AS (
+  SELECT o_custkey AS doc_id, CAST(floor((row_number() OVER w - 1) / 5) AS INT) AS page, CAST((row_number() OVER w - 1) % 5 AS INT) AS line_in_page, CASE o_orderpriority WHEN '1-URGENT' THEN 'EXHIBIT A' WHEN '2-HIGH' THEN 'Schedule 2' ELSE 'Plain words' END AS text
+  FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)
+), e AS (SELECT *, count(*) OVER (PARTITION BY doc_id, page) AS n FROM l WHERE text <> 'Plain words')
+SELECT doc_id, page, line_in_page, text FROM e WHERE n = 1 AND line_in_page <= 2"""
+)
+def lone_exhibits(spark, d):
+    nth = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")) - 1
+    body = F.when(F.col("o_orderpriority") == "1-URGENT", "EXHIBIT A").when(F.col("o_orderpriority") == "2-HIGH", "Schedule 2").otherwise("Plain words")
+    rows = table(spark, d, "orders").select(F.col("o_custkey").alias("doc_id"), F.floor(nth / 5).cast("int").alias("page"), (nth % 5).cast("int").alias("line_in_page"), body.alias("text"))
+    return more.one_exhibit_a_page(rows)
+
+
+said("number_marks")
