@@ -371,7 +371,7 @@ def test_sql(spark, name):
 
     d = "/root/testdata/sf0.001"
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "benchmark"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{d}/{t}.parquet'")
     want = con.sql(queries.oracle_sql()[name])
     got = queries.queries()[name](spark, d)
