@@ -253,7 +253,7 @@ def decided_preambles(spark, d):
 @query(
     TOKENS
     + """, v AS (
-  SELECT doc_id, sn, CASE WHEN length(text) >= 10 THEN 1 WHEN regexp_matches(text, '[0-9]') THEN 2 ELSE 0 END AS split, upper(text) AS voted FROM tok WHERE length(text) >= 10 OR regexp_matches(text, '[0-9]') OR ends_with(text, '.')
+  SELECT doc_id, sn, CASE WHEN length(text) >= 10 THEN 1 WHEN regexp_matches(text, '[0-9]') THEN 2 ELSE 0 END AS split, text || '!' AS voted FROM tok WHERE length(text) >= 10 OR regexp_matches(text, '[0-9]') OR ends_with(text, '.')
 ), x AS (
   SELECT doc_id, sn AS after, text || 'x' AS voted, y1 + 30 * length(text) AS y1, y2 + 30 * length(text) AS y2 FROM tok WHERE ends_with(text, ',') AND sn > 0
 ), k AS (
@@ -270,7 +270,7 @@ def votes_of_all_kinds(spark, d):
     size = F.length("text")
     digit = F.col("text").rlike("[0-9]")
     none = lambda kind: F.lit(None).cast(kind)
-    replaced = t.where((size >= 10) | digit | F.col("text").endswith(".")).select("doc_id", "sn", F.upper("text").alias("voted"), F.when(size >= 10, 1).when(digit, 2).otherwise(0).alias("split"), none("int").alias("after"), none("int").alias("nth"), "y1", "y2")
+    replaced = t.where((size >= 10) | digit | F.col("text").endswith(".")).select("doc_id", "sn", F.concat("text", F.lit("!")).alias("voted"), F.when(size >= 10, 1).when(digit, 2).otherwise(0).alias("split"), none("int").alias("after"), none("int").alias("nth"), "y1", "y2")
     new = t.where(F.col("text").endswith(",") & (F.col("sn") > 0)).select("doc_id", none("int").alias("sn"), F.concat("text", F.lit("x")).alias("voted"), F.lit(0).alias("split"), F.col("sn").alias("after"), F.lit(1).alias("nth"), (F.col("y1") + 30 * size).alias("y1"), (F.col("y2") + 30 * size).alias("y2"))
     return vote.applied_votes(t, replaced.unionByName(new))
 
