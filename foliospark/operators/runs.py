@@ -58,7 +58,9 @@ def _candidates(x1, x2, word, other_x1, other_x2, other, flip):
             for hi in range(lo + 2, end + 1):
                 joined = "".join(other[lo:hi])
                 size = max(len(word[i]), len(joined), 1)
-                off = edit_distance(word[i], joined) / size
+                if abs(len(word[i]) - len(joined)) > MOST * size:
+                    continue
+                off = edit_distance(word[i], joined) / size if joined != word[i] else 0.0
                 if off <= MOST:
                     span = (i, i, lo, hi - 1)
                     yield ((*span[2:], *span[:2]) if flip else span), (1 - off) * size
