@@ -22,11 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .runtime import small_batches
+from .runtime import small_batches, sparing
 from .words import code_values, distinct_spans, pieces, span_hashes
 
 #: Bytes of text whose distinct pre-tokens are encoded together, and characters cut into pre-tokens at once.
-PART = 6 << 20
+PART = 2 << 20
 SPLIT = 1 << 18
 _FAR = 1 << 30
 
@@ -275,7 +275,7 @@ def bpe_encode(df: DataFrame, path: str, text_col: str = "text", ids_col: str =
                     made.append(pa.array([model.decode(ids[a:b].tolist()) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)], pa.string()))
                 yield pa.RecordBatch.from_arrays([*(part.column(part.schema.get_field_index(c)) for c in kept), *made], schema.names)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(sparing(run), schema)
 
 
 def bpe_decode(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
@@ -298,7 +298,7 @@ def bpe_decode(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "
                 texts = [model.decode(flat[at[k] - at[0] : at[k + 1] - at[0]]) if there[k] else None for k in range(len(at) - 1)]
                 yield pa.RecordBatch.from_arrays([*(part.column(part.schema.get_field_index(c)) for c in kept), pa.array(texts, pa.string())], [*kept, text_col])
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(sparing(run), schema)
 
 
 def bpe_digests(df: DataFrame, path: str, ids_col: str = "ids", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -323,4 +323,4 @@ def bpe_digests(df: DataFrame, path: str, ids_col: str = "ids", keep: tuple[str,
             columns = [pa.array(np.diff(at), pa.int64()), pa.array([sha(c.tobytes()) for c in coded], pa.string()), pa.array([sha(model.decode(c.tolist()).encode()) for c in coded], pa.string())]
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(len(keep))), *columns], schema.names)
 
-    return df.select(*keep, ids_col).mapInArrow(run, schema)
+    return df.select(*keep, ids_col).mapInArrow(sparing(run), schema)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .runtime import durable, small_batches
+from .runtime import durable, small_batches, sparing
 from .words import ALPHANUMERIC, mix, normal_words, pieces, text_bytes, word_hashes
 
 _U = np.uint64
@@ -137,8 +137,8 @@ def _tables(strings: DataFrame) -> list[WuManber]:
     sizes = {r.m: r["count"] for r in strings.groupBy("m").count().collect()}  # window rows at most
     bits = {m: min(MOST_BITS, max(8, (SLOTS * n).bit_length())) for m, n in sizes.items()}
     layout = "m int, shift binary, bucket binary"
-    parts = strings.select("m", "string").mapInArrow(_enter(bits), layout)
-    whole = parts.repartition("m").mapInArrow(_merge, layout)
+    parts = strings.select("m", "string").mapInArrow(sparing(_enter(bits)), layout)
+    whole = parts.repartition("m").mapInArrow(sparing(_merge), layout)
     return [WuManber(r.m, bits[r.m], np.frombuffer(r.shift, np.uint8), np.frombuffer(r.bucket, np.uint8)) for r in whole.toLocalIterator()]
 
 
@@ -200,17 +200,17 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10,
     small_batches(docs.sparkSession)
     keep = tuple(c for c in keep if c.lower() not in ("n_words", "hit_spans", "items"))
     cells = benchmark.where(F.col(item_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text"))
-    strings = cells.mapInArrow(_test_strings(window), "m int, string binary, item string").groupBy("m", "string").agg(F.collect_set("item").alias("items"))
+    strings = cells.mapInArrow(sparing(_test_strings(window)), "m int, string binary, item string").groupBy("m", "string").agg(F.collect_set("item").alias("items"))
     strings = durable(strings)
     shared = docs.sparkSession.sparkContext.broadcast(_tables(strings))
 
     schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("n_words", T.LongType()), T.StructField("__found", _CANDIDATES)])
-    found = docs.select(*keep, F.col(text_col).alias("__text")).mapInArrow(_search(shared, len(keep), schema.names), schema)
+    found = docs.select(*keep, F.col(text_col).alias("__text")).mapInArrow(sparing(_search(shared, len(keep), schema.names)), schema)
     found = durable(found.withColumn("__row", F.monotonically_increasing_id()))
     shared.unpersist()
     places = found.where("size(__found) > 0").select("__row", F.explode("__found").alias("f")).select("__row", "f.m", "f.string", "f.at")
     hits = durable(places.join(strings, ["m", "string"]).select("__row", "m", "at", "items"))
-    spans = hits.groupBy("__row").agg(F.collect_list(F.struct("m", "at")).alias("p")).mapInArrow(_spans, "__row long, hit_spans array<struct<start:long,end:long>>")
+    spans = hits.groupBy("__row").agg(F.collect_list(F.struct("m", "at")).alias("p")).mapInArrow(sparing(_spans), "__row long, hit_spans array<struct<start:long,end:long>>")
     items = hits.select("__row", F.explode("items").alias("i")).groupBy("__row").agg(F.sort_array(F.collect_set("i")).alias("items"))
     out = found.drop("__found").join(spans.join(items, "__row"), "__row", "left")
     nothing = F.array().cast("array<struct<start:long,end:long>>")

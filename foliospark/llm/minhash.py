@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .runtime import connected_components, durable, small_batches
+from .runtime import connected_components, durable, small_batches, sparing
 from .words import BLANK_SEPARATED, exact_shingles, mix, normal_words, pieces, text_bytes
 
 _U = np.uint64
@@ -258,13 +258,13 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 80, text_c
     small_batches(docs.sparkSession)
     depth, trees = prefix_depth(percent), tree_count(percent)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    signed = durable(rows.mapInArrow(_sign(n_words, depth, trees), _SIGNED))
+    signed = durable(rows.mapInArrow(sparing(_sign(n_words, depth, trees)), _SIGNED))
     linkable = signed.where("doc_id is not null and n_shingles > 0")
     reps = linkable.groupBy("hi", "lo").agg(F.min(F.struct("doc_id", "n_shingles", "forest")).alias("r"))
     reps = durable(reps.select("hi", "lo", F.col("r.doc_id").alias("rep"), "r.n_shingles", F.col("r.forest").alias("forest")))
 
-    forest = reps.select("rep", "forest").mapInArrow(_plant(trees), "key long, rest long, id long")
-    pairs = forest.repartition("key").sortWithinPartitions("key", "rest", "id").mapInArrow(_walk, "u long, v long")
+    forest = reps.select("rep", "forest").mapInArrow(sparing(_plant(trees)), "key long, rest long, id long")
+    pairs = forest.repartition("key").sortWithinPartitions("key", "rest", "id").mapInArrow(sparing(_walk), "u long, v long")
     clusters = connected_components(pairs).withColumnRenamed("component", "cluster")
     clusters = durable(clusters.join(reps.select(F.col("rep").alias("id"), "n_shingles"), "id"))
     blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int")
@@ -276,7 +276,7 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, percent: int = 80, text_c
 
     def confirmed(tasks: DataFrame) -> DataFrame:
         texts = known.join(tasks, "id").select("task", "id", "text")
-        return durable(texts.repartition("task").sortWithinPartitions("task").mapInArrow(_verify(n_words, percent), "u long, v long"))
+        return durable(texts.repartition("task").sortWithinPartitions("task").mapInArrow(sparing(_verify(n_words, percent)), "u long, v long"))
 
     hub = (F.col("blocks") > 1) & (F.pmod(F.xxhash64("id", F.lit(1)), F.ceil(F.col("documents") / HUBS)) == 0)
     visited = F.when(hub, F.expr("sequence(0, blocks - 1)")).otherwise(F.array("block"))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -53,6 +55,23 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(name, str(rows))
 
 
+def sparing(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The same function of batches; at a task's end the worker returns to the system what it holds free.
+
+    Spark keeps workers for later tasks and takes them in turn, so that all that the steps of a job
+    have started lie beside those at work and count to their executor.
+    """
+
+    def lean(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc, whose allocator numpy uses
+        if trim:
+            trim(0)
+
+    return lean
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -108,14 +127,14 @@ def connected_components(edges: DataFrame) -> DataFrame:
     FEW_EDGES are left, of 16 bytes each, one task finishes them, with the same result.
     """
     stars = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    stars = durable(stars.mapInPandas(_local_forest, "u long, v long").distinct())
+    stars = durable(stars.mapInPandas(sparing(_local_forest), "u long, v long").distinct())
     seen = None
     while True:
         mark = stars.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
         if mark == seen or not mark.n:
             break
         if mark.n <= FEW_EDGES:
-            return stars.coalesce(1).mapInPandas(_one_forest, "id long, component long")
+            return stars.coalesce(1).mapInPandas(sparing(_one_forest), "id long, component long")
         seen = mark
         both = stars.union(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # minima are written, so that both sides of a join come from exchanges of their own and a hot node can be split

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .runtime import durable, small_batches
+from .runtime import durable, small_batches, sparing
 from .words import ALPHANUMERIC, mix, pieces, text_bytes, word_hashes, word_spans
 
 _U = np.uint64
@@ -317,7 +317,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_
         return ToxicityModel(none.astype(np.uint64), none, -1.0, 1.0, 1.0, np.array([min(prior, -1e-6), 0.0, 0.0]))
 
     counts = [F.sum(F.when(F.col("class") == c, F.col("n")).otherwise(0)).alias(f"c{c}") for c in range(2 * FOLDS)]
-    counted = durable(sample.mapInArrow(_count_words, "word long, class int, n long").groupBy("word").agg(*counts))
+    counted = durable(sample.mapInArrow(sparing(_count_words), "word long, class int, n long").groupBy("word").agg(*counts))
     totals = np.array(counted.where("word = 0").first()[1:], float).reshape(FOLDS, 2)
     all_no, all_yes = np.maximum(totals.sum(axis=0), 1)
     no, yes = (sum(F.col(f"c{c}") for c in range(k, 2 * FOLDS, 2)) for k in (0, 1))
@@ -329,13 +329,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_
     # texts that are near copies of one another repeat a token between the same words, which counts once
     spark = docs.sparkSession
     known = spark.sparkContext.broadcast(Lookup(words))
-    places = sample.mapInArrow(_places(known), "number long, toxic long, fold long, place long").groupBy("number", "toxic", "place").agg(F.min("fold").alias("fold"))
+    places = sample.mapInArrow(sparing(_places(known)), "number long, toxic long, fold long, place long").groupBy("number", "toxic", "place").agg(F.min("fold").alias("fold"))
     by_class = np.zeros((len(words), FOLDS, 2))
     for r in places.groupBy("number", "fold", "toxic").count().collect():  # 2 * FOLDS rows for each token at most
         by_class[r.number, r.fold, r.toxic] = r["count"]
     known.unpersist()
 
-    seen = {r.number: r.n for r in docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(_background(words), "number long, n long").groupBy("number").agg(F.sum("n").alias("n")).collect()}
+    seen = {r.number: r.n for r in docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(sparing(_background(words)), "number long, n long").groupBy("number").agg(F.sum("n").alias("n")).collect()}
     share = np.array([seen.get(i, 0) for i in range(len(words))], float) / max(1, seen.get(-1, 0))
 
     def weights(left_out: int | None) -> list[np.ndarray]:
@@ -347,7 +347,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_
 
     parts = [weights(f) for f in range(FOLDS)]
     shared = spark.sparkContext.broadcast((Lookup(words), [np.stack([p[b] for p in parts]) for b in range(len(BARS))]))
-    calm = sample.where("toxic = 0").mapInArrow(_calm_weights(shared), "bar int, weight long, n long").groupBy("bar", "weight").agg(F.sum("n").alias("n")).toPandas()  # a row for each hundredth
+    calm = sample.where("toxic = 0").mapInArrow(sparing(_calm_weights(shared)), "bar int, weight long, n long").groupBy("bar", "weight").agg(F.sum("n").alias("n")).toPandas()  # a row for each hundredth
     whole = weights(None)
     models = []
     for b in range(len(BARS)):
@@ -359,7 +359,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_
         # the mean word of a text that isn't toxic weighs less than nothing
         rest = -max(LEAST_REST, 2 * float(value @ n) / every)
         models.append(ToxicityModel(words, whole[b], rest, _scale(value, n / every, rest), 1.0, np.zeros(3)))
-    measured = sample.mapInArrow(_scores(shared, [m.rest for m in models]), "toxic int, n_words long, scores array<array<double>>").collect()  # TRAIN_ROWS at most
+    measured = sample.mapInArrow(sparing(_scores(shared, [m.rest for m in models])), "toxic int, n_words long, scores array<array<double>>").collect()  # TRAIN_ROWS at most
     shared.unpersist()
     y = np.array([r.toxic > 0 for r in measured], float)
     losses = []
@@ -401,4 +401,4 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text"
                 cells = [[{"start": a, "end": b, "worth": w} for a, b, w in x] for x in found]
                 yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(i, j - i) for k in range(len(keep))), pa.array(score), pa.array(cells, kind)], schema.names)
 
-    return docs.select(*keep, *own_text).mapInArrow(run, schema)
+    return docs.select(*keep, *own_text).mapInArrow(sparing(run), schema)
