@@ -7,6 +7,7 @@ import tracemalloc
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -293,3 +294,47 @@ def test_a_worker_encodes_in_little_memory():
     most = tracemalloc.get_traced_memory()[1] / 1e6
     tracemalloc.stop()
     assert most < 100 and all(model.decode(ids[at[k] : at[k + 1]].tolist()) == texts[k] for k in range(0, len(texts), 50))
+
+
+def test_surroundings_that_share_an_anchor_only_are_not_transformed(monkeypatch):
+    """Only what may hold an equal window goes into the transform, and all of that: by windows at every place about an anchor."""
+    draw = random.Random(11)
+    length, common = 200, bytes(draw.choices(range(97, 123), k=500))
+    texts = [bytes(draw.choices(range(97, 123), k=400)) + common[a : a + size] + bytes(draw.choices(range(97, 123), k=400)) for size in (60, 199, 200, 201, 230) for a in range(0, 240, 40)]
+    rows = []
+    for i, text in enumerate(texts):
+        for key, _, first, last in zip(*(x.tolist() for x in suffixes.anchors(np.frombuffer(text, np.uint8), length)), strict=True):
+            rows.append((int(np.uint64(key).view(np.int64)), 0, 0, i, 0, first, text[first : last + length], False))
+    rows.sort(key=lambda r: r[0])
+    keys, windows = {}, {}
+    for k, r in enumerate(rows):
+        keys.setdefault(r[0], set()).add(k)
+        for j in range(len(r[6]) - length + 1):
+            windows.setdefault(r[6][j : j + length], set()).add(k)
+    equal = {k for held in windows.values() if len(held) > 1 for k in held}
+    beside = {k for held in keys.values() if len(held) > 1 for k in held}
+    at = np.cumsum([0, *(len(r[6]) for r in rows)])
+    body = np.frombuffer(b"".join(r[6] for r in rows), np.uint8)
+    kept = set(suffixes.meeting(np.array([r[0] for r in rows]), body, at, np.zeros(len(rows), bool), length).tolist())
+    assert equal and equal <= kept < beside
+    seen = []
+    whole = suffixes.repeated_starts
+    monkeypatch.setattr(suffixes, "repeated_starts", lambda text, n: (seen.append(len(text)), whole(text, n))[1])
+    kinds = [pa.int64()] * 6 + [pa.binary(), pa.bool_()]
+    for few in (rows, [rows[k] for k in sorted(beside - kept)]):
+        batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*few, strict=True), kinds, strict=True)], suffixes._NAMES)
+        found = [r for b in suffixes._transform(length)(iter([batch])) for r in b.to_pylist()]
+        marked = {(r["id"], p) for r in found for p in range(r["from"], r["to"] - length + 1)}
+        assert marked == {(r[3], r[5] + j) for r in few for j in range(len(r[6]) - length + 1) if len(windows[r[6][j : j + length]]) > 1}
+    assert seen[0] < sum(len(rows[k][6]) for k in kept) + len(kept) and seen[1] <= 1
+
+
+def test_boundaries_within_the_first_eight_bytes_are_those_of_extension():
+    draw = random.Random(12)
+    for _ in range(300):
+        text = bytes(draw.choices(b"ab" if draw.random() < 0.5 else b"abcdefgh", k=draw.randint(0, 150)))
+        text += text[: draw.randint(0, 60)]
+        n = draw.choice([1, 2, 7, 8, 9, 16, 20])
+        starts = [text[i : i + n] for i in range(len(text) - n + 1)]
+        want = [starts.count(x) > 1 for x in starts] + [False] * (len(text) - len(starts))
+        assert suffixes.repeated_starts(np.frombuffer(text, np.uint8), n).tolist() == want
