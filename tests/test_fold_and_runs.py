@@ -3,6 +3,9 @@
 import random
 from itertools import combinations
 
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
 from foliospark.operators import fold, runs
 
 HEADERS = ["Premises", "Term of Lease", "Base Rent", "Security Deposit", "Use of Premises", "Repairs", "Insurance", "Default", "Notices"]
@@ -24,6 +27,21 @@ def test_inserted_dropped_and_moved(spark):
     assert got["a", "Premises"].partner == 0 and got["b", "Premises"].good
 
 
+def test_sides_that_windows_have_dealt(spark):
+    """Each side comes from a window by document, and AQE joins the partitions of the longer side less."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.parallelismFirst", "spark.sql.adaptive.coalescePartitions.minPartitionSize", "spark.sql.unionOutputPartitioning")}
+    for k, v in zip(old, ("20k", "false", "1b", "true"), strict=True):
+        spark.conf.set(k, v)
+    try:
+        number = F.row_number().over(Window.partitionBy("doc_id").orderBy("n")).alias("item")
+        make = lambda n, size: spark.range(40 * n).select((F.col("id") % 40).alias("doc_id"), F.floor(F.col("id") / 40).alias("n"), F.concat(F.lit("line "), F.floor(F.col("id") / 40).cast("string"), F.lit("-" * 40), F.repeat(F.sha2(F.col("id").cast("string"), 512), F.lit(size))).alias("header")).select("doc_id", number, "header")
+        states = fold.fold_contents(make(5, 4), make(3, 1)).groupBy("state").count().collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert {r["state"]: r["count"] for r in states} == {"kept": 40 * 3 * 2, "dropped": 40 * 2}
+
+
 def test_clumps(spark):
     body = ["Rent", *["x%d" % i for i in range(5)], "Terms", "y", "Use", "9 Law"]
     got = {r.header: r for r in lists(spark, ["Rent", "Terms", "Use", "9 Law"], body) if r.side == "b"}
