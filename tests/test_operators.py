@@ -1,11 +1,14 @@
 """Operators on small hand-made frames."""
 
 import json
+import re
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
 from foliospark.functions import classify, text
+from foliospark.plans import catalog, structure  # noqa: F401
 from foliospark.operators import clusters, lines, parts, toc, tokens, vote
 from foliospark.sources import layout, readers, sinks
 from foliospark.streaming import ingest
@@ -155,3 +158,11 @@ def test_streaming_ingest(spark, tmp_path):
         ingest.ingest(spark, str(src), str(tmp_path / "out"), str(tmp_path / "cp"), schema, layout.tokens_from_text).awaitTermination(60)
     rows = spark.read.parquet(str(tmp_path / "out"))
     assert rows.count() == 3 and [r.text for r in ingest.latest(rows).collect()] == ["three"]
+
+
+@pytest.mark.parametrize("name", ["ocr_line_scan", "ocr_word_scan", "ocr_membership", "applied_votes", "engine_vote", "inserted_tokens", "split_distances", "voted_scan", "joined_split_words", "footer_pairs", "paragraph_pages", "paged_paragraphs", "marked_headers", "paragraph_tallies"])
+def test_words_stay_with_their_document(spark, name):
+    """The texts are dealt by document; no exchange by page, line, block or word follows."""
+    plan = catalog.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    keys = {re.sub(r"#\d+L?", "", k) for k in re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)}
+    assert keys == {"doc_id"}
