@@ -166,3 +166,11 @@ def test_words_stay_with_their_document(spark, name):
     plan = catalog.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     keys = {re.sub(r"#\d+L?", "", k) for k in re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)}
     assert keys == {"doc_id"}
+
+
+def test_paragraphs_are_made_ready_once(spark):
+    rows = spark.createDataFrame([(1, 1, "Made and entered into, located at -- "), (1, 2, "..."), (1, 3, None)], "doc_id long, para_no int, text string")
+    found = parts.label_paragraphs(rows)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == 1
+    assert {(r.para_no, r.label) for r in found.collect()} == {(1, "preamble")}
+    assert [r[0] for r in rows.select(classify.phrase_text(F.col("text"))).collect()] == ["Made and entered into located at ", " ", None]
