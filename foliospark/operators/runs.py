@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,9 +51,8 @@ def best_intervals(found: list[tuple[int, int, int, int, float]]) -> list[int]:
 
 def _candidates(x1, x2, word, other_x1, other_x2, other, flip):
     """Runs of two words and more of the other side that lie within a word's box and read like it."""
-    at = np.searchsorted(other_x1, x1 - SLACK, "left").tolist()
-    for i, start in enumerate(at):
-        end = start
+    for i, left in enumerate(x1):
+        start = end = bisect_left(other_x1, left - SLACK)
         while end < len(other) and end - start < LONGEST and other_x2[end] <= x2[i] + SLACK:
             end += 1
         for lo in range(start, end):
@@ -81,20 +82,26 @@ def matched_runs(a: DataFrame, b: DataFrame) -> DataFrame:
     both = side(a, "a").unionByName(side(b, "b")).withColumn("known", F.coalesce("known", F.lit(False)).cast("int"))
 
     def step(c: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-        is_a = c["side"] == "a"
-        p = {k: c[k][is_a] for k in c}
-        q = {k: c[k][~is_a] for k in c}
-        text_p, text_q = p["plain"].tolist(), q["plain"].tolist()
-        found = [(*s, w) for s, w in _candidates(p["x1"], p["x2"], text_p, q["x1"], q["x2"], text_q, False)]
-        found += [(*s, w) for s, w in _candidates(q["x1"], q["x2"], text_q, p["x1"], p["x2"], text_p, True)]
-        rows = [found[k][:4] for k in best_intervals(found)]
+        # plain lists: a line has few words, and most have no run
+        cols = {k: v.tolist() for k, v in c.items() if k not in ("doc_id", "page", "line")}
+        cut = cols["side"].count("a")
         out: dict[str, list] = {k: [] for k in ("doc_id", "page", "line", "first_a", "last_a", "first_b", "last_b", "text_a", "text_b", "chosen", "chosen_text")}
-        for i, j, k, m in rows:
-            sure = [bool(t["known"][x : y + 1].all()) for t, x, y in ((p, i, j), (q, k, m))]
-            conf = [float(t["conf"][x : y + 1].mean()) for t, x, y in ((p, i, j), (q, k, m))]
+        if not 0 < cut < len(cols["side"]):
+            return out
+        p = {k: v[:cut] for k, v in cols.items()}
+        q = {k: v[cut:] for k, v in cols.items()}
+        found = [(*s, w) for s, w in _candidates(p["x1"], p["x2"], p["plain"], q["x1"], q["x2"], q["plain"], False)]
+        found += [(*s, w) for s, w in _candidates(q["x1"], q["x2"], q["plain"], p["x1"], p["x2"], p["plain"], True)]
+        if not found:
+            return out
+        own = tuple(c[k][0] for k in ("doc_id", "page", "line"))
+        for i, j, k, m in (found[x][:4] for x in best_intervals(found)):
+            sides = ((p, i, j + 1), (q, k, m + 1))
+            sure = [all(t["known"][x:y]) for t, x, y in sides]
+            conf = [sum(t["conf"][x:y]) / (y - x) for t, x, y in sides]
             pick_a = sure[0] if sure[0] != sure[1] else conf[0] >= conf[1]
-            texts = [" ".join(t["text"][x : y + 1].tolist()) for t, x, y in ((p, i, j), (q, k, m))]
-            values = (c["doc_id"][0], c["page"][0], c["line"][0], p["sn"][i], p["sn"][j], q["sn"][k], q["sn"][m], *texts, "a" if pick_a else "b", texts[0 if pick_a else 1])
+            texts = [" ".join(t["text"][x:y]) for t, x, y in sides]
+            values = (*own, p["sn"][i], p["sn"][j], q["sn"][k], q["sn"][m], *texts, "a" if pick_a else "b", texts[0 if pick_a else 1])
             for name, v in zip(out, values, strict=True):
                 out[name].append(v)
         return out

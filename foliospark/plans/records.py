@@ -127,12 +127,14 @@ a AS (
 
 
 def lines_of_words(spark, d) -> DataFrame:
-    words = table(spark, d, "documents").select("doc_id", F.filter(F.split("text", r"\s+"), lambda x: x != "").alias("w"))
-    t = words.select("doc_id", F.posexplode("w").alias("sn", "text")).withColumns({"line": F.floor(F.col("sn") / 8).cast("int"), "col": F.col("sn") % 8, "n": F.length("text")})
-    after = F.lead("text").over(Window.partitionBy("doc_id", "line").orderBy("sn"))
-    t = t.withColumn("after", after).withColumns({"split": F.col("n") >= 10, "joined": (F.col("col") % 2 == 0) & (F.col("n") <= 3) & (F.length("after") <= 3)})
-    before = F.lag("joined").over(Window.partitionBy("doc_id", "line").orderBy("sn"))
-    return t.withColumns({"second": F.coalesce(before, F.lit(False)), "x1": F.col("col") * 1000, "page": F.lit(1)})
+    """Words with the one after them on their line (after), and whether they are split, joined with it, or joined with the one before (second); no window, as a text's words lie together."""
+    words = table(spark, d, "documents").select("doc_id", F.filter(F.split("text", r"\s+"), lambda x: x != "").alias("w")).where(F.size("w") > 0)
+    before, after = F.concat(F.array(F.lit(None).cast("string")), F.slice("w", 1, F.size("w") - 1)), F.slice("w", 2, F.size("w"))
+    t = words.select("doc_id", F.posexplode(F.arrays_zip(F.col("w").alias("text"), before.alias("before"), after.alias("after"))).alias("sn", "z")).select("doc_id", "sn", "z.*")
+    t = t.withColumns({"line": F.floor(F.col("sn") / 8).cast("int"), "col": F.col("sn") % 8, "n": F.length("text")})
+    short = lambda c: F.length(c) <= 3
+    second = (F.col("col") % 2 == 1) & short("before") & short("text")
+    return t.withColumns({"split": F.col("n") >= 10, "joined": (F.col("col") % 2 == 0) & short("text") & short("after"), "second": second, "x1": F.col("col") * 1000, "page": F.lit(1)})
 
 
 @query(

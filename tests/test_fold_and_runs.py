@@ -7,6 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from foliospark.operators import fold, runs
+from foliospark.plans import records
 
 HEADERS = ["Premises", "Term of Lease", "Base Rent", "Security Deposit", "Use of Premises", "Repairs", "Insurance", "Default", "Notices"]
 
@@ -102,3 +103,11 @@ def test_best_intervals_equal_all_choices():
         best = max(sum(x[4] for x in some) for n in range(len(found) + 1) for some in combinations(found, n) if fits(some))
         chosen = [found[k] for k in runs.best_intervals(found)]
         assert fits(chosen) and sum(x[4] for x in chosen) == best
+
+
+def test_words_of_lines_need_no_exchange(spark, tmp_path):
+    spark.createDataFrame([(1, "a bc regulations of the x y z in an end"), (2, ""), (3, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    t = records.lines_of_words(spark, str(tmp_path))
+    assert "Exchange" not in t._jdf.queryExecution().executedPlan().toString()
+    got = {r.sn: (r.after if r.joined else None, bool(r.split), bool(r.second)) for r in t.collect()}
+    assert got == {0: ("bc", False, False), 1: (None, False, True), 2: (None, True, False), 3: (None, False, False), 4: ("x", False, False), 5: (None, False, True), 6: ("z", False, False), 7: (None, False, True), 8: ("an", False, False), 9: (None, False, True), 10: (None, False, False)}
