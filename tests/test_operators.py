@@ -174,3 +174,11 @@ def test_paragraphs_are_made_ready_once(spark):
     assert found._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == 1
     assert {(r.para_no, r.label) for r in found.collect()} == {(1, "preamble")}
     assert [r[0] for r in rows.select(classify.phrase_text(F.col("text"))).collect()] == ["Made and entered into located at ", " ", None]
+
+
+def test_lengths_of_vectors_are_taken_once(spark):
+    rows = spark.createDataFrame([(0, [1.0, 0.0]), (50, [1.0, 1.0]), (51, [0.0, 2.0]), (52, None)], "vec_id long, embedding array<double>")
+    found = parts.top_similar(rows.where("vec_id % 50 = 0"), rows, k=2)
+    plan = found._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    assert [x.count("aggregate(") for x in plan if " AS score" in x] == [1]
+    assert [(r.query, r.vec_id, r["rank"]) for r in found.orderBy("query", "rank").collect()] == [(0, 50, 1), (0, 51, 2), (50, 0, 1), (50, 51, 2)]
